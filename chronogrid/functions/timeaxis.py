@@ -35,6 +35,17 @@ def ntz(value: str | _dt.datetime) -> Column:
     return F.to_timestamp_ntz(F.lit(parse_base_date(value).strftime("%Y-%m-%d %H:%M:%S")))
 
 
+def floor_day(t) -> Column:
+    """Start of the day of an NTZ time (date -> NTZ cast is zone-free)."""
+    return F.to_date(_c(t)).cast("timestamp_ntz")
+
+
+def floor_hour(t) -> Column:
+    """Start of the hour of an NTZ time."""
+    t = _c(t)
+    return floor_day(t) + F.make_dt_interval(F.lit(0), F.hour(t), F.lit(0), F.lit(0))
+
+
 # --- SC01 parse_datetime ---------------------------------------------------
 def parse_datetime(s, formats=HOURLY_FORMATS) -> Column:
     """First format that parses, else NULL (``require_parsed`` turns NULLs into an error).
@@ -108,11 +119,13 @@ def date_range(start, end, freq: str = "hour") -> Column:
 
 # --- SC07 year_bounds ------------------------------------------------------
 def year_start(y) -> Column:
-    return F.make_date(_c(y), F.lit(1), F.lit(1))
+    """First day of a year (as TIMESTAMP_NTZ midnight)."""
+    return F.make_date(_c(y), F.lit(1), F.lit(1)).cast("timestamp_ntz")
 
 
 def year_end(y) -> Column:
-    return F.make_date(_c(y), F.lit(12), F.lit(31))
+    """Last day of a year (as TIMESTAMP_NTZ midnight)."""
+    return F.make_date(_c(y), F.lit(12), F.lit(31)).cast("timestamp_ntz")
 
 
 # --- SC08 chunk_index / SC09 chunk_range -----------------------------------

@@ -1,141 +1,4 @@
-"""Registered queries (one per operator of the inventory) and their DuckDB oracles.
+"""All registered queries (one per operator of the inventory) and their DuckDB oracles."""
 
-Every query reads the supplied tables (``events``, ``lineitem``, ``region``) and
-builds its input grid with Spark, so its work grows with the tables.  The oracle
-is the same computation written in SQL for DuckDB.
-"""
-
-from __future__ import annotations
-
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from ..config import ChunkPlan, GridSpec
-from ..functions import timeaxis as ta
-from ..functions import values as fv
-from ..operators import daily, grid
-from ..sources import fixtures as fx
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = sql
-        return fn
-    return deco
-
-
-# ---------------------------------------------------------------------------
-# SQL fixtures (DuckDB)
-# ---------------------------------------------------------------------------
-F1_BASE = "TIMESTAMP '2024-01-01 00:00:00'"
-F1_SQL = """SELECT date_trunc('hour', ts) AS time, CAST(floor((user_id % 4) / 2) AS INTEGER) AS y,
-       CAST(user_id % 2 AS INTEGER) AS x, max(value) AS T2D, min(value) AS RAINRATE
-FROM events GROUP BY 1, 2, 3"""
-F1_NAN_SQL = """SELECT time, y, x, CASE WHEN isnan(T2D) THEN NULL ELSE T2D END AS T2D,
-       CASE WHEN isnan(RAINRATE) THEN NULL ELSE RAINRATE END AS RAINRATE FROM (
-  SELECT date_trunc('hour', ts) AS time, CAST(floor((user_id % 4) / 2) AS INTEGER) AS y,
-         CAST(user_id % 2 AS INTEGER) AS x, max(v) AS T2D, min(v) AS RAINRATE
-  FROM (SELECT *, CASE WHEN event_id % 97 = 0 THEN 'NaN'::DOUBLE ELSE value END AS v FROM events)
-  GROUP BY 1, 2, 3)"""
-F2_SQL = """SELECT l_shipdate AS time, CAST(l_linenumber AS INTEGER) AS y, CAST(0 AS INTEGER) AS x,
-       max(l_quantity) AS qty, max(l_extendedprice) AS price
-FROM lineitem GROUP BY 1, 2"""
-
-
-def daily_sql(src: str) -> str:
-    return f"""WITH h AS ({src}),
-b AS (SELECT CAST(floor(date_diff('second', {F1_BASE}, time) / 86400) AS INTEGER) AS blk, * FROM h)
-SELECT {F1_BASE} + to_days(blk) AS time, y, x,
-  CASE WHEN count(T2D) = 24 THEN max(T2D) END AS T2MAX,
-  CASE WHEN count(T2D) = 24 THEN min(T2D) END AS T2MIN,
-  CASE WHEN count(RAINRATE) = 24 THEN CAST(sum(CAST(RAINRATE * 3600 AS DECIMAL(38,9))) AS DOUBLE) END AS RAIN,
-  CAST(count(T2D) AS INTEGER) AS n_T2D, CAST(count(RAINRATE) AS INTEGER) AS n_RAINRATE
-FROM b GROUP BY blk, y, x"""
-
-
-def f1(spark, sf_dir, plant_nan=False):
-    return fx.hourly_grid(spark, sf_dir, plant_nan=plant_nan)
-
-
-def f1_daily(spark, sf_dir, plant_nan=False):
-    return daily.daily_reduce(f1(spark, sf_dir, plant_nan), fx.F1_SPEC.base_date, with_counts=True)
-
-
-# ---------------------------------------------------------------------------
-# Daily reduction (AG01-AG04, JN01, PF06, PF07, WN01, WN03)
-# ---------------------------------------------------------------------------
-@register("AG01_daily_max", f"SELECT time, y, x, T2MAX, n_T2D FROM ({daily_sql(F1_NAN_SQL)})")
-def q_ag01(spark, sf_dir):
-    return f1_daily(spark, sf_dir, plant_nan=True).select("time", "y", "x", "T2MAX", "n_T2D")
-
-
-@register("AG02_daily_min", f"SELECT time, y, x, T2MIN, n_T2D FROM ({daily_sql(F1_NAN_SQL)})")
-def q_ag02(spark, sf_dir):
-    return f1_daily(spark, sf_dir, plant_nan=True).select("time", "y", "x", "T2MIN", "n_T2D")
-
-
-@register("AG03_daily_sum", f"SELECT time, y, x, RAIN, n_RAINRATE FROM ({daily_sql(F1_NAN_SQL)})")
-def q_ag03(spark, sf_dir):
-    return f1_daily(spark, sf_dir, plant_nan=True).select("time", "y", "x", "RAIN", "n_RAINRATE")
-
-
-@register("AG04_block_time_label", f"""WITH h AS ({F1_SQL}),
-b AS (SELECT CAST(floor(date_diff('second', {F1_BASE}, time) / 86400) AS INTEGER) AS blk, * FROM h)
-SELECT {F1_BASE} + to_days(blk) AS time, y, x, CAST(count(*) AS INTEGER) AS n_hours,
-  CASE WHEN count(*) = 24 THEN {F1_BASE} + to_microseconds(CAST(round(avg(date_diff('second', {F1_BASE}, time)) - 690 * 60) AS BIGINT) * 1000000) END AS mean_label
-FROM b GROUP BY blk, y, x""")
-def q_ag04(spark, sf_dir):
-    base = fx.F1_SPEC.base_date
-    h = f1(spark, sf_dir).withColumn("_blk", daily.block_index(ta.steps_since("time", base, 3600)))
-    return (h.groupBy("_blk", "y", "x")
-            .agg(F.count("*").cast("int").alias("n_hours"),
-                 F.when(F.count("*") == 24, daily.mean_minus_offset_label(F.col("time"), base)).alias("mean_label"))
-            .select(daily.block_label(base, "_blk").alias("time"), "y", "x", "n_hours", "mean_label"))
-
-
-@register("JN01_merge_daily", f"SELECT time, y, x, T2MAX, T2MIN, RAIN FROM ({daily_sql(F1_SQL)})")
-def q_jn01(spark, sf_dir):
-    return f1_daily(spark, sf_dir).select("time", "y", "x", "T2MAX", "T2MIN", "RAIN")
-
-
-@register("PF06_derive_daily_vars",
-          f"SELECT time, y, x, T2D AS T2MAX, T2D AS T2MIN, RAINRATE AS RAIN FROM ({F1_SQL})")
-def q_pf06(spark, sf_dir):
-    h = f1(spark, sf_dir)
-    cols = daily.daily_template_columns(h.columns)
-    return h.select("time", "y", "x", *[F.col(daily.DAILY_SOURCES[c]).alias(c) for c in cols])
-
-
-@register("PF07_scale_var", f"SELECT time, y, x, RAINRATE * 3600 AS rain_mm FROM ({F1_SQL})")
-def q_pf07(spark, sf_dir):
-    return f1(spark, sf_dir).select("time", "y", "x", fv.rate_to_step_total("RAINRATE").alias("rain_mm"))
-
-
-@register("WN03_block_index", f"""SELECT time, y, x,
-  CAST(date_diff('hour', {F1_BASE}, time) AS INTEGER) AS time_idx,
-  CAST(floor(date_diff('hour', {F1_BASE}, time) / 24) AS INTEGER) AS block FROM ({F1_SQL})""")
-def q_wn03(spark, sf_dir):
-    h = grid.with_time_index(f1(spark, sf_dir), fx.F1_SPEC.base_date, 3600)
-    return h.select("time", "y", "x", "time_idx", daily.block_index("time_idx").alias("block"))
-
-
-@register("WN01_fill_last_time", f"""WITH d AS (SELECT DISTINCT CAST(floor(date_diff('hour', {F1_BASE}, time) / 24) AS INTEGER) AS time_idx FROM ({F1_SQL})),
-a AS (SELECT time_idx, CASE WHEN time_idx = (SELECT max(time_idx) FROM d) THEN NULL ELSE {F1_BASE} + to_days(time_idx) END AS time FROM d),
-p AS (SELECT time_idx + 1 AS time_idx, time AS prev FROM a)
-SELECT a.time_idx, coalesce(a.time, p.prev + INTERVAL 1 DAY) AS time FROM a LEFT JOIN p USING (time_idx)""")
-def q_wn01(spark, sf_dir):
-    base = fx.F1_SPEC.base_date
-    d = (f1(spark, sf_dir).select(daily.block_index(ta.steps_since("time", base, 3600)).alias("time_idx"))
-         .distinct())
-    last = d.select(F.max("time_idx")).scalar()          # scalar subquery, no join
-    # the last block's time is unknown (NaT in the reference) and gets filled
-    ax = d.select("time_idx", F.when(F.col("time_idx") == last, F.lit(None))
-                  .otherwise(daily.block_label(base, "time_idx")).alias("time"))
-    return daily.fill_missing_time(ax)
+from . import q_daily, q_time  # noqa: F401
+from .registry import ORACLE, QUERIES  # noqa: F401
