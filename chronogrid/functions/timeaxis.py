@@ -199,7 +199,8 @@ def path_format(template: str, fields: dict[str, Column]) -> Column:
 # --- SC13 pad_index --------------------------------------------------------
 def pad_index(i, width: int = 5) -> Column:
     """Zero-padded number; longer numbers are kept whole (unlike lpad)."""
-    return F.format_string(f"%0{width}d", _c(i))
+    i = _c(i)
+    return F.when(i.isNotNull(), F.format_string(f"%0{width}d", i))
 
 
 # --- SC19 index_to_daily ---------------------------------------------------

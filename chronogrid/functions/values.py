@@ -76,4 +76,6 @@ def convert_units(df: DataFrame, conversions=None, keep=()) -> DataFrame:
 
 # --- SC14 fixed_decimals ---------------------------------------------------
 def fixed_decimals(v, places: int = 4) -> Column:
-    return F.format_string(f"%.{places}f", _c(v))
+    """``%.Nf`` text; a missing value stays NULL (format_string would print 'null')."""
+    v = _c(v)
+    return F.when(v.isNotNull(), F.format_string(f"%.{places}f", v))
