@@ -32,7 +32,9 @@ def _c(x) -> Column:
 
 def ntz(value: str | _dt.datetime) -> Column:
     """A TIMESTAMP_NTZ literal (never routed through a time zone)."""
-    return F.to_timestamp_ntz(F.lit(parse_base_date(value).strftime("%Y-%m-%d %H:%M:%S")))
+    d = parse_base_date(value)
+    txt = d.strftime("%Y-%m-%d %H:%M:%S") + (f".{d.microsecond:06d}" if d.microsecond else "")
+    return F.to_timestamp_ntz(F.lit(txt))
 
 
 def floor_day(t) -> Column:

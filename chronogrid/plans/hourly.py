@@ -17,3 +17,30 @@ def chunk_index_of_texts(df: DataFrame, text_col: str, spec: GridSpec, formats=t
     out = ta.require_parsed(df.withColumn("_t", t), text_col, "_t")
     return (out.withColumn("chunk", ta.chunk_index("_t", spec))
             .withColumn("label", ta.format_datetime("_t", "yyyy-MM-dd'T'HH")).drop("_t"))
+
+
+def create_hourly(spark, path: str, first_chunk: DataFrame, spec: GridSpec, end_date,
+                  catalog: DataFrame | None = None, cells: DataFrame | None = None):
+    """JB01: empty hourly store whose axis runs from the first chunk's first
+    time to ``end_date``; variables are the time-varying columns of the chunk."""
+    from ..operators import grid as gops
+    from ..sources.gridstore import GridStore
+    first = first_chunk.agg(F.min("time")).collect()[0][0]           # one scalar
+    variables = [c for c in first_chunk.columns if c not in gops.KEYS]
+    return GridStore.create(spark, path, spec, first, end_date, variables, catalog, cells)
+
+
+def process_hourly(store, hourly: DataFrame, first_chunk: int | None = None, last_chunk: int | None = None,
+                   catalog_overlay=None) -> None:
+    """JB02 / JB12: insert hourly rows chunk-aligned into the store.
+
+    All requested chunks go in one Spark job (no driver loop over chunks); the
+    region write keeps untouched chunks and is idempotent on re-runs."""
+    spec = store.spec
+    df = hourly
+    if first_chunk is not None or last_chunk is not None:
+        c = ta.chunk_index("time", spec)
+        lo = first_chunk if first_chunk is not None else -(2 ** 31)
+        hi = last_chunk if last_chunk is not None else 2 ** 31 - 1
+        df = df.where(c.between(lo, hi))
+    store.write_region(df)
