@@ -48,3 +48,70 @@ def daily_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (li.groupBy(F.col("l_shipdate").alias("time"), F.col("l_linenumber").cast("int").alias("y"))
             .agg(F.max("l_quantity").alias("qty"), F.max("l_extendedprice").alias("price"))
             .select("time", "y", F.lit(0).cast("int").alias("x"), "qty", "price"))
+
+
+# Names given to the first five users of the derived catalog
+# (the bucket variables of the accumulation classes).
+BUCKET_NAMES = ("I_ACLWDNB", "I_ACLWUPB", "I_ACSWDNB", "I_ACSWDNT", "I_ACSWUPB")
+
+
+def _user_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    n = lambda t: F.sum(F.when(F.col("event_type") == t, 1).otherwise(0)).alias(f"n_{t}")
+    return ev.groupBy("user_id").agg(n("signup"), n("purchase"), n("error"), n("view"), n("click"),
+                                     F.max("event_type").alias("max_type"))
+
+
+def _varname() -> F.Column:
+    name = F.concat(F.lit("V"), F.col("user_id").cast("string"))
+    for i, b in enumerate(BUCKET_NAMES):
+        name = F.when(F.col("user_id") == i, F.lit(b)).otherwise(name)
+    return name
+
+
+def var_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F3 (derived): one variable per user of ``events``.
+
+    dims ``[time,y,x]`` if the user ever signed up, else ``[y,x]`` (a constant);
+    attributes from the user's event counts, including some to be removed."""
+    u = _user_counts(spark, sf_dir)
+    il = (F.when(F.col("n_purchase") >= F.col("n_click") + 3, F.lit("60-minute accumulation"))
+          .when(F.col("n_purchase") > F.col("n_click"), F.lit("15-minute accumulation")))
+    attrs = F.map_filter(F.create_map(
+        F.lit("long_name"), F.concat(F.lit("user "), F.col("user_id").cast("string")),
+        F.lit("units"), F.col("max_type"),
+        F.lit("integration_length"), il,
+        F.lit("esri_pe_string"), F.when(F.col("n_error") > F.col("n_view"), F.lit("PROJCS")),
+        F.lit("proj4"), F.when(F.col("n_view") > F.col("n_click"), F.lit("+proj=lcc")),
+        F.lit("resolution"), F.when(F.col("n_click") > F.col("n_signup"), F.lit("4000"))), lambda k, v: v.isNotNull())
+    dims = F.when(F.col("n_signup") > F.col("n_error"), F.array(F.lit("time"), F.lit("y"), F.lit("x"))) \
+        .otherwise(F.array(F.lit("y"), F.lit("x")))
+    return u.select(_varname().alias("varname"), dims.alias("dims"), attrs.alias("attrs"),
+                    F.create_map(F.lit("dtype"), F.lit("float64")).alias("encoding"))
+
+
+def var_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata rows (varname, long_name, standard_name, units, coordinates) for
+    the users with at least as many error as view events, plus a ``time`` row."""
+    u = _user_counts(spark, sf_dir).where(F.col("n_error") >= F.col("n_view"))
+    rows = u.select(_varname().alias("varname"),
+                    F.concat(F.lit("meta "), F.col("user_id").cast("string")).alias("long_name"),
+                    F.when(F.col("n_view") > F.col("n_click"), F.concat(F.lit("std_"), F.col("user_id").cast("string"))).alias("standard_name"),
+                    F.when(F.col("n_click") > F.col("n_signup"), F.lit("m")).alias("units"),
+                    F.when(F.col("n_signup") > F.col("n_purchase"), F.lit("x y")).alias("coordinates"))
+    time_row = spark.createDataFrame([("time", "time", "time", "hours", None)],
+                                     "varname string, long_name string, standard_name string, units string, coordinates string")
+    return rows.unionByName(time_row)
+
+
+def file_listing(spark: SparkSession, sf_dir: str, wrf_dir: str, template: str) -> DataFrame:
+    """F5 (derived): files present, one per lineitem row: hour ``l_suppkey % 24``
+    of the ship day, in the previous water-year directory when the return flag
+    is 'A' (the misplaced boundary files)."""
+    from ..functions import timeaxis as ta
+    from .manifest import manifest_path
+    li = table(spark, sf_dir, "lineitem")
+    fdate = ta.add_interval("l_shipdate", hours=(F.col("l_suppkey") % 24).cast("int"))
+    wy = F.when(F.col("l_returnflag") == "A", F.concat(F.lit("WY"), F.year("l_shipdate").cast("string"))) \
+        .otherwise(ta.water_year_dir("l_shipdate"))
+    return li.select(manifest_path(template, wrf_dir, wy, fdate).alias("path")).distinct()
