@@ -115,3 +115,25 @@ def file_listing(spark: SparkSession, sf_dir: str, wrf_dir: str, template: str)
     wy = F.when(F.col("l_returnflag") == "A", F.concat(F.lit("WY"), F.year("l_shipdate").cast("string"))) \
         .otherwise(ta.water_year_dir("l_shipdate"))
     return li.select(manifest_path(template, wrf_dir, wy, fdate).alias("path")).distinct()
+
+
+def region_rectangles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """one rectangle per region over the F1 unit cells:
+    x0 = 0.5 k, x1 = x0 + 0.7, y0 = 0.1 k, y1 = y0 + 1.0 (k = r_regionkey).
+    Region 3 lies partly and region 4 wholly outside the 2 x 2 grid."""
+    from ..functions.geometry import rectangle_ring
+    k = F.col("r_regionkey").cast("double")
+    x0, y0 = F.lit(0.5) * k, F.lit(0.1) * k
+    return table(spark, sf_dir, "region").select(
+        F.col("r_regionkey").cast("long").alias("poly_id"),
+        rectangle_ring(x0, y0, x0 + F.lit(0.7), y0 + F.lit(1.0)).alias("ring"))
+
+
+def nation_triangles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Triangles, one per nation: p0 = (0.08 k, 0.05 k), p1 = p0 + (1.1, 0.3),
+    p2 = p0 + (0.4, 1.2) (k = n_nationkey)."""
+    from ..functions.geometry import point
+    k = F.col("n_nationkey").cast("double")
+    x0, y0 = F.lit(0.08) * k, F.lit(0.05) * k
+    ring = F.array(point(x0, y0), point(x0 + F.lit(1.1), y0 + F.lit(0.3)), point(x0 + F.lit(0.4), y0 + F.lit(1.2)))
+    return table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("poly_id"), ring.alias("ring"))
