@@ -269,3 +269,22 @@ def q_sl04(spark, sf_dir):
 @register("AG13_time_extent", f"SELECT min(time) AS first_time, max(time) AS last_time FROM ({F1_SQL})")
 def q_ag13(spark, sf_dir):
     return gops.time_extent(f1(spark, sf_dir))
+
+
+@register("JB02_process_hourly_streaming", f"SELECT time, y, x, T2MAX, T2MIN, RAIN FROM ({daily_sql(F1_SQL)})")
+def q_jb02_stream(spark, sf_dir):
+    """JB02 + JB04 run incrementally: hourly files of F1 are streamed into the
+    hourly store (one micro-batch per group of files) and each batch updates
+    the daily chunks it touched."""
+    from ..sources import hourly_files
+    from ..streaming.hourly_ingest import start_hourly_ingest
+    src = scratch_path(spark, "hourly-src")
+    g = f1(spark, sf_dir).withColumns({"wy_dir": ta.water_year_dir("time"),
+                                       "fname": F.date_format("time", "yyyyMMddHH")})
+    hourly_files.write_hourly_files(g, src)
+    h = hourly_store(spark, sf_dir, load=False)
+    d = daily_jobs.create_daily(spark, scratch_path(spark, "daily"), h, DAILY_PLAN)
+    q = start_hourly_ingest(spark, src, hourly_files.hourly_schema(["T2D", "RAINRATE"]), h, d,
+                            max_files_per_trigger=360)
+    q.awaitTermination()
+    return d.read()

@@ -49,12 +49,18 @@ def catalog_frame(spark: SparkSession, rows) -> DataFrame:
 
 
 class GridStore:
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, meta: dict | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
-        meta = json.loads(_read_text(spark, f"{self.path}/_spec"))
+        meta = meta or json.loads(_read_text(spark, f"{self.path}/_spec"))
+        self.meta = meta
         self.spec = GridSpec(meta["base_date"], meta["freq"], ChunkPlan(**meta["plan"]))
         self.variables: list[str] = meta["variables"]
+        self.axis_start: str = meta["axis_start"]
+        self.n_steps: int = int(meta["n_steps"])
+
+    def _save_meta(self) -> None:
+        _write_text(self.spark, f"{self.path}/_spec", json.dumps(self.meta))
 
     # ------------------------------------------------------------------ SR15/16
     @classmethod
@@ -74,10 +80,12 @@ class GridStore:
         catalog.write.mode("overwrite").parquet(f"{path}/catalog")
         if cells is not None:
             cells.write.mode("overwrite").parquet(f"{path}/cells")
+        s, e = parse_base_date(start), parse_base_date(end)
+        n_steps = int((e - s).total_seconds() // spec.step_seconds) + 1
         meta = {"base_date": spec.base_literal, "freq": spec.freq, "plan": spec.plan.as_dict(),
-                "variables": list(variables)}
+                "variables": list(variables), "axis_start": s.strftime("%Y-%m-%d %H:%M:%S"), "n_steps": n_steps}
         _write_text(spark, f"{path}/_spec", json.dumps(meta))
-        return cls(spark, path)
+        return cls(spark, path, meta)
 
     @staticmethod
     def _grid_schema(variables) -> T.StructType:
@@ -132,7 +140,7 @@ class GridStore:
         unknown = [c for c in df.columns if c not in gops.KEYS and c not in self.variables]
         if unknown:
             raise ValueError(f"columns not in store schema: {unknown}")
-        located = gops.locate_time(df, self.axis())
+        located = self.locate(df)
         incoming = gops.with_chunk_columns(located, self.spec).select(
             *[F.col(f.name) if f.name in located.columns or f.name in ("time_chunk", "y_chunk", "x_chunk")
               else F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields])
@@ -143,6 +151,16 @@ class GridStore:
         merged = kept.select(*self.schema.names).unionByName(incoming)
         self._write_partitions(merged)
 
+    def locate(self, df: DataFrame) -> DataFrame:
+        """Axis position of each row, computed (the axis is regular): no join.
+        A time off the axis (misaligned, before its start or after its end)
+        fails the job from inside the plan."""
+        secs = ta.seconds_since("time", self.axis_start)
+        idx = F.floor(secs / F.lit(self.spec.step_seconds)).cast("long")
+        ok = (F.pmod(secs, F.lit(self.spec.step_seconds)) == 0) & (idx >= 0) & (idx < F.lit(self.n_steps))
+        return df.withColumn("time_idx", F.when(ok, idx.cast("int")).otherwise(
+            F.raise_error(F.concat(F.lit("time not on the store axis: "), F.col("time").cast("string")))))
+
     def _write_partitions(self, df: DataFrame) -> None:
         (df.repartition("time_chunk", "y_chunk", "x_chunk")
          .sortWithinPartitions("time_chunk", "y_chunk", "x_chunk", "time", "y", "x")
@@ -178,6 +196,8 @@ class GridStore:
         full = gops.make_axis(self.spark, first, new_end, self.spec)
         extra = full.join(ax.select("time"), "time", "left_anti")
         extra.select("time_idx", "time", "time_chunk").write.mode("append").parquet(f"{self.path}/axis")
+        self.meta["n_steps"] = int((new_end - first).total_seconds() // self.spec.step_seconds) + 1
+        self._save_meta()
         return True
 
     # ------------------------------------------------------------------ JB07
