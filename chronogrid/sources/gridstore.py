@@ -158,8 +158,11 @@ class GridStore:
         secs = ta.seconds_since("time", self.axis_start)
         idx = F.floor(secs / F.lit(self.spec.step_seconds)).cast("long")
         ok = (F.pmod(secs, F.lit(self.spec.step_seconds)) == 0) & (idx >= 0) & (idx < F.lit(self.n_steps))
-        return df.withColumn("time_idx", F.when(ok, idx.cast("int")).otherwise(
-            F.raise_error(F.concat(F.lit("time not on the store axis: "), F.col("time").cast("string")))))
+        # the check sits on ``time`` itself, which every write keeps, so column
+        # pruning cannot drop it
+        checked = F.when(ok, F.col("time")).otherwise(
+            F.raise_error(F.concat(F.lit("time not on the store axis: "), F.col("time").cast("string"))))
+        return df.withColumn("time_idx", idx.cast("int")).withColumn("time", checked.cast("timestamp_ntz"))
 
     def _write_partitions(self, df: DataFrame) -> None:
         (df.repartition("time_chunk", "y_chunk", "x_chunk")
@@ -197,6 +200,7 @@ class GridStore:
         extra = full.join(ax.select("time"), "time", "left_anti")
         extra.select("time_idx", "time", "time_chunk").write.mode("append").parquet(f"{self.path}/axis")
         self.meta["n_steps"] = int((new_end - first).total_seconds() // self.spec.step_seconds) + 1
+        self.n_steps = self.meta["n_steps"]
         self._save_meta()
         return True
 
