@@ -25,6 +25,11 @@ from pyspark.sql import types as T
 from ..config import ChunkPlan, GridSpec, parse_base_date
 from ..functions import timeaxis as ta
 from ..operators import grid as gops
+from ..session import checkpoint_root
+
+# Largest set of incoming times (16 bytes per axis step, bounded by the axis
+# length) that a region write broadcasts.
+BROADCAST_TIMES_LIMIT = 64 * 1024 * 1024
 
 CATALOG_SCHEMA = T.StructType([
     T.StructField("varname", T.StringType(), False),
@@ -144,11 +149,20 @@ class GridStore:
         incoming = gops.with_chunk_columns(located, self.spec).select(
             *[F.col(f.name) if f.name in located.columns or f.name in ("time_chunk", "y_chunk", "x_chunk")
               else F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields])
-        touched = incoming.select("time_chunk").distinct()
+        # Stage once (reliable checkpoint in the shared checkpoint folder): the
+        # rows, their chunks and their times are all derived from it, so the
+        # upstream plan is not recomputed three times.
+        checkpoint_root(self.spark)
+        staged = incoming.checkpoint(eager=True)
+        touched = staged.select("time_chunk").distinct()
+        times = staged.select("time").distinct()
+        # at most one row per axis step: broadcast only when that bound is small
+        if self.n_steps * 16 <= BROADCAST_TIMES_LIMIT:
+            times = F.broadcast(times)
         existing = self.spark.read.schema(self.schema).parquet(f"{self.path}/grid")
         kept = (existing.join(F.broadcast(touched), "time_chunk", "left_semi")
-                .join(incoming.select("time").distinct(), "time", "left_anti"))
-        merged = kept.select(*self.schema.names).unionByName(incoming)
+                .join(times, "time", "left_anti"))
+        merged = kept.select(*self.schema.names).unionByName(staged)
         self._write_partitions(merged)
 
     def locate(self, df: DataFrame) -> DataFrame:
