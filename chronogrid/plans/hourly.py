@@ -44,3 +44,55 @@ def process_hourly(store, hourly: DataFrame, first_chunk: int | None = None, las
         hi = last_chunk if last_chunk is not None else 2 ** 31 - 1
         df = df.where(c.between(lo, hi))
     store.write_region(df)
+
+
+def list_files(spark, root: str) -> DataFrame:
+    """Paths of the hourly datasets under ``root`` (directory listing done by
+    Spark's file index; only the ``path`` column is read, never the bytes)."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", "*.parquet").load(root).select("path"))
+    return files.select(F.regexp_replace(F.regexp_extract("path", r"^(.*)/[^/]+$", 1), r"^file:", "")
+                        .alias("path")).distinct()
+
+
+def process_hourly_files(spark, store, first_chunk: int, last_chunk: int, wrf_dir: str, template: str,
+                         listing: DataFrame | None = None, metadata: DataFrame | None = None,
+                         constants=()) -> None:
+    """JB02 / JB12 from files: manifest of chunks ``first..last`` -> files that
+    exist (Oct-1 rule) -> one multi-file scan -> metadata applied to the
+    catalog -> rechunked region write.  One Spark job per stage for the whole
+    chunk range; no driver loop over chunks."""
+    from ..operators import catalog as cat
+    from ..sources import hourly_files, manifest
+    chunks = spark.range(first_chunk, last_chunk + 1).select(F.col("id").cast("int").alias("chunk"))
+    m = manifest.hourly_manifest(chunks, store.spec, wrf_dir, template)
+    if listing is not None:
+        m = manifest.verified_manifest(m, listing, wrf_dir, template)
+    paths = [r.path for r in m.orderBy("fdate").select("path").collect()]   # file names only
+    if not paths:
+        return
+    grid, cells = hourly_files.load_hourly_files(spark, paths, store.variables, constants)
+    if metadata is not None:
+        updated = cat.overlay_metadata(cat.drop_attrs(store.catalog()), metadata)
+        store.write_catalog(updated)
+    if constants:
+        store.write_constants(cells)
+    store.write_region(grid)
+
+
+def create_hourly_from_files(spark, path: str, spec: GridSpec, chunk: int, end_date, wrf_dir: str,
+                             template: str, variables, listing: DataFrame | None = None,
+                             catalog: DataFrame | None = None, constants=()):
+    """JB01: the first chunk's files define the start of the axis and the
+    constants; the store is created empty up to ``end_date``."""
+    from ..sources import hourly_files, manifest
+    from ..sources.gridstore import GridStore
+    chunks = spark.range(chunk, chunk + 1).select(F.col("id").cast("int").alias("chunk"))
+    m = manifest.hourly_manifest(chunks, spec, wrf_dir, template)
+    if listing is not None:
+        m = manifest.verified_manifest(m, listing, wrf_dir, template)
+    paths = [r.path for r in m.orderBy("fdate").select("path").collect()]
+    grid, cells = hourly_files.load_hourly_files(spark, paths, variables, constants)
+    first = grid.agg(F.min("time")).collect()[0][0]                    # one scalar
+    return GridStore.create(spark, path, spec, first, end_date, list(variables), catalog,
+                            cells if constants else None)

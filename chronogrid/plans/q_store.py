@@ -160,20 +160,46 @@ def q_sr21(spark, sf_dir):
     return layout.chunk_log(rows)
 
 
-@register("JB01_create_hourly", f"""WITH ax AS ({AXIS_SQL})
+HOURLY_TEMPLATE = "{wrf_dir}/wy_dir={wy_dir}/fname={fdate:%Y%m%d%H%M}.LDASIN_DOMAIN1"
+
+
+def hourly_files_of_f1(spark, sf_dir):
+    """F1 written as one dataset per hour (with two constants) under a scratch root."""
+    from ..sources import hourly_files
+    root = scratch_path(spark, "hourly-files")
+    g = f1(spark, sf_dir).withColumns({"lat": F.lit(40.0) + F.col("y"), "lon": F.lit(-100.0) + F.col("x"),
+                                       "wy_dir": ta.water_year_dir("time"),
+                                       "fname": F.date_format("time", "yyyyMMddHHmm'.LDASIN_DOMAIN1'")})
+    hourly_files.write_hourly_files(g, root)
+    return root
+
+
+@register("JB01_create_hourly", f"""WITH ax AS (SELECT CAST(row_number() OVER (ORDER BY time) - 1 AS INTEGER) AS time_idx, time, {chunk_sql()} AS time_chunk
+  FROM (SELECT unnest(generate_series((SELECT min(date_trunc('hour', ts)) FROM events), TIMESTAMP '{END}', INTERVAL 1 HOUR)) AS time))
 SELECT time_chunk, min(time) AS start_time, max(time) AS end_time, count(*) AS n_steps, CAST(0 AS BIGINT) AS n_rows FROM ax GROUP BY 1""")
 def q_jb01(spark, sf_dir):
-    first = f1(spark, sf_dir).where(ta.chunk_index("time", SPEC) == 0)
-    first = layout.rechunk(first, SPEC).drop(*layout.TILE)
-    store = hourly_jobs.create_hourly(spark, scratch_path(spark, "create"), first, SPEC, END)
+    root = hourly_files_of_f1(spark, sf_dir)
+    store = hourly_jobs.create_hourly_from_files(
+        spark, scratch_path(spark, "create"), SPEC, 0, END, root, HOURLY_TEMPLATE, ["T2D", "RAINRATE"],
+        listing=hourly_jobs.list_files(spark, root), constants=("lat", "lon"))
+    assert store.cells().count() == 4
     s = layout.chunk_summary(store.axis(), store.read(with_chunks=True), 4)
     return s.select("time_chunk", "start_time", "end_time", "n_steps", "n_rows")
 
 
 @register("JB02_process_hourly", f"SELECT time, y, x, T2D, RAINRATE FROM ({F1_SQL})")
 def q_jb02(spark, sf_dir):
+    """Hourly files of F1 -> verified manifest of chunks 0..4 -> scan ->
+    metadata on the catalog -> rechunked region write -> read back."""
+    root = hourly_files_of_f1(spark, sf_dir)
     store = hourly_store(spark, sf_dir, load=False)
-    hourly_jobs.process_hourly(store, f1(spark, sf_dir))
+    meta = spark.createDataFrame([("T2D", "Temperature at 2 m", "air_temperature", "K", "x y")],
+                                 "varname string, long_name string, standard_name string, units string, coordinates string")
+    hourly_jobs.process_hourly_files(spark, store, 0, 4, root, HOURLY_TEMPLATE,
+                                     listing=hourly_jobs.list_files(spark, root), metadata=meta,
+                                     constants=("lat", "lon"))
+    c = {r["varname"]: r for r in store.catalog().collect()}
+    assert c["T2D"]["attrs"]["units"] == "K" and c["T2D"]["encoding"]["coordinates"] == "x y"
     return store.read()
 
 

@@ -195,6 +195,12 @@ class GridStore:
             merged.write.mode("overwrite").parquet(tmp)
             self.spark.read.parquet(tmp).write.mode("overwrite").parquet(f"{self.path}/catalog")
 
+    def write_catalog(self, catalog: DataFrame) -> None:
+        """Replace the catalog (staged first: it may be derived from itself)."""
+        tmp = f"{self.path}/catalog_next"
+        catalog.select("varname", "dims", "attrs", "encoding").write.mode("overwrite").parquet(tmp)
+        self.spark.read.schema(CATALOG_SCHEMA).parquet(tmp).write.mode("overwrite").parquet(f"{self.path}/catalog")
+
     # ------------------------------------------------------------------ JB05
     def extend_time(self, end) -> bool:
         """Lengthen the axis to ``end`` without touching data.

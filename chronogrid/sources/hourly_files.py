@@ -21,10 +21,16 @@ def hourly_schema(variables, constants=()) -> T.StructType:
     return T.StructType(fields)
 
 
-def write_hourly_files(df: DataFrame, root: str, wy_col: str = "wy_dir", name_col: str = "fname") -> None:
-    """Write one dataset per hour under ``root/wy_dir=<WY>/fname=<name>``."""
-    (df.repartition(wy_col, name_col).write.mode("overwrite")
-     .partitionBy(wy_col, name_col).parquet(root))
+def write_hourly_files(df: DataFrame, root: str, wy_col: str = "wy_dir", name_col: str = "fname",
+                       n_writers: int | None = None) -> None:
+    """Write one dataset per hour under ``root/wy_dir=<WY>/fname=<name>``.
+
+    Range partitioning with an explicit writer count keeps every hour in one
+    task (one file per hour) while all writers work in parallel; a hash
+    repartition would be coalesced by AQE into very few writers on small data."""
+    n = n_writers or df.sparkSession.sparkContext.defaultParallelism
+    (df.repartitionByRange(n, wy_col, name_col).sortWithinPartitions(wy_col, name_col)
+     .write.mode("overwrite").partitionBy(wy_col, name_col).parquet(root))
 
 
 def load_hourly_files(spark: SparkSession, paths: list[str], variables, constants=()) -> tuple[DataFrame, DataFrame]:
