@@ -72,11 +72,17 @@ def consolidated_metadata(variables: DataFrame, chunks: dict | None = None) -> D
 
 
 def _write_bytes(path: str, data: bytes) -> None:
+    """Write to a unique temporary name, then rename into place: a retried or
+    speculative task attempt never leaves a partial chunk behind, and the
+    final content is the same whichever attempt wins."""
+    import uuid
     fs, p = _fs(path)
     parent = p.rsplit("/", 1)[0]
     fs.create_dir(parent, recursive=True)
-    with fs.open_output_stream(p) as f:
+    tmp = f"{parent}/.tmp-{uuid.uuid4().hex}"
+    with fs.open_output_stream(tmp) as f:
         f.write(data)
+    fs.move(tmp, p)
 
 
 def _read_bytes(path: str) -> bytes | None:
