@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import size_checked_broadcast
+
 # Attributes removed from every variable.
 REMOVE_ATTRS = ("esri_pe_string", "proj4", "_CoordinateAxisType", "resolution")
 
@@ -81,9 +83,9 @@ def metadata_map(meta: DataFrame) -> DataFrame:
 
 
 def join_metadata(cat: DataFrame, meta: DataFrame) -> DataFrame:
-    """JN03: catalog rows with their metadata row, if any (small side broadcast:
-    one row per variable)."""
-    return cat.join(F.broadcast(metadata_map(meta)), "varname", "left")
+    """JN03: catalog rows with their metadata row, if any.  The metadata side
+    (one row per variable) is broadcast after a size check."""
+    return cat.join(size_checked_broadcast(metadata_map(meta), 1024), "varname", "left")
 
 
 def overlay_metadata(cat: DataFrame, meta: DataFrame) -> DataFrame:

@@ -105,6 +105,7 @@ def locate_time(src: DataFrame, axis: DataFrame) -> DataFrame:
     is one row per step, so the distinct-time side is joined, never the grid
     against a duplicated axis.
     """
+    from .joins import size_checked_broadcast
     times = src.select("time").distinct()
     ax = axis.select("time", "time_idx")
     counted = ax.groupBy("time").agg(F.count("*").alias("n_axis"), F.min("time_idx").alias("time_idx"))
@@ -113,7 +114,9 @@ def locate_time(src: DataFrame, axis: DataFrame) -> DataFrame:
                        .otherwise(F.raise_error(F.concat(F.lit("time not on axis exactly once: "),
                                                          F.col("time").cast("string"))))
                        .cast("int").alias("time_idx")))
-    return src.join(checked, "time", "inner")
+    # one row per axis step at most: broadcast it when the axis is small, so the
+    # many rows of one time step are never shuffled into a single task
+    return src.join(size_checked_broadcast(checked, 24, n_rows=axis.count()), "time", "inner")
 
 
 # --- JN05 axis_fill -----------------------------------------------------------

@@ -13,10 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
+from .joins import size_checked_broadcast
 
-# Largest weight table broadcast to the grid join (bytes, estimated); beyond
-# it the join shuffles both sides on (y, x).
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+# Estimated bytes per weight row (poly_id, y, x, w) for the broadcast check.
 WEIGHT_ROW_BYTES = 32
 
 SUM_TYPE = "decimal(38,9)"
@@ -80,17 +79,11 @@ def weights(polys: DataFrame, overlap: DataFrame) -> DataFrame:
 
 
 # --- JN06 grid_weights_join ---------------------------------------------------
-def size_checked_broadcast(df: DataFrame, row_bytes: int = WEIGHT_ROW_BYTES,
-                           limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Broadcast hint only when the table's size is known to fit; otherwise
-    leave the choice to the planner (shuffle join, AQE may still broadcast)."""
-    n = df.count()
-    return F.broadcast(df) if n * row_bytes <= limit else df
-
-
 def join_weights(grid: DataFrame, w: DataFrame, checked: bool = True) -> DataFrame:
-    """Each polygon's cells with their values: grid x weights on (y, x)."""
-    side = size_checked_broadcast(w) if checked else w
+    """Each polygon's cells with their values: grid x weights on (y, x).  The
+    weight table (polygons x their cells, independent of the time length) is
+    broadcast when its counted size fits; otherwise both sides shuffle."""
+    side = size_checked_broadcast(w, WEIGHT_ROW_BYTES) if checked else w
     return grid.join(side, ["y", "x"], "inner")
 
 

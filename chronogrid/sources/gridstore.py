@@ -25,12 +25,9 @@ from pyspark.sql import types as T
 from ..config import ChunkPlan, GridSpec, parse_base_date
 from ..functions import timeaxis as ta
 from ..operators import grid as gops
+from ..operators.joins import size_checked_broadcast
 from ..session import checkpoint_root
 
-# Largest set of incoming times (16 bytes per axis step, bounded by the axis
-# length) that a region write broadcasts.
-BROADCAST_TIMES_LIMIT = 64 * 1024 * 1024
-
 CATALOG_SCHEMA = T.StructType([
     T.StructField("varname", T.StringType(), False),
     T.StructField("dims", T.ArrayType(T.StringType()), False),
@@ -154,13 +151,13 @@ class GridStore:
         # upstream plan is not recomputed three times.
         checkpoint_root(self.spark)
         staged = incoming.checkpoint(eager=True)
-        touched = staged.select("time_chunk").distinct()
-        times = staged.select("time").distinct()
-        # at most one row per axis step: broadcast only when that bound is small
-        if self.n_steps * 16 <= BROADCAST_TIMES_LIMIT:
-            times = F.broadcast(times)
+        # Both sides below have at most one row per axis step (times) or per
+        # axis chunk (touched): the axis length bounds their size, no count needed.
+        n_chunks = self.n_steps // self.spec.plan.time + 2
+        touched = size_checked_broadcast(staged.select("time_chunk").distinct(), 16, n_rows=n_chunks)
+        times = size_checked_broadcast(staged.select("time").distinct(), 16, n_rows=self.n_steps)
         existing = self.spark.read.schema(self.schema).parquet(f"{self.path}/grid")
-        kept = (existing.join(F.broadcast(touched), "time_chunk", "left_semi")
+        kept = (existing.join(touched, "time_chunk", "left_semi")
                 .join(times, "time", "left_anti"))
         merged = kept.select(*self.schema.names).unionByName(staged)
         self._write_partitions(merged)
