@@ -34,12 +34,21 @@ def write_hourly_files(df: DataFrame, root: str, wy_col: str = "wy_dir", name_co
 
 
 def load_hourly_files(spark: SparkSession, paths: list[str], variables, constants=()) -> tuple[DataFrame, DataFrame]:
-    """Time-varying rows from all ``paths``; constant variables from the first
-    path only (they repeat in every file).  Explicit schema, no schema merge."""
+    """Time-varying rows from all ``paths`` (explicit schema, no schema merge)
+    and the constant variables per cell.
+
+    Constants repeat in every file; each cell takes them from the earliest
+    file holding that cell, which is the first file when files are dense and
+    still complete when hourly files are sparse.  Only the key and constant
+    columns are read for this, and the aggregation is partial before its
+    shuffle."""
     if not paths:
         raise ValueError("no hourly files")
     schema = hourly_schema(variables, constants)
-    reader = spark.read.schema(schema).option("mergeSchema", "false")
-    grid = reader.parquet(*paths).select(*KEYS, *variables)
-    cells = reader.parquet(paths[0]).select("y", "x", *constants).dropDuplicates(["y", "x"])
+    df = spark.read.schema(schema).option("mergeSchema", "false").parquet(*paths)
+    grid = df.select(*KEYS, *variables)
+    if not constants:
+        return grid, df.select("y", "x").distinct()
+    first = F.min_by(F.struct(*[F.col(c) for c in constants]), F.col("time")).alias("_c")
+    cells = df.groupBy("y", "x").agg(first).select("y", "x", "_c.*")
     return grid, cells
