@@ -68,3 +68,13 @@ def verified_manifest(manifest: DataFrame, listing: DataFrame, wrf_dir: str,
 def existing_files(manifest: DataFrame, listing: DataFrame) -> DataFrame:
     """JN04: expected files that exist (left semi join on the path)."""
     return manifest.join(listing.select("path"), "path", "left_semi")
+
+
+def manifest_report(manifest: DataFrame, kept: DataFrame) -> DataFrame:
+    """Per chunk: files expected, files kept and files missing (the reference
+    skips missing files silently; the count makes them visible)."""
+    exp = manifest.groupBy("chunk").agg(F.count("*").alias("expected"))
+    got = kept.groupBy("chunk").agg(F.count("*").alias("found"))
+    return (exp.join(got, "chunk", "left")
+            .select("chunk", "expected", F.coalesce(F.col("found"), F.lit(0)).alias("found"))
+            .withColumn("missing", F.col("expected") - F.col("found")))
