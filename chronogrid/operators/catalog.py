@@ -146,3 +146,21 @@ def sorted_names(cat: DataFrame, cls: str = "instantaneous") -> DataFrame:
 def attrs_long(cat: DataFrame, col: str = "attrs") -> DataFrame:
     """One row per (variable, key, value) of a map column."""
     return cat.select("varname", F.explode(col).alias("key", "value"))
+
+
+# --- catalog attributes as column metadata -----------------------------------
+def attrs_of(cat: DataFrame, columns) -> dict[str, dict[str, str]]:
+    """Attributes of the named variables (one small row per column, so the
+    catalog rows for a frame's columns are brought to the driver: they become
+    part of its schema)."""
+    rows = cat.where(F.col("varname").isin(*list(columns))).select("varname", "attrs").collect()
+    return {r["varname"]: dict(r["attrs"] or {}) for r in rows}
+
+
+def with_attrs(df: DataFrame, attrs: dict[str, dict[str, str]]) -> DataFrame:
+    """Attach attributes as column metadata.  Metadata survives filters and a
+    Parquet round trip but not aggregation, so it is re-attached after it."""
+    for c, a in attrs.items():
+        if c in df.columns:
+            df = df.withMetadata(c, {**a})
+    return df

@@ -115,3 +115,11 @@ def fill_missing_time(axis: DataFrame, idx: str = "time_idx", time: str = "time"
     return (axis.join(prev, idx, "left")
             .withColumn(time, F.coalesce(F.col(time), ta.add_interval("_prev", days=1)))
             .drop("_prev"))
+
+
+# --- JN01 for separately stored frames ----------------------------------------
+def merge_frames(frames, keys=("time", "y", "x")) -> "DataFrame":
+    """Align daily variables computed or stored separately: full outer joins on
+    the keys (a position present in one frame only keeps NULL elsewhere)."""
+    from functools import reduce
+    return reduce(lambda a, b: a.join(b, list(keys), "full"), frames)

@@ -71,6 +71,9 @@ def process_daily(hourly: GridStore, daily_store: GridStore, first_chunk: int |
         if first_hour >= n_steps:
             raise ValueError("starting index beyond end of available hourly data")
     d = daily_from_hourly(hourly, daily_store.spec, first_chunk, last_chunk)
+    # attributes are lost by the aggregation: re-attach them from the catalog
+    from ..operators.catalog import attrs_of, with_attrs
+    d = with_attrs(d, attrs_of(daily_store.catalog(), [c for c in d.columns if c not in ("time", "y", "x")]))
     daily_store.write_region(d)
 
 

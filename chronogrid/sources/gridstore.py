@@ -114,7 +114,7 @@ class GridStore:
 
     # ------------------------------------------------------------------ SR05
     def read(self, variables=None, start=None, end=None, chunks: tuple[int, int] | None = None,
-             with_chunks: bool = False) -> DataFrame:
+             with_chunks: bool = False, with_attrs: bool = False) -> DataFrame:
         """Lazy scan with the explicit schema.
 
         ``start``/``end`` (inclusive labels) become range predicates on raw
@@ -129,7 +129,11 @@ class GridStore:
             df = gops.slice_by_label(df, s, e, self.spec)
         cols = list(variables) if variables is not None else self.variables
         keep = list(gops.KEYS) + cols + (["time_chunk", "y_chunk", "x_chunk"] if with_chunks else [])
-        return df.select(*keep)
+        out = df.select(*keep)
+        if with_attrs:
+            from ..operators.catalog import attrs_of, with_attrs as attach
+            out = attach(out, attrs_of(self.catalog(), cols))
+        return out
 
     # ------------------------------------------------------------------ SR17
     def write_region(self, df: DataFrame) -> None:

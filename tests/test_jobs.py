@@ -45,3 +45,19 @@ def test_streaming_replay_is_idempotent(spark):
         start_hourly_ingest(spark, src, schema, st, max_files_per_trigger=20).awaitTermination()
         got = st.read()
         assert got.count() == 48 and got.exceptAll(df).count() == 0
+
+
+def test_daily_store_carries_attributes_and_merge_frames(spark):
+    from chronogrid.operators import daily
+    from chronogrid.plans import daily as daily_jobs
+    from chronogrid.sources import fixtures as fx
+    spec = fx.F1_SPEC
+    h = GridStore.create(spark, scratch_path(spark, "t-h"), spec, spec.base_date, fx.F1_END, ["T2D", "RAINRATE"])
+    h.write_region(fx.hourly_grid(spark, "/root/testdata/sf0.001"))
+    d = daily_jobs.create_daily(spark, scratch_path(spark, "t-d"), h, ChunkPlan(6, 2, 2))
+    daily_jobs.process_daily(h, d, 0, 1)
+    meta = {f.name: f.metadata for f in d.read(with_attrs=True).schema.fields}
+    assert meta["RAIN"]["units"] == "mm" and meta["T2MAX"]["long_name"].startswith("Daily maximum")
+    red = daily.daily_reduce(fx.hourly_grid(spark, "/root/testdata/sf0.001"), spec.base_date)
+    merged = daily.merge_frames([red.select("time", "y", "x", "T2MAX"), red.select("time", "y", "x", "RAIN")])
+    assert merged.count() == red.count() and merged.exceptAll(red.select("time", "y", "x", "T2MAX", "RAIN")).count() == 0
