@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ChunkPlan, GridSpec
-from ..functions import timeaxis as ta
 from ..operators import daily as dops
 from ..sources.gridstore import GridStore, catalog_frame
 

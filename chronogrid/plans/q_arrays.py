@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..operators import grid as gops
 from ..session import scratch_path
 from ..sources import arraystore

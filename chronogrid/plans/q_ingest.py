@@ -8,7 +8,6 @@ from ..config import ChunkPlan, GridSpec
 from ..functions import timeaxis as ta
 from ..functions import values as fv
 from ..operators import catalog as cat
-from ..operators import grid as gops
 from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..sources import hourly_files, manifest, metadata

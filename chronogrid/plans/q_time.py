@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from ..config import ChunkPlan, GridSpec
 from ..functions import timeaxis as ta
 from ..functions import values as fv
-from ..operators import grid
 from ..sources import fixtures as fx
 from .registry import F1_BASE, F1_SQL, F2_SQL, F2_TIMES_SQL, f1, register
 

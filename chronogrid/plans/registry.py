@@ -10,12 +10,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ..config import ChunkPlan, GridSpec
-from ..functions import timeaxis as ta
-from ..functions import values as fv
-from ..operators import daily, grid
+from ..operators import daily
 from ..sources import fixtures as fx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}

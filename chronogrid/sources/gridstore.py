@@ -15,7 +15,6 @@ group of files and a region write replaces whole partitions.
 
 from __future__ import annotations
 
-import datetime as _dt
 import json
 
 from pyspark.sql import DataFrame, SparkSession

@@ -10,8 +10,6 @@ The stream checkpoint lives under the shared checkpoint folder.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
