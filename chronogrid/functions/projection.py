@@ -171,3 +171,9 @@ def reproject_ring(ring, to_lonlat, from_lonlat) -> Column:
 def albers_to_grid(ring) -> Column:
     """SC17: polygon ring from the polygons' Albers plane to the grid's LCC plane."""
     return reproject_ring(ring, POLY_ALBERS.inverse, GRID_LCC.forward)
+
+
+def grid_to_equal_area(ring) -> Column:
+    """Ring from the grid's LCC plane to the equal-area (polar LAEA) plane,
+    where areas are measured."""
+    return reproject_ring(ring, GRID_LCC.inverse, AREA_LAEA.forward)

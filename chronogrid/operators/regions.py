@@ -52,17 +52,22 @@ def candidate_cells(polys: DataFrame, cg: CellGrid) -> DataFrame:
             .select("poly_id", "ring", "y", F.explode(F.sequence("ix0", "ix1")).alias("x")))
 
 
-def overlay(polys: DataFrame, cells: DataFrame, cg: CellGrid, rectangles: bool = False) -> DataFrame:
+def overlay(polys: DataFrame, cells: DataFrame, cg: CellGrid, rectangles: bool = False,
+            area_ring=None) -> DataFrame:
     """``(poly_id, y, x, area)`` for every cell meeting a polygon with area > 0.
 
     Candidates come from the bounding boxes, are equi-joined to the cell table
     (cells absent from the grid drop out), then clipped exactly: rectangles
-    by min/max, general rings by Sutherland-Hodgman in the JVM."""
+    by min/max, general rings by Sutherland-Hodgman in the JVM.  With
+    ``area_ring`` (a ring -> ring column function, e.g. into an equal-area
+    plane) the clipped piece is measured after that transformation."""
     cand = candidate_cells(polys, cg).join(cells.select("y", "x"), ["y", "x"], "inner")
     cx0 = F.lit(cg.x0) + F.col("x") * cg.dx
     cy0 = F.lit(cg.y0) + F.col("y") * cg.dy
     cx1, cy1 = cx0 + cg.dx, cy0 + cg.dy
-    if rectangles:
+    if area_ring is not None:
+        area = geo.ring_area(area_ring(geo.clip_ring_to_box("ring", cx0, cy0, cx1, cy1)))
+    elif rectangles:
         bx0, by0, bx1, by1 = geo.ring_bounds("ring")
         area = geo.box_overlap_area(bx0, by0, bx1, by1, cx0, cy0, cx1, cy1)
     else:
@@ -71,9 +76,11 @@ def overlay(polys: DataFrame, cells: DataFrame, cg: CellGrid, rectangles: bool =
 
 
 # --- AG11 weight_normalise ----------------------------------------------------
-def weights(polys: DataFrame, overlap: DataFrame) -> DataFrame:
-    """Weight = overlap area / polygon area (joined on poly_id: one row per polygon)."""
-    pa = polys.select("poly_id", geo.ring_area("ring").alias("poly_area"))
+def weights(polys: DataFrame, overlap: DataFrame, area_ring=None) -> DataFrame:
+    """Weight = overlap area / polygon area (joined on poly_id: one row per
+    polygon); areas in the plane given by ``area_ring`` if any."""
+    ring = area_ring(F.col("ring")) if area_ring is not None else F.col("ring")
+    pa = polys.select("poly_id", geo.ring_area(ring).alias("poly_area"))
     return (overlap.join(pa, "poly_id", "inner")
             .select("poly_id", "y", "x", (F.col("area") / F.col("poly_area")).alias("w")))
 

@@ -40,9 +40,18 @@ def read_yearly(spark: SparkSession, path: str, year: int | None = None) -> Data
 
 # --- JB10 build_weights -------------------------------------------------------
 def build_weights(polys: DataFrame, cells: DataFrame, cg: regions.CellGrid, path: str,
-                  rectangles: bool = False) -> None:
-    """Polygons (already in grid coordinates) -> weight table written as CSV."""
-    write_weights(regions.weights(polys, regions.overlay(polys, cells, cg, rectangles)), path)
+                  rectangles: bool = False, to_grid=None, area_ring=None) -> None:
+    """Polygons -> weight table written as CSV.
+
+    ``to_grid`` (ring -> ring) brings polygon vertices into the grid plane
+    first (e.g. ``projection.albers_to_grid``); cells are clipped there, where
+    they are rectangles.  ``area_ring`` measures areas in another plane (e.g.
+    ``projection.grid_to_equal_area``)."""
+    if to_grid is not None:
+        polys = polys.withColumn("ring", to_grid(F.col("ring")))
+    w = regions.weights(polys, regions.overlay(polys, cells, cg, rectangles and area_ring is None, area_ring),
+                        area_ring)
+    write_weights(w, path)
 
 
 # --- JB11 region_daily --------------------------------------------------------

@@ -136,3 +136,29 @@ def test_projection_worked_examples_and_limits(spark):
     blon, blat = pj.POLY_ALBERS.inverse(*pj.POLY_ALBERS.forward("lon", "lat"))
     b = df.select(blon, blat).first()
     assert b[0] == pytest.approx(-75.0, abs=1e-9) and b[1] == pytest.approx(35.0, abs=1e-7)
+
+
+def test_weights_from_albers_polygons_with_equal_area(spark):
+    """A square polygon given in the Albers plane, reprojected to the grid's
+    LCC plane, clipped against 4 km cells, areas measured in the polar
+    equal-area plane: a polygon inside the grid has weights summing to 1."""
+    from chronogrid.functions.geometry import point
+    from chronogrid.operators import grid as gops
+    from chronogrid.plans import regions as region_jobs
+    from chronogrid.session import scratch_path
+    # Albers coordinates of a 20 km square near (-100E, 40N)
+    lon, lat = pj.POLY_ALBERS.forward(F.lit(-100.0), F.lit(40.0))
+    c = spark.range(1).select(lon.alias("cx"), lat.alias("cy"))
+    polys = c.select(F.lit(7).cast("long").alias("poly_id"), F.array(
+        point(F.col("cx") - 10000, F.col("cy") - 10000), point(F.col("cx") + 10000, F.col("cy") - 10000),
+        point(F.col("cx") + 10000, F.col("cy") + 10000), point(F.col("cx") - 10000, F.col("cy") + 10000)).alias("ring"))
+    # grid of 4 km cells whose origin is 40 km west/south of the polygon centre (in LCC)
+    gx, gy = pj.GRID_LCC.forward(F.lit(-100.0), F.lit(40.0))
+    x0, y0 = spark.range(1).select(gx, gy).first()
+    cg = regions.CellGrid(x0 - 40000.0, y0 - 40000.0, 4000.0, 4000.0, 20, 20)
+    cells = gops.make_cells(spark, 20, 20)
+    path = scratch_path(spark, "t-weights")
+    region_jobs.build_weights(polys, cells, cg, path, to_grid=pj.albers_to_grid, area_ring=pj.grid_to_equal_area)
+    w = region_jobs.read_weights(spark, path)
+    assert 25 <= w.count() <= 49
+    assert w.agg(F.sum("w")).first()[0] == pytest.approx(1.0, abs=1e-6)
