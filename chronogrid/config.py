@@ -66,5 +66,6 @@ class GridSpec:
         return days
 
 
+# Default base date and chunk plans of the hourly and daily stores.
 HOURLY = GridSpec("1979-10-01 00:00:00", "hour", ChunkPlan(144, 175, 175))
 DAILY = GridSpec("1979-10-01 00:00:00", "day", ChunkPlan(36, 350, 350))

@@ -1,5 +1,5 @@
-"""Map projections as Spark column expressions (formulas of the published USGS
-map-projection manual, Snyder 1987).
+"""Map projections as Spark column expressions (formulas of J. P. Snyder,
+"Map Projections: A Working Manual", 1987).
 
 Used to bring polygon vertices and cell corners into one plane before
 clipping: the grid's Lambert conformal conic on a sphere, the polygons'

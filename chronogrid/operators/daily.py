@@ -97,7 +97,11 @@ def block_label(axis_start, block) -> Column:
     return ta.ntz(axis_start) + F.make_dt_interval(b.cast("int"), F.lit(0), F.lit(0), F.lit(0))
 
 
-def mean_minus_offset_label(times: Column, axis_start, minutes: int = 690) -> Column:
+# Fixed value: minutes subtracted from the mean time of a day block.
+LABEL_OFFSET_MINUTES = 690
+
+
+def mean_minus_offset_label(times: Column, axis_start, minutes: int = LABEL_OFFSET_MINUTES) -> Column:
     """The reference's label rule, for comparison: mean of the block's times
     minus ``minutes`` (an aggregate over one block's rows; zone-free)."""
     secs = F.avg(ta.seconds_since(times, axis_start)) - F.lit(minutes * 60)
