@@ -15,10 +15,11 @@ from ..sources.gridstore import GridStore, catalog_frame
 def create_daily(spark, path: str, hourly: GridStore, plan: ChunkPlan) -> GridStore:
     """JB03: empty daily store from an hourly store.
 
-    Axis: one step per day from the first to the last hourly time (dates);
+    Axis: one step per day from the first hourly time, up to the last hourly time;
     variables ``T2MAX``, ``T2MIN``, ``RAIN`` with their fixed attributes."""
     ax = hourly.axis().agg(F.min("time").alias("s"), F.max("time").alias("e")).collect()[0]
-    start, end = ax["s"], ax["e"].replace(hour=0, minute=0, second=0, microsecond=0)
+    # one step per day from the first hourly time while not past the last one
+    start, end = ax["s"], ax["e"]
     variables = dops.daily_template_columns(hourly.variables)
     spec = GridSpec(hourly.spec.base_literal, "day", plan)
     catalog = catalog_frame(spark, [(v, ["time", "y", "x"], dops.DAILY_ATTRS[v], {}) for v in variables])

@@ -61,3 +61,12 @@ def test_daily_store_carries_attributes_and_merge_frames(spark):
     red = daily.daily_reduce(fx.hourly_grid(spark, "/root/testdata/sf0.001"), spec.base_date)
     merged = daily.merge_frames([red.select("time", "y", "x", "T2MAX"), red.select("time", "y", "x", "RAIN")])
     assert merged.count() == red.count() and merged.exceptAll(red.select("time", "y", "x", "T2MAX", "RAIN")).count() == 0
+
+
+def test_daily_axis_from_hourly_not_starting_at_midnight(spark):
+    from chronogrid.plans import daily as daily_jobs
+    spec = GridSpec("2024-01-01 00:00:00", "hour", ChunkPlan(24, 1, 1))
+    h = GridStore.create(spark, scratch_path(spark, "t-h5"), spec, "2024-01-01 05:00:00", "2024-01-03 23:00:00", ["T2D"])
+    d = daily_jobs.create_daily(spark, scratch_path(spark, "t-d5"), h, ChunkPlan(6, 1, 1))
+    assert [r[0] for r in d.axis().orderBy("time").select("time").collect()] == [
+        dt.datetime(2024, 1, 1, 5), dt.datetime(2024, 1, 2, 5), dt.datetime(2024, 1, 3, 5)]
