@@ -113,13 +113,21 @@ class GridStore:
 
     # ------------------------------------------------------------------ SR05
     def read(self, variables=None, start=None, end=None, chunks: tuple[int, int] | None = None,
-             with_chunks: bool = False, with_attrs: bool = False) -> DataFrame:
+             with_chunks: bool = False, with_attrs: bool = False,
+             y_range: tuple[int, int] | None = None, x_range: tuple[int, int] | None = None) -> DataFrame:
         """Lazy scan with the explicit schema.
 
         ``start``/``end`` (inclusive labels) become range predicates on raw
         ``time`` *and* a ``time_chunk BETWEEN`` partition filter, since Spark
-        does not derive the latter itself."""
+        does not derive the latter itself.  ``y_range``/``x_range`` (inclusive
+        cell indices) filter the clustering columns and the cell keys; both are
+        pushed to Parquet, whose row-group statistics skip other tiles."""
         df = self.spark.read.schema(self.schema).option("mergeSchema", "false").parquet(f"{self.path}/grid")
+        plan = self.spec.plan
+        for col, chunk_col, size, rng in (("y", "y_chunk", plan.y, y_range), ("x", "x_chunk", plan.x, x_range)):
+            if rng is not None:
+                lo, hi = int(rng[0]), int(rng[1])
+                df = df.where(F.col(chunk_col).between(lo // size, hi // size) & F.col(col).between(lo, hi))
         if chunks is not None:
             df = df.where(F.col("time_chunk").between(int(chunks[0]), int(chunks[1])))
         if start is not None or end is not None:

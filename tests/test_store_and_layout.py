@@ -98,3 +98,17 @@ def test_dense_view_counts(spark):
     ax = gops.make_axis(spark, "2024-01-01 00:00:00", "2024-01-01 07:00:00", SPEC)
     d = gops.dense_view(g, ax.select("time_idx", "time"), 4, 4)
     assert d.count() == 8 * 16 and d.where("v IS NULL").count() == 3
+
+
+def test_spatial_read_pushes_tile_filters(spark):
+    st = new_store(spark)
+    st.write_region(formula_grid(spark))
+    df = st.read(y_range=(2, 3), x_range=(0, 1), start="2024-01-01 00:00:00", end="2024-01-01 03:00:00")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")    # untruncated PushedFilters
+    try:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(y_chunk,1)" in plan and "LessThanOrEqual(x,1)" in plan
+    got = {(r["y"], r["x"]) for r in df.collect()}
+    assert got == {(2, 0), (2, 1), (3, 0), (3, 1)} and df.count() == 4 * 4
