@@ -46,13 +46,18 @@ def process_hourly(store, hourly: DataFrame, first_chunk: int | None = None, las
     store.write_region(df)
 
 
-def list_files(spark, root: str) -> DataFrame:
-    """Paths of the hourly datasets under ``root`` (directory listing done by
-    Spark's file index; only the ``path`` column is read, never the bytes)."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "*.parquet").load(root).select("path"))
-    return files.select(F.regexp_replace(F.regexp_extract("path", r"^(.*)/[^/]+$", 1), r"^file:", "")
-                        .alias("path")).distinct()
+def list_files(spark, root: str, pattern: str = "*/*") -> DataFrame:
+    """Paths of the hourly datasets under ``root`` matching ``pattern``.
+
+    One Hadoop ``globStatus`` call (a listing per directory level, as Spark's
+    own file index does) on any file system; only names are returned."""
+    jvm = spark._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{pattern}")
+    fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    statuses = fs.globStatus(hpath) or []
+    local = "://" not in root
+    paths = [st.getPath().toUri().getPath() if local else st.getPath().toString() for st in statuses]
+    return spark.createDataFrame([(p,) for p in paths], "path string")
 
 
 def process_hourly_files(spark, store, first_chunk: int, last_chunk: int, wrf_dir: str, template: str,
