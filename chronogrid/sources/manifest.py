@@ -46,23 +46,29 @@ def verified_manifest(manifest: DataFrame, listing: DataFrame, wrf_dir: str,
     October 1 00h missing from its water-year directory: the file of the
     previous water-year directory is taken if it exists, and the remaining
     hours of that day are dropped (the reference stops the day there).  Any
-    other missing file is skipped.  Three equi-joins against the listing."""
+    other missing file is skipped.
+
+    Only the 24 hours of each October 1 need the fallback logic; every other
+    hour is one semi join against the listing, so the extra paths and joins
+    are built for 24 rows a year, not for the whole manifest."""
     present = listing.select("path").distinct().withColumn("_e", F.lit(True))
+    oct1 = (F.month("cdate") == 10) & (F.dayofmonth("cdate") == 1)
+    plain = (manifest.where(~oct1).join(listing.select("path"), "path", "left_semi")
+             .select("chunk", "fdate", "path"))
     alt_dir = F.concat(F.lit("WY"), F.year("cdate").cast("string"))
     day00 = ta.add_interval("cdate", hours=0)
-    m = (manifest
+    m = (manifest.where(oct1)
          .withColumn("alt_path", manifest_path(template, wrf_dir, alt_dir, "fdate"))
-         .withColumn("day00_path", manifest_path(template, wrf_dir, ta.water_year_dir("cdate"), day00))
-         .withColumn("oct1", (F.month("cdate") == 10) & (F.dayofmonth("cdate") == 1)))
+         .withColumn("day00_path", manifest_path(template, wrf_dir, ta.water_year_dir("cdate"), day00)))
     m = (m.join(present, "path", "left").withColumnRenamed("_e", "exists")
          .join(present.withColumnRenamed("path", "alt_path"), "alt_path", "left").withColumnRenamed("_e", "alt_exists")
          .join(present.withColumnRenamed("path", "day00_path"), "day00_path", "left")
          .withColumnRenamed("_e", "day00_exists"))
-    broken_day = F.col("oct1") & F.col("day00_exists").isNull()
+    broken_day = F.col("day00_exists").isNull()
     kept_path = (F.when(~broken_day & F.col("exists").isNotNull(), F.col("path"))
                  .when(broken_day & (F.col("hour") == 0) & F.col("alt_exists").isNotNull(), F.col("alt_path")))
-    return (m.select("chunk", "fdate", kept_path.alias("path"))
-            .where(F.col("path").isNotNull()))
+    boundary = m.select("chunk", "fdate", kept_path.alias("path")).where(F.col("path").isNotNull())
+    return plain.unionByName(boundary)
 
 
 def existing_files(manifest: DataFrame, listing: DataFrame) -> DataFrame:

@@ -70,3 +70,14 @@ def test_daily_axis_from_hourly_not_starting_at_midnight(spark):
     d = daily_jobs.create_daily(spark, scratch_path(spark, "t-d5"), h, ChunkPlan(6, 1, 1))
     assert [r[0] for r in d.axis().orderBy("time").select("time").collect()] == [
         dt.datetime(2024, 1, 1, 5), dt.datetime(2024, 1, 2, 5), dt.datetime(2024, 1, 3, 5)]
+
+
+def test_extend_daily_follows_hourly(spark):
+    from chronogrid.plans import daily as daily_jobs
+    spec = GridSpec("2024-01-01 00:00:00", "hour", ChunkPlan(24, 1, 1))
+    h = GridStore.create(spark, scratch_path(spark, "t-hx"), spec, "2024-01-01 00:00:00", "2024-01-02 23:00:00", ["T2D"])
+    d = daily_jobs.create_daily(spark, scratch_path(spark, "t-dx"), h, ChunkPlan(6, 1, 1))
+    assert not daily_jobs.extend_daily(h, d)                 # already up to date
+    assert h.extend_time("2024-01-04 23:00:00")
+    assert daily_jobs.extend_daily(h, d)
+    assert d.axis().count() == 4 and d.n_steps == 4
