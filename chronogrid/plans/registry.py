@@ -51,7 +51,7 @@ b AS (SELECT CAST(floor(date_diff('second', {F1_BASE}, time) / 86400) AS INTEGER
 SELECT {F1_BASE} + to_days(blk) AS time, y, x,
   CASE WHEN count(T2D) = 24 THEN max(T2D) END AS T2MAX,
   CASE WHEN count(T2D) = 24 THEN min(T2D) END AS T2MIN,
-  CASE WHEN count(RAINRATE) = 24 THEN CAST(sum(CAST(RAINRATE * 3600 AS DECIMAL(38,9))) AS DOUBLE) END AS RAIN,
+  CASE WHEN count(RAINRATE) = 24 THEN CAST(sum(CAST(RAINRATE * 3600 AS DECIMAL(38,12))) AS DOUBLE) END AS RAIN,
   CAST(count(T2D) AS INTEGER) AS n_T2D, CAST(count(RAINRATE) AS INTEGER) AS n_RAINRATE
 FROM b GROUP BY blk, y, x"""
 
