@@ -108,16 +108,10 @@ def q_sr06(spark, sf_dir):
          CASE WHEN isnan(max(v)) THEN NULL ELSE max(v) END AS T2D, CASE WHEN isnan(min(v)) THEN NULL ELSE min(v) END AS RAINRATE
   FROM (SELECT *, CASE WHEN event_id % 97 = 0 THEN 'NaN'::DOUBLE ELSE value END AS v FROM events) GROUP BY 1, 2, 3)""")
 def q_sc21(spark, sf_dir):
-    raw = fx.hourly_grid(spark, sf_dir, plant_nan=False)
-    ev = fx.table(spark, sf_dir, "events")
-    v = F.when(F.col("event_id") % 97 == 0, F.lit(float("nan"))).otherwise(F.col("value"))
-    g = (ev.select(F.window("ts", "1 hour").start.alias("time"), F.floor((F.col("user_id") % 4) / 2).cast("int").alias("y"),
-                   (F.col("user_id") % 2).cast("int").alias("x"), v.alias("v"))
-         .groupBy("time", "y", "x").agg(F.max("v").alias("T2D"), F.min("v").alias("RAINRATE")))
-    flags = g.select("time", "y", "x", fv.is_missing("T2D").alias("t2d_missing"), fv.is_missing("RAINRATE").alias("rain_missing"),
-                     fv.mask_nan("T2D").alias("T2D"), fv.mask_nan("RAINRATE").alias("RAINRATE"))
-    del raw
-    return flags
+    g = fx.hourly_grid(spark, sf_dir, plant_nan=True, mask=False)      # NaN still present
+    return g.select("time", "y", "x", fv.is_missing("T2D").alias("t2d_missing"),
+                    fv.is_missing("RAINRATE").alias("rain_missing"),
+                    fv.mask_nan("T2D").alias("T2D"), fv.mask_nan("RAINRATE").alias("RAINRATE"))
 
 
 @register("SR11_variable_list_scan", "SELECT DISTINCT upper(event_type) AS variable FROM events")

@@ -25,10 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def hourly_grid(spark: SparkSession, sf_dir: str, plant_nan: bool = False) -> DataFrame:
+def hourly_grid(spark: SparkSession, sf_dir: str, plant_nan: bool = False, mask: bool = True) -> DataFrame:
     """``(time, y, x, T2D, RAINRATE)`` on 2 x 2 cells, one row per hour and cell
     with events.  With ``plant_nan`` every event with ``event_id % 97 = 0``
-    carries NaN, which the ingest rule then masks to NULL."""
+    carries NaN, which the ingest rule then masks to NULL (unless ``mask`` is
+    False, to see the raw values)."""
     ev = table(spark, sf_dir, "events")
     v = F.col("value")
     if plant_nan:
@@ -39,7 +40,7 @@ def hourly_grid(spark: SparkSession, sf_dir: str, plant_nan: bool = False) -> Da
                    v.alias("v"))
          .groupBy("time", "y", "x")
          .agg(F.max("v").alias("T2D"), F.min("v").alias("RAINRATE")))
-    return mask_missing(g, ["T2D", "RAINRATE"]) if plant_nan else g
+    return mask_missing(g, ["T2D", "RAINRATE"]) if plant_nan and mask else g
 
 
 def daily_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
