@@ -154,7 +154,8 @@ def read_array_meta(store: str) -> dict:
 
 
 def import_array_store(spark: SparkSession, store: str, variables=None,
-                       idx_names=("time_idx", "y", "x"), keep_missing: bool = True) -> DataFrame:
+                       idx_names=("time_idx", "y", "x"), keep_missing: bool = True,
+                       rows_per_frame: int = 100_000) -> DataFrame:
     """Rows ``(time_idx, y, x, vars...)`` of a chunked store.
 
     Chunk keys are generated by Spark from the (small) metadata and spread over
@@ -178,33 +179,43 @@ def import_array_store(spark: SparkSession, store: str, variables=None,
                           + [T.StructField(v, T.DoubleType()) for v in variables])
     ct, cy, cx = chunks
 
+    # a tile is decoded once, then emitted in slices of whole time steps of
+    # about ``rows_per_frame`` rows, so no frame holds the full tile
+    steps_per_frame = max(1, rows_per_frame // (cy * cx))
+
     def read_tiles(batches):
         import zstandard
         d = zstandard.ZstdDecompressor()
         for pdf in batches:
             for tc, yc, xc in zip(pdf["tc"], pdf["yc"], pdf["xc"]):
-                t = np.arange(ct) + tc * ct
-                y = np.arange(cy) + yc * cy
-                x = np.arange(cx) + xc * cx
-                tt, yy, xx = np.meshgrid(t, y, x, indexing="ij")
-                inside = (tt < shape[0]) & (yy < shape[1]) & (xx < shape[2])
-                cols = {names[0]: tt[inside].astype(np.int32), names[1]: yy[inside].astype(np.int32),
-                        names[2]: xx[inside].astype(np.int32)}
-                any_value = np.zeros(int(inside.sum()), dtype=bool)
+                arrays = {}
                 for v in variables:
                     raw = _read_bytes(f"{store}/{v}/{tc}.{yc}.{xc}")
-                    if raw is None:
-                        vals = np.full(int(inside.sum()), np.nan)
-                    else:
-                        arr = np.frombuffer(d.decompress(raw, max_output_size=ct * cy * cx * 8), dtype=DTYPE)
-                        vals = arr.reshape(ct, cy, cx)[inside].astype(np.float64)
-                    any_value |= ~np.isnan(vals)
-                    cols[v] = vals
-                out = pd.DataFrame(cols)
-                if not keep_missing:
-                    out = out[any_value]
-                for v in variables:
-                    out[v] = out[v].astype("float64").where(out[v].notna(), None)
-                yield out
+                    arrays[v] = (None if raw is None else np.frombuffer(
+                        d.decompress(raw, max_output_size=ct * cy * cx * 8), dtype=DTYPE).reshape(ct, cy, cx))
+                y = np.arange(cy) + yc * cy
+                x = np.arange(cx) + xc * cx
+                for t0 in range(0, ct, steps_per_frame):
+                    t = np.arange(t0, min(ct, t0 + steps_per_frame)) + tc * ct
+                    tt, yy, xx = np.meshgrid(t, y, x, indexing="ij")
+                    inside = (tt < shape[0]) & (yy < shape[1]) & (xx < shape[2])
+                    n = int(inside.sum())
+                    if n == 0:
+                        continue
+                    cols = {names[0]: tt[inside].astype(np.int32), names[1]: yy[inside].astype(np.int32),
+                            names[2]: xx[inside].astype(np.int32)}
+                    any_value = np.zeros(n, dtype=bool)
+                    sl = slice(t0, t0 + len(t))
+                    for v in variables:
+                        vals = (np.full(n, np.nan) if arrays[v] is None
+                                else arrays[v][sl][inside].astype(np.float64))
+                        any_value |= ~np.isnan(vals)
+                        cols[v] = vals
+                    out = pd.DataFrame(cols)
+                    if not keep_missing:
+                        out = out[any_value]
+                    for v in variables:
+                        out[v] = out[v].astype("float64").where(out[v].notna(), None)
+                    yield out
 
     return keys.mapInPandas(read_tiles, schema)

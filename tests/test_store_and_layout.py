@@ -112,3 +112,13 @@ def test_spatial_read_pushes_tile_filters(spark):
     assert "GreaterThanOrEqual(y_chunk,1)" in plan and "LessThanOrEqual(x,1)" in plan
     got = {(r["y"], r["x"]) for r in df.collect()}
     assert got == {(2, 0), (2, 1), (3, 0), (3, 1)} and df.count() == 4 * 4
+
+
+def test_array_import_in_small_frames_equals_whole(spark):
+    g = gops.with_time_index(formula_grid(spark), "2024-01-01 00:00:00", 3600)
+    path = scratch_path(spark, "t-arrays2")
+    arraystore.export_array_store(g, path, ["v"], (8, 4, 4), (5, 3, 3)).write.format("noop").mode("overwrite").save()
+    whole = arraystore.import_array_store(spark, path, ["v"])
+    small = arraystore.import_array_store(spark, path, ["v"], rows_per_frame=4, keep_missing=False)
+    assert whole.count() == 8 * 16 and small.count() == 8 * 16 - 3
+    assert small.exceptAll(whole.where("v IS NOT NULL")).count() == 0
