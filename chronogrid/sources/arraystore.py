@@ -97,18 +97,27 @@ def _read_bytes(path: str) -> bytes | None:
 # --- SR09 array_store_export --------------------------------------------------
 def export_array_store(grid: DataFrame, store: str, variables, shape: tuple[int, int, int],
                        chunks: tuple[int, int, int], dims=("time", "y", "x"),
-                       idx_cols=("time_idx", "y", "x"), attrs: dict | None = None) -> DataFrame:
+                       idx_cols=("time_idx", "y", "x"), attrs: dict | None = None,
+                       per_variable: bool | None = None) -> DataFrame:
     """Write ``grid(time_idx, y, x, vars...)`` as chunk files; returns the
     manifest ``(variable, key, path, n_values, nbytes)`` (lazy: run an action).
 
-    Each group is one chunk tile, bounded by the chunk shape."""
+    Each group is one chunk tile - of one variable when ``per_variable``
+    (default with several variables: the grid is unpivoted first so a group
+    holds one array's values, bounded by the chunk shape, whatever the number
+    of variables)."""
     variables = list(variables)
+    per_variable = len(variables) > 1 if per_variable is None else per_variable
     ct, cy, cx = chunks
     ti, yi, xi = idx_cols
     keyed = grid.select(F.col(ti).alias("_t"), F.col(yi).alias("_y"), F.col(xi).alias("_x"),
                         *[F.col(v).cast("double").alias(v) for v in variables]) \
         .withColumns({"_tc": F.floor(F.col("_t") / ct), "_yc": F.floor(F.col("_y") / cy),
                       "_xc": F.floor(F.col("_x") / cx)})
+    if per_variable:
+        keyed = keyed.select("_t", "_y", "_x", "_tc", "_yc", "_xc", F.explode(F.array(*[
+            F.struct(F.lit(v).alias("_var"), F.col(v).alias("_val")) for v in variables])).alias("_s")) \
+            .select("_t", "_y", "_x", "_tc", "_yc", "_xc", "_s._var", "_s._val")
 
     def write_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
         import zstandard
@@ -118,10 +127,11 @@ def export_array_store(grid: DataFrame, store: str, variables, shape: tuple[int,
         ix = pdf["_x"].to_numpy(np.int64) - xc * cx
         comp = zstandard.ZstdCompressor(level=ZSTD_LEVEL)
         key = f"{tc}.{yc}.{xc}"
+        cols = [(pdf["_var"].iloc[0], "_val")] if per_variable else [(v, v) for v in variables]
         out = []
-        for v in variables:
+        for v, c in cols:
             arr = np.full((ct, cy, cx), FILL, dtype=DTYPE)
-            arr[it, iy, ix] = pdf[v].to_numpy(np.float64, na_value=np.nan)
+            arr[it, iy, ix] = pdf[c].to_numpy(np.float64, na_value=np.nan)
             data = comp.compress(np.ascontiguousarray(arr).tobytes())
             path = f"{store}/{v}/{key}"
             _write_bytes(path, data)
@@ -129,7 +139,8 @@ def export_array_store(grid: DataFrame, store: str, variables, shape: tuple[int,
         return pd.DataFrame(out, columns=["variable", "key", "path", "n_values", "nbytes"])
 
     _write_metadata(store, variables, shape, chunks, dims, attrs or {})
-    return keyed.groupBy("_tc", "_yc", "_xc").applyInPandas(write_chunk, MANIFEST_SCHEMA)
+    group = ["_tc", "_yc", "_xc"] + (["_var"] if per_variable else [])
+    return keyed.groupBy(*group).applyInPandas(write_chunk, MANIFEST_SCHEMA)
 
 
 def _write_metadata(store: str, variables, shape, chunks, dims, attrs) -> None:

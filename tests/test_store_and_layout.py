@@ -122,3 +122,14 @@ def test_array_import_in_small_frames_equals_whole(spark):
     small = arraystore.import_array_store(spark, path, ["v"], rows_per_frame=4, keep_missing=False)
     assert whole.count() == 8 * 16 and small.count() == 8 * 16 - 3
     assert small.exceptAll(whole.where("v IS NOT NULL")).count() == 0
+
+
+def test_export_per_variable_and_together_write_same_chunks(spark):
+    g = gops.with_time_index(formula_grid(spark), "2024-01-01 00:00:00", 3600).withColumn("w", F.col("v") * 2)
+    p1, p2 = scratch_path(spark, "t-a1"), scratch_path(spark, "t-a2")
+    m1 = arraystore.export_array_store(g, p1, ["v", "w"], (8, 4, 4), (4, 2, 4), per_variable=True)
+    m2 = arraystore.export_array_store(g, p2, ["v", "w"], (8, 4, 4), (4, 2, 4), per_variable=False)
+    assert sorted(r[:2] + r[3:4] for r in m1.collect()) == sorted(r[:2] + r[3:4] for r in m2.collect())
+    a = arraystore.import_array_store(spark, p1).orderBy("time_idx", "y", "x").collect()
+    b = arraystore.import_array_store(spark, p2).orderBy("time_idx", "y", "x").collect()
+    assert a == b and len(a) == 8 * 16
