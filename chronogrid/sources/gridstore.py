@@ -162,8 +162,8 @@ class GridStore:
             raise ValueError(f"columns not in store schema: {unknown}")
         located = self.locate(df)
         incoming = gops.with_chunk_columns(located, self.spec).select(
-            *[F.col(f.name) if f.name in located.columns or f.name in ("time_chunk", "y_chunk", "x_chunk")
-              else F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields])
+            *[(F.col(f.name) if f.name in located.columns or f.name in ("time_chunk", "y_chunk", "x_chunk")
+               else F.lit(None)).cast(f.dataType).alias(f.name) for f in self.schema.fields])
         if stage == "auto":
             plan = incoming._jdf.queryExecution().optimizedPlan().toString()
             stage = any(k in plan for k in ("Aggregate", "Join", "Window", "Expand"))

@@ -133,3 +133,16 @@ def test_export_per_variable_and_together_write_same_chunks(spark):
     a = arraystore.import_array_store(spark, p1).orderBy("time_idx", "y", "x").collect()
     b = arraystore.import_array_store(spark, p2).orderBy("time_idx", "y", "x").collect()
     assert a == b and len(a) == 8 * 16
+
+
+def test_float_input_and_store_checks(spark):
+    from chronogrid.plans import checks
+    st = new_store(spark)
+    g = formula_grid(spark).withColumn("v", F.col("v").cast("float"))
+    st.write_region(g)
+    assert dict(st.read().dtypes)["v"] == "double" and st.read().count() == 8 * 16 - 3
+    st.write_constants(gops.make_cells(spark, 4, 4))
+    rep = {(r["Variable"], r["Year"]): r["Max missing"] for r in checks.check_missing_store(st, ["v"]).collect()}
+    assert rep == {("v", "2024"): "1"}
+    mm = checks.check_min_max_store(st, ["v"]).first()
+    assert mm["min_txt"] is None                                 # gaps make the year strict-missing
