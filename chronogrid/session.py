@@ -70,3 +70,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if "://" not in path:
         os.makedirs(os.path.dirname(path), exist_ok=True)
     return path
+
+
+def tune_for_input(spark: SparkSession, input_bytes: int, partition_bytes: int = 128 * 1024 * 1024,
+                   min_partitions: int | None = None, shuffle_fraction: float = 0.25,
+                   max_partitions: int = 65536) -> int:
+    """Size shuffles and file splits for an input of ``input_bytes``.
+
+    Scan splits are ``partition_bytes``.  Shuffles carry far less than the
+    input (column pruning, partial aggregation), assumed ``shuffle_fraction``
+    of it: initial shuffle partitions = that volume / ``partition_bytes``,
+    between the default parallelism and ``max_partitions`` (shuffle metadata
+    grows with map x reduce blocks).  AQE then coalesces small partitions and
+    splits skewed ones towards the same advisory size.  Returns the count."""
+    floor = min_partitions or spark.sparkContext.defaultParallelism
+    want = -(-int(input_bytes * shuffle_fraction) // partition_bytes)
+    n = int(min(max_partitions, max(floor, want)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(partition_bytes))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(partition_bytes))
+    return n
+
+
+def input_size(spark: SparkSession, path: str) -> int:
+    """Total bytes under ``path`` (Hadoop content summary: one metadata call)."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return int(p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength())
