@@ -79,3 +79,25 @@ def fixed_decimals(v, places: int = 4) -> Column:
     """``%.Nf`` text; a missing value stays NULL (format_string would print 'null')."""
     v = _c(v)
     return F.when(v.isNotNull(), F.format_string(f"%.{places}f", v))
+
+
+# Encoding keys of packed variables.
+PACKING_KEYS = ("_FillValue", "scale_factor", "add_offset")
+
+
+def decode_packed(df: DataFrame, catalog: DataFrame) -> DataFrame:
+    """SR06 driven by the catalog: every column whose catalog encoding has a
+    ``scale_factor``, ``add_offset`` or ``_FillValue`` is decoded.  The
+    encodings of the frame's columns (one small row each) are read once."""
+    rows = (catalog.where(F.col("varname").isin(*df.columns))
+            .select("varname", "encoding").collect())
+    out = df
+    for r in rows:
+        enc = dict(r["encoding"] or {})
+        if not any(k in enc for k in PACKING_KEYS):
+            continue
+        fill = enc.get("_FillValue")
+        out = out.withColumn(r["varname"], mask_and_scale(
+            r["varname"], None if fill is None else float(fill),
+            float(enc.get("scale_factor", 1.0)), float(enc.get("add_offset", 0.0))))
+    return out

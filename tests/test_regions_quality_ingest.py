@@ -162,3 +162,14 @@ def test_weights_from_albers_polygons_with_equal_area(spark):
     w = region_jobs.read_weights(spark, path)
     assert 25 <= w.count() <= 49
     assert w.agg(F.sum("w")).first()[0] == pytest.approx(1.0, abs=1e-6)
+
+
+def test_decode_packed_from_catalog(spark):
+    from chronogrid.functions.values import decode_packed
+    from chronogrid.sources.gridstore import catalog_frame
+    cat = catalog_frame(spark, [("T", ["time", "y", "x"], {}, {"_FillValue": "-32768", "scale_factor": "0.01",
+                                                                "add_offset": "273.15"}),
+                                ("P", ["time", "y", "x"], {}, {"dtype": "float64"})])
+    df = spark.createDataFrame([(1000, 5.0), (-32768, 6.0)], "T int, P double")
+    got = decode_packed(df, cat).collect()
+    assert got[0]["T"] == pytest.approx(283.15) and got[1]["T"] is None and got[1]["P"] == 6.0
