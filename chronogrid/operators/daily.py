@@ -77,7 +77,9 @@ def daily_reduce(hourly: DataFrame, axis_start, step_seconds: int = 3600,
     have = [c for c in ("T2D", "RAINRATE") if c in hourly.columns]
     if not have:
         raise ValueError("daily reduction needs T2D and/or RAINRATE")
-    g = hourly.withColumn("_block", block_index(ta.steps_since("time", axis_start, step_seconds)))
+    # block = floor(seconds since the axis start / (24 steps)): one division
+    g = hourly.withColumn("_block", F.floor(ta.seconds_since("time", axis_start)
+                                            / F.lit(STEPS_PER_DAY * step_seconds)).cast("int"))
     aggs = []
     if "T2D" in have:
         aggs += [strict_max("T2D").alias("T2MAX"), strict_min("T2D").alias("T2MIN")]
