@@ -61,10 +61,12 @@ def daily_from_hourly(hourly: GridStore, daily_spec: GridSpec | None = None,
 
 
 def process_daily(hourly: GridStore, daily_store: GridStore, first_chunk: int | None = None,
-                  last_chunk: int | None = None) -> None:
+                  last_chunk: int | None = None) -> DataFrame:
     """JB04 / JB12: compute and insert daily chunks ``first..last`` in one job.
 
-    A start past the end of the hourly data is an error (PF16)."""
+    A start past the end of the hourly data is an error (PF16).  Returns the
+    chunk log (SR21) of the written chunks: chunk, first/last time, first/last
+    axis index (lazy, read from the written partitions)."""
     if first_chunk is not None:
         n_steps = hourly.axis().count()
         first_hour = first_chunk * daily_store.spec.plan.time * 24
@@ -75,6 +77,12 @@ def process_daily(hourly: GridStore, daily_store: GridStore, first_chunk: int |
     from ..operators.catalog import attrs_of, with_attrs
     d = with_attrs(d, attrs_of(daily_store.catalog(), [c for c in d.columns if c not in ("time", "y", "x")]))
     daily_store.write_region(d)
+    from ..operators.layout import chunk_log
+    written = daily_store.read([], with_chunks=True)
+    if first_chunk is not None:
+        written = written.where(F.col("time_chunk").between(first_chunk, last_chunk if last_chunk is not None
+                                                            else first_chunk))
+    return chunk_log(daily_store.locate(written))
 
 
 def extend_daily(hourly: GridStore, daily_store: GridStore) -> bool:

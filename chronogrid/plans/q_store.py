@@ -155,9 +155,7 @@ FROM d GROUP BY 1""")
 def q_sr21(spark, sf_dir):
     h = hourly_store(spark, sf_dir)
     d = daily_jobs.create_daily(spark, scratch_path(spark, "daily"), h, DAILY_PLAN)
-    daily_jobs.process_daily(h, d, 0, 4)
-    rows = gops.locate_time(d.read(with_chunks=True), d.axis())
-    return layout.chunk_log(rows)
+    return daily_jobs.process_daily(h, d, 0, 4)
 
 
 HOURLY_TEMPLATE = "{wrf_dir}/wy_dir={wy_dir}/fname={fdate:%Y%m%d%H%M}.LDASIN_DOMAIN1"
