@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
+import tools.oracle_check as oc
 from tools.oracle_check import digest, duck, spark_pdf
 
 from .conftest import SF001
@@ -13,7 +14,9 @@ ORACLE = E.oracle_sql()
 
 @pytest.fixture(scope="module")
 def con():
-    return duck(SF001)
+    oc.STRICT = True            # floats compared bit for bit
+    yield duck(SF001)
+    oc.STRICT = False
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
