@@ -70,6 +70,22 @@ def q_sr02(spark, sf_dir):
     return manifest.verified_manifest(_manifest(spark, sf_dir), _listing(spark, sf_dir), WRF)
 
 
+@register("SR02_manifest_report", f"""WITH {MANIFEST_SQL},
+j AS (SELECT mp.*, p.path IS NOT NULL AS ex, a.path IS NOT NULL AS alt_ex, d.path IS NOT NULL AS d00_ex
+      FROM mp LEFT JOIN ls p ON p.path = mp.path LEFT JOIN ls a ON a.path = mp.alt_path LEFT JOIN ls d ON d.path = mp.day00_path),
+k AS (SELECT chunk, CASE WHEN NOT (oct1 AND NOT d00_ex) AND ex THEN path
+                         WHEN (oct1 AND NOT d00_ex) AND hour = 0 AND alt_ex THEN alt_path END AS path FROM j),
+e AS (SELECT chunk, count(*) AS expected FROM mp GROUP BY chunk),
+f AS (SELECT chunk, count(*) AS found FROM k WHERE path IS NOT NULL GROUP BY chunk)
+SELECT e.chunk, expected, coalesce(found, 0) AS found, expected - coalesce(found, 0) AS missing
+FROM e LEFT JOIN f USING (chunk)""")
+def q_sr02_report(spark, sf_dir):
+    """Q19: files expected, kept and missing per chunk (the reference skips
+    missing files silently)."""
+    m = _manifest(spark, sf_dir)
+    return manifest.manifest_report(m, manifest.verified_manifest(m, _listing(spark, sf_dir), WRF))
+
+
 @register("JN04_manifest_existence", f"WITH {MANIFEST_SQL} SELECT chunk, fdate, path FROM mp WHERE path IN (SELECT path FROM ls)")
 def q_jn04(spark, sf_dir):
     return manifest.existing_files(_manifest(spark, sf_dir), _listing(spark, sf_dir)).select("chunk", "fdate", "path")
