@@ -81,3 +81,15 @@ def test_extend_daily_follows_hourly(spark):
     assert h.extend_time("2024-01-04 23:00:00")
     assert daily_jobs.extend_daily(h, d)
     assert d.axis().count() == 4 and d.n_steps == 4
+
+
+def test_tune_for_input_bounds(spark):
+    from chronogrid.session import input_size, tune_for_input
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert tune_for_input(spark, input_size(spark, "/root/testdata/sf0.01"), min_partitions=8) == 8
+        assert tune_for_input(spark, 10 * 1024 ** 4) == 20480             # 10 TB: a quarter in 128 MB pieces
+        assert tune_for_input(spark, 100 * 1024 ** 4) == 65536            # capped
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(128 * 1024 * 1024)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
