@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
+import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: UTC session (zone-free time arithmetic is still
 # used throughout, but parsing goes through the session zone), AQE for runtime
@@ -17,6 +20,9 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # rows to Python in batches of bounded size: texts can be very long
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 * 1024 * 1024),
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
@@ -46,14 +52,19 @@ def get_spark(master: str | None = None, app: str = "chronogrid",
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Taken from ``spark.checkpoint.dir`` (the cluster's shared location).  Only
-    when the session has none (local tests) is a private folder created.
+    Taken from ``spark.checkpoint.dir`` (the cluster's shared location).  A
+    private folder is created only when it is unset and the session is local;
+    on a cluster executors would each write their own disk, so that raises.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on {master}")
         root = tempfile.mkdtemp(prefix="chronogrid-ckpt-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
     elif spark.sparkContext.getCheckpointDir() is None:
@@ -65,13 +76,42 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     root = checkpoint_root(spark)
     if root.startswith("file:"):
-        root = root[len("file:"):]
+        root = "/" + root[len("file:"):].lstrip("/")
     path = f"{root}/chronogrid/{name}-{uuid.uuid4().hex[:12]}"
     if "://" not in path:
         os.makedirs(os.path.dirname(path), exist_ok=True)
     return path
 
 
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage: write ``df`` to the shared scratch folder and read it back.
+
+    The table is written once by committed tasks, so later passes over it see the
+    same rows whatever executors are lost in between."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers (once per context)."""
+    sc = spark.sparkContext
+    if getattr(sc, "_chronogrid_shipped", False):
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="chronogrid-pkg-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = os.path.join(folder, "chronogrid.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, names in os.walk(pkg):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(base, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(path)
+    sc._chronogrid_shipped = True
+
+
 def tune_for_input(spark: SparkSession, input_bytes: int, partition_bytes: int = 128 * 1024 * 1024,
                    min_partitions: int | None = None, shuffle_fraction: float = 0.25,
                    max_partitions: int = 65536) -> int:
