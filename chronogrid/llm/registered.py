@@ -1,4 +1,4 @@
 """The queries of this subpackage; importing the modules registers them."""
 
-from . import line_dedup, sharding  # noqa: F401
+from . import decontaminate, line_dedup, sharding, simhash  # noqa: F401
 from .registry import ORACLE, QUERIES  # noqa: F401
