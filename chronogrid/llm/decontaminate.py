@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from ..session import materialise
 from .arrow import texts_as_bytes, with_arrow_columns
 from .registry import register
+from .suffix_automaton import SuffixAutomaton
 
 #: Words are ASCII letters and digits and all letters beyond ASCII; A-Z lower-cased.
 WORD_BYTES = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32
@@ -35,24 +36,21 @@ def words_of(raw: bytes | None) -> list[bytes]:
     return (raw or b"").translate(WORD_BYTES).split()
 
 
-class ItemAutomaton:
+class ItemAutomaton(SuffixAutomaton):
     """Generalised suffix automaton over the words of items, with their windows."""
 
     def __init__(self, items: list[tuple[str, list[bytes]]], window: int):
         self.window, self.names = window, [n for n, _ in items]
         self.vocabulary: dict[bytes, int] = {}
-        self.step: list[dict[int, int]] = [{}]
-        self.link, self.length = [-1], [0]
+        super().__init__()
         for _, words in items:
-            last = 0
-            for w in words:
-                last = self._extend(last, self.vocabulary.setdefault(w, len(self.vocabulary)))
+            self.add(self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words)
         # items whose window ends in a state; whole items shorter than a window
         self.windows: dict[int, set[int]] = {}
         self.short: dict[int, dict[int, set[int]]] = {}
         self.least = window
         for k, (_, words) in enumerate(items):
-            path = self._states(words)
+            path = self.states(self.vocabulary[w] for w in words)
             if len(path) >= window:
                 for s in path[window - 1:]:
                     self.windows.setdefault(self._lift(s), set()).add(k)
@@ -65,40 +63,6 @@ class ItemAutomaton:
             p = self.link[s]
             self.above[s] = p if p in self.short else self.above[p] if p >= 0 else -1
 
-    def _new(self, length: int) -> int:
-        self.step.append({})
-        self.link.append(0)
-        self.length.append(length)
-        return len(self.link) - 1
-
-    def _split(self, p: int, q: int, c: int) -> int:
-        """A copy of q for the matches of the length that p gives it."""
-        copy = self._new(self.length[p] + 1)
-        self.step[copy], self.link[copy], self.link[q] = dict(self.step[q]), self.link[q], copy
-        while p >= 0 and self.step[p].get(c) == q:
-            self.step[p][c] = copy
-            p = self.link[p]
-        return copy
-
-    def _extend(self, last: int, c: int) -> int:
-        if (q := self.step[last].get(c)) is not None:  # already there, from another item
-            return q if self.length[q] == self.length[last] + 1 else self._split(last, q, c)
-        state, p = self._new(self.length[last] + 1), last
-        while p >= 0 and c not in self.step[p]:
-            self.step[p][c] = state
-            p = self.link[p]
-        if p >= 0:
-            q = self.step[p][c]
-            self.link[state] = q if self.length[q] == self.length[p] + 1 else self._split(p, q, c)
-        return state
-
-    def _states(self, words: list[bytes]) -> list[int]:
-        path, s = [], 0
-        for w in words:
-            s = self.step[s][self.vocabulary[w]]
-            path.append(s)
-        return path
-
     def _lift(self, s: int) -> int:
         """The state of the last ``window`` words of a longer match."""
         while self.length[self.link[s]] >= self.window:
