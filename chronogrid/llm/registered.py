@@ -1,4 +1,4 @@
 """The queries of this subpackage; importing the modules registers them."""
 
-from . import bpe, decontaminate, line_dedup, sharding, simhash  # noqa: F401
+from . import bpe, decontaminate, language, line_dedup, sharding, simhash  # noqa: F401
 from .registry import ORACLE, QUERIES  # noqa: F401
