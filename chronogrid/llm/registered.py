@@ -1,4 +1,4 @@
 """The queries of this subpackage; importing the modules registers them."""
 
-from . import bpe, decontaminate, html_text, language, line_dedup, nearest, sharding, simhash, warc  # noqa: F401
+from . import bpe, decontaminate, html_text, language, line_dedup, nearest, quality, sharding, simhash, warc  # noqa: F401
 from .registry import ORACLE, QUERIES  # noqa: F401
