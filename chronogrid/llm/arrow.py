@@ -14,18 +14,17 @@ def with_arrow_columns(df: DataFrame, start: Callable[[], Callable], fields: lis
     """``df`` less the columns ``without``, plus ``fields`` computed from each batch.
 
     ``start`` runs once per task and returns ``batch -> list of arrays``, one per
-    field.  Rows and their other columns pass unchanged; there is no shuffle."""
-    keep = [f for f in df.schema.fields if f.name not in without]
-    if clash := {f.name.lower() for f in keep} & {n.lower() for n, _ in fields}:
-        raise ValueError(f"columns of the input clash with the output: {sorted(clash)}")
+    field.  Rows and their other columns pass unchanged; there is no shuffle.  A
+    column of ``df`` with the name of a field gives way to it in the result."""
+    made = {n.lower() for n, _ in fields}
+    keep = [f for f in df.schema.fields if f.name not in without and f.name.lower() not in made]
     names = [f.name for f in keep]
     schema = T.StructType(keep + [T.StructField(n, t) for n, t in fields])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = start()
         for batch in batches:
-            made = compute(batch)
-            yield pa.RecordBatch.from_arrays([batch.column(n) for n in names] + made,
+            yield pa.RecordBatch.from_arrays([batch.column(n) for n in names] + compute(batch),
                                              names=names + [n for n, _ in fields])
 
     return df.mapInArrow(run, schema)

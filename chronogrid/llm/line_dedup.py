@@ -35,9 +35,8 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     document and is never the largest, so such a row loses the lines that
     ``min_docs`` other documents share.  Rows that share an id are one document.
     Without repeated lines every text comes back unchanged; an empty table gives
-    no rows."""
-    if clash := {"n_lines", "n_dropped"} & {c.lower() for c in docs.columns}:
-        raise ValueError(f"columns of the input clash with the output: {sorted(clash)}")
+    no rows.  Input columns named like the two counts give way to them."""
+    columns = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
     split = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)
     mark = [F.xxhash64(F.lit(1), F.col(text_col)), F.xxhash64(F.lit(2), F.col(text_col))]
 
@@ -62,7 +61,7 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     kept = F.when(F.col("r._drop").isNull(), F.col(f"d.{text_col}")).otherwise(
         F.array_join(F.transform(kept_at, lambda i: F.get(lines, i)), "\n"))
     return d.join(r, same, "left").select(
-        *[kept.alias(c) if c == text_col else F.col(f"d.`{c}`") for c in docs.columns],
+        *[kept.alias(c) if c == text_col else F.col(f"d.`{c}`") for c in columns],
         F.size(lines).cast("long").alias("n_lines"),
         F.coalesce(F.size("r._drop"), F.lit(0)).cast("long").alias("n_dropped"))
 

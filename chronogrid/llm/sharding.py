@@ -87,14 +87,10 @@ def shuffle_into_shards(rows: DataFrame, n_shards: int, seed: int = 0, shard: st
     Shard sizes differ by at most one row.  Every row takes part whatever its
     values: nulls, repeated rows and ties are told apart by a row number written
     with the staged table, which also makes later passes repeatable.  An empty
-    table gives no rows.  Input columns named like the outputs, or ``_rid``,
-    are rejected."""
-    clash = {shard.lower(), slot.lower(), "_rid", "_block", "_rank", "_bin", "_cut", "_base"} & {
-        c.lower() for c in rows.columns}
-    if clash:
-        raise ValueError(f"columns of the input clash with the output: {sorted(clash)}")
+    table gives no rows.  Input columns named like the outputs give way to them."""
     spark = rows.sparkSession
-    staged = materialise(rows.withColumn("_rid", F.monotonically_increasing_id()), "shards")
+    kept = [c for c in rows.columns if c.lower() not in (shard.lower(), slot.lower())]
+    staged = materialise(rows.select(F.struct("*").alias("_row"), F.monotonically_increasing_id().alias("_rid")), "shards")
     # the upper bits of the row number name the partition that wrote the row
     staged = staged.withColumn("_block", F.pmod(F.shiftright("_rid", 33), F.lit(max_blocks)).cast("int"))
     counted = sorted((r["_block"], r["n"]) for r in staged.groupBy("_block").agg(F.count("*").alias("n")).collect())
@@ -124,7 +120,7 @@ def shuffle_into_shards(rows: DataFrame, n_shards: int, seed: int = 0, shard: st
     return (dealt.withColumn(slot, F.row_number().over(again).cast("long") - 1)
             .join(bases, [shard, "_bin"])
             .withColumn(slot, F.col(slot) + F.col("_base"))
-            .select(*rows.columns, shard, slot))
+            .select(*[F.col("_row").getField(c).alias(c) for c in kept], shard, slot))
 
 
 @register("op9_sharding")

@@ -139,15 +139,15 @@ def linked_classes(prints: DataFrame, max_bits: int = 3) -> DataFrame:
 
 
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                           words_per_shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """``id_col, fingerprint_bits, component_id`` of every row of ``docs``.
+                           words_per_shingle: int = 3, max_bits: int = 3, also: tuple[str, ...] = ()) -> DataFrame:
+    """``id_col``, the columns ``also``, ``fingerprint_bits, component_id`` of every row of ``docs``.
 
     ``component_id`` is the smallest id of the documents reachable over links, the
     document's own included.  Null and empty texts have fingerprint 0 and link like
     any other; texts of fewer words than a shingle are one shingle.  Rows with a
     null id link too but give no id: a class of null ids only has a null
     ``component_id``.  Repeated rows each come back.  An empty table gives no rows."""
-    marked = materialise(with_fingerprint(docs.select(id_col, text_col), text_col, words_per_shingle,
+    marked = materialise(with_fingerprint(docs.select(id_col, *also, text_col), text_col, words_per_shingle,
                                           without=(text_col,)), "simhash")
     roots = linked_classes(marked.select("fingerprint_bits"), max_bits)
     least = marked.groupBy("fingerprint_bits").agg(F.min(id_col).alias("_least"))
@@ -156,7 +156,22 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
               .withColumn("root", F.coalesce("root", "fingerprint_bits")))
     names = rooted.groupBy("root").agg(F.min("_least").alias("component_id"))
     named = rooted.join(names, "root").select("fingerprint_bits", "component_id")
-    return marked.join(named, "fingerprint_bits").select(id_col, "fingerprint_bits", "component_id")
+    return marked.join(named, "fingerprint_bits").select(id_col, *also, "fingerprint_bits", "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """One row of each class of near duplicates: that of the smallest id, whole and unchanged.
+
+    Of rows that share that id too, one stays.  Rows with a null id can't be told
+    apart by id and all stay.  ``how`` goes to ``near_duplicate_classes``."""
+    marks = [F.xxhash64(F.lit(k), F.col(text_col)).alias(f"m{k}") for k in (1, 2)]
+    named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *marks).where("id IS NOT NULL")
+    classes = near_duplicate_classes(named, "id", "text", also=("m1", "m2"), **how)
+    stay = (classes.where("id = component_id").groupBy("component_id").agg(F.min(F.struct("id", "m1", "m2")).alias("s"))
+            .select("s.*"))
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), *marks)
+    kept = rows.join(stay, ["id", "m1", "m2"], "left_semi").dropDuplicates(["id", "m1", "m2"])
+    return kept.select("row.*").unionByName(docs.where(F.col(id_col).isNull()))
 
 
 @register("op6_simhash")
