@@ -124,8 +124,8 @@ def linked_classes(prints: DataFrame, max_bits: int = 3) -> DataFrame:
     """``fp, root`` of the distinct fingerprints ``fp`` that link with another one.
 
     ``prints`` has one column of 64-bit fingerprints.  Links are all pairs that
-    differ in at most ``max_bits`` bits (an odd number up to 7)."""
-    segments = (max_bits + 2) // 2
+    differ in at most ``max_bits`` bits (up to 7)."""
+    segments = max(2, (max_bits + 2) // 2)
     width = BITS // segments
     distinct = materialise(prints.select(F.col(prints.columns[0]).alias("fp")).distinct(), "prints")
     wild = F.explode(F.sequence(F.lit(0), F.lit(segments * width - 1)))
