@@ -266,9 +266,10 @@ def archive_pages(pages: DataFrame, folder: str | None = None) -> tuple[str, Dat
     folder = folder or scratch_path(spark, "warc")
     fs, at = filesystem(folder)
     fs.create_dir(at, recursive=True)
-    # the smallest hashes: a bounded ranking over all pages, for the dictionary only
-    head = (pages.where("html IS NOT NULL").select(F.xxhash64("html").alias("h"), F.substring("html", 1, SAMPLE_BYTES).alias("s"))
-            .orderBy("h", "s").limit(SAMPLE_PAGES).collect())
+    # first the smallest hashes alone, then the pages that have them: little reaches the driver from any task
+    hashed = pages.where("html IS NOT NULL").select(F.xxhash64("html").alias("h"), F.substring("html", 1, SAMPLE_BYTES).alias("s"))
+    least = [r["h"] for r in hashed.select("h").distinct().orderBy("h").limit(SAMPLE_PAGES).collect()]
+    head = hashed.where(F.col("h") <= (least[-1] if least else 0)).dropDuplicates(["h"]).orderBy("h").collect() if least else []
     dictionary = train_dictionary([r["s"].encode() for r in head])
     log = f"{folder}/written.parquet"
     write_archives(with_revisits(pages), folder, dictionary).write.parquet(log)
