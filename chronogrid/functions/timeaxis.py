@@ -223,3 +223,16 @@ def clip_range(c_st, c_en, n_steps) -> tuple[Column, Column, Column]:
 def chunk_aligned(st, spec: GridSpec) -> Column:
     """Whole number of chunks after the base."""
     return F.pmod(seconds_since(st, spec.base), F.lit(spec.chunk_seconds)) == 0
+
+
+# --- PF17 partial_chunk_flag ------------------------------------------------
+def partial_chunk(last_time, spec) -> Column:
+    """Whether the chunk of the last time ends after it."""
+    t = F.col(last_time) if isinstance(last_time, str) else last_time
+    return t < chunk_end(chunk_index(t, spec), spec)
+
+
+# --- PF18 axis_up_to_date ---------------------------------------------------
+def axis_up_to_date(axis_end: _dt.datetime, wanted_end: _dt.datetime) -> bool:
+    """Whether an axis already reaches the end asked for."""
+    return axis_end >= wanted_end

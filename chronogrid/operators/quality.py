@@ -47,7 +47,8 @@ def yearly_range(grid: DataFrame, axis: DataFrame, n_cells, variables=None) -> D
     """Per variable and year: min and max over all cells and steps.
 
     Strict: NULL when any value of the year is missing, i.e. when fewer than
-    ``steps x cells`` values are present.  ``n_cells`` is an int or a scalar
+    ``steps x cells`` values are present.  Every year of the axis has a row, also
+    one without any value.  ``n_cells`` is an int or a scalar
     column."""
     variables = data_variables(grid, variables)
     aggs = []
@@ -57,7 +58,9 @@ def yearly_range(grid: DataFrame, axis: DataFrame, n_cells, variables=None) -> D
     long = _unpivot(per_year, ["year"], variables, ["lo", "hi", "n"])
     steps = steps_per_year(axis)
     n_cells = n_cells if not isinstance(n_cells, int) else F.lit(n_cells)
-    out = long.join(steps, "year", "inner").withColumn("n_expected", F.col("n_steps") * n_cells)
+    frame = steps.select("year", "n_steps", F.explode(F.array(*[F.lit(v) for v in variables])).alias("variable"))
+    out = (frame.join(long, ["variable", "year"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+           .withColumn("n_expected", F.col("n_steps") * n_cells))
     full = F.col("n") == F.col("n_expected")
     return out.select("variable", "year",
                       F.when(full, F.col("lo")).alias("min_value"),

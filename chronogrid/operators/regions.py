@@ -1,7 +1,8 @@
 """Polygon overlay, area weights and area-weighted averages over a grid.
 
 Polygons: ``(poly_id BIGINT, ring ARRAY<STRUCT<x,y>>)`` in grid coordinates
-(after any reprojection).  Grid cells are regular: cell (y, x) covers
+(after any reprojection).  A polygon of several parts has a row for each; with a
+column ``hole BOOLEAN`` the rings so marked are taken away.  Grid cells are regular: cell (y, x) covers
 ``[x0 + x*dx, x0 + (x+1)*dx] x [y0 + y*dy, y0 + (y+1)*dy]``.
 """
 
@@ -15,10 +16,11 @@ from pyspark.sql import functions as F
 from ..functions import geometry as geo
 from .joins import size_checked_broadcast
 
-# Estimated bytes per weight row (poly_id, y, x, w) for the broadcast check.
-WEIGHT_ROW_BYTES = 32
+# Estimated bytes per weight row (poly_id, y, x, w, n_cells) for the broadcast check.
+WEIGHT_ROW_BYTES = 40
 
-SUM_TYPE = "decimal(38,9)"
+# Sums of weights and weighted values: order-independent, to 18 decimals.
+SUM_TYPE = "decimal(38,18)"
 
 
 @dataclass(frozen=True)
@@ -46,10 +48,14 @@ def candidate_cells(polys: DataFrame, cg: CellGrid) -> DataFrame:
         ix0, ix1 = F.greatest(ix0, F.lit(0)), F.least(ix1, F.lit(cg.nx - 1))
     if cg.ny is not None:
         iy0, iy1 = F.greatest(iy0, F.lit(0)), F.least(iy1, F.lit(cg.ny - 1))
-    p = polys.select("poly_id", "ring", ix0.alias("ix0"), ix1.alias("ix1"), iy0.alias("iy0"), iy1.alias("iy1"))
+    p = polys.select("poly_id", "ring", _sign(polys).alias("sign"), ix0.alias("ix0"), ix1.alias("ix1"), iy0.alias("iy0"), iy1.alias("iy1"))
     p = p.where((F.col("ix0") <= F.col("ix1")) & (F.col("iy0") <= F.col("iy1")))
-    return (p.select("poly_id", "ring", "ix0", "ix1", F.explode(F.sequence("iy0", "iy1")).alias("y"))
-            .select("poly_id", "ring", "y", F.explode(F.sequence("ix0", "ix1")).alias("x")))
+    return (p.select("poly_id", "ring", "sign", "ix0", "ix1", F.explode(F.sequence("iy0", "iy1")).alias("y"))
+            .select("poly_id", "ring", "sign", "y", F.explode(F.sequence("ix0", "ix1")).alias("x")))
+
+
+def _sign(polys: DataFrame):
+    return F.when(F.col("hole"), F.lit(-1.0)).otherwise(F.lit(1.0)) if "hole" in polys.columns else F.lit(1.0)
 
 
 def overlay(polys: DataFrame, cells: DataFrame, cg: CellGrid, rectangles: bool = False,
@@ -72,24 +78,28 @@ def overlay(polys: DataFrame, cells: DataFrame, cg: CellGrid, rectangles: bool =
         area = geo.box_overlap_area(bx0, by0, bx1, by1, cx0, cy0, cx1, cy1)
     else:
         area = geo.ring_box_area("ring", cx0, cy0, cx1, cy1)
-    return cand.select("poly_id", "y", "x", area.alias("area")).where(F.col("area") > 0)
+    pieces = cand.select("poly_id", "y", "x", (F.col("sign") * area).alias("area")).where(F.col("area") != 0)
+    return pieces.groupBy("poly_id", "y", "x").agg(F.sum("area").alias("area")).where(F.col("area") > 0)
 
 
 # --- AG11 weight_normalise ----------------------------------------------------
 def weights(polys: DataFrame, overlap: DataFrame, area_ring=None) -> DataFrame:
-    """Weight = overlap area / polygon area (joined on poly_id: one row per
-    polygon); areas in the plane given by ``area_ring`` if any."""
+    """Weight = overlap area / polygon area, both summed over the polygon's parts;
+    areas in the plane given by ``area_ring`` if any."""
     ring = area_ring(F.col("ring")) if area_ring is not None else F.col("ring")
-    pa = polys.select("poly_id", geo.ring_area(ring).alias("poly_area"))
+    pa = (polys.select("poly_id", (_sign(polys) * geo.ring_area(ring)).alias("a"))
+          .groupBy("poly_id").agg(F.sum("a").alias("poly_area")))
     return (overlap.join(pa, "poly_id", "inner")
             .select("poly_id", "y", "x", (F.col("area") / F.col("poly_area")).alias("w")))
 
 
 # --- JN06 grid_weights_join ---------------------------------------------------
 def join_weights(grid: DataFrame, w: DataFrame, checked: bool = True) -> DataFrame:
-    """Each polygon's cells with their values: grid x weights on (y, x).  The
-    weight table (polygons x their cells, independent of the time length) is
-    broadcast when its counted size fits; otherwise both sides shuffle."""
+    """Each polygon's cells with their values: grid x weights on (y, x), and
+    ``n_cells``, the number of the polygon's cells.  The weight table (polygons x
+    their cells, independent of the time length) is broadcast when its counted size
+    fits; otherwise both sides shuffle."""
+    w = w.join(w.groupBy("poly_id").agg(F.count("*").alias("n_cells")), "poly_id")
     side = size_checked_broadcast(w, WEIGHT_ROW_BYTES) if checked else w
     return grid.join(side, ["y", "x"], "inner")
 
@@ -98,8 +108,8 @@ def join_weights(grid: DataFrame, w: DataFrame, checked: bool = True) -> DataFra
 def weighted_mean(joined: DataFrame, variables, keys=("poly_id", "time"), strict: bool = True) -> DataFrame:
     """``sum(w*v) / sum(w)`` per polygon and time for every variable at once.
 
-    Strict: NULL when any weighted cell of the polygon is missing.  Otherwise
-    the missing cells are left out of both sums.  Sums accumulate in a fixed
+    Strict: NULL when any weighted cell of the polygon is missing, be its value NULL
+    or its row absent.  Otherwise the missing cells are left out of both sums.  Sums accumulate in a fixed
     decimal so results do not depend on row order."""
     aggs = []
     for v in variables:
@@ -107,7 +117,7 @@ def weighted_mean(joined: DataFrame, variables, keys=("poly_id", "time"), strict
         w_present = F.sum(F.when(F.col(v).isNotNull(), F.col("w")).cast(SUM_TYPE)).cast("double")
         mean = wv / w_present
         if strict:
-            mean = F.when(F.count(v) == F.count("*"), mean)
+            mean = F.when(F.count(v) == F.max("n_cells"), mean)
         aggs.append(mean.alias(v))
     return joined.groupBy(*keys).agg(*aggs)
 

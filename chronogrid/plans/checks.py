@@ -24,20 +24,13 @@ def check_missing(grid: DataFrame, axis: DataFrame, n_cells, variables) -> DataF
     return qa.qa_report(qa.max_missing(grid, axis, n_cells, variables or None))
 
 
-def _store_cells(store) -> int:
-    try:
-        return store.cells().count()
-    except Exception:  # noqa: BLE001 - no cell table: cells with rows
-        return store.read([]).select("y", "x").distinct().count()
-
-
 def check_missing_store(store, variables=None, n_cells: int | None = None) -> DataFrame:
     """JB09 on a grid store: axis and cell count come from the store's tables."""
-    n = n_cells if n_cells is not None else _store_cells(store)
+    n = n_cells if n_cells is not None else store.n_cells()
     return check_missing(store.read(variables or None), store.axis(), n, variables)
 
 
 def check_min_max_store(store, variables=None, n_cells: int | None = None) -> DataFrame:
     """JB08 on a grid store."""
-    n = n_cells if n_cells is not None else _store_cells(store)
+    n = n_cells if n_cells is not None else store.n_cells()
     return check_min_max(store.read(variables or None), store.axis(), n, variables)

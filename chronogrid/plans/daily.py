@@ -23,55 +23,55 @@ def create_daily(spark, path: str, hourly: GridStore, plan: ChunkPlan) -> GridSt
     variables = dops.daily_template_columns(hourly.variables)
     spec = GridSpec(hourly.spec.base_literal, "day", plan)
     catalog = catalog_frame(spark, [(v, ["time", "y", "x"], dops.DAILY_ATTRS[v], {}) for v in variables])
-    cells = hourly.cells() if _has_cells(hourly) else None
-    return GridStore.create(spark, path, spec, start, end, variables, catalog, cells)
+    cells = hourly.cells() if hourly.has_cells else None
+    store = GridStore.create(spark, path, spec, start, end, variables, catalog, cells)
+    if hourly.meta["n_cells"] is not None:
+        store.meta["n_cells"] = hourly.meta["n_cells"]
+        store._save_meta()
+    return store
 
 
-def _has_cells(store: GridStore) -> bool:
-    try:
-        store.cells().schema
-        return True
-    except Exception:  # noqa: BLE001 - no cell table written
-        return False
-
+def daily_chunk_hours(daily_spec: GridSpec, axis_start: _dt.datetime, first_chunk: int, last_chunk: int) -> tuple[_dt.datetime, _dt.datetime]:
+    """Inclusive hourly times of the day blocks whose labels lie in daily chunks ``first..last``.
 
-def daily_chunk_hours(daily_spec: GridSpec, first_chunk: int, last_chunk: int) -> tuple[str, str]:
-    """Inclusive hourly time range covered by daily chunks ``first..last``."""
-    base = daily_spec.base
-    start = base + _dt.timedelta(seconds=first_chunk * daily_spec.chunk_seconds)
-    end = base + _dt.timedelta(seconds=(last_chunk + 1) * daily_spec.chunk_seconds) - _dt.timedelta(hours=1)
-    return start.strftime("%Y-%m-%d %H:%M:%S"), end.strftime("%Y-%m-%d %H:%M:%S")
+    Blocks run from the start of the hourly axis, whatever its hour; a block belongs
+    to the chunk of its label (its first hour) as a whole."""
+    day = _dt.timedelta(days=1)
+    low = daily_spec.base + _dt.timedelta(seconds=first_chunk * daily_spec.chunk_seconds)
+    high = daily_spec.base + _dt.timedelta(seconds=(last_chunk + 1) * daily_spec.chunk_seconds)
+    block = lambda t: max(0, -((axis_start - t) // day))  # noqa: E731  the first block labelled t or later
+    return axis_start + block(low) * day, axis_start + block(high) * day - _dt.timedelta(hours=1)
 
 
 def daily_from_hourly(hourly: GridStore, daily_spec: GridSpec | None = None,
                       first_chunk: int | None = None, last_chunk: int | None = None) -> DataFrame:
     """JB04 core: strict daily values (of daily chunks ``first..last`` if given).
 
-    The chunk range becomes a time range on the hourly read, which the store
-    turns into a ``time_chunk`` partition filter plus Parquet range predicates,
-    so only the needed hourly chunks are scanned.  One exchange, partial
-    aggregation before it."""
-    axis_start = hourly.axis().agg(F.min("time")).collect()[0][0]     # one scalar
+    The chunk range becomes a time range of whole blocks on the hourly read, which
+    the store turns into a ``time_chunk`` partition filter plus Parquet range
+    predicates, so only the needed hourly chunks are scanned.  One exchange, partial
+    aggregation before it.  A range that begins after the last hourly time is an
+    error (PF16)."""
+    axis = hourly.axis().agg(F.min("time").alias("first"), F.max("time").alias("last")).collect()[0]   # two scalars
     start = end = None
     if daily_spec is not None and first_chunk is not None:
-        start, end = daily_chunk_hours(daily_spec, first_chunk,
+        start, end = daily_chunk_hours(daily_spec, axis["first"], first_chunk,
                                        last_chunk if last_chunk is not None else first_chunk)
-    df = hourly.read([v for v in ("T2D", "RAINRATE") if v in hourly.variables], start=start, end=end)
-    return dops.daily_reduce(df, axis_start, hourly.spec.step_seconds)
+        if start > axis["last"]:
+            raise ValueError(f"daily chunk {first_chunk} begins at {start}; the hourly axis ends at {axis['last']}")
+        if end < start:
+            end = start - _dt.timedelta(hours=1)
+    df = hourly.read([v for v in ("T2D", "RAINRATE") if v in hourly.variables],
+                     start=start and start.strftime("%Y-%m-%d %H:%M:%S"), end=end and end.strftime("%Y-%m-%d %H:%M:%S"))
+    return dops.daily_reduce(df, axis["first"], hourly.spec.step_seconds)
 
 
 def process_daily(hourly: GridStore, daily_store: GridStore, first_chunk: int | None = None,
                   last_chunk: int | None = None) -> DataFrame:
     """JB04 / JB12: compute and insert daily chunks ``first..last`` in one job.
 
-    A start past the end of the hourly data is an error (PF16).  Returns the
-    chunk log (SR21) of the written chunks: chunk, first/last time, first/last
-    axis index (lazy, read from the written partitions)."""
-    if first_chunk is not None:
-        n_steps = hourly.axis().count()
-        first_hour = first_chunk * daily_store.spec.plan.time * 24
-        if first_hour >= n_steps:
-            raise ValueError("starting index beyond end of available hourly data")
+    Returns the chunk log (SR21) of the written chunks: chunk, first/last time,
+    first/last axis index (lazy, read from the written partitions)."""
     d = daily_from_hourly(hourly, daily_store.spec, first_chunk, last_chunk)
     # attributes are lost by the aggregation: re-attach them from the catalog
     from ..operators.catalog import attrs_of, with_attrs
@@ -86,6 +86,12 @@ def process_daily(hourly: GridStore, daily_store: GridStore, first_chunk: int |
 
 
 def extend_daily(hourly: GridStore, daily_store: GridStore) -> bool:
-    """JB05 (daily): extend the daily axis to the hourly store's last date."""
-    last = hourly.axis().agg(F.max("time")).collect()[0][0]
-    return daily_store.extend_time(last.replace(hour=0, minute=0, second=0, microsecond=0))
+    """JB05 (daily): extend the daily axis to the last day block of the hourly axis.
+
+    An axis that already reaches that day stays as it is."""
+    ends = hourly.axis().agg(F.min("time").alias("first"), F.max("time").alias("last")).collect()[0]
+    label = ends["first"] + _dt.timedelta(days=(ends["last"] - ends["first"]).days)
+    last = daily_store.axis().agg(F.max("time")).collect()[0][0]
+    if label.date() <= last.date():
+        return False
+    return daily_store.extend_time(label)

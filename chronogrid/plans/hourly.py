@@ -61,12 +61,12 @@ def list_files(spark, root: str, pattern: str = "*/*") -> DataFrame:
 
 
 def process_hourly_files(spark, store, first_chunk: int, last_chunk: int, wrf_dir: str, template: str,
-                         listing: DataFrame | None = None, metadata: DataFrame | None = None,
-                         constants=()) -> None:
+                         listing: DataFrame | None = None, metadata: DataFrame | None = None) -> None:
     """JB02 / JB12 from files: manifest of chunks ``first..last`` -> files that
     exist (Oct-1 rule) -> one multi-file scan -> metadata applied to the
     catalog -> rechunked region write.  One Spark job per stage for the whole
-    chunk range; no driver loop over chunks."""
+    chunk range; no driver loop over chunks.  Constants belong to creation; the files'
+    copies of them aren't read."""
     from ..operators import catalog as cat
     from ..sources import hourly_files, manifest
     chunks = spark.range(first_chunk, last_chunk + 1).select(F.col("id").cast("int").alias("chunk"))
@@ -76,12 +76,10 @@ def process_hourly_files(spark, store, first_chunk: int, last_chunk: int, wrf_di
     paths = [r.path for r in m.orderBy("fdate").select("path").collect()]   # file names only
     if not paths:
         return
-    grid, cells = hourly_files.load_hourly_files(spark, paths, store.variables, constants)
+    grid, _ = hourly_files.load_hourly_files(spark, paths, store.variables)
     if metadata is not None:
         updated = cat.overlay_metadata(cat.drop_attrs(store.catalog()), metadata)
         store.write_catalog(updated)
-    if constants:
-        store.write_constants(cells)
     store.write_region(grid)
 
 

@@ -43,10 +43,11 @@ py AS (SELECT CAST(year(time) AS INTEGER) AS year, min(qty) AS lo_q, max(qty) AS
               min(price) AS lo_p, max(price) AS hi_p, count(price) AS n_p FROM g GROUP BY 1),
 lg AS (SELECT 'qty' AS variable, year, lo_q AS lo, hi_q AS hi, n_q AS n FROM py
        UNION ALL SELECT 'price', year, lo_p, hi_p, n_p FROM py)
-SELECT variable, year, CASE WHEN n = n_steps * n_cells THEN lo END AS min_value,
+SELECT v.variable, s.year, CASE WHEN n = n_steps * n_cells THEN lo END AS min_value,
        CASE WHEN n = n_steps * n_cells THEN hi END AS max_value, lo AS min_present, hi AS max_present,
-       n AS n_values, n_steps * n_cells AS n_expected
-FROM lg JOIN steps USING (year) CROSS JOIN nc"""
+       coalesce(n, 0) AS n_values, n_steps * n_cells AS n_expected
+FROM steps s CROSS JOIN (VALUES ('qty'), ('price')) v(variable) CROSS JOIN nc
+LEFT JOIN lg ON lg.year = s.year AND lg.variable = v.variable"""
 
 
 def yearly(spark, sf_dir):

@@ -38,11 +38,11 @@ wt AS (SELECT poly_id, y, x, area / poly_area AS w FROM o JOIN pa USING (poly_id
 
 # DECIMAL -> DOUBLE through text: DuckDB's direct cast is not always correctly
 # rounded, Spark's (BigDecimal) is.
-MEAN_SQL = f"""WITH {RECT_SQL}, d AS ({daily_sql(F1_SQL)}), j AS (SELECT * FROM d JOIN wt USING (y, x))
+MEAN_SQL = f"""WITH {RECT_SQL}, d AS ({daily_sql(F1_SQL)}), nc AS (SELECT poly_id, count(*) AS n_cells FROM wt GROUP BY 1), j AS (SELECT * FROM d JOIN wt USING (y, x) JOIN nc USING (poly_id))
 SELECT poly_id, time,
-  CASE WHEN count(RAIN) = count(*) THEN CAST(CAST(sum(CAST(w * RAIN AS DECIMAL(38,9))) AS VARCHAR) AS DOUBLE) / CAST(CAST(sum(CAST(CASE WHEN RAIN IS NOT NULL THEN w END AS DECIMAL(38,9))) AS VARCHAR) AS DOUBLE) END AS RAIN,
-  CASE WHEN count(T2MAX) = count(*) THEN CAST(CAST(sum(CAST(w * T2MAX AS DECIMAL(38,9))) AS VARCHAR) AS DOUBLE) / CAST(CAST(sum(CAST(CASE WHEN T2MAX IS NOT NULL THEN w END AS DECIMAL(38,9))) AS VARCHAR) AS DOUBLE) END AS T2MAX,
-  CASE WHEN count(T2MIN) = count(*) THEN CAST(CAST(sum(CAST(w * T2MIN AS DECIMAL(38,9))) AS VARCHAR) AS DOUBLE) / CAST(CAST(sum(CAST(CASE WHEN T2MIN IS NOT NULL THEN w END AS DECIMAL(38,9))) AS VARCHAR) AS DOUBLE) END AS T2MIN
+  CASE WHEN count(RAIN) = max(n_cells) THEN CAST(CAST(sum(CAST(w * RAIN AS DECIMAL(38,18))) AS VARCHAR) AS DOUBLE) / CAST(CAST(sum(CAST(CASE WHEN RAIN IS NOT NULL THEN w END AS DECIMAL(38,18))) AS VARCHAR) AS DOUBLE) END AS RAIN,
+  CASE WHEN count(T2MAX) = max(n_cells) THEN CAST(CAST(sum(CAST(w * T2MAX AS DECIMAL(38,18))) AS VARCHAR) AS DOUBLE) / CAST(CAST(sum(CAST(CASE WHEN T2MAX IS NOT NULL THEN w END AS DECIMAL(38,18))) AS VARCHAR) AS DOUBLE) END AS T2MAX,
+  CASE WHEN count(T2MIN) = max(n_cells) THEN CAST(CAST(sum(CAST(w * T2MIN AS DECIMAL(38,18))) AS VARCHAR) AS DOUBLE) / CAST(CAST(sum(CAST(CASE WHEN T2MIN IS NOT NULL THEN w END AS DECIMAL(38,18))) AS VARCHAR) AS DOUBLE) END AS T2MIN
 FROM j GROUP BY poly_id, time"""
 
 # Reported precision of polygon averages (the library keeps full precision).

@@ -51,28 +51,43 @@ def q_sr15(spark, sf_dir):
     return store.axis()
 
 
+def loaded_store(spark, sf_dir, name):
+    """Hourly store over the times of the data, with the variables that have values."""
+    g = f1(spark, sf_dir)
+    seen = g.agg(F.min("time").alias("first"), F.max("time").alias("last"),
+                 F.count("T2D").alias("T2D"), F.count("RAINRATE").alias("RAINRATE")).collect()[0]   # four scalars
+    if seen["first"] is None:
+        raise ValueError("no hourly rows to create a store from")
+    variables = [v for v in ("T2D", "RAINRATE") if seen[v]]
+    store = GridStore.create(spark, scratch_path(spark, name), SPEC, seen["first"], seen["last"], variables)
+    store.write_region(g.select("time", "y", "x", *variables))
+    return store
+
+
+DAILY_AXIS_SQL = """SELECT unnest(generate_series((SELECT min(date_trunc('hour', ts)) FROM events),
+  (SELECT max(date_trunc('hour', ts)) FROM events), INTERVAL 1 DAY)) AS time"""
+
+
 @register("SR16_create_grid_daily", f"""SELECT CAST(row_number() OVER (ORDER BY time) - 1 AS INTEGER) AS time_idx, time,
   {chunk_sql(secs=6 * 86400)} AS time_chunk
-FROM (SELECT unnest(generate_series({F1_BASE}, TIMESTAMP '2024-01-30 00:00:00', INTERVAL 1 DAY)) AS time)""")
+FROM ({DAILY_AXIS_SQL})""")
 def q_sr16(spark, sf_dir):
-    h = hourly_store(spark, sf_dir, load=False)
+    h = loaded_store(spark, sf_dir, "loaded")
     d = daily_jobs.create_daily(spark, scratch_path(spark, "daily"), h, DAILY_PLAN)
     return d.axis()
 
 
 @register("SR17_region_write", f"SELECT time, y, x, T2D, RAINRATE FROM ({F1_SQL}) WHERE {chunk_sql()} IN (1, 2, 4)")
 def q_sr17(spark, sf_dir):
-    """Partial write, then overlapping writes and a re-run of the same chunk:
-    the store must hold exactly the rows of chunks 1, 2 and 4."""
-    g = f1(spark, sf_dir)
-    c = ta.chunk_index("time", SPEC)
+    """A variable at a time, an hour in two writes, a chunk in two halves, a
+    re-run: the store must hold exactly the rows of chunks 1, 2 and 4."""
+    g = f1(spark, sf_dir).withColumn("c", ta.chunk_index("time", SPEC)).where("c IN (1, 2, 4)").drop("c")
     store = hourly_store(spark, sf_dir, load=False)
-    first_half = g.where((c == 1) & (ta.steps_since("time", SPEC.base_date, 3600) % 144 < 72))
-    store.write_region(first_half)                         # half of chunk 1
-    store.write_region(g.where(c == 2))                    # chunk 2
-    store.write_region(g.where((c == 1) & (ta.steps_since("time", SPEC.base_date, 3600) % 144 >= 72)))
-    store.write_region(g.where(c == 4))
-    store.write_region(g.where(c == 4))                    # idempotent re-run
+    store.write_region(g.select("time", "y", "x", "T2D"))
+    store.write_region(g.where("x = 0").select("time", "y", "x", "RAINRATE"))    # half the cells of every hour
+    store.write_region(g.where("x = 1").select("time", "y", "x", "RAINRATE"))
+    first_half = ta.steps_since("time", SPEC.base_date, 3600) % 144 < 72
+    store.write_region(g.where(first_half))                                       # a re-run of half of each chunk
     return store.read()
 
 
@@ -80,11 +95,11 @@ def q_sr17(spark, sf_dir):
 def q_sr18(spark, sf_dir):
     store = hourly_store(spark, sf_dir, load=False)
     cells = f1(spark, sf_dir).select("y", "x").distinct()
-    consts = cells.select("y", "x", (F.lit(40.0) + F.lit(0.25) * F.col("y")).alias("lat"),
-                          (F.lit(-100.0) + F.lit(0.25) * F.col("x")).alias("lon"))
-    rows = catalog_frame(spark, [("lat", ["y", "x"], {"units": "degrees_north"}, {}),
-                                 ("lon", ["y", "x"], {"units": "degrees_east"}, {})])
-    store.write_constants(consts, rows)
+    lat = cells.select("y", "x", (F.lit(40.0) + F.lit(0.25) * F.col("y")).alias("lat"))
+    lon = cells.select("y", "x", (F.lit(-100.0) + F.lit(0.25) * F.col("x")).alias("lon"))
+    store.write_constants(lat, catalog_frame(spark, [("lat", ["y", "x"], {"units": "degrees_north"}, {})]))
+    store.write_constants(lon.where("x = 0"), catalog_frame(spark, [("lon", ["y", "x"], {"units": "degrees_east"}, {})]))
+    store.write_constants(lon.where("x = 1"))                # other cells and variables stay
     return store.cells()
 
 
@@ -194,24 +209,24 @@ def q_jb02(spark, sf_dir):
     meta = spark.createDataFrame([("T2D", "Temperature at 2 m", "air_temperature", "K", "x y")],
                                  "varname string, long_name string, standard_name string, units string, coordinates string")
     hourly_jobs.process_hourly_files(spark, store, 0, 4, root, HOURLY_TEMPLATE,
-                                     listing=hourly_jobs.list_files(spark, root), metadata=meta,
-                                     constants=("lat", "lon"))
+                                     listing=hourly_jobs.list_files(spark, root), metadata=meta)
     c = {r["varname"]: r for r in store.catalog().collect()}
     assert c["T2D"]["attrs"]["units"] == "K" and c["T2D"]["encoding"]["coordinates"] == "x y"
     return store.read()
 
 
-@register("JB03_create_daily", f"""SELECT * FROM (VALUES ('RAIN', 'coordinates', 'x y'), ('RAIN', 'grid_mapping', 'crs'),
+@register("JB03_create_daily", f"""WITH v AS (SELECT count(value) > 0 AS present FROM events), ax AS (SELECT min(time) AS first_time, max(time) AS last_time, count(*) AS n_steps FROM ({DAILY_AXIS_SQL}))
+SELECT varname, attr, t.value, first_time, last_time, n_steps FROM (VALUES ('RAIN', 'coordinates', 'x y'), ('RAIN', 'grid_mapping', 'crs'),
   ('RAIN', 'integration_length', '24-hour accumulation'), ('RAIN', 'long_name', 'Daily accumulated precipitation'),
   ('RAIN', 'standard_name', 'precipitation'), ('RAIN', 'units', 'mm'),
   ('T2MAX', 'coordinates', 'x y'), ('T2MAX', 'grid_mapping', 'crs'), ('T2MAX', 'long_name', 'Daily maximum temperature at 2 meters'), ('T2MAX', 'units', 'K'),
   ('T2MIN', 'coordinates', 'x y'), ('T2MIN', 'grid_mapping', 'crs'), ('T2MIN', 'long_name', 'Daily minimum temperature at 2 meters'), ('T2MIN', 'units', 'K')
-) t(varname, attr, value)
-WHERE (SELECT count(*) FROM events) > 0""")
+) t(varname, attr, value) CROSS JOIN v CROSS JOIN ax WHERE present""")
 def q_jb03(spark, sf_dir):
-    h = hourly_store(spark, sf_dir)
+    h = loaded_store(spark, sf_dir, "loaded")
     d = daily_jobs.create_daily(spark, scratch_path(spark, "daily"), h, DAILY_PLAN)
-    return d.catalog().select("varname", F.explode("attrs").alias("attr", "value"))
+    extent = d.axis().agg(F.min("time").alias("first_time"), F.max("time").alias("last_time"), F.count("*").alias("n_steps"))
+    return d.catalog().select("varname", F.explode("attrs").alias("attr", "value")).join(F.broadcast(extent))   # one row
 
 
 @register("JB04_process_daily", f"SELECT time, y, x, T2MAX, T2MIN, RAIN FROM ({daily_sql(F1_SQL)})")

@@ -9,6 +9,7 @@ from ..functions import values as fv
 from ..operators import regions
 
 WEIGHTS_SCHEMA = "poly_id bigint, y int, x int, w double"
+YEAR_BUCKETS = 16
 POLYGON_SCHEMA = "poly_id bigint, ring array<struct<x: double, y: double>>"
 
 
@@ -28,9 +29,11 @@ def read_weights(spark: SparkSession, path: str) -> DataFrame:
 
 # --- SR19 yearly_region_write -------------------------------------------------
 def write_yearly(df: DataFrame, path: str) -> None:
-    """One output directory per calendar year (``year=<Y>``)."""
-    (df.withColumn("year", F.year("time")).repartition("year")
-     .write.mode("overwrite").partitionBy("year").parquet(path))
+    """One output directory per calendar year (``year=<Y>``); years written before go.
+
+    A year's polygons are dealt over up to ``YEAR_BUCKETS`` tasks and files."""
+    (df.withColumn("year", F.year("time")).repartition("year", F.pmod(F.hash("poly_id"), F.lit(YEAR_BUCKETS)))
+     .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("year").parquet(path))
 
 
 def read_yearly(spark: SparkSession, path: str, year: int | None = None) -> DataFrame:

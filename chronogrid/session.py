@@ -24,7 +24,6 @@ BASE_CONF = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(16 * 1024 * 1024),
     "spark.sql.parquet.compression.codec": "zstd",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -93,6 +92,15 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that is no longer needed."""
+    if "://" not in path:
+        shutil.rmtree(path, ignore_errors=True)
+        return
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)   # Spark has no public call for this
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in the Python workers (once per context)."""
     sc = spark.sparkContext

@@ -90,7 +90,7 @@ def _read_bytes(path: str) -> bytes | None:
     try:
         with fs.open_input_stream(p) as f:
             return f.read()
-    except (FileNotFoundError, OSError):
+    except FileNotFoundError:      # absent: the fill value; any other fault is an error
         return None
 
 
@@ -107,6 +107,13 @@ def export_array_store(grid: DataFrame, store: str, variables, shape: tuple[int,
     holds one array's values, bounded by the chunk shape, whatever the number
     of variables)."""
     variables = list(variables)
+    inside = F.lit(True)
+    for c, n in zip(idx_cols, shape):
+        inside = inside & (F.col(c) >= 0) & (F.col(c) < n)
+    at = F.concat_ws(", ", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in idx_cols])
+    # on a key that every chunk needs, so the check can't be pruned
+    grid = grid.withColumn(idx_cols[0], F.when(inside, F.col(idx_cols[0])).otherwise(
+        F.raise_error(F.concat(F.lit(f"position outside the shape {tuple(shape)}: "), at)).cast("int")))
     per_variable = len(variables) > 1 if per_variable is None else per_variable
     ct, cy, cx = chunks
     ti, yi, xi = idx_cols

@@ -23,9 +23,9 @@ from pyspark.sql import types as T
 
 from ..config import ChunkPlan, GridSpec, parse_base_date
 from ..functions import timeaxis as ta
+from ..functions.values import mask_missing
 from ..operators import grid as gops
-from ..operators.joins import size_checked_broadcast
-from ..session import checkpoint_root
+from ..session import remove_path, scratch_path
 
 CATALOG_SCHEMA = T.StructType([
     T.StructField("varname", T.StringType(), False),
@@ -66,16 +66,20 @@ class GridStore:
     # ------------------------------------------------------------------ SR15/16
     @classmethod
     def create(cls, spark: SparkSession, path: str, spec: GridSpec, start, end,
-               variables, catalog: DataFrame | None = None, cells: DataFrame | None = None) -> "GridStore":
+               variables, catalog: DataFrame | None = None, cells: DataFrame | None = None,
+               shape: tuple[int, int] | None = None) -> "GridStore":
         """Empty store: full axis ``start..end``, no data rows, schema from ``variables``.
 
         Metadata only: the axis is generated in parallel, the grid directory is
-        created empty, and every later read uses the explicit schema."""
+        created empty, and every later read uses the explicit schema.  A store that
+        is already at ``path`` is replaced, rows and all.  ``shape`` (y and x cells)
+        tells the checks how many cells there are where no cell table does."""
         path = path.rstrip("/")
         axis = gops.make_axis(spark, start, end, spec)
         axis.write.mode("overwrite").parquet(f"{path}/axis")
         schema = cls._grid_schema(variables)
-        spark.createDataFrame([], schema).write.mode("overwrite").partitionBy("time_chunk").parquet(f"{path}/grid")
+        (spark.createDataFrame([], schema).write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy("time_chunk").parquet(f"{path}/grid"))
         if catalog is None:
             catalog = catalog_frame(spark, [(v, ["time", "y", "x"], {}, {}) for v in variables])
         catalog.write.mode("overwrite").parquet(f"{path}/catalog")
@@ -84,7 +88,8 @@ class GridStore:
         s, e = parse_base_date(start), parse_base_date(end)
         n_steps = int((e - s).total_seconds() // spec.step_seconds) + 1
         meta = {"base_date": spec.base_literal, "freq": spec.freq, "plan": spec.plan.as_dict(),
-                "variables": list(variables), "axis_start": s.strftime("%Y-%m-%d %H:%M:%S"), "n_steps": n_steps}
+                "variables": list(variables), "axis_start": s.strftime("%Y-%m-%d %H:%M:%S"), "n_steps": n_steps,
+                "has_cells": cells is not None, "n_cells": None if shape is None else int(shape[0]) * int(shape[1])}
         _write_text(spark, f"{path}/_spec", json.dumps(meta))
         return cls(spark, path, meta)
 
@@ -108,9 +113,21 @@ class GridStore:
     def catalog(self) -> DataFrame:
         return self.spark.read.schema(CATALOG_SCHEMA).parquet(f"{self.path}/catalog")
 
+    @property
+    def has_cells(self) -> bool:
+        return bool(self.meta["has_cells"])
+
     def cells(self) -> DataFrame:
+        if not self.has_cells:
+            raise ValueError(f"{self.path} has no cell table")
         return self.spark.read.parquet(f"{self.path}/cells")
 
+    def n_cells(self) -> int:
+        """Cells of the grid, written or not: from its shape, else its cell table."""
+        if self.meta["n_cells"] is not None:
+            return int(self.meta["n_cells"])
+        return self.cells().count()
+
     # ------------------------------------------------------------------ SR05
     def read(self, variables=None, start=None, end=None, chunks: tuple[int, int] | None = None,
              with_chunks: bool = False, with_attrs: bool = False,
@@ -143,54 +160,48 @@ class GridStore:
         return out
 
     # ------------------------------------------------------------------ SR17
-    def write_region(self, df: DataFrame, stage: str | bool = "auto") -> None:
-        """Insert rows at their axis positions, idempotently.
-
-        Only the time chunks present in ``df`` are rewritten (dynamic partition
-        overwrite).  Rows of those chunks at times *not* in ``df`` are kept, so
-        writing part of a chunk never deletes the rest of it.  Every incoming
-        time must lie on the axis, else the job fails.
-
-        IO: the incoming steps per touched chunk are counted first (one small
-        row per chunk).  Chunks the write covers completely are replaced without
-        reading their old rows; only partially covered chunks are read, through
-        a literal partition filter.  ``stage`` (default: when the input plan
-        aggregates, joins or windows) checkpoints the input once in the shared
-        checkpoint folder so it is not recomputed."""
+    def write_region(self, df: DataFrame, replace_chunks: bool = False, stage: bool = True) -> None:
+        """Merge rows into the store by ``(time, y, x)`` and variable, idempotently.
+
+        A row of ``df`` sets the variables that ``df`` has, a NULL or NaN included
+        (NaN is stored as NULL); variables it lacks, and stored rows it doesn't
+        name, stay.  So an hour may arrive in any number of writes.  Rows that repeat
+        a position count once, by the largest value.  With ``replace_chunks`` the
+        time chunks in ``df`` are replaced whole instead.  Every incoming time must
+        lie on the axis, else the job fails.
+
+        IO: the input is evaluated once, into a staged table that is deleted
+        afterwards (``stage=False`` skips it for inputs that are cheap to read and
+        can't change); its time chunks are listed from there (one row each), and only
+        those partitions are read and rewritten, in one exchange by tile."""
         unknown = [c for c in df.columns if c not in gops.KEYS and c not in self.variables]
         if unknown:
             raise ValueError(f"columns not in store schema: {unknown}")
-        located = self.locate(df)
-        incoming = gops.with_chunk_columns(located, self.spec).select(
-            *[(F.col(f.name) if f.name in located.columns or f.name in ("time_chunk", "y_chunk", "x_chunk")
-               else F.lit(None)).cast(f.dataType).alias(f.name) for f in self.schema.fields])
-        if stage == "auto":
-            plan = incoming._jdf.queryExecution().optimizedPlan().toString()
-            stage = any(k in plan for k in ("Aggregate", "Join", "Window", "Expand"))
-        if stage:
-            checkpoint_root(self.spark)
-            incoming = incoming.checkpoint(eager=True)
-        counts = (incoming.groupBy("time_chunk").agg(F.countDistinct("time").alias("n"))
-                  .collect())                                  # one row per touched chunk
-        partial = [r["time_chunk"] for r in counts if r["n"] < self._steps_in_chunk(r["time_chunk"])]
-        merged = incoming
-        if partial:
-            existing = (self.spark.read.schema(self.schema).parquet(f"{self.path}/grid")
-                        .where(F.col("time_chunk").isin(partial)))
-            times = size_checked_broadcast(incoming.where(F.col("time_chunk").isin(partial))
-                                           .select("time").distinct(), 16, n_rows=self.n_steps)
-            kept = existing.join(times, "time", "left_anti")
-            merged = kept.select(*self.schema.names).unionByName(incoming)
-        self._write_partitions(merged)
-
-    def _steps_in_chunk(self, chunk: int) -> int:
-        """Axis steps falling in time chunk ``chunk`` (the axis may start or end
-        inside a chunk)."""
-        p = self.spec.plan.time
-        start = parse_base_date(self.axis_start)
-        offset = int((start - self.spec.base).total_seconds() // self.spec.step_seconds)
-        lo, hi = max(chunk * p, offset), min((chunk + 1) * p, offset + self.n_steps)
-        return max(0, hi - lo)
+        given = [v for v in self.variables if v in df.columns]
+        tile = ["time_chunk", "y_chunk", "x_chunk"]
+        incoming = mask_missing(gops.with_chunk_columns(self.locate(df), self.spec), given).select(
+            *gops.KEYS, *[F.col(v).cast("double").alias(v) for v in given], *tile)
+        staged = scratch_path(self.spark, "region") if stage else None
+        if staged:
+            schema = incoming.schema
+            incoming.write.parquet(staged)
+            incoming = self.spark.read.schema(schema).parquet(staged)
+        chunks = sorted(r["time_chunk"] for r in incoming.select("time_chunk").distinct().collect())
+        if chunks:
+            nothing = [F.lit(None).cast("double").alias(v) for v in self.variables if v not in given]
+            rows = incoming.select("*", *nothing, F.lit(1).alias("_new"))
+            if not replace_chunks:
+                stored = self.spark.read.schema(self.schema).parquet(f"{self.path}/grid").where(F.col("time_chunk").isin(chunks))
+                rows = rows.unionByName(stored.withColumn("_new", F.lit(0)))
+            is_new = F.col("_new") == 1
+            old = {v: F.max(F.when(~is_new, F.col(v))) for v in self.variables}
+            value = {v: F.when(F.max("_new") == 1, F.max(F.when(is_new, F.col(v)))).otherwise(old[v]) if v in given else old[v]
+                     for v in self.variables}
+            # grouped within the tiles' partitions: no second exchange
+            merged = rows.repartition(*tile).groupBy(*tile, *gops.KEYS).agg(*[c.alias(v) for v, c in value.items()])
+            self._write_partitions(merged.select(*self.schema.names))
+        if staged:
+            remove_path(self.spark, staged)
 
     def locate(self, df: DataFrame) -> DataFrame:
         """Axis position of each row, computed (the axis is regular): no join.
@@ -206,27 +217,40 @@ class GridStore:
         return df.withColumn("time_idx", idx.cast("int")).withColumn("time", checked.cast("timestamp_ntz"))
 
     def _write_partitions(self, df: DataFrame) -> None:
-        (df.repartition("time_chunk", "y_chunk", "x_chunk")
-         .sortWithinPartitions("time_chunk", "y_chunk", "x_chunk", "time", "y", "x")
+        (df.sortWithinPartitions("time_chunk", "y_chunk", "x_chunk", "time", "y", "x")
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("time_chunk").parquet(f"{self.path}/grid"))
 
     # ------------------------------------------------------------------ SR18
     def write_constants(self, cells: DataFrame, catalog_rows: DataFrame | None = None) -> None:
-        """Add or replace constant variables (the cell table) and their catalog rows."""
-        cells.write.mode("overwrite").parquet(f"{self.path}/cells")
+        """Add or replace constant variables of the cell table, and their catalog rows.
+
+        Variables that ``cells`` lacks and cells that it doesn't name stay."""
+        if self.has_cells:
+            stored = self.cells()
+            both = [c for c in stored.columns if c in cells.columns and c not in gops.CELL_KEYS]
+            j = stored.alias("o").join(cells.withColumn("_new", F.lit(1)).alias("n"), list(gops.CELL_KEYS), "full")
+            cells = j.select(*gops.CELL_KEYS, *[
+                F.when(F.col("_new") == 1, F.col(f"n.`{c}`")).otherwise(F.col(f"o.`{c}`")).alias(c) if c in both else F.col(f"o.`{c}`")
+                for c in stored.columns if c not in gops.CELL_KEYS], *[
+                F.col(f"n.`{c}`") for c in cells.columns if c not in stored.columns])
+        self._replace_table(cells, "cells")
+        self.meta["has_cells"] = True
+        self._save_meta()
         if catalog_rows is not None:
             names = catalog_rows.select("varname")
-            merged = (self.catalog().join(names, "varname", "left_anti").unionByName(catalog_rows))
-            tmp = f"{self.path}/catalog_next"
-            merged.write.mode("overwrite").parquet(tmp)
-            self.spark.read.parquet(tmp).write.mode("overwrite").parquet(f"{self.path}/catalog")
+            self.write_catalog(self.catalog().join(names, "varname", "left_anti").unionByName(catalog_rows))
+
+    def _replace_table(self, df: DataFrame, name: str) -> None:
+        """Overwrite a small table that ``df`` may be derived from."""
+        staged = scratch_path(self.spark, name)
+        df.write.parquet(staged)
+        self.spark.read.schema(df.schema).parquet(staged).write.mode("overwrite").parquet(f"{self.path}/{name}")
+        remove_path(self.spark, staged)
 
     def write_catalog(self, catalog: DataFrame) -> None:
         """Replace the catalog (staged first: it may be derived from itself)."""
-        tmp = f"{self.path}/catalog_next"
-        catalog.select("varname", "dims", "attrs", "encoding").write.mode("overwrite").parquet(tmp)
-        self.spark.read.schema(CATALOG_SCHEMA).parquet(tmp).write.mode("overwrite").parquet(f"{self.path}/catalog")
+        self._replace_table(catalog.select("varname", "dims", "attrs", "encoding"), "catalog")
 
     # ------------------------------------------------------------------ JB05
     def extend_time(self, end) -> bool:
@@ -236,20 +260,21 @@ class GridStore:
         reference would shrink the axis).  Only the missing axis rows are
         appended.  Returns True when rows were added."""
         ax = self.axis()
-        last = ax.agg(F.max("time")).collect()[0][0]   # one scalar
+        ends = ax.agg(F.min("time").alias("first"), F.max("time").alias("last")).collect()[0]   # two scalars
         new_end = parse_base_date(end)
-        if last == new_end:
-            return False
-        if new_end < last:
-            raise ValueError(f"end {new_end} is before the axis end {last}")
-        first = ax.agg(F.min("time")).collect()[0][0]
-        full = gops.make_axis(self.spark, first, new_end, self.spec)
-        extra = full.join(ax.select("time"), "time", "left_anti")
-        extra.select("time_idx", "time", "time_chunk").write.mode("append").parquet(f"{self.path}/axis")
-        self.meta["n_steps"] = int((new_end - first).total_seconds() // self.spec.step_seconds) + 1
-        self.n_steps = self.meta["n_steps"]
-        self._save_meta()
-        return True
+        if new_end < ends["last"]:
+            raise ValueError(f"end {new_end} is before the axis end {ends['last']}")
+        grown = not ta.axis_up_to_date(ends["last"], new_end)
+        if grown:
+            full = gops.make_axis(self.spark, ends["first"], new_end, self.spec)
+            extra = full.where(F.col("time") > ta.ntz(ends["last"]))
+            extra.select("time_idx", "time", "time_chunk").write.mode("append").parquet(f"{self.path}/axis")
+        # also after a run that was lost between the two writes
+        n_steps = int((new_end - ends["first"]).total_seconds() // self.spec.step_seconds) + 1
+        if n_steps != self.n_steps:
+            self.meta["n_steps"] = self.n_steps = n_steps
+            self._save_meta()
+        return grown
 
     # ------------------------------------------------------------------ JB07
     def info(self) -> DataFrame:
@@ -263,4 +288,4 @@ class GridStore:
             ta.chunk_end(fc, spec).alias("first_chunk_end"), "last_time",
             lc.alias("last_chunk"), ta.chunk_start(lc, spec).alias("last_chunk_start"),
             ta.chunk_end(lc, spec).alias("last_chunk_end"),
-            (F.col("last_time") < ta.chunk_end(lc, spec)).alias("partial_last_chunk"))
+            ta.partial_chunk("last_time", spec).alias("partial_last_chunk"))

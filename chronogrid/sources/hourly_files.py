@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.values import mask_missing
 from ..operators.grid import KEYS
 
 
@@ -46,7 +47,7 @@ def load_hourly_files(spark: SparkSession, paths: list[str], variables, constant
         raise ValueError("no hourly files")
     schema = hourly_schema(variables, constants)
     df = spark.read.schema(schema).option("mergeSchema", "false").parquet(*paths)
-    grid = df.select(*KEYS, *variables)
+    grid = mask_missing(df.select(*KEYS, *variables), variables)
     if not constants:
         return grid, df.select("y", "x").distinct()
     first = F.min_by(F.struct(*[F.col(c) for c in constants]), F.col("time")).alias("_c")

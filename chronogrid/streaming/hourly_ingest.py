@@ -2,9 +2,9 @@
 
 ``readStream`` over the hourly file directory (explicit schema) ->
 ``foreachBatch``: region write into the hourly store, then the strict daily
-reduction of the daily chunks the batch touched.  Each step rewrites whole
-partitions from the batch's content, so a batch replayed after a failure
-produces the same store (exactly-once results with at-least-once delivery).
+reduction of the daily chunks the batch touched, and of no others.  A write merges
+by position, so an hour may arrive in several files or batches, and a batch
+replayed after a failure produces the same store.
 The stream checkpoint lives under the shared checkpoint folder.
 """
 
@@ -16,15 +16,23 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..functions import timeaxis as ta
+from ..operators.daily import block_label
 from ..operators.grid import KEYS
 from ..session import scratch_path
 from ..sources.gridstore import GridStore
 
 
-def _touched_daily_chunks(batch: DataFrame, daily: GridStore) -> tuple[int, int] | None:
-    r = batch.agg(F.min(ta.chunk_index("time", daily.spec)).alias("lo"),
-                  F.max(ta.chunk_index("time", daily.spec)).alias("hi")).collect()[0]   # two scalars
-    return None if r["lo"] is None else (int(r["lo"]), int(r["hi"]))
+def _touched_daily_chunks(batch: DataFrame, hourly: GridStore, daily: GridStore) -> list[tuple[int, int]]:
+    """Runs of neighbouring daily chunks that hold a day block of the batch."""
+    block = F.floor(ta.seconds_since("time", hourly.axis_start) / 86400).cast("int")
+    chunk = ta.chunk_index(block_label(hourly.axis_start, block), daily.spec)
+    runs: list[tuple[int, int]] = []
+    for c in sorted(int(r[0]) for r in batch.select(chunk).distinct().collect()):   # one row a chunk
+        if runs and runs[-1][1] == c - 1:
+            runs[-1] = runs[-1][0], c
+        else:
+            runs.append((c, c))
+    return runs
 
 
 def start_hourly_ingest(spark: SparkSession, source_dir: str, schema: StructType, hourly: GridStore,
@@ -39,13 +47,14 @@ def start_hourly_ingest(spark: SparkSession, source_dir: str, schema: StructType
     stream = reader.parquet(source_dir).select(*KEYS, *variables)
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        hourly.write_region(batch)
-        if daily is not None:
-            rng = _touched_daily_chunks(batch, daily)
-            if rng is not None:
-                daily_jobs.process_daily(hourly, daily, rng[0], rng[1])
+        batch = batch.persist()          # written and looked at: read from the source once
+        try:
+            hourly.write_region(batch, stage=False)
+            if daily is not None:
+                for first, last in _touched_daily_chunks(batch, hourly, daily):
+                    daily_jobs.process_daily(hourly, daily, first, last)
+        finally:
+            batch.unpersist()
 
     w = (stream.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-ckpt")))
