@@ -66,8 +66,15 @@ def drop_vars(df: DataFrame, names) -> DataFrame:
 
 
 # --- PF03 slice_by_index ------------------------------------------------------
-def slice_by_index(df: DataFrame, st: int, en: int, idx_col: str = "time_idx") -> DataFrame:
-    """Half-open positional slice ``st <= idx < en``."""
+def slice_by_index(df: DataFrame, st: int, en: int, idx_col: str = "time_idx", axis_start=None,
+                   step_seconds: int | None = None) -> DataFrame:
+    """Half-open positional slice ``st <= idx < en``.
+
+    On a regular axis whose start is given the bounds become literals on ``time``,
+    which reach the scan."""
+    if axis_start is not None:
+        at = lambda i: parse_base_date(axis_start) + _dt.timedelta(seconds=i * step_seconds)
+        return df.where((F.col("time") >= ta.ntz(at(st))) & (F.col("time") < ta.ntz(at(en))))
     return df.where((F.col(idx_col) >= st) & (F.col(idx_col) < en))
 
 
@@ -97,39 +104,47 @@ def slice_by_label(df: DataFrame, start_label: str, end_label: str,
 
 
 # --- JN02 locate_time ---------------------------------------------------------
-def locate_time(src: DataFrame, axis: DataFrame) -> DataFrame:
+def locate_time(src: DataFrame, axis: DataFrame, n_steps: int | None = None) -> DataFrame:
     """Attach the destination axis position to every source row.
 
-    Each distinct source time must occur exactly once on the axis; otherwise the
-    job fails (``raise_error`` inside the plan, no driver round trip).  The axis
-    is one row per step, so the distinct-time side is joined, never the grid
-    against a duplicated axis.
-    """
+    Each source time must occur exactly once on the axis; otherwise the job fails
+    (``raise_error`` inside the plan, no driver round trip).  The source is read
+    once; the axis has one row a step and is broadcast when it is small, so the many
+    rows of a step are never shuffled into one task.  ``n_steps`` (the axis length,
+    where it is known) saves counting it.  On a regular axis ``locate_regular``
+    needs no join."""
     from .joins import size_checked_broadcast
-    times = src.select("time").distinct()
-    ax = axis.select("time", "time_idx")
-    counted = ax.groupBy("time").agg(F.count("*").alias("n_axis"), F.min("time_idx").alias("time_idx"))
-    checked = (times.join(counted, "time", "left")
-               .select("time", F.when(F.col("n_axis") == 1, F.col("time_idx"))
-                       .otherwise(F.raise_error(F.concat(F.lit("time not on axis exactly once: "),
-                                                         F.col("time").cast("string"))))
-                       .cast("int").alias("time_idx")))
-    # one row per axis step at most: broadcast it when the axis is small, so the
-    # many rows of one time step are never shuffled into a single task
-    return src.join(size_checked_broadcast(checked, 24, n_rows=axis.count()), "time", "inner")
+    counted = axis.groupBy("time").agg(F.count("*").alias("_n"), F.min("time_idx").cast("int").alias("time_idx"))
+    j = src.join(size_checked_broadcast(counted, 24, n_rows=n_steps), "time", "left")
+    return _checked_time(j, F.coalesce(F.col("_n") == 1, F.lit(False)), "time not on axis exactly once: ").drop("_n")
+
+
+def locate_regular(src: DataFrame, axis_start, n_steps: int, step_seconds: int) -> DataFrame:
+    """Axis positions computed from ``time``: no join.  A time off the axis
+    (misaligned, before its start or after its end) fails the job in the plan."""
+    secs = ta.seconds_since("time", axis_start)
+    idx = F.floor(secs / F.lit(step_seconds)).cast("long")
+    ok = (F.pmod(secs, F.lit(step_seconds)) == 0) & (idx >= 0) & (idx < F.lit(n_steps))
+    return _checked_time(src.withColumn("time_idx", idx.cast("int")), ok, "time not on the store axis: ")
+
+
+def _checked_time(df: DataFrame, ok, message: str) -> DataFrame:
+    # the check sits on ``time`` itself, which every use keeps, so column pruning
+    # cannot drop it
+    checked = F.when(ok, F.col("time")).otherwise(F.raise_error(F.concat(F.lit(message), F.col("time").cast("string"))))
+    return df.withColumn("time", checked.cast("timestamp_ntz"))
 
 
 # --- JN05 axis_fill -----------------------------------------------------------
 def dense_view(grid: DataFrame, axis: DataFrame, ny: int, nx: int) -> DataFrame:
     """Every (step, cell) of the array; unwritten positions are NULL.
 
-    The dense index is generated from the axis by exploding the cell numbers of
-    each step (output-sized work, no cross join), then left-joined to the grid.
+    The dense index is generated from the axis by exploding the rows of cells of
+    each step, then the cells of each row (output-sized work, no cross join, arrays
+    no longer than a side), then left-joined to the grid.
     """
-    idx = (axis.select("time_idx", "time",
-                       F.explode(F.sequence(F.lit(0), F.lit(ny * nx - 1))).alias("cell"))
-           .select("time_idx", "time", (F.col("cell") / nx).cast("int").alias("y"),
-                   (F.col("cell") % nx).cast("int").alias("x")))
+    numbers = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    idx = axis.select("time_idx", "time", numbers(ny).alias("y")).select("time_idx", "time", "y", numbers(nx).alias("x"))
     return idx.join(grid, list(KEYS), "left")
 
 

@@ -46,20 +46,6 @@ def process_hourly(store, hourly: DataFrame, first_chunk: int | None = None, las
     store.write_region(df)
 
 
-def list_files(spark, root: str, pattern: str = "*/*") -> DataFrame:
-    """Paths of the hourly datasets under ``root`` matching ``pattern``.
-
-    One Hadoop ``globStatus`` call (a listing per directory level, as Spark's
-    own file index does) on any file system; only names are returned."""
-    jvm = spark._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{pattern}")
-    fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
-    statuses = fs.globStatus(hpath) or []
-    local = "://" not in root
-    paths = [st.getPath().toUri().getPath() if local else st.getPath().toString() for st in statuses]
-    return spark.createDataFrame([(p,) for p in paths], "path string")
-
-
 def process_hourly_files(spark, store, first_chunk: int, last_chunk: int, wrf_dir: str, template: str,
                          listing: DataFrame | None = None, metadata: DataFrame | None = None) -> None:
     """JB02 / JB12 from files: manifest of chunks ``first..last`` -> files that
@@ -73,10 +59,7 @@ def process_hourly_files(spark, store, first_chunk: int, last_chunk: int, wrf_di
     m = manifest.hourly_manifest(chunks, store.spec, wrf_dir, template)
     if listing is not None:
         m = manifest.verified_manifest(m, listing, wrf_dir, template)
-    paths = [r.path for r in m.orderBy("fdate").select("path").collect()]   # file names only
-    if not paths:
-        return
-    grid, _ = hourly_files.load_hourly_files(spark, paths, store.variables)
+    grid, _ = hourly_files.scan_manifest(spark, m, store.spec, first_chunk, last_chunk, wrf_dir, template, store.variables)
     if metadata is not None:
         updated = cat.overlay_metadata(cat.drop_attrs(store.catalog()), metadata)
         store.write_catalog(updated)
@@ -94,8 +77,9 @@ def create_hourly_from_files(spark, path: str, spec: GridSpec, chunk: int, end_d
     m = manifest.hourly_manifest(chunks, spec, wrf_dir, template)
     if listing is not None:
         m = manifest.verified_manifest(m, listing, wrf_dir, template)
-    paths = [r.path for r in m.orderBy("fdate").select("path").collect()]
-    grid, cells = hourly_files.load_hourly_files(spark, paths, variables, constants)
+    grid, cells = hourly_files.scan_manifest(spark, m, spec, chunk, chunk, wrf_dir, template, variables, constants)
     first = grid.agg(F.min("time")).collect()[0][0]                    # one scalar
+    if first is None:
+        raise ValueError(f"no hourly files of chunk {chunk} under {wrf_dir}")
     return GridStore.create(spark, path, spec, first, end_date, list(variables), catalog,
                             cells if constants else None)

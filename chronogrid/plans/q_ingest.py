@@ -95,15 +95,13 @@ def q_jn04(spark, sf_dir):
 def q_sr03(spark, sf_dir):
     """Write F1 as one dataset per hour, list the expected files of its chunks,
     keep those that exist and read them as one grid (constants from the first file)."""
-    from .hourly import list_files
-    from .q_store import HOURLY_TEMPLATE, hourly_files_of_f1
+    from .q_store import HOURLY_TEMPLATE, chunks_of, hourly_files_of_f1
     root = hourly_files_of_f1(spark, sf_dir)
     spec = fx.F1_SPEC
-    chunks = spark.range(0, 5).select(F.col("id").cast("int").alias("chunk"))
-    m = manifest.hourly_manifest(chunks, spec, root, HOURLY_TEMPLATE)
-    paths = [r.path for r in manifest.existing_files(m, list_files(spark, root)).orderBy("fdate")
-             .select("path").collect()]
-    grid, cells = hourly_files.load_hourly_files(spark, paths, ["T2D", "RAINRATE"], ["lat", "lon"])
+    lo, hi = chunks_of(f1(spark, sf_dir))
+    chunks = spark.range(lo, hi + 1).select(F.col("id").cast("int").alias("chunk"))
+    m = manifest.existing_files(manifest.hourly_manifest(chunks, spec, root, HOURLY_TEMPLATE), hourly_files.list_files(spark, root))
+    grid, cells = hourly_files.scan_manifest(spark, m, spec, lo, hi, root, HOURLY_TEMPLATE, ["T2D", "RAINRATE"], ["lat", "lon"])
     assert cells.count() == 4
     return grid
 

@@ -145,11 +145,11 @@ def q_sl03(spark, sf_dir):
 
 
 @register("WN02_head_per_group", """SELECT time, y, x, qty, price FROM (
-  SELECT *, row_number() OVER (PARTITION BY y ORDER BY time) AS rn FROM (
-    SELECT l_shipdate AS time, CAST(l_linenumber AS INTEGER) AS y, CAST(0 AS INTEGER) AS x, max(l_quantity) AS qty,
-           max(l_extendedprice) AS price FROM lineitem GROUP BY 1, 2)) WHERE rn <= 5""")
+  SELECT *, row_number() OVER (PARTITION BY y ORDER BY time, x) AS rn FROM (
+    SELECT l_shipdate AS time, CAST(l_linenumber AS INTEGER) AS y, CAST(l_partkey % 64 AS INTEGER) AS x, max(l_quantity) AS qty,
+           max(l_extendedprice) AS price FROM lineitem GROUP BY 1, 2, 3)) WHERE rn <= 5""")
 def q_wn02(spark, sf_dir):
-    return regions.head_per_group(fx.daily_grid(spark, sf_dir), "y", ["time"], 5)
+    return regions.head_per_group(fx.daily_grid(spark, sf_dir), "y", ["time", "x"], 5)
 
 
 PT = "STRUCT(x DOUBLE, y DOUBLE)"

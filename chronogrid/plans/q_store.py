@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..config import ChunkPlan, GridSpec
+from ..config import ChunkPlan, GridSpec, parse_base_date
 from ..functions import timeaxis as ta
 from ..operators import grid as gops
 from ..operators import layout
 from ..session import scratch_path
 from ..sources import fixtures as fx
+from ..sources import hourly_files
 from ..sources.gridstore import GridStore, catalog_frame
 from . import daily as daily_jobs
 from . import hourly as hourly_jobs
@@ -17,6 +18,7 @@ from .registry import F1_BASE, F1_SQL, daily_sql, f1, register
 
 SPEC = fx.F1_SPEC                        # hourly, base 2024-01-01 00h, chunk 144 h, 2 x 2 tiles
 END = fx.F1_END
+N_STEPS = int((parse_base_date(END) - SPEC.base).total_seconds()) // SPEC.step_seconds + 1
 DAILY_PLAN = ChunkPlan(6, 2, 2)          # 6-day daily chunks on the same base
 TILE_SPEC = GridSpec(SPEC.base_date, "hour", ChunkPlan(144, 1, 1))
 
@@ -106,7 +108,7 @@ def q_sr18(spark, sf_dir):
 @register("JN02_locate_time", f"""SELECT time, y, x, CAST(date_diff('hour', {F1_BASE}, time) AS INTEGER) AS time_idx FROM ({F1_SQL})""")
 def q_jn02(spark, sf_dir):
     axis = gops.make_axis(spark, SPEC.base_date, END, SPEC)
-    return gops.locate_time(f1(spark, sf_dir), axis).select("time", "y", "x", "time_idx")
+    return gops.locate_time(f1(spark, sf_dir), axis, N_STEPS).select("time", "y", "x", "time_idx")
 
 
 @register("JN05_axis_fill", f"""WITH ax AS ({AXIS_SQL}), c AS (SELECT * FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) t(y, x))
@@ -170,7 +172,15 @@ FROM d GROUP BY 1""")
 def q_sr21(spark, sf_dir):
     h = hourly_store(spark, sf_dir)
     d = daily_jobs.create_daily(spark, scratch_path(spark, "daily"), h, DAILY_PLAN)
-    return daily_jobs.process_daily(h, d, 0, 4)
+    daily_chunk = ta.chunk_index("time", d.spec)
+    seen = h.read([]).agg(F.min(daily_chunk).alias("lo"), F.max(daily_chunk).alias("hi")).collect()[0]   # two scalars
+    return daily_jobs.process_daily(h, d, seen["lo"], seen["hi"])
+
+
+def chunks_of(g):
+    """First and last hourly chunk with rows."""
+    seen = g.agg(F.min(ta.chunk_index("time", SPEC)).alias("lo"), F.max(ta.chunk_index("time", SPEC)).alias("hi")).collect()[0]
+    return seen["lo"], seen["hi"]
 
 
 HOURLY_TEMPLATE = "{wrf_dir}/wy_dir={wy_dir}/fname={fdate:%Y%m%d%H%M}.LDASIN_DOMAIN1"
@@ -178,7 +188,6 @@ HOURLY_TEMPLATE = "{wrf_dir}/wy_dir={wy_dir}/fname={fdate:%Y%m%d%H%M}.LDASIN_DOM
 
 def hourly_files_of_f1(spark, sf_dir):
     """F1 written as one dataset per hour (with two constants) under a scratch root."""
-    from ..sources import hourly_files
     root = scratch_path(spark, "hourly-files")
     g = f1(spark, sf_dir).withColumns({"lat": F.lit(40.0) + F.col("y"), "lon": F.lit(-100.0) + F.col("x"),
                                        "wy_dir": ta.water_year_dir("time"),
@@ -194,7 +203,7 @@ def q_jb01(spark, sf_dir):
     root = hourly_files_of_f1(spark, sf_dir)
     store = hourly_jobs.create_hourly_from_files(
         spark, scratch_path(spark, "create"), SPEC, 0, END, root, HOURLY_TEMPLATE, ["T2D", "RAINRATE"],
-        listing=hourly_jobs.list_files(spark, root), constants=("lat", "lon"))
+        listing=hourly_files.list_files(spark, root), constants=("lat", "lon"))
     assert store.cells().count() == 4
     s = layout.chunk_summary(store.axis(), store.read(with_chunks=True), 4)
     return s.select("time_chunk", "start_time", "end_time", "n_steps", "n_rows")
@@ -202,14 +211,14 @@ def q_jb01(spark, sf_dir):
 
 @register("JB02_process_hourly", f"SELECT time, y, x, T2D, RAINRATE FROM ({F1_SQL})")
 def q_jb02(spark, sf_dir):
-    """Hourly files of F1 -> verified manifest of chunks 0..4 -> scan ->
+    """Hourly files of F1 -> verified manifest of the data's chunks -> scan ->
     metadata on the catalog -> rechunked region write -> read back."""
     root = hourly_files_of_f1(spark, sf_dir)
     store = hourly_store(spark, sf_dir, load=False)
     meta = spark.createDataFrame([("T2D", "Temperature at 2 m", "air_temperature", "K", "x y")],
                                  "varname string, long_name string, standard_name string, units string, coordinates string")
-    hourly_jobs.process_hourly_files(spark, store, 0, 4, root, HOURLY_TEMPLATE,
-                                     listing=hourly_jobs.list_files(spark, root), metadata=meta)
+    hourly_jobs.process_hourly_files(spark, store, *chunks_of(f1(spark, sf_dir)), root, HOURLY_TEMPLATE,
+                                     listing=hourly_files.list_files(spark, root), metadata=meta)
     c = {r["varname"]: r for r in store.catalog().collect()}
     assert c["T2D"]["attrs"]["units"] == "K" and c["T2D"]["encoding"]["coordinates"] == "x y"
     return store.read()
@@ -282,8 +291,8 @@ def q_pf02(spark, sf_dir):
 
 @register("PF03_slice_by_index", f"SELECT time, y, x, T2D, RAINRATE, CAST(date_diff('hour', {F1_BASE}, time) AS INTEGER) AS time_idx FROM ({F1_SQL}) WHERE date_diff('hour', {F1_BASE}, time) >= 100 AND date_diff('hour', {F1_BASE}, time) < 400")
 def q_pf03(spark, sf_dir):
-    g = gops.locate_time(f1(spark, sf_dir), gops.make_axis(spark, SPEC.base_date, END, SPEC))
-    return gops.slice_by_index(g, 100, 400)
+    store = hourly_store(spark, sf_dir)
+    return store.locate(store.read(steps=(100, 400)))
 
 
 @register("PF04_slice_by_label", f"SELECT time, y, x, T2D, RAINRATE FROM ({F1_SQL}) WHERE time >= TIMESTAMP '2024-01-07 00:00:00' AND time < TIMESTAMP '2024-01-20 00:00:00'")
@@ -301,7 +310,7 @@ def q_st01(spark, sf_dir):
 @register("SL04_concat_order", f"SELECT time, y, x, T2D, RAINRATE, CAST(date_diff('hour', {F1_BASE}, time) AS INTEGER) AS time_idx FROM ({F1_SQL})")
 def q_sl04(spark, sf_dir):
     """Steps follow the axis order: an explicit ``time_idx`` replaces list order."""
-    g = gops.locate_time(f1(spark, sf_dir), gops.make_axis(spark, SPEC.base_date, END, SPEC))
+    g = gops.locate_regular(f1(spark, sf_dir), SPEC.base_date, N_STEPS, SPEC.step_seconds)
     return g.sortWithinPartitions("time_idx", "y", "x")
 
 
@@ -315,7 +324,6 @@ def q_jb02_stream(spark, sf_dir):
     """JB02 + JB04 run incrementally: hourly files of F1 are streamed into the
     hourly store (one micro-batch per group of files) and each batch updates
     the daily chunks it touched."""
-    from ..sources import hourly_files
     from ..streaming.hourly_ingest import start_hourly_ingest
     src = scratch_path(spark, "hourly-src")
     g = f1(spark, sf_dir).withColumns({"wy_dir": ta.water_year_dir("time"),

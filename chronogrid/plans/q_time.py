@@ -143,9 +143,9 @@ def q_sc13(spark, sf_dir):
                     ta.pad_index("chunk", 2).alias("chunk2"))
 
 
-@register("SC14_fixed_decimals", f"""SELECT time, y, printf('%.4f', qty) AS qty_txt, printf('%.4f', price) AS price_txt FROM ({F2_SQL})""")
+@register("SC14_fixed_decimals", f"""SELECT time, y, x, printf('%.4f', qty) AS qty_txt, printf('%.4f', price) AS price_txt FROM ({F2_SQL})""")
 def q_sc14(spark, sf_dir):
-    return fx.daily_grid(spark, sf_dir).select("time", "y", fv.fixed_decimals("qty").alias("qty_txt"),
+    return fx.daily_grid(spark, sf_dir).select("time", "y", "x", fv.fixed_decimals("qty").alias("qty_txt"),
                                               fv.fixed_decimals("price").alias("price_txt"))
 
 

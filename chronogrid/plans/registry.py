@@ -40,9 +40,9 @@ F1_NAN_SQL = """SELECT time, y, x, CASE WHEN isnan(T2D) THEN NULL ELSE T2D END A
          CAST(user_id % 2 AS INTEGER) AS x, max(v) AS T2D, min(v) AS RAINRATE
   FROM (SELECT *, CASE WHEN event_id % 97 = 0 THEN 'NaN'::DOUBLE ELSE value END AS v FROM events)
   GROUP BY 1, 2, 3)"""
-F2_SQL = """SELECT l_shipdate AS time, CAST(l_linenumber AS INTEGER) AS y, CAST(0 AS INTEGER) AS x,
+F2_SQL = """SELECT l_shipdate AS time, CAST(l_linenumber AS INTEGER) AS y, CAST(l_partkey % 64 AS INTEGER) AS x,
        max(l_quantity) AS qty, max(l_extendedprice) AS price
-FROM lineitem GROUP BY 1, 2"""
+FROM lineitem GROUP BY 1, 2, 3"""
 
 
 def daily_sql(src: str) -> str:

@@ -11,14 +11,15 @@ from pyspark.sql import functions as F
 
 from ..config import ChunkPlan, GridSpec
 from ..functions.values import mask_missing
+from ..operators.catalog import BUCKET_VARS
 
 # The fixture grids' axes and chunking.
 F1_SPEC = GridSpec("2024-01-01 00:00:00", "hour", ChunkPlan(144, 2, 2))
 F1_END = "2024-01-30 23:00:00"
 F1_SHAPE = (2, 2)
-F2_SPEC = GridSpec("1995-01-02 00:00:00", "day", ChunkPlan(36, 7, 1))
+F2_SPEC = GridSpec("1995-01-02 00:00:00", "day", ChunkPlan(36, 4, 16))
 F2_END = "2001-11-04 00:00:00"
-F2_SHAPE = (8, 1)
+F2_SHAPE = (8, 64)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,16 +45,16 @@ def hourly_grid(spark: SparkSession, sf_dir: str, plant_nan: bool = False, mask:
 
 
 def daily_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(time, y, x, qty, price)``: one row per ship day and line number."""
+    """``(time, y, x, qty, price)``: one row per ship day, line number and 64th of
+    the parts.  Seven by 64 cells over seven years: rows grow with ``lineitem``."""
     li = table(spark, sf_dir, "lineitem")
-    return (li.groupBy(F.col("l_shipdate").alias("time"), F.col("l_linenumber").cast("int").alias("y"))
-            .agg(F.max("l_quantity").alias("qty"), F.max("l_extendedprice").alias("price"))
-            .select("time", "y", F.lit(0).cast("int").alias("x"), "qty", "price"))
+    return (li.groupBy(F.col("l_shipdate").alias("time"), F.col("l_linenumber").cast("int").alias("y"),
+                       (F.col("l_partkey") % 64).cast("int").alias("x"))
+            .agg(F.max("l_quantity").alias("qty"), F.max("l_extendedprice").alias("price")))
 
 
-# Names given to the first five users of the derived catalog
-# (the bucket variables of the accumulation classes).
-BUCKET_NAMES = ("I_ACLWDNB", "I_ACLWUPB", "I_ACSWDNB", "I_ACSWDNT", "I_ACSWUPB")
+# Names given to the first users of the derived catalog: five bucket variables.
+BUCKET_NAMES = BUCKET_VARS[:5]
 
 
 def _user_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,6 +15,7 @@ group of files and a region write replaces whole partitions.
 
 from __future__ import annotations
 
+import datetime as _dt
 import json
 
 from pyspark.sql import DataFrame, SparkSession
@@ -131,14 +132,16 @@ class GridStore:
     # ------------------------------------------------------------------ SR05
     def read(self, variables=None, start=None, end=None, chunks: tuple[int, int] | None = None,
              with_chunks: bool = False, with_attrs: bool = False,
-             y_range: tuple[int, int] | None = None, x_range: tuple[int, int] | None = None) -> DataFrame:
+             y_range: tuple[int, int] | None = None, x_range: tuple[int, int] | None = None,
+             steps: tuple[int, int] | None = None) -> DataFrame:
         """Lazy scan with the explicit schema.
 
         ``start``/``end`` (inclusive labels) become range predicates on raw
         ``time`` *and* a ``time_chunk BETWEEN`` partition filter, since Spark
         does not derive the latter itself.  ``y_range``/``x_range`` (inclusive
         cell indices) filter the clustering columns and the cell keys; both are
-        pushed to Parquet, whose row-group statistics skip other tiles."""
+        pushed to Parquet, whose row-group statistics skip other tiles.  ``steps``
+        (half-open axis positions) is turned into such times."""
         df = self.spark.read.schema(self.schema).option("mergeSchema", "false").parquet(f"{self.path}/grid")
         plan = self.spec.plan
         for col, chunk_col, size, rng in (("y", "y_chunk", plan.y, y_range), ("x", "x_chunk", plan.x, x_range)):
@@ -147,6 +150,11 @@ class GridStore:
                 df = df.where(F.col(chunk_col).between(lo // size, hi // size) & F.col(col).between(lo, hi))
         if chunks is not None:
             df = df.where(F.col("time_chunk").between(int(chunks[0]), int(chunks[1])))
+        if steps is not None:
+            first = parse_base_date(self.axis_start)
+            step = _dt.timedelta(seconds=self.spec.step_seconds)
+            df = gops.slice_by_label(df, (first + steps[0] * step).strftime("%Y-%m-%d %H:%M:%S"),
+                                     (first + (steps[1] - 1) * step).strftime("%Y-%m-%d %H:%M:%S"), self.spec)
         if start is not None or end is not None:
             s = start or "0001-01-01"
             e = end or "9999-12-30"
@@ -204,17 +212,8 @@ class GridStore:
             remove_path(self.spark, staged)
 
     def locate(self, df: DataFrame) -> DataFrame:
-        """Axis position of each row, computed (the axis is regular): no join.
-        A time off the axis (misaligned, before its start or after its end)
-        fails the job from inside the plan."""
-        secs = ta.seconds_since("time", self.axis_start)
-        idx = F.floor(secs / F.lit(self.spec.step_seconds)).cast("long")
-        ok = (F.pmod(secs, F.lit(self.spec.step_seconds)) == 0) & (idx >= 0) & (idx < F.lit(self.n_steps))
-        # the check sits on ``time`` itself, which every write keeps, so column
-        # pruning cannot drop it
-        checked = F.when(ok, F.col("time")).otherwise(
-            F.raise_error(F.concat(F.lit("time not on the store axis: "), F.col("time").cast("string"))))
-        return df.withColumn("time_idx", idx.cast("int")).withColumn("time", checked.cast("timestamp_ntz"))
+        """Axis position of each row; a time off the axis fails the job."""
+        return gops.locate_regular(df, self.axis_start, self.n_steps, self.spec.step_seconds)
 
     def _write_partitions(self, df: DataFrame) -> None:
         (df.sortWithinPartitions("time_chunk", "y_chunk", "x_chunk", "time", "y", "x")

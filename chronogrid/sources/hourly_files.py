@@ -6,12 +6,17 @@ is the time order, made explicit by ``time``."""
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..config import GridSpec
+from ..functions import timeaxis as ta
 from ..functions.values import mask_missing
 from ..operators.grid import KEYS
+from ..operators.joins import size_checked_broadcast
 
 
 def hourly_schema(variables, constants=()) -> T.StructType:
@@ -34,6 +39,51 @@ def write_hourly_files(df: DataFrame, root: str, wy_col: str = "wy_dir", name_co
      .write.mode("overwrite").partitionBy(wy_col, name_col).parquet(root))
 
 
+def plain_path(path) -> F.Column:
+    """A path as manifests write it: local ones without their scheme."""
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
+def folder_of(path) -> F.Column:
+    return F.regexp_extract(path, "^(.*)/[^/]*$", 1)
+
+
+def list_files(spark: SparkSession, root: str) -> DataFrame:
+    """Paths of the hourly datasets under ``root`` (folders of data files), from Spark's file index."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    return files.select(folder_of(plain_path(F.col("path"))).alias("path")).distinct()
+
+
+def year_folders(template: str, wrf_dir: str, first: _dt.datetime, last: _dt.datetime) -> str:
+    """Glob of the water-year folders that files of ``first..last`` may lie in (October 1 also a year early)."""
+    years = range(first.year, last.year + 2)
+    head, _, tail = template.partition("{wy_dir}")
+    folder = head + "{" + ",".join(f"WY{y}" for y in years) + "}" + tail.partition("/")[0]
+    return folder.replace("{wrf_dir}", wrf_dir)
+
+
+def scan_manifest(spark: SparkSession, manifest: DataFrame, spec: GridSpec, first_chunk: int, last_chunk: int,
+                  wrf_dir: str, template: str, variables, constants=()) -> tuple[DataFrame, DataFrame]:
+    """SR03 within the plan: the rows of the files in ``manifest(path)``, and the constants per cell.
+
+    The folders of the chunks' water years are one scan; the chunks' time range is
+    pushed to the files, and rows of files that the manifest lacks are dropped by a
+    join on the path.  No path reaches the driver, however many files there are."""
+    first = spec.base + _dt.timedelta(seconds=first_chunk * spec.chunk_seconds)
+    end = spec.base + _dt.timedelta(seconds=(last_chunk + 1) * spec.chunk_seconds)
+    schema = hourly_schema(variables, constants)
+    df = (spark.read.schema(schema).option("mergeSchema", "false").option("recursiveFileLookup", "true")
+          .parquet(year_folders(template, wrf_dir, first, end)))
+    path = plain_path(F.col("_metadata.file_path"))
+    df = df.where((F.col("time") >= ta.ntz(first)) & (F.col("time") < ta.ntz(end))).select(
+        *schema.names, (path if template.endswith(".parquet") else folder_of(path)).alias("path"))
+    wanted = manifest.select(plain_path(F.col("path")).alias("path"))
+    # one path an hour of the chunks asked for
+    hours = (last_chunk - first_chunk + 1) * spec.plan.time
+    df = df.join(size_checked_broadcast(wanted, 256, n_rows=hours), "path", "left_semi")
+    return _split(df, variables, constants)
+
+
 def load_hourly_files(spark: SparkSession, paths: list[str], variables, constants=()) -> tuple[DataFrame, DataFrame]:
     """Time-varying rows from all ``paths`` (explicit schema, no schema merge)
     and the constant variables per cell.
@@ -46,7 +96,10 @@ def load_hourly_files(spark: SparkSession, paths: list[str], variables, constant
     if not paths:
         raise ValueError("no hourly files")
     schema = hourly_schema(variables, constants)
-    df = spark.read.schema(schema).option("mergeSchema", "false").parquet(*paths)
+    return _split(spark.read.schema(schema).option("mergeSchema", "false").parquet(*paths), variables, constants)
+
+
+def _split(df: DataFrame, variables, constants) -> tuple[DataFrame, DataFrame]:
     grid = mask_missing(df.select(*KEYS, *variables), variables)
     if not constants:
         return grid, df.select("y", "x").distinct()

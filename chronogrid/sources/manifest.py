@@ -48,27 +48,24 @@ def verified_manifest(manifest: DataFrame, listing: DataFrame, wrf_dir: str,
     hours of that day are dropped (the reference stops the day there).  Any
     other missing file is skipped.
 
-    Only the 24 hours of each October 1 need the fallback logic; every other
-    hour is one semi join against the listing, so the extra paths and joins
-    are built for 24 rows a year, not for the whole manifest."""
-    present = listing.select("path").distinct().withColumn("_e", F.lit(True))
+    An hour has one candidate path, on October 1 three (its own, that of the year
+    before, and the first of the day): all meet the listing in one join, and what was
+    found is put together per hour."""
     oct1 = (F.month("cdate") == 10) & (F.dayofmonth("cdate") == 1)
-    plain = (manifest.where(~oct1).join(listing.select("path"), "path", "left_semi")
-             .select("chunk", "fdate", "path"))
     alt_dir = F.concat(F.lit("WY"), F.year("cdate").cast("string"))
     day00 = ta.add_interval("cdate", hours=0)
-    m = (manifest.where(oct1)
-         .withColumn("alt_path", manifest_path(template, wrf_dir, alt_dir, "fdate"))
-         .withColumn("day00_path", manifest_path(template, wrf_dir, ta.water_year_dir("cdate"), day00)))
-    m = (m.join(present, "path", "left").withColumnRenamed("_e", "exists")
-         .join(present.withColumnRenamed("path", "alt_path"), "alt_path", "left").withColumnRenamed("_e", "alt_exists")
-         .join(present.withColumnRenamed("path", "day00_path"), "day00_path", "left")
-         .withColumnRenamed("_e", "day00_exists"))
-    broken_day = F.col("day00_exists").isNull()
-    kept_path = (F.when(~broken_day & F.col("exists").isNotNull(), F.col("path"))
-                 .when(broken_day & (F.col("hour") == 0) & F.col("alt_exists").isNotNull(), F.col("alt_path")))
-    boundary = m.select("chunk", "fdate", kept_path.alias("path")).where(F.col("path").isNotNull())
-    return plain.unionByName(boundary)
+    candidate = lambda kind, path: F.struct(F.lit(kind).alias("kind"), path.alias("path"))
+    own = candidate("own", F.col("path"))
+    boundary = F.array(own, candidate("alt", manifest_path(template, wrf_dir, alt_dir, "fdate")),
+                       candidate("day00", manifest_path(template, wrf_dir, ta.water_year_dir("cdate"), day00)))
+    found = (manifest.select("chunk", "fdate", "hour", oct1.alias("oct1"), F.explode(F.when(oct1, boundary).otherwise(F.array(own))).alias("c"))
+             .select("chunk", "fdate", "hour", "oct1", "c.kind", "c.path")
+             .join(listing.select("path"), "path", "left_semi"))
+    of = {k: F.max(F.when(F.col("kind") == k, F.col("path"))) for k in ("own", "alt", "day00")}
+    kept_path = (F.when(~F.col("oct1"), of["own"]).when(of["day00"].isNotNull(), of["own"])
+                 .when(F.col("hour") == 0, of["alt"]))
+    return (found.groupBy("chunk", "fdate", "hour", "oct1").agg(kept_path.alias("path"))
+            .where("path IS NOT NULL").select("chunk", "fdate", "path"))
 
 
 def existing_files(manifest: DataFrame, listing: DataFrame) -> DataFrame:

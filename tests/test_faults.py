@@ -68,6 +68,15 @@ def test_stream_of_an_hour_in_two_files(spark):
     assert rows_of(d.read(["T2MAX", "T2MIN"])) == [(DAY0, 0, 0, 23.0, 0.0), (DAY0, 0, 1, 24.0, 1.0)]
 
 
+def test_steps_reach_the_scan(spark):
+    st = store(spark, "2024-01-02 23:00:00")
+    st.write_region(grid(spark, [(t, 0, 0, 1.0, 1.0) for t in hours(48)]))
+    part = st.read(steps=(30, 40))
+    assert [r.time_idx for r in st.locate(part).orderBy("time").collect()] == list(range(30, 40))
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(time," in plan and "PartitionFilters: [isnotnull(time_chunk" in plan
+
+
 def test_created_again_a_store_is_empty(spark):
     st = store(spark, "2024-01-01 23:00:00", cells=spark.createDataFrame([(0, 0)], "y int, x int"))
     st.write_region(grid(spark, [(t, 0, 0, 1.0, 1.0) for t in hours(24)]))
