@@ -171,67 +171,108 @@ def read_array_meta(store: str) -> dict:
     return json.loads(raw)["metadata"]
 
 
+class _Chunks:
+    """How the chunks of one array are decoded, from its own metadata."""
+
+    def __init__(self, doc: dict):
+        self.shape, self.chunks = tuple(doc["shape"]), tuple(doc["chunks"])
+        self.dtype, self.order = np.dtype(doc["dtype"]), doc.get("order", "C")
+        fill = doc.get("fill_value")
+        self.fill = None if fill is None else float(fill)          # "NaN" and infinities included
+        self.codec = (doc.get("compressor") or {"id": None})["id"]
+        if doc.get("filters") or self.codec not in (None, "zstd", "zlib", "gzip"):
+            raise ValueError(f"cannot decode filters {doc.get('filters')} or compressor {self.codec}")
+
+    def decode(self, raw: bytes | None) -> np.ndarray:
+        """One chunk as doubles; the fill value, and an absent chunk, are NaN."""
+        if raw is None:
+            return np.full(self.chunks, np.nan)
+        size = int(np.prod(self.chunks)) * self.dtype.itemsize
+        if self.codec == "zstd":
+            import zstandard
+            raw = zstandard.ZstdDecompressor().decompress(raw, max_output_size=size)
+        elif self.codec:
+            import zlib
+            raw = zlib.decompress(raw, wbits=47)                    # zlib and gzip headers
+        if len(raw) != size:
+            raise ValueError(f"a chunk holds {len(raw)} bytes, {size} expected")
+        stored = np.frombuffer(raw, self.dtype).reshape(self.chunks, order=self.order)
+        values = stored.astype(np.float64)
+        if self.fill is not None and not np.isnan(self.fill):
+            values[stored == np.array(self.fill).astype(self.dtype)] = np.nan
+        return values
+
+
+#: Decoded bytes of the tiles of one import task.
+TASK_BYTES = 128 * 1024 * 1024
+
+
 def import_array_store(spark: SparkSession, store: str, variables=None,
                        idx_names=("time_idx", "y", "x"), keep_missing: bool = True,
                        rows_per_frame: int = 100_000) -> DataFrame:
     """Rows ``(time_idx, y, x, vars...)`` of a chunked store.
 
-    Chunk keys are generated by Spark from the (small) metadata and spread over
-    tasks; each task reads and decodes its tiles.  Fill values become NULL.
-    Positions beyond the array shape (edge padding) are dropped."""
+    Every variable is decoded by its own metadata: element type, fill value, order,
+    compressor, shape and chunks.  Chunk keys are generated by Spark from the (small)
+    metadata and spread over tasks by the bytes they decode to; each task reads and
+    decodes its tiles.  Fill values and absent chunks become NULL; a chunk that can't
+    be read or decoded fails the job.  Positions beyond the array shape (edge
+    padding) are dropped.  Variables of different shapes or chunks are read as frames
+    of their own and joined on the position."""
     meta = read_array_meta(store)
     if variables is None:
         variables = sorted(k.split("/")[0] for k in meta if k.endswith("/.zarray")
                            and len(meta[k]["shape"]) == 3)
-    z = meta[f"{variables[0]}/.zarray"]
-    shape, chunks = z["shape"], z["chunks"]
+    arrays = {v: _Chunks(meta[f"{v}/.zarray"]) for v in variables}
+    alike: dict[tuple, list[str]] = {}
+    for v in variables:
+        alike.setdefault((arrays[v].shape, arrays[v].chunks), []).append(v)
+    names = list(idx_names)
+    frames = [_import_alike(spark, store, {v: arrays[v] for v in group}, names, keep_missing, rows_per_frame)
+              for group in alike.values()]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.join(f, names, "full")
+    return out.select(*names, *variables)
+
+
+def _import_alike(spark: SparkSession, store: str, arrays: dict[str, _Chunks], names: list[str], keep_missing: bool,
+                  rows_per_frame: int) -> DataFrame:
+    """Variables of one shape and chunking as one frame."""
+    variables = list(arrays)
+    shape, chunks = arrays[variables[0]].shape, arrays[variables[0]].chunks
     n = [-(-s // c) for s, c in zip(shape, chunks)]
     total = n[0] * n[1] * n[2]
-    keys = (spark.range(total, numPartitions=max(1, min(total, spark.sparkContext.defaultParallelism * 4)))
+    ct, cy, cx = chunks
+    by_bytes = -(-total * ct * cy * cx * 8 * len(variables) // TASK_BYTES)
+    keys = (spark.range(total, numPartitions=max(1, min(total, max(by_bytes, spark.sparkContext.defaultParallelism))))
             .select((F.col("id") / (n[1] * n[2])).cast("int").alias("tc"),
                     ((F.col("id") / n[2]).cast("long") % n[1]).cast("int").alias("yc"),
                     (F.col("id") % n[2]).cast("int").alias("xc")))
-    names = list(idx_names)
-    schema = T.StructType([T.StructField(names[0], T.IntegerType()), T.StructField(names[1], T.IntegerType()),
-                           T.StructField(names[2], T.IntegerType())]
-                          + [T.StructField(v, T.DoubleType()) for v in variables])
-    ct, cy, cx = chunks
+    schema = T.StructType([T.StructField(k, T.IntegerType()) for k in names] + [T.StructField(v, T.DoubleType()) for v in variables])
 
     # a tile is decoded once, then emitted in slices of whole time steps of
     # about ``rows_per_frame`` rows, so no frame holds the full tile
     steps_per_frame = max(1, rows_per_frame // (cy * cx))
 
     def read_tiles(batches):
-        import zstandard
-        d = zstandard.ZstdDecompressor()
         for pdf in batches:
             for tc, yc, xc in zip(pdf["tc"], pdf["yc"], pdf["xc"]):
-                arrays = {}
-                for v in variables:
-                    raw = _read_bytes(f"{store}/{v}/{tc}.{yc}.{xc}")
-                    arrays[v] = (None if raw is None else np.frombuffer(
-                        d.decompress(raw, max_output_size=ct * cy * cx * 8), dtype=DTYPE).reshape(ct, cy, cx))
+                decoded = {v: a.decode(_read_bytes(f"{store}/{v}/{tc}.{yc}.{xc}")) for v, a in arrays.items()}
                 y = np.arange(cy) + yc * cy
                 x = np.arange(cx) + xc * cx
                 for t0 in range(0, ct, steps_per_frame):
                     t = np.arange(t0, min(ct, t0 + steps_per_frame)) + tc * ct
                     tt, yy, xx = np.meshgrid(t, y, x, indexing="ij")
                     inside = (tt < shape[0]) & (yy < shape[1]) & (xx < shape[2])
-                    n = int(inside.sum())
-                    if n == 0:
+                    if not inside.any():
                         continue
-                    cols = {names[0]: tt[inside].astype(np.int32), names[1]: yy[inside].astype(np.int32),
-                            names[2]: xx[inside].astype(np.int32)}
-                    any_value = np.zeros(n, dtype=bool)
-                    sl = slice(t0, t0 + len(t))
+                    cols = {k: i[inside].astype(np.int32) for k, i in zip(names, (tt, yy, xx))}
                     for v in variables:
-                        vals = (np.full(n, np.nan) if arrays[v] is None
-                                else arrays[v][sl][inside].astype(np.float64))
-                        any_value |= ~np.isnan(vals)
-                        cols[v] = vals
+                        cols[v] = decoded[v][t0:t0 + len(t)][inside]
                     out = pd.DataFrame(cols)
                     if not keep_missing:
-                        out = out[any_value]
+                        out = out[out[variables].notna().any(axis=1)]
                     for v in variables:
                         out[v] = out[v].astype("float64").where(out[v].notna(), None)
                     yield out

@@ -221,6 +221,41 @@ def test_only_absent_chunks_are_fill(spark, tmp_path):
         arraystore.import_array_store(spark, path, ["v"]).collect()
 
 
+def test_each_array_is_read_by_its_own_metadata(spark, tmp_path):
+    import gzip
+    import json
+    import zlib
+
+    import numpy as np
+    import zstandard
+    rng = np.random.default_rng(1)
+    kinds = {"a": ("<f8", (3, 2, 2), "C", "NaN", "zstd"), "b": ("<i2", (2, 3, 4), "F", -32768, "zlib"),
+             "c": (">f4", (5, 3, 4), "C", None, None), "d": ("<i4", (2, 3, 4), "C", -1, "gzip")}
+    shape, truth, meta = (5, 3, 4), {}, {}
+    pack = {"zstd": lambda b: zstandard.ZstdCompressor().compress(b), "zlib": zlib.compress, "gzip": gzip.compress, None: bytes}
+    for v, (dtype, chunks, order, fill, codec) in kinds.items():
+        truth[v] = values = rng.integers(0, 100, shape).astype(dtype)
+        if fill not in (None, "NaN"):
+            values[0, 0, :2] = fill
+        meta[f"{v}/.zarray"] = {"shape": shape, "chunks": chunks, "dtype": dtype, "order": order, "fill_value": fill,
+                                "compressor": codec and {"id": codec}, "filters": None, "zarr_format": 2}
+        (tmp_path / v).mkdir()
+        for t in range(0, 5, chunks[0]):
+            for y in range(0, 3, chunks[1]):
+                for x in range(0, 4, chunks[2]):
+                    full = np.zeros(chunks, dtype)
+                    part = values[t:t + chunks[0], y:y + chunks[1], x:x + chunks[2]]
+                    full[tuple(slice(k) for k in part.shape)] = part
+                    (tmp_path / v / f"{t // chunks[0]}.{y // chunks[1]}.{x // chunks[2]}").write_bytes(pack[codec](full.tobytes(order)))
+    (tmp_path / ".zmetadata").write_text(json.dumps({"metadata": meta}))
+    got = {(r.time_idx, r.y, r.x): r for r in arraystore.import_array_store(spark, str(tmp_path)).collect()}
+    assert len(got) == 60
+    for at in np.ndindex(*shape):
+        for v, (_, _, _, fill, _) in kinds.items():
+            want = float(truth[v][at])
+            assert got[at][v] == (None if want == fill else want)
+
+
 @pytest.mark.parametrize("position", [(4, 0, 0), (-1, 0, 0), (0, 1, 0), (0, 0, None)])
 def test_positions_outside_the_shape_are_refused(spark, tmp_path, position):
     g = spark.createDataFrame([(0, 0, 0, 1.0), (*position, 2.0)], "time_idx int, y int, x int, v double")
