@@ -196,15 +196,30 @@ def hourly_files_of_f1(spark, sf_dir):
     return root
 
 
+def f1_files(spark):
+    """Description of the hourly files of F1: a variable list, metadata, attributes to
+    drop, two constants and the scalar that names the projection."""
+    tyx, yx = ["time", "y", "x"], ["y", "x"]
+    file_catalog = catalog_frame(spark, [
+        ("T2D", tyx, {"long_name": "t2", "proj4": "+proj=lcc"}, {}), ("RAINRATE", tyx, {"units": "mm s-1"}, {}),
+        ("lat", yx, {"units": "degrees_north"}, {}), ("lon", yx, {"units": "degrees_east"}, {}),
+        ("crs", [], {"grid_mapping_name": "lambert_conformal_conic"}, {}), ("UNLISTED", tyx, {}, {})])
+    listed = spark.createDataFrame([(v,) for v in ("T2D", "RAINRATE", "lat", "lon", "crs")], "variable string")
+    meta = spark.createDataFrame([("T2D", "Temperature at 2 m", "air_temperature", "K", "x y")],
+                                 "varname string, long_name string, standard_name string, units string, coordinates string")
+    return hourly_jobs.describe_files(file_catalog, listed, metadata=meta)
+
+
 @register("JB01_create_hourly", f"""WITH ax AS (SELECT CAST(row_number() OVER (ORDER BY time) - 1 AS INTEGER) AS time_idx, time, {chunk_sql()} AS time_chunk
   FROM (SELECT unnest(generate_series((SELECT min(date_trunc('hour', ts)) FROM events), TIMESTAMP '{END}', INTERVAL 1 HOUR)) AS time))
 SELECT time_chunk, min(time) AS start_time, max(time) AS end_time, count(*) AS n_steps, CAST(0 AS BIGINT) AS n_rows FROM ax GROUP BY 1""")
 def q_jb01(spark, sf_dir):
     root = hourly_files_of_f1(spark, sf_dir)
     store = hourly_jobs.create_hourly_from_files(
-        spark, scratch_path(spark, "create"), SPEC, 0, END, root, HOURLY_TEMPLATE, ["T2D", "RAINRATE"],
-        listing=hourly_files.list_files(spark, root), constants=("lat", "lon"))
-    assert store.cells().count() == 4
+        spark, scratch_path(spark, "create"), SPEC, chunks_of(f1(spark, sf_dir))[0], END, root, HOURLY_TEMPLATE,
+        f1_files(spark), listing=hourly_files.list_files(spark, root))
+    assert store.cells().columns == ["y", "x", "lat", "lon"] and store.variables == ["RAINRATE", "T2D"]
+    assert {r.varname for r in store.catalog().collect()} == {"T2D", "RAINRATE", "lat", "lon", "crs"}
     s = layout.chunk_summary(store.axis(), store.read(with_chunks=True), 4)
     return s.select("time_chunk", "start_time", "end_time", "n_steps", "n_rows")
 
@@ -215,10 +230,8 @@ def q_jb02(spark, sf_dir):
     metadata on the catalog -> rechunked region write -> read back."""
     root = hourly_files_of_f1(spark, sf_dir)
     store = hourly_store(spark, sf_dir, load=False)
-    meta = spark.createDataFrame([("T2D", "Temperature at 2 m", "air_temperature", "K", "x y")],
-                                 "varname string, long_name string, standard_name string, units string, coordinates string")
-    hourly_jobs.process_hourly_files(spark, store, *chunks_of(f1(spark, sf_dir)), root, HOURLY_TEMPLATE,
-                                     listing=hourly_files.list_files(spark, root), metadata=meta)
+    hourly_jobs.process_hourly_files(spark, store, *chunks_of(f1(spark, sf_dir)), root, HOURLY_TEMPLATE, f1_files(spark),
+                                     listing=hourly_files.list_files(spark, root))
     c = {r["varname"]: r for r in store.catalog().collect()}
     assert c["T2D"]["attrs"]["units"] == "K" and c["T2D"]["encoding"]["coordinates"] == "x y"
     return store.read()

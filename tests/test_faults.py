@@ -119,6 +119,30 @@ def test_nan_is_missing_in_the_store_and_the_day(spark):
     assert read.where("T2D IS NULL").count() == 1
 
 
+def test_files_are_unpacked_renamed_and_classed(spark):
+    from chronogrid.plans import hourly as jobs
+    from chronogrid.sources.gridstore import catalog_frame
+    root = scratch_path(spark, "t-described")
+    raw = [(t, 0, x, -9999.0 if (h, x) == (3, 1) else 100.0 + h, 7.0 + x, 1.0) for h, t in enumerate(hours(24)) for x in (0, 1)]
+    df = spark.createDataFrame(raw, "time timestamp_ntz, y int, x int, T2 double, lat double, JUNK double")
+    hourly_files.write_hourly_files(df.withColumns({"wy_dir": F.lit("WY2024"), "fname": F.date_format("time", "yyyyMMddHHmm")}), root, n_writers=2)
+    cat = catalog_frame(spark, [("T2", ["time", "y", "x"], {"proj4": "p"}, {"scale_factor": "0.5", "add_offset": "10", "_FillValue": "-9999"}),
+                                ("lat", ["y", "x"], {}, {}), ("crs", [], {"a": "b"}, {}), ("JUNK", ["time", "y", "x"], {}, {})])
+    files = jobs.describe_files(cat, spark.createDataFrame([("T2",), ("lat",), ("crs",)], "variable string"), {"T2": "T2D"})
+    assert files.variables == {"T2": "T2D"} and files.constants == {"lat": "lat"}
+    template = "{wrf_dir}/wy_dir={wy_dir}/fname={fdate:%Y%m%d%H%M}"
+    spec = GridSpec("2024-01-01 00:00:00", "hour", ChunkPlan(24, 1, 1))
+    st = jobs.create_hourly_from_files(spark, scratch_path(spark, "t-described-store"), spec, 0, "2024-01-01 23:00:00", root, template, files)
+    assert rows_of(st.cells()) == [(0, 0, 7.0), (0, 1, 8.0)] and st.read().count() == 0
+    jobs.process_hourly_files(spark, st, 0, 0, root, template, files, listing=hourly_files.list_files(spark, root))
+    got = {(r.time.hour, r.x): r.T2D for r in st.read().collect()}
+    assert got == {(h, x): None if (h, x) == (3, 1) else 60.0 + 0.5 * h for h in range(24) for x in (0, 1)}
+    described = {r.varname: r for r in st.catalog().collect()}
+    assert set(described) == {"T2D", "lat", "crs"} and described["T2D"].attrs == {} and described["T2D"].encoding == {}
+    with pytest.raises(KeyError):
+        jobs.describe_files(cat, rename_vars={"absent": "x"})
+
+
 def test_an_absent_cell_is_missing_from_a_polygon(spark):
     w = spark.createDataFrame([(1, 0, 0, 0.5), (1, 0, 1, 0.5)], "poly_id long, y int, x int, w double")
     g = grid(spark, [(DAY0, 0, 0, 10.0, 1.0), (DAY0 + dt.timedelta(1), 0, 0, 10.0, 1.0), (DAY0 + dt.timedelta(1), 0, 1, 20.0, None)])
