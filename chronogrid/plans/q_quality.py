@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import timeaxis as ta
 from ..operators import quality as qa
+from ..session import materialise
 from ..sources import fixtures as fx
 from .registry import F1_SQL, F2_SQL, f1, register
 
@@ -23,6 +24,11 @@ def f1_axis(g):
     return days.select(F.explode(ta.date_range(F.col("d"), ta.add_interval("d", hours=23), "hour")).alias("time"))
 
 
+def f2_grid(spark, sf_dir):
+    """F2 written once: the axis, the number of cells and the checks read it from there."""
+    return materialise(fx.daily_grid(spark, sf_dir), "f2")
+
+
 def n_cells(g):
     return g.select("y", "x").distinct().select(F.count("*")).scalar()
 
@@ -51,7 +57,7 @@ LEFT JOIN lg ON lg.year = s.year AND lg.variable = v.variable"""
 
 
 def yearly(spark, sf_dir):
-    g = fx.daily_grid(spark, sf_dir)
+    g = f2_grid(spark, sf_dir)
     return qa.yearly_range(g, f2_axis(g), n_cells(g), ["qty", "price"])
 
 
@@ -94,7 +100,7 @@ SELECT * FROM mm WHERE max_missing > 0"""
 
 
 def maxmiss(spark, sf_dir):
-    g = fx.daily_grid(spark, sf_dir)
+    g = f2_grid(spark, sf_dir)
     return qa.max_missing(g, f2_axis(g), n_cells(g), ["qty", "price"])
 
 
@@ -111,7 +117,7 @@ SELECT variable, year, y, x, n_steps - coalesce(CASE variable WHEN 'T2D' THEN n_
 FROM dense LEFT JOIN pc USING (year, y, x)
 WHERE n_steps - coalesce(CASE variable WHEN 'T2D' THEN n_t ELSE n_r END, 0) > 0""")
 def q_pf14(spark, sf_dir):
-    g = f1(spark, sf_dir)
+    g = materialise(f1(spark, sf_dir), "f1")
     cells = g.select("y", "x").distinct()
     per_cell = qa.missing_per_cell(g, f1_axis(g), cells, ["T2D", "RAINRATE"])
     return qa.where_positive(per_cell, "n_missing")
@@ -133,7 +139,7 @@ def q_sr20(spark, sf_dir):
 SELECT variable, year, printf('%.4f', min_value) AS min_txt, printf('%.4f', max_value) AS max_txt FROM y""")
 def q_jb08(spark, sf_dir):
     from .checks import check_min_max
-    g = fx.daily_grid(spark, sf_dir)
+    g = f2_grid(spark, sf_dir)
     return check_min_max(g, f2_axis(g), n_cells(g), ["qty", "price"])
 
 
@@ -149,5 +155,5 @@ SELECT variable AS "Variable", CAST(year AS VARCHAR) AS "Year", CAST(max_missing
 FROM mm WHERE max_missing > 0""")
 def q_jb09(spark, sf_dir):
     from .checks import check_missing
-    g = f1(spark, sf_dir)
+    g = materialise(f1(spark, sf_dir), "f1")
     return check_missing(g, f1_axis(g), n_cells(g), None)
