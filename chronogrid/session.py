@@ -11,18 +11,21 @@ import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows go to Python in batches of bounded size: texts can be very long.
+ARROW_CONF = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 * 1024 * 1024),
+}
+
 # Settings every job relies on: UTC session (zone-free time arithmetic is still
 # used throughout, but parsing goes through the session zone), AQE for runtime
 # coalescing and skew splitting, zstd Parquet.
-BASE_CONF = {
+BASE_CONF = ARROW_CONF | {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # rows to Python in batches of bounded size: texts can be very long
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 * 1024 * 1024),
     "spark.sql.parquet.compression.codec": "zstd",
 }
 
@@ -120,6 +123,13 @@ def ship_package(spark: SparkSession) -> None:
     sc._chronogrid_shipped = True
 
 
+def prepare_workers(spark: SparkSession) -> None:
+    """What operators that run Python need of a session they didn't make."""
+    for k, v in ARROW_CONF.items():
+        spark.conf.set(k, v)
+    ship_package(spark)
+
+
 def tune_for_input(spark: SparkSession, input_bytes: int, partition_bytes: int = 128 * 1024 * 1024,
                    min_partitions: int | None = None, shuffle_fraction: float = 0.25,
                    max_partitions: int = 65536) -> int:
