@@ -24,15 +24,18 @@ def rechunk(df: DataFrame, spec: GridSpec) -> DataFrame:
 
 
 # --- LY03 tile_pack -----------------------------------------------------------
-def tile_pack(df: DataFrame, spec: GridSpec, axis_start, variable: str) -> DataFrame:
-    """One row per tile with its values as an array ordered by position
-    (row-major time, y, x inside the tile).  For export only: a tile holds at
-    most ``time x y x x`` values of the chunk plan."""
+def tile_pack(df: DataFrame, spec: GridSpec, axis_start, variable: str, max_values: int = 65_536) -> DataFrame:
+    """Tiles as rows of values ordered by position (row-major time, y, x inside the
+    tile), for export.  A row holds whole steps, ``slab`` after ``slab``, of at most
+    ``max_values`` values (one step at least), so no task builds a large tile as one
+    row."""
     p = spec.plan
+    steps = max(1, min(p.time, max_values // (p.y * p.x)))
     t = gops.with_time_index(df, axis_start, spec.step_seconds)
     t = gops.with_chunk_columns(t, spec)
-    pos = (((F.col("time_idx") % p.time) * p.y + (F.col("y") % p.y)) * p.x + (F.col("x") % p.x))
-    return (t.groupBy(*TILE)
+    step = F.pmod(F.col("time_idx"), F.lit(p.time))
+    pos = (step * p.y + (F.col("y") % p.y)) * p.x + (F.col("x") % p.x)
+    return (t.groupBy(*TILE, F.floor(step / steps).cast("int").alias("slab"))
             .agg(F.array_sort(F.collect_list(F.struct(pos.alias("pos"), F.col(variable).alias("v"))))
                  .alias("values")))
 

@@ -74,17 +74,26 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
+def scratch_root(spark: SparkSession) -> str:
     root = checkpoint_root(spark)
     if root.startswith("file:"):
         root = "/" + root[len("file:"):].lstrip("/")
-    path = f"{root}/chronogrid/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{root}/chronogrid/{spark.sparkContext.applicationId}"
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh, unique path under the shared checkpoint folder."""
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     if "://" not in path:
         os.makedirs(os.path.dirname(path), exist_ok=True)
     return path
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application, once its results are written elsewhere."""
+    remove_path(spark, scratch_root(spark))
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write ``df`` to the shared scratch folder and read it back.
 

@@ -287,6 +287,15 @@ def test_positions_outside_the_shape_are_refused(spark, tmp_path, position):
         arraystore.export_array_store(g, str(tmp_path / "a"), ["v"], (4, 1, 1), (2, 1, 1)).collect()
 
 
+def test_scratch_is_cleared(spark, monkeypatch):
+    import chronogrid.session as session
+    monkeypatch.setattr(session, "scratch_root", lambda s, root=f"{session.checkpoint_root(spark)}/t-clear": root)
+    path = session.scratch_path(spark, "table")
+    spark.range(3).write.parquet(path)
+    session.clear_scratch(spark)
+    assert not os.path.exists(path)
+
+
 def test_shared_folder_is_required_on_a_cluster(monkeypatch):
     from types import SimpleNamespace
     from chronogrid.session import checkpoint_root
