@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .worker import kept
+
 
 def with_arrow_columns(df: DataFrame, start: Callable[[], Callable], fields: list[tuple[str, T.DataType]],
                        without: tuple[str, ...] = ()) -> DataFrame:
     """``df`` less the columns ``without``, plus ``fields`` computed from each batch.
 
-    ``start`` runs once per task and returns ``batch -> list of arrays``, one per
+    ``start`` runs once per worker and returns ``batch -> list of arrays``, one per
     field.  Rows and their other columns pass unchanged; there is no shuffle.  A
     column of ``df`` with the name of a field gives way to it in the result."""
     made = {n.lower() for n, _ in fields}
@@ -21,8 +24,10 @@ def with_arrow_columns(df: DataFrame, start: Callable[[], Callable], fields: lis
     names = [f.name for f in keep]
     schema = T.StructType(keep + [T.StructField(n, t) for n, t in fields])
 
+    owner = uuid.uuid4().hex
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compute = start()
+        compute = kept(owner, start)
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(n) for n in names] + compute(batch),
                                              names=names + [n for n, _ in fields])

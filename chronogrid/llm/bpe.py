@@ -30,9 +30,10 @@ from .suffix_automaton import SuffixAutomaton
 
 #: The last symbol of a word stands for a byte with the end-of-word suffix.
 FINAL = 0x1000
-#: Words (or words with their punctuation) and prefixes that a worker remembers, about 60 MB each.
-REMEMBERED = 200_000
-REMEMBERED_PREFIXES = 400_000
+#: Words with their punctuation, prefixes and pairs of tokens that a worker remembers: 15 to 50 MB each.
+REMEMBERED = 150_000
+REMEMBERED_PREFIXES = 300_000
+REMEMBERED_PAIRS = 150_000
 NEVER = 1 << 40
 #: The splitter's pattern (fixed by the tokenizer's definition).
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
@@ -81,8 +82,6 @@ class PrefixEncoder:
                 if pair:
                     self.parts[i] = pair
         self._check_order()
-        self.left = {i: self._edge(i, 0) for i in ends.values()}
-        self.right = {i: self._edge(i, 1) for i in ends.values()}
         automaton = SuffixAutomaton()
         for s in ends:
             automaton.add(s)
@@ -123,8 +122,8 @@ class PrefixEncoder:
         A merge of their edges comes first if its rank is lower than those of the
         merges that use up either; of equal ranks, the leftmost comes first."""
         rank = self.rank.get
-        for x, until_x in self.right[a]:
-            for y, until_y in self.left[b]:
+        for x, until_x in self.right(a):
+            for y, until_y in self.left(b):
                 r = rank((x, y), NEVER)
                 if r < until_x and (r < until_y or r == until_y != NEVER):
                     return False
@@ -138,7 +137,15 @@ class PrefixEncoder:
             n = self.length[state]
         state, n, i = step[state][c], n + 1, len(path)
         for size, token in self.ending[state]:
-            if size <= n and (size == i or self.pair(self.last[path[i - size]], token)):
+            if size > n:
+                continue
+            if size == i:
+                return state, n, token
+            pair = self.last[path[i - size]] << 20 | token
+            fits = self.pairs.get(pair)
+            if fits is None:
+                fits = self.pairs[pair] = self.compatible(pair >> 20, token)
+            if fits:
                 return state, n, token
         raise ValueError("a prefix has no encoding")
 
@@ -164,6 +171,8 @@ class PrefixEncoder:
             token = last[path[i]]
         if len(last) > REMEMBERED_PREFIXES:
             self._forget()
+        if len(self.pairs) > REMEMBERED_PAIRS:
+            self.pairs.clear()
         ids.reverse()
         return ids
 
@@ -174,11 +183,12 @@ class PrefixEncoder:
 
     def prepare(self) -> None:
         """What is remembered per worker."""
-        self.pair = lru_cache(maxsize=300_000)(self.compatible)
+        self.pairs: dict[int, bool] = {}
+        self.left = lru_cache(maxsize=20_000)(lambda token: self._edge(token, 0))
+        self.right = lru_cache(maxsize=20_000)(lambda token: self._edge(token, 1))
         self._forget()
         table = byte_symbols()
 
-        @lru_cache(maxsize=REMEMBERED)
         def encode_word(word: str) -> tuple[int, ...]:
             s = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(table)
             return tuple(self.encode_symbols(s[:-1] + chr(ord(s[-1]) + FINAL) if self.suffix else s))
@@ -186,7 +196,7 @@ class PrefixEncoder:
         @lru_cache(maxsize=REMEMBERED)
         def encode(stretch: str) -> tuple[int, ...]:
             words = SPLIT.findall(stretch)
-            return encode_word(words[0]) if len(words) == 1 else tuple(i for w in words for i in encode_word(w))
+            return tuple(i for w in words for i in encode_word(w))
         self.encode_word, self.encode_stretch = encode_word, encode
 
     def encode(self, text: str, splitter: Pretokenizer) -> list[int]:
@@ -230,19 +240,6 @@ class Pretokenizer:
         return self.special.split(text) if "<|" in text else [text]
 
 
-#: Per worker: the encoder and splitter of each tokenizer in use.
-_READY: dict[int, tuple[PrefixEncoder, Pretokenizer]] = {}
-
-
-def _ready(shared) -> tuple[PrefixEncoder, Pretokenizer]:
-    encoder, splitter = shared.value
-    if (key := id(encoder)) not in _READY:
-        encoder.prepare()
-        _READY.clear()
-        _READY[key] = encoder, splitter
-    return _READY[key]
-
-
 def with_tokens(docs: DataFrame, tokenizer_path: str, text_col: str = "text", ids: str = "token_ids",
                 decoded: str | None = None, without: tuple[str, ...] = ()) -> DataFrame:
     """``docs`` less ``without``, plus the token ids of each whole text (array of int).
@@ -259,7 +256,8 @@ def with_tokens(docs: DataFrame, tokenizer_path: str, text_col: str = "text", id
     shared = docs.sparkSession.sparkContext.broadcast((encoder, Pretokenizer(definition, encoder.specials)))
 
     def start():
-        encoder, splitter = _ready(shared)
+        encoder, splitter = shared.value
+        encoder.prepare()
         name = encoder.words.__getitem__
 
         def compute(batch: pa.RecordBatch) -> list[pa.Array]:
