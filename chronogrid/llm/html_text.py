@@ -35,8 +35,9 @@ footer aside form button select option textarea input label fieldset datalist di
 NAMES = re.compile(r"""(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed|s)?|promos?|promotions?|banners?|
 menus?|nav|navs|navbar|navigation|breadcrumbs?|sidebars?|side-?bar|aside|header|masthead|topbar|footer|foot|bottombar|
 cookies?|consent|gdpr|notices?|alerts?|popups?|modals?|overlay|newsletters?|subscribe|subscription|signup|login|
-share|sharing|social|related|recommend(?:ed|ations)?|comments?|comment-?list|disqus|replies|responses|
+share|sharing|social|related|recommend(?:ed|ations)?|comments?|commentlist|disqus|replies|responses|copyright|
 complementary|contentinfo|search|searchbox|pagination|pager|widgets?|toolbar|skip-?link|sr-only)(?:$|[\s_-]|\d)""", re.X | re.I)
+HUMP = re.compile("(?<=[a-z])(?=[A-Z])")  # topNav: top-Nav
 #: An end tag that such a start tag implies for an open element of the second kind.
 IMPLIED = {"p": "p", "li": "li", "dt": "dd", "dd": "dd", "tr": "tr", "option": "option"}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -99,7 +100,7 @@ class LineParser(HTMLParser):
             return
         if tag in ("td", "th"):
             self.parts.append(" ")
-        names = " ".join(v for a, v in attrs if v and a in ("class", "id", "role"))
+        names = HUMP.sub("-", " ".join(v for a, v in attrs if v and a in ("class", "id", "role")))
         out = tag in OUTSIDE or any(a == "hidden" or a == "aria-hidden" and v == "true" for a, v in attrs) or (
             tag not in ("html", "body", "article", "main") and bool(names) and NAMES.search(names) is not None) or (
             tag == "article" and self.articles > 0 and bool(names) and NAMES.search(names) is not None)

@@ -310,6 +310,24 @@ def test_spanning_edges_of_many_members():
     assert len(a) == len(members)  # one class: a tree
 
 
+def test_any_seed_links(ready):
+    rng = random.Random(8)
+    words = [f"w{k}" for k in range(3000)]
+    rows = []
+    for i in range(60):
+        base = rng.choices(words, k=rng.randint(60, 200))
+        rows.append((2 * i, " ".join(base)))
+        for _ in range(rng.randint(0, 2)):
+            base[rng.randrange(len(base))] = "changed"
+        rows.append((2 * i + 1, " ".join(base)))
+    seeds = (42, 43, 44)
+    prints = {i: simhash.fingerprints(t.encode(), 3, seeds) for i, t in rows}
+    linked = lambda a, b: any(((x ^ y) & (2 ** 64 - 1)).bit_count() <= 3 for x, y in zip(prints[a], prints[b]))
+    want = {a: min([b for b in prints if linked(a, b)]) for a in prints}
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicate_classes(ready.createDataFrame(rows, "doc_id long, text string"), seeds=seeds).collect()}
+    assert got == want and len(set(got.values())) < 60 + sum(p[0] != q[0] for p, q in ((prints[2 * i], prints[2 * i + 1]) for i in range(60)))
+
+
 def test_near_duplicates_keep_one(awkward):
     kept = simhash.drop_near_duplicates(awkward)
     assert kept.columns == awkward.columns
@@ -493,6 +511,7 @@ def test_pages_give_their_articles(ready):
     ("<h1>Head</h1><p>" + "long text " * 30 + "</p><p>short</p><p>" + "more text " * 30 + "</p><ul><li><a href='x'>link</a></ul>",
      "Head\n" + ("long text " * 30).strip() + "\nshort\n" + ("more text " * 30).strip()),
     ("<article>&eacute;&#233;&nbsp;x</article>", "éé x"),
+    ("<article><p>x</p><div class='topNav'>n</div><div id='commentList'>c</div><p>y</p></article>", "x\ny"),
 ])
 def test_main_text(page, text):
     assert html_text.main_text(page) == text
