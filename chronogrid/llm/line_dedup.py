@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .joins import salted_join
 from .registry import register
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -48,7 +49,8 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     shared = (seen.where(F.col("id").isNotNull()).select("h1", "h2", "id").distinct()
               .groupBy("h1", "h2").agg(F.count("*").alias("n"), F.max("id").alias("keeper"))
               .where(F.col("n") >= min_docs).drop("n"))
-    drops = (seen.join(shared, ["h1", "h2"])
+    # a line of very many documents is spread by their ids
+    drops = (salted_join(seen, shared, ["h1", "h2"], F.xxhash64("id", "m1"))
              .where(~F.col("id").eqNullSafe(F.col("keeper")))
              .groupBy("id", "m1", "m2").agg(F.collect_set("pos").alias("_drop")))
 
