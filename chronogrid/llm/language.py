@@ -46,19 +46,24 @@ def learn_dictionaries(docs: DataFrame, text_col: str = "text", lang_col: str =
                        sample_texts: int = SAMPLE_TEXTS, size: int = DICTIONARY_BYTES) -> list[tuple[str, bytes]]:
     """A dictionary for each label of ``docs``, the commonest label first.
 
-    Of each label the ``sample_texts`` distinct texts of the smallest hashes give an
-    excerpt each.  Only label, count and hash pass through the ranking; at most
+    Of each label ``sample_texts`` distinct texts, those of the smallest hashes, give
+    an excerpt each.  Only label and hash pass through the ranking; at most
     ``sample_texts`` excerpts a label reach the driver.  Rows without text, label or
     letters teach nothing."""
     known = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     known = known.withColumn("h", F.xxhash64("text"))
-    by_hash = known.groupBy("lang", "h").agg(F.count("*").alias("n"))
-    ranked = by_hash.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
-    limits = ranked.where(F.col("rank") <= sample_texts).groupBy("lang").agg(F.max("h").alias("limit"))
-    sizes = {r["lang"]: r["n"] for r in by_hash.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    by_hash = known.select("lang", "h").distinct()
+    sizes = {r["lang"]: r["n"] for r in by_hash.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if len(sizes) * size > MAX_DICTIONARIES:
         raise ValueError(f"{len(sizes)} labels would need more than {MAX_DICTIONARIES} bytes of dictionaries")
+    if not sizes:
+        return []
+    # hashes are uniform: the lowest 2 x sample_texts of n lie below this share, so few rows of a label are ranked
+    lowest = {lang: int(min(1.0, 2 * sample_texts / n) * (2 ** 64 - 2 ** 12)) - 2 ** 63 for lang, n in sizes.items()}
+    bound = F.element_at(F.create_map(*[F.lit(x) for pair in lowest.items() for x in pair]), F.col("lang"))
+    ranked = by_hash.where(F.col("h") <= bound).withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
+    limits = ranked.where(F.col("rank") <= sample_texts).groupBy("lang").agg(F.max("h").alias("limit"))
     excerpt = -(-4 * size // sample_texts)  # texts may be short: take up to four times an even share
     # one row a label, and no more labels than checked above
     rows = (known.join(F.broadcast(limits), "lang").where(F.col("h") <= F.col("limit"))
