@@ -30,10 +30,10 @@ from .suffix_automaton import SuffixAutomaton
 
 #: The last symbol of a word stands for a byte with the end-of-word suffix.
 FINAL = 0x1000
-#: Words with their punctuation, prefixes and pairs of tokens that a worker remembers: 15 to 50 MB each.
-REMEMBERED = 150_000
-REMEMBERED_PREFIXES = 300_000
-REMEMBERED_PAIRS = 150_000
+#: Words with their punctuation, prefixes and pairs of tokens that a worker remembers: 20 to 70 MB each.
+REMEMBERED = 250_000
+REMEMBERED_PREFIXES = 400_000
+REMEMBERED_PAIRS = 200_000
 NEVER = 1 << 40
 #: The splitter's pattern (fixed by the tokenizer's definition).
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
