@@ -15,7 +15,7 @@ size, not with its square.  Classes are the connected components of all edges.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -189,14 +189,15 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     return marked.join(named, "fingerprint_bits").select(id_col, *also, "fingerprint_bits", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                         classes_of: Callable[..., DataFrame] = near_duplicate_classes, **how) -> DataFrame:
     """One row of each class of near duplicates: that of the smallest id, whole and unchanged.
 
     Of rows that share that id too, one stays.  Rows with a null id can't be told
-    apart by id and all stay.  ``how`` goes to ``near_duplicate_classes``."""
+    apart by id and all stay.  ``how`` goes to ``classes_of``, which names the classes."""
     marks = [F.xxhash64(F.lit(k), F.col(text_col)).alias(f"m{k}") for k in (1, 2)]
     named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *marks).where("id IS NOT NULL")
-    classes = near_duplicate_classes(named, "id", "text", also=("m1", "m2"), **how)
+    classes = classes_of(named, "id", "text", also=("m1", "m2"), **how)
     stay = (classes.where("id = component_id").groupBy("component_id").agg(F.min(F.struct("id", "m1", "m2")).alias("s"))
             .select("s.*"))
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), *marks)
