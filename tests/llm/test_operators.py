@@ -192,6 +192,22 @@ def test_quality_awkward(awkward, ready):
     assert len(nothing) == 9 and not any(r.rejected for r in nothing)
 
 
+@pytest.mark.parametrize("seen", [["one"], ["one", "one", "one"], ["one", "two"]])
+def test_clean_documents_of_a_rare_language_stay(ready, seen):
+    rng = random.Random(3)
+    lexicon = {"en": ["the", "river", "house", "walks", "green", "often", "under", "with", "stone", "bread"],
+               "qq": ["zuqa", "qoxi", "wyzk", "jaxu", "vekq", "xozi", "kywa", "quzo", "jixy", "zzak"]}
+    prose = lambda lang: " ".join(rng.choice(lexicon[lang]) for _ in range(80))
+    named = {n: prose("qq") for n in ("one", "two")}
+    trusted = [("en", prose("en")) for _ in range(150)] + [("qq", named[n]) for n in seen]
+    junk = "".join(chr(rng.randrange(33, 127)) for _ in range(400))
+    docs = [(k, prose("qq"), "qq") for k in range(60)] + [(100 + k, prose("en"), "en") for k in range(60)] + [(200, junk, "en"), (201, junk, "qq")]
+    got = quality.classify(ready.createDataFrame(docs, "doc_id long, text string, lang string"),
+                           ready.createDataFrame(trusted, "lang string, text string")).collect()
+    gone = {r.doc_id for r in got if r.rejected}
+    assert {200, 201} <= gone and sum(i < 100 for i in gone) <= 1 and sum(100 <= i < 200 for i in gone) <= 3
+
+
 # --- nearest neighbours -------------------------------------------------------
 def brute_nearest(rows, queries, k):
     out = {}
