@@ -7,8 +7,7 @@ are permuted inside their block, dealt to shards by the block's row of the
 matrix, exchanged, and permuted again inside the shard.  The result is a uniform
 random permutation cut into shards whose row counts differ by at most one.
 
-Only narrow frames with a row number are shuffled by rank; no task holds a whole
-shard.  The matrix has at most ``MAX_BLOCKS`` x shards entries: block counts are
+Whole rows are shuffled; no task holds a whole shard.  The matrix has at most ``MAX_BLOCKS`` x shards entries: block counts are
 the only rows that reach the driver.
 """
 
@@ -127,12 +126,11 @@ def shuffle_into_shards(rows: DataFrame, n_shards: int, seed: int = 0, shard: st
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards whose row counts differ by at most one (law ``rows``).
 
-    ``size`` is the text's UTF-8 bytes plus 8 (null: 8) and ``text_crc32`` its
-    CRC-32 (null: that of the empty text).  Only these numbers are shuffled."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    The texts themselves go into the shards.  ``size`` is a shard row's UTF-8 bytes
+    plus 8 (null: 8) and ``text_crc32`` its CRC-32 (null: that of the empty text)."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     text = F.coalesce(F.col("text"), F.lit(""))
-    narrow = docs.select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"),
-                         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), F.lit("rows").alias("law"))
-    return (shuffle_into_shards(narrow, 24, seed=9)
-            .withColumn("shard", F.col("shard").cast("int"))
-            .withColumn("grown_shard", F.lit(None).cast("int")))
+    return shuffle_into_shards(docs, 24, seed=9).select(
+        "doc_id", (F.octet_length(text) + 8).cast("long").alias("size"),
+        F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), F.lit("rows").alias("law"),
+        F.col("shard").cast("int").alias("shard"), "slot", F.lit(None).cast("int").alias("grown_shard"))

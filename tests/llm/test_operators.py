@@ -467,6 +467,17 @@ def test_shards_are_exact(ready):
         assert sorted(r.slot for r in got if r.shard == s) == list(range(n))
 
 
+def test_sharding_query_shuffles_texts(ready, monkeypatch):
+    given, real = [], sharding.shuffle_into_shards
+    monkeypatch.setattr(sharding, "shuffle_into_shards", lambda rows, *a, **b: given.append(real(rows, *a, **b)) or given[0])
+    got = {r.doc_id: r for r in registered.QUERIES["op9_sharding"](ready, SF).collect()}
+    texts = {r.doc_id: r.text for r in ready.read.parquet(f"{SF}/documents.parquet").collect()}
+    sharded = given[0].collect()
+    assert {r.doc_id: r.text for r in sharded} == texts
+    assert all((got[r.doc_id].shard, got[r.doc_id].slot) == (r.shard, r.slot) for r in sharded)
+    assert all(got[i].text_crc32 == zlib.crc32((t or "").encode()) and got[i].size == len((t or "").encode()) + 8 for i, t in texts.items())
+
+
 @pytest.mark.parametrize("bins", [2_000_000, 3])
 def test_shuffle_awkward(awkward, bins):
     got = sharding.shuffle_into_shards(awkward, 4, rows_per_bin=bins).collect()
