@@ -17,6 +17,7 @@ COLUMNS = {
     "op8_decontamination": ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
     "op9_sharding": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
     "op10_html": ["page_id", "url", "text", "n_chars"],
+    "op13_manifest": ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
 }
 
 
@@ -26,7 +27,7 @@ def plain(rows):
 
 def sql_rows(sf, sql, columns):
     con = duckdb.connect()
-    for name in ("documents", "pages", "benchmark"):
+    for name in ("documents", "pages", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf}/{name}.parquet'")
     found = con.execute(sql)
     names = [d[0] for d in found.description]
@@ -52,6 +53,7 @@ EMPTY = {
     "embeddings": ([], "vec_id long, embedding array<float>, label int"),
     "benchmark": ([], "item_id long, text string"),
     "labels": ([], "doc_id long, quality int, toxic int"),
+    "conversations": ([], "conv_id long, turn long, role string, text string"),
 }
 
 
@@ -72,7 +74,7 @@ NULLS = {
     "labels": ([(None, None, None), (100, 1, 0)], EMPTY["labels"][1]),
 }
 ROWS = {"op1_language": 4, "op2_warc": 4, "op3_line_dedup": 4, "op4_quality": 4, "op5_nearest": 2, "op6_simhash": 4,
-        "op7_bpe": 4, "op8_decontamination": 4, "op9_sharding": 4, "op10_html": 4}
+        "op7_bpe": 4, "op8_decontamination": 4, "op9_sharding": 4, "op10_html": 4, "op13_manifest": 4}
 
 
 @pytest.mark.parametrize("name", sorted(COLUMNS))
