@@ -18,6 +18,7 @@ COLUMNS = {
     "op9_sharding": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
     "op10_html": ["page_id", "url", "text", "n_chars"],
     "op11_conversation_trie": ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"],
+    "op12_secrets": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
     "op13_manifest": ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
 }
 
@@ -76,7 +77,7 @@ NULLS = {
     "conversations": ([(None, None, None, None), (5, None, None, None)], EMPTY["conversations"][1]),
 }
 ROWS = {"op1_language": 4, "op2_warc": 4, "op3_line_dedup": 4, "op4_quality": 4, "op5_nearest": 2, "op6_simhash": 4,
-        "op7_bpe": 4, "op8_decontamination": 4, "op9_sharding": 4, "op10_html": 4, "op11_conversation_trie": 2, "op13_manifest": 4}
+        "op7_bpe": 4, "op8_decontamination": 4, "op9_sharding": 4, "op10_html": 4, "op11_conversation_trie": 1, "op12_secrets": 4, "op13_manifest": 4}
 
 
 @pytest.mark.parametrize("name", sorted(COLUMNS))
