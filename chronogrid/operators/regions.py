@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
+from ..session import materialise
+from . import coverage
 from .joins import size_checked_broadcast
 
 # Estimated bytes per weight row (poly_id, y, x, w, n_cells) for the broadcast check.
@@ -34,11 +36,9 @@ class CellGrid:
 
 
 # --- JN07 polygon_cell_overlay + SC16 clip_area -------------------------------
-def candidate_cells(polys: DataFrame, cg: CellGrid) -> DataFrame:
-    """Every cell index inside each polygon's bounding box (two exploded
-    sequences: an equi-join key instead of a range join).  Work per polygon is
-    its bounding-box cell count, so a huge polygon yields many rows spread
-    over tasks by the following shuffle, never one giant group."""
+def _cell_ranges(polys: DataFrame, cg: CellGrid, *columns) -> DataFrame:
+    """``poly_id, columns, y, x`` of every cell in each ring's bounding box (two exploded
+    sequences: an equi-join key instead of a range join)."""
     bx0, by0, bx1, by1 = geo.ring_bounds("ring")
     ix0 = F.floor((bx0 - cg.x0) / cg.dx).cast("int")
     ix1 = (F.ceil((bx1 - cg.x0) / cg.dx) - 1).cast("int")
@@ -48,38 +48,54 @@ def candidate_cells(polys: DataFrame, cg: CellGrid) -> DataFrame:
         ix0, ix1 = F.greatest(ix0, F.lit(0)), F.least(ix1, F.lit(cg.nx - 1))
     if cg.ny is not None:
         iy0, iy1 = F.greatest(iy0, F.lit(0)), F.least(iy1, F.lit(cg.ny - 1))
-    p = polys.select("poly_id", "ring", _sign(polys).alias("sign"), ix0.alias("ix0"), ix1.alias("ix1"), iy0.alias("iy0"), iy1.alias("iy1"))
-    p = p.where((F.col("ix0") <= F.col("ix1")) & (F.col("iy0") <= F.col("iy1")))
-    return (p.select("poly_id", "ring", "sign", "ix0", "ix1", F.explode(F.sequence("iy0", "iy1")).alias("y"))
-            .select("poly_id", "ring", "sign", "y", F.explode(F.sequence("ix0", "ix1")).alias("x")))
+    p = polys.select("poly_id", *columns, _sign(polys).alias("sign"), ix0.alias("ix0"), ix1.alias("ix1"), iy0.alias("iy0"), iy1.alias("iy1"))
+    p = p.where((F.col("ix0") <= F.col("ix1")) & (F.col("iy0") <= F.col("iy1"))).withColumn("y", F.explode(F.sequence("iy0", "iy1")))
+    return p.withColumn("x", F.explode(F.sequence("ix0", "ix1"))).drop("ix0", "ix1", "iy0", "iy1")
 
 
 def _sign(polys: DataFrame):
     return F.when(F.col("hole"), F.lit(-1.0)).otherwise(F.lit(1.0)) if "hole" in polys.columns else F.lit(1.0)
 
 
+def _cell_box(cg: CellGrid):
+    cx0, cy0 = F.lit(cg.x0) + F.col("x") * cg.dx, F.lit(cg.y0) + F.col("y") * cg.dy
+    return cx0, cy0, cx0 + cg.dx, cy0 + cg.dy
+
+
+def _summed(pieces: DataFrame) -> DataFrame:
+    """Parts of a polygon in one cell together."""
+    pieces = pieces.select("poly_id", "y", "x", (F.col("sign") * F.col("area")).alias("area")).where(F.col("area") != 0)
+    return pieces.groupBy("poly_id", "y", "x").agg(F.sum("area").alias("area")).where(F.col("area") > 0)
+
+
 def overlay(polys: DataFrame, cells: DataFrame, cg: CellGrid, rectangles: bool = False,
             area_ring=None) -> DataFrame:
-    """``(poly_id, y, x, area)`` for every cell meeting a polygon with area > 0.
-
-    Candidates come from the bounding boxes, are equi-joined to the cell table
-    (cells absent from the grid drop out), then clipped exactly: rectangles
-    by min/max, general rings by Sutherland-Hodgman in the JVM.  With
-    ``area_ring`` (a ring -> ring column function, e.g. into an equal-area
-    plane) the clipped piece is measured after that transformation."""
-    cand = candidate_cells(polys, cg).join(cells.select("y", "x"), ["y", "x"], "inner")
-    cx0 = F.lit(cg.x0) + F.col("x") * cg.dx
-    cy0 = F.lit(cg.y0) + F.col("y") * cg.dy
-    cx1, cy1 = cx0 + cg.dx, cy0 + cg.dy
-    if area_ring is not None:
-        area = geo.ring_area(area_ring(geo.clip_ring_to_box("ring", cx0, cy0, cx1, cy1)))
-    elif rectangles:
-        bx0, by0, bx1, by1 = geo.ring_bounds("ring")
-        area = geo.box_overlap_area(bx0, by0, bx1, by1, cx0, cy0, cx1, cy1)
-    else:
-        area = geo.ring_box_area("ring", cx0, cy0, cx1, cy1)
-    pieces = cand.select("poly_id", "y", "x", (F.col("sign") * area).alias("area")).where(F.col("area") != 0)
-    return pieces.groupBy("poly_id", "y", "x").agg(F.sum("area").alias("area")).where(F.col("area") > 0)
+    """``(poly_id, y, x, area)`` for every cell meeting a polygon with area > 0; cells
+    absent from ``cells`` drop out.
+
+    Rings are followed along scan lines (``coverage``): work is in proportion to their
+    perimeter and the cells they cover, and no ring is copied to a cell.  ``rectangles``
+    (axis-aligned ones) need only their bounds.  With ``area_ring`` (a ring -> ring
+    column function, e.g. into an equal-area plane) areas are measured after that
+    transformation: whole cells as such, and only crossed cells are clipped."""
+    if rectangles and area_ring is None:
+        bounds = F.struct(*[b.alias(n) for b, n in zip(geo.ring_bounds("ring"), ("x0", "y0", "x1", "y1"))]).alias("b")
+        cand = _cell_ranges(polys, cg, bounds).join(cells.select("y", "x"), ["y", "x"], "inner")
+        return _summed(cand.withColumn("area", geo.box_overlap_area("b.x0", "b.y0", "b.x1", "b.y1", *_cell_box(cg))))
+    cover = coverage.cell_cover(polys, cg).join(cells.select("y", "x"), ["y", "x"], "inner")
+    if area_ring is None:
+        return cover.select("poly_id", "y", "x", (F.col("cover") * (cg.dx * cg.dy)).alias("area"))
+    cover = materialise(cover, "cover")
+    whole = cover.where("cover = 1").select("poly_id", "y", "x", geo.ring_area(area_ring(coverage.cell_ring(cg))).alias("area"))
+    crossed = cover.where("cover <> 1").join(polys.withColumn("sign", _sign(polys)).select("poly_id", "sign", "ring"), "poly_id")
+    return whole.unionByName(_summed(crossed.withColumn("area", geo.ring_area(area_ring(geo.clip_ring_to_box("ring", *_cell_box(cg)))))))
+
+
+def clipped_overlay(polys: DataFrame, cells: DataFrame, cg: CellGrid) -> DataFrame:
+    """The same as ``overlay`` by clipping every cell of the bounding box (Sutherland-Hodgman):
+    for few small rings, and to check the scan lines."""
+    cand = _cell_ranges(polys, cg, "ring").join(cells.select("y", "x"), ["y", "x"], "inner")
+    return _summed(cand.withColumn("area", geo.ring_box_area("ring", *_cell_box(cg))))
 
 
 # --- AG11 weight_normalise ----------------------------------------------------

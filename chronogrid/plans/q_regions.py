@@ -9,7 +9,7 @@ from ..operators import daily, grid as gops, regions
 from ..session import scratch_path
 from ..sources import fixtures as fx
 from . import regions as region_jobs
-from .registry import F1_SQL, daily_sql, f1, register
+from .registry import F1_SQL, F2_SQL, daily_sql, f1, register
 
 CG = regions.CellGrid(0.0, 0.0, 1.0, 1.0, 2, 2)
 RING_CG = regions.CellGrid(0.0, 0.0, 1.0, 1.0)
@@ -197,4 +197,37 @@ def q_sc16(spark, sf_dir):
     """General rings (triangles) clipped to the cells of a 4 x 3 grid; also
     checked against an independent brute-force clip in the tests."""
     c = gops.make_cells(spark, 3, 4)
-    return regions.overlay(fx.nation_triangles(spark, sf_dir), c, RING_CG)
+    return regions.clipped_overlay(fx.nation_triangles(spark, sf_dir), c, RING_CG)
+
+
+def _ring_sql(vertices) -> str:
+    return "[" + ", ".join(f"struct_pack(x := cx + {a}::DOUBLE, y := cy + {b}::DOUBLE)" for a, b in vertices) + "]"
+
+
+# The rings of the suppliers clipped cell by cell: nothing in common with the scan lines.
+COVER_SQL = f"""k AS (SELECT CAST(s_suppkey AS BIGINT) AS poly_id, (s_suppkey::DOUBLE * 37) % 680.0 / 10.0::DOUBLE - 2.0 AS cx,
+  (s_suppkey::DOUBLE * 13) % 96.0 / 10.0::DOUBLE - 0.5::DOUBLE AS cy FROM supplier),
+p AS (SELECT poly_id, 1.0 AS sign, {_ring_sql(fx.SUPPLIER_RING)} AS ring FROM k
+  UNION ALL SELECT poly_id, -1.0, {_ring_sql(fx.SUPPLIER_HOLE)} FROM k WHERE poly_id % 3 = 0),
+b AS MATERIALIZED (SELECT *, list_min(list_transform(ring, lambda q: q.x)) AS bx0, list_max(list_transform(ring, lambda q: q.x)) AS bx1,
+             list_min(list_transform(ring, lambda q: q.y)) AS by0, list_max(list_transform(ring, lambda q: q.y)) AS by1 FROM p),
+c AS MATERIALIZED (SELECT DISTINCT y, x FROM ({F2_SQL})),
+s0 AS MATERIALIZED (SELECT b.poly_id, b.sign, b.ring, c.y, c.x, c.x::DOUBLE AS cx0, c.y::DOUBLE AS cy0, c.x + 1.0::DOUBLE AS cx1, c.y + 1.0::DOUBLE AS cy1
+       FROM b JOIN c ON c.x BETWEEN floor(bx0) AND ceil(bx1) - 1 AND c.y BETWEEN floor(by0) AND ceil(by1) - 1),
+s1 AS MATERIALIZED (SELECT *, {_clip_sql('ring', 'x', 'cx0', True)} AS r1 FROM s0),
+s2 AS MATERIALIZED (SELECT *, {_clip_sql('r1', 'x', 'cx1', False)} AS r2 FROM s1),
+s3 AS MATERIALIZED (SELECT *, {_clip_sql('r2', 'y', 'cy0', True)} AS r3 FROM s2),
+s4 AS MATERIALIZED (SELECT *, {_clip_sql('r3', 'y', 'cy1', False)} AS r4 FROM s3),
+ar AS MATERIALIZED (SELECT poly_id, y, x, sign * {_area_sql('r4')} AS a FROM s4),
+cov AS (SELECT poly_id, y, x, sum(a) AS area FROM ar GROUP BY 1, 2, 3 HAVING sum(a) > 1e-9)"""
+
+
+def supplier_overlay(spark, sf_dir):
+    cells = fx.daily_grid(spark, sf_dir).select("y", "x").distinct()
+    return regions.overlay(fx.supplier_rings(spark, sf_dir), cells, regions.CellGrid(nx=64, ny=8))
+
+
+@register("JN07_scanline_coverage", f"WITH {COVER_SQL} SELECT poly_id, y, x, round(area, {REPORT_DIGITS}) AS area FROM cov")
+def q_jn07_scanline(spark, sf_dir):
+    """Concave rings with holes, many of them partly outside the grid."""
+    return reported(supplier_overlay(spark, sf_dir), ("area",))

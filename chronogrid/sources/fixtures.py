@@ -139,3 +139,21 @@ def nation_triangles(spark: SparkSession, sf_dir: str) -> DataFrame:
     x0, y0 = F.lit(0.08) * k, F.lit(0.05) * k
     ring = F.array(point(x0, y0), point(x0 + F.lit(1.1), y0 + F.lit(0.3)), point(x0 + F.lit(0.4), y0 + F.lit(1.2)))
     return table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("poly_id"), ring.alias("ring"))
+
+
+#: Vertices of a supplier's concave ring and of the hole of every third one, around its centre (fixed values).
+SUPPLIER_RING = ((-3.0, -1.5), (4.25, -0.75), (1.0, 0.0), (3.5, 2.25), (-2.0, 1.25))
+SUPPLIER_HOLE = ((-1.5, -0.5), (0.25, -0.25), (-0.75, 0.75))
+
+
+def supplier_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """one concave ring per supplier over the F2 cells, a hole in every third
+    (``poly_id, ring, hole``).  Centres are spread by the key: rings grow with
+    ``supplier`` and many reach beyond the grid."""
+    from ..functions.geometry import point
+    k = F.col("s_suppkey").cast("double")
+    cx, cy = F.pmod(k * 37, F.lit(680.0)) / 10.0 - 2.0, F.pmod(k * 13, F.lit(96.0)) / 10.0 - 0.5
+    ring = lambda vertices: F.array(*[point(cx + F.lit(a), cy + F.lit(b)) for a, b in vertices])
+    s = table(spark, sf_dir, "supplier").withColumn("poly_id", F.col("s_suppkey").cast("long"))
+    outer = s.select("poly_id", ring(SUPPLIER_RING).alias("ring"), F.lit(False).alias("hole"))
+    return outer.unionByName(s.where("s_suppkey % 3 = 0").select("poly_id", ring(SUPPLIER_HOLE).alias("ring"), F.lit(True).alias("hole")))
