@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
 
-#: Fixed-point units of a cell's side.
-UNIT = float(1 << 40)
+#: Fixed-point units of a cell's side; a row of a polygon may be crossed 2 ** 15 times one way.
+UNIT = float(1 << 48)
 #: Covers below this share of a cell are rounding, not overlap.
 SLIVER = 1e-9
 
@@ -68,11 +68,11 @@ def crossed_cells(polys: DataFrame, cg) -> DataFrame:
     e = e.where(first <= last).select("*", F.explode(F.sequence(first, last)).alias("y"))
     edge = {k: F.col(k) for k in ("u0", "v0", "u1", "v1")}
     va, vb = F.greatest(low, F.col("y").cast("double")), F.least(high, (F.col("y") + 1).cast("double"))
-    e = e.select("poly_id", "y", "u0", "v0", "u1", "v1", va.alias("va"), vb.alias("vb"),
+    e = e.select("poly_id", "y", "u0", "v0", "u1", "v1", (va - F.col("y")).alias("va"), (vb - F.col("y")).alias("vb"),
                  _pick(va, edge).alias("ua"), _pick(vb, edge).alias("ub"),
                  (F.col("turn") * F.when(F.col("v1") < F.col("v0"), 1).otherwise(-1)).alias("way"))
     # a ring that turns left goes down on its left side: cover begins there
-    # u and v at the piece's left and right end
+    # u and v (from the row's foot) at the piece's left and right end
     rising = F.col("ua") <= F.col("ub")
     e = e.select("poly_id", "y", "way", F.least("ua", "ub").alias("ul"), F.greatest("ua", "ub").alias("ur"),
                  F.when(rising, F.col("va")).otherwise(F.col("vb")).alias("vl"),

@@ -110,12 +110,21 @@ def weights(polys: DataFrame, overlap: DataFrame, area_ring=None) -> DataFrame:
 
 
 # --- JN06 grid_weights_join ---------------------------------------------------
+def with_cell_count(w: DataFrame) -> DataFrame:
+    """Weights plus ``n_cells``, the number of the polygon's cells; ``w`` is written once first."""
+    if "n_cells" in w.columns:
+        return w
+    w = materialise(w, "weights")
+    return w.join(w.groupBy("poly_id").agg(F.count("*").alias("n_cells")), "poly_id")
+
+
 def join_weights(grid: DataFrame, w: DataFrame, checked: bool = True) -> DataFrame:
     """Each polygon's cells with their values: grid x weights on (y, x), and
     ``n_cells``, the number of the polygon's cells.  The weight table (polygons x
     their cells, independent of the time length) is broadcast when its counted size
-    fits; otherwise both sides shuffle."""
-    w = w.join(w.groupBy("poly_id").agg(F.count("*").alias("n_cells")), "poly_id")
+    fits; otherwise both sides shuffle: a store whose weights are larger is bucketed
+    by tile and joined by ``plans.regions.tile_product``."""
+    w = with_cell_count(w)
     side = size_checked_broadcast(w, WEIGHT_ROW_BYTES) if checked else w
     return grid.join(side, ["y", "x"], "inner")
 

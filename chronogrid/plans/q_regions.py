@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from ..functions import values as fv
 from ..operators import daily, grid as gops, regions
-from ..session import scratch_path
+from ..session import materialise, scratch_path
 from ..sources import fixtures as fx
+from ..sources.gridstore import joins_within_buckets
 from . import regions as region_jobs
 from .registry import F1_SQL, F2_SQL, daily_sql, f1, register
 
@@ -231,3 +232,69 @@ def supplier_overlay(spark, sf_dir):
 def q_jn07_scanline(spark, sf_dir):
     """Concave rings with holes, many of them partly outside the grid."""
     return reported(supplier_overlay(spark, sf_dir), ("area",))
+
+
+# --- the product of a stored grid and large weights, tile by tile ---------------
+POLY_SQL = f"""pa AS (SELECT poly_id, sum(sign * {_area_sql('ring')}) AS poly_area FROM p GROUP BY poly_id),
+wt AS MATERIALIZED (SELECT poly_id, y, x, round(area / poly_area, {REPORT_DIGITS}) AS w FROM cov JOIN pa USING (poly_id) WHERE round(area / poly_area, {REPORT_DIGITS}) > 0),
+g AS MATERIALIZED ({F2_SQL})"""
+
+
+# The engines round exact halves of the last digit differently: a shift far below the step
+# and far above rounding errors keeps means off them, on both sides alike.
+MEAN_SHIFT = 1.7e-8
+
+
+def mean_sql(e: str) -> str:
+    return f"round({e} + {MEAN_SHIFT}::DOUBLE, {REPORT_DIGITS})"
+
+
+def mean_out(c: str):
+    return F.round(F.col(c) + F.lit(MEAN_SHIFT), REPORT_DIGITS).alias(c)
+
+
+def _lenient_sql(v: str) -> str:
+    return (f"CAST(CAST(sum(CAST(w * {v} AS DECIMAL(38,18))) AS VARCHAR) AS DOUBLE) / "
+            f"CAST(CAST(sum(CAST(w AS DECIMAL(38,18))) AS VARCHAR) AS DOUBLE)")
+
+
+def supplier_weights(spark, sf_dir):
+    """Weights of six digits, so that both engines average with the same ones."""
+    w = regions.weights(fx.supplier_rings(spark, sf_dir), supplier_overlay(spark, sf_dir))
+    return reported(w, ("w",)).where("w > 0")
+
+
+@register("JN06_grid_weights_by_tile", f"""WITH {COVER_SQL}, {POLY_SQL}
+SELECT time, y, x, poly_id, w, n_cells, qty FROM g JOIN wt USING (y, x)
+JOIN (SELECT poly_id, count(*) AS n_cells FROM wt GROUP BY 1) USING (poly_id)""")
+def q_jn06_tiles(spark, sf_dir):
+    """The stored daily grid joined with the suppliers' weights as a table bucketed alike: no exchange of the grid."""
+    store = fx.daily_store(spark, sf_dir)
+    path = scratch_path(spark, "tile-weights")
+    region_jobs.write_tile_weights(store, supplier_weights(spark, sf_dir), path)
+    with joins_within_buckets(spark):
+        j = materialise(region_jobs.tile_product(store, path, ["qty"]), "product")
+    return j.select("time", "y", "x", "poly_id", "w", "n_cells", "qty")
+
+
+@register("AG10_weighted_mean_by_tile", f"""WITH {COVER_SQL}, {POLY_SQL}
+SELECT poly_id, time, {mean_sql(_lenient_sql('qty'))} AS qty, {mean_sql(_lenient_sql('price'))} AS price
+FROM g JOIN wt USING (y, x) GROUP BY poly_id, time""")
+def q_ag10_tiles(spark, sf_dir):
+    means = region_jobs.store_means(fx.daily_store(spark, sf_dir), supplier_weights(spark, sf_dir), ["qty", "price"], strict=False, limit=0)
+    return means.select("poly_id", "time", mean_out("qty"), mean_out("price"))
+
+
+@register("JB11_region_daily_by_tile", f"""WITH {COVER_SQL}, {POLY_SQL}
+SELECT poly_id, time, {mean_sql(_lenient_sql('qty') + " / 25.4::DOUBLE")} AS prcp,
+  {mean_sql("(" + _lenient_sql('price') + " - 273.15::DOUBLE) * 1.8::DOUBLE + 32.0::DOUBLE")} AS tmax, CAST(year(time) AS INTEGER) AS year
+FROM g JOIN wt USING (y, x) GROUP BY poly_id, time""")
+def q_jb11_tiles(spark, sf_dir):
+    """The suppliers' weights through CSV, the averages of all years of the data, a directory a year."""
+    store = fx.daily_store(spark, sf_dir, ("RAIN", "T2MAX"))
+    w_path, out = scratch_path(spark, "weights"), scratch_path(spark, "region-daily")
+    region_jobs.write_weights(supplier_weights(spark, sf_dir), w_path)
+    years = store.axis().agg(F.min(F.year("time")).alias("first"), F.max(F.year("time")).alias("last")).first()   # two scalars
+    region_jobs.region_daily_store(store, w_path, out, years["first"], years["last"], ("RAIN", "T2MAX"), strict=False, limit=0)
+    found = region_jobs.read_yearly(spark, out)
+    return found.select("poly_id", "time", mean_out("prcp"), mean_out("tmax"), "year")

@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions import values as fv
 from ..operators import regions
+from ..operators.grid import CELL_KEYS
+from ..operators.joins import BROADCAST_LIMIT_BYTES
+from ..session import materialise, scratch_path
+from ..sources.gridstore import BUCKET_KEYS, GridStore, bucketed_table, joins_within_buckets
 
 WEIGHTS_SCHEMA = "poly_id bigint, y int, x int, w double"
 YEAR_BUCKETS = 16
@@ -57,6 +61,51 @@ def build_weights(polys: DataFrame, cells: DataFrame, cg: regions.CellGrid, path
     write_weights(w, path)
 
 
+# --- JN06 by tile: the product of a stored grid and its weights ----------------
+TILE_WEIGHTS = "poly_id bigint, y int, x int, w double, n_cells bigint, y_chunk int, x_chunk int, slot int"
+
+
+def write_tile_weights(store: GridStore, w: DataFrame, path: str) -> None:
+    """Weights bucketed as the store's grid is: by tile and slot, one copy a slot.
+
+    A polygon's rows lie in the buckets of the tiles that it meets.  The table is as
+    large as the weights times the slots, whatever the length of the time axis."""
+    plan = store.spec.plan
+    rows = regions.with_cell_count(w).select(
+        "poly_id", "y", "x", "w", "n_cells", (F.col("y") / plan.y).cast("int").alias("y_chunk"), (F.col("x") / plan.x).cast("int").alias("x_chunk"),
+        F.explode(F.sequence(F.lit(0), F.lit(store.slots - 1))).alias("slot"))
+    table = bucketed_table(store.spark, path, TILE_WEIGHTS, store.buckets)
+    rows.repartition(*BUCKET_KEYS).write.insertInto(table, overwrite=True)
+
+
+def tile_product(store: GridStore, weights_path: str, variables=None, start=None, end=None) -> DataFrame:
+    """JN06 for weights of any size: a bucketed store's grid joined with weights bucketed alike.
+
+    Every task reads the files of its tiles and slots on both sides and holds their
+    weights (one tile's, bounded by the chunk plan and the polygons that meet it) in a
+    hash table: no row of the grid is exchanged.  Run it ``joins_within_buckets``."""
+    grid = store.read(variables, start=start, end=end, by_tile=True)
+    w = store.spark.table(bucketed_table(store.spark, weights_path, TILE_WEIGHTS, store.buckets))
+    return grid.join(w.hint("shuffle_hash"), [*BUCKET_KEYS, *CELL_KEYS]).drop(*BUCKET_KEYS)
+
+
+def store_means(store: GridStore, w: DataFrame, variables, start=None, end=None, strict: bool = True,
+                limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+    """AG10 on a grid store: polygon averages with no exchange of grid rows, whatever the size of the weights.
+
+    Weights of up to ``limit`` bytes are broadcast; larger ones need a bucketed store and
+    are joined tile by tile.  Only the partial sums (polygon and time) are exchanged."""
+    w = regions.with_cell_count(w)
+    if not store.buckets or w.count() * regions.WEIGHT_ROW_BYTES <= limit:
+        j = regions.join_weights(store.read(variables, start=start, end=end), w)
+        return regions.weighted_mean(j, list(variables), strict=strict)
+    path = scratch_path(store.spark, "tile-weights")
+    write_tile_weights(store, w, path)
+    with joins_within_buckets(store.spark):
+        means = regions.weighted_mean(tile_product(store, path, variables, start, end), list(variables), strict=strict)
+        return materialise(means, "means")
+
+
 # --- JB11 region_daily --------------------------------------------------------
 def region_daily(spark: SparkSession, daily_grid: DataFrame, weights_path: str, out_path: str,
                  first_year: int, last_year: int, variables=("RAIN", "T2MAX", "T2MIN")) -> None:
@@ -70,3 +119,11 @@ def region_daily(spark: SparkSession, daily_grid: DataFrame, weights_path: str,
     j = regions.join_weights(g, read_weights(spark, weights_path))
     means = regions.weighted_mean(j, list(variables))
     write_yearly(fv.convert_units(means, keep=("poly_id", "time")), out_path)
+
+
+def region_daily_store(store: GridStore, weights_path: str, out_path: str, first_year: int, last_year: int,
+                       variables=("RAIN", "T2MAX", "T2MIN"), strict: bool = True, limit: int = BROADCAST_LIMIT_BYTES) -> None:
+    """JB11 on a grid store: the years' polygon averages by ``store_means``, converted, one directory per year."""
+    means = store_means(store, read_weights(store.spark, weights_path), variables, f"{first_year:04d}-01-01", f"{last_year:04d}-12-31",
+                        strict, limit)
+    write_yearly(fv.convert_units(means, keep=("poly_id", "time")), out_path)

@@ -20,6 +20,7 @@ F1_SHAPE = (2, 2)
 F2_SPEC = GridSpec("1995-01-02 00:00:00", "day", ChunkPlan(36, 4, 16))
 F2_END = "2001-11-04 00:00:00"
 F2_SHAPE = (8, 64)
+F2_TILE_SPEC = GridSpec("1995-01-02 00:00:00", "day", ChunkPlan(180, 4, 16))   # for the bucketed store: fewer files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +54,18 @@ def daily_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.max("l_quantity").alias("qty"), F.max("l_extendedprice").alias("price")))
 
 
+def daily_store(spark: SparkSession, sf_dir: str, names: tuple[str, str] = ("qty", "price"), buckets: int | None = 32, slots: int = 4):
+    """F2 in a store bucketed by tile and slot; the axis spans the data's days."""
+    from ..session import materialise, scratch_path
+    from .gridstore import GridStore
+    g = materialise(daily_grid(spark, sf_dir).withColumnsRenamed({"qty": names[0], "price": names[1]}), "f2")
+    ends = g.agg(F.min("time").alias("first"), F.max("time").alias("last")).first()   # two scalars
+    store = GridStore.create(spark, scratch_path(spark, "daily-tiles"), F2_TILE_SPEC, ends["first"], ends["last"], list(names),
+                             shape=F2_SHAPE, buckets=buckets, slots=slots)
+    store.write_region(g, stage=False)
+    return store
+
+
 # Names given to the first users of the derived catalog: five bucket variables.
 BUCKET_NAMES = BUCKET_VARS[:5]
 

@@ -11,12 +11,19 @@ Layout of a store directory::
 The grid is partitioned by ``time_chunk`` (one directory per time chunk) and
 clustered by ``y_chunk, x_chunk`` inside, so a chunk of the array maps to a
 group of files and a region write replaces whole partitions.
+
+A store created with ``buckets`` is bucketed as well, by tile and *slot* (the time
+chunk modulo ``slots``): a table bucketed alike joins it tile by tile with no exchange
+of the grid, in as many tasks as there are tiles times slots (up to ``buckets``).
 """
 
 from __future__ import annotations
 
+import contextlib
 import datetime as _dt
+import hashlib
 import json
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +57,36 @@ def catalog_frame(spark: SparkSession, rows) -> DataFrame:
     return spark.createDataFrame(list(rows), CATALOG_SCHEMA)
 
 
+#: What a bucketed table is bucketed by.
+BUCKET_KEYS = ("y_chunk", "x_chunk", "slot")
+
+
+def bucketed_table(spark: SparkSession, path: str, schema: str, buckets: int, partitioned_by: str = "") -> str:
+    """Name of the session's table over the bucketed Parquet files at ``path``.
+
+    The catalog holds only where the files lie and how they are bucketed; each session
+    that reads or writes them names them anew."""
+    name = "tiles_" + hashlib.sha256(path.encode()).hexdigest()[:24]
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} ({schema}) USING parquet OPTIONS (partitionOverwriteMode 'dynamic') {partitioned_by} "
+              f"CLUSTERED BY ({', '.join(BUCKET_KEYS)}) INTO {buckets} BUCKETS LOCATION '{path}'")
+    if partitioned_by:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    return name
+
+
+@contextlib.contextmanager
+def joins_within_buckets(spark: SparkSession) -> Iterator[None]:
+    """Joins run inside use a partitioning by some of their keys as it is (by tile, for keys tile and cell)."""
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 class GridStore:
     def __init__(self, spark: SparkSession, path: str, meta: dict | None = None):
         self.spark = spark
@@ -68,17 +105,18 @@ class GridStore:
     @classmethod
     def create(cls, spark: SparkSession, path: str, spec: GridSpec, start, end,
                variables, catalog: DataFrame | None = None, cells: DataFrame | None = None,
-               shape: tuple[int, int] | None = None) -> "GridStore":
+               shape: tuple[int, int] | None = None, buckets: int | None = None, slots: int = 64) -> "GridStore":
         """Empty store: full axis ``start..end``, no data rows, schema from ``variables``.
 
         Metadata only: the axis is generated in parallel, the grid directory is
         created empty, and every later read uses the explicit schema.  A store that
         is already at ``path`` is replaced, rows and all.  ``shape`` (y and x cells)
-        tells the checks how many cells there are where no cell table does."""
+        tells the checks how many cells there are where no cell table does.
+        ``buckets`` (about tiles x ``slots``) makes a bucketed store."""
         path = path.rstrip("/")
         axis = gops.make_axis(spark, start, end, spec)
         axis.write.mode("overwrite").parquet(f"{path}/axis")
-        schema = cls._grid_schema(variables)
+        schema = cls._grid_schema(variables, bool(buckets))
         (spark.createDataFrame([], schema).write.mode("overwrite").option("partitionOverwriteMode", "static")
          .partitionBy("time_chunk").parquet(f"{path}/grid"))
         if catalog is None:
@@ -90,22 +128,35 @@ class GridStore:
         n_steps = int((e - s).total_seconds() // spec.step_seconds) + 1
         meta = {"base_date": spec.base_literal, "freq": spec.freq, "plan": spec.plan.as_dict(),
                 "variables": list(variables), "axis_start": s.strftime("%Y-%m-%d %H:%M:%S"), "n_steps": n_steps,
-                "has_cells": cells is not None, "n_cells": None if shape is None else int(shape[0]) * int(shape[1])}
+                "has_cells": cells is not None, "n_cells": None if shape is None else int(shape[0]) * int(shape[1]),
+                "buckets": buckets, "slots": slots if buckets else None}
         _write_text(spark, f"{path}/_spec", json.dumps(meta))
         return cls(spark, path, meta)
 
     @staticmethod
-    def _grid_schema(variables) -> T.StructType:
+    def _grid_schema(variables, bucketed: bool = False) -> T.StructType:
         fields = [T.StructField("time", T.TimestampNTZType()), T.StructField("y", T.IntegerType()),
                   T.StructField("x", T.IntegerType())]
         fields += [T.StructField(v, T.DoubleType()) for v in variables]
-        fields += [T.StructField("y_chunk", T.IntegerType()), T.StructField("x_chunk", T.IntegerType()),
-                   T.StructField("time_chunk", T.IntegerType())]
-        return T.StructType(fields)
+        chunks = ["y_chunk", "x_chunk", *["slot"] * bucketed, "time_chunk"]
+        return T.StructType(fields + [T.StructField(c, T.IntegerType()) for c in chunks])
+
+    @property
+    def buckets(self) -> int | None:
+        return self.meta.get("buckets")
+
+    @property
+    def slots(self) -> int:
+        return int(self.meta.get("slots") or 1)
 
     @property
     def schema(self) -> T.StructType:
-        return self._grid_schema(self.variables)
+        return self._grid_schema(self.variables, bool(self.buckets))
+
+    def _table(self) -> str:
+        """The grid as a bucketed table of this session."""
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema.fields)
+        return bucketed_table(self.spark, f"{self.path}/grid", columns, self.buckets, "PARTITIONED BY (time_chunk)")
 
     # ------------------------------------------------------------------ tables
     def axis(self) -> DataFrame:
@@ -133,7 +184,7 @@ class GridStore:
     def read(self, variables=None, start=None, end=None, chunks: tuple[int, int] | None = None,
              with_chunks: bool = False, with_attrs: bool = False,
              y_range: tuple[int, int] | None = None, x_range: tuple[int, int] | None = None,
-             steps: tuple[int, int] | None = None) -> DataFrame:
+             steps: tuple[int, int] | None = None, by_tile: bool = False) -> DataFrame:
         """Lazy scan with the explicit schema.
 
         ``start``/``end`` (inclusive labels) become range predicates on raw
@@ -141,8 +192,14 @@ class GridStore:
         does not derive the latter itself.  ``y_range``/``x_range`` (inclusive
         cell indices) filter the clustering columns and the cell keys; both are
         pushed to Parquet, whose row-group statistics skip other tiles.  ``steps``
-        (half-open axis positions) is turned into such times."""
-        df = self.spark.read.schema(self.schema).option("mergeSchema", "false").parquet(f"{self.path}/grid")
+        (half-open axis positions) is turned into such times.  ``by_tile`` reads a bucketed
+        store as such, with the columns it is bucketed by."""
+        if by_tile:
+            if not self.buckets:
+                raise ValueError(f"{self.path} is not bucketed by tile")
+            df = self.spark.table(self._table())
+        else:
+            df = self.spark.read.schema(self.schema).option("mergeSchema", "false").parquet(f"{self.path}/grid")
         plan = self.spec.plan
         for col, chunk_col, size, rng in (("y", "y_chunk", plan.y, y_range), ("x", "x_chunk", plan.x, x_range)):
             if rng is not None:
@@ -160,7 +217,7 @@ class GridStore:
             e = end or "9999-12-30"
             df = gops.slice_by_label(df, s, e, self.spec)
         cols = list(variables) if variables is not None else self.variables
-        keep = list(gops.KEYS) + cols + (["time_chunk", "y_chunk", "x_chunk"] if with_chunks else [])
+        keep = list(gops.KEYS) + cols + (["time_chunk", "y_chunk", "x_chunk"] if with_chunks else list(BUCKET_KEYS) if by_tile else [])
         out = df.select(*keep)
         if with_attrs:
             from ..operators.catalog import attrs_of, with_attrs as attach
@@ -200,14 +257,16 @@ class GridStore:
             rows = incoming.select("*", *nothing, F.lit(1).alias("_new"))
             if not replace_chunks:
                 stored = self.spark.read.schema(self.schema).parquet(f"{self.path}/grid").where(F.col("time_chunk").isin(chunks))
-                rows = rows.unionByName(stored.withColumn("_new", F.lit(0)))
+                rows = rows.unionByName(stored.drop("slot").withColumn("_new", F.lit(0)))
             is_new = F.col("_new") == 1
             old = {v: F.max(F.when(~is_new, F.col(v))) for v in self.variables}
             value = {v: F.when(F.max("_new") == 1, F.max(F.when(is_new, F.col(v)))).otherwise(old[v]) if v in given else old[v]
                      for v in self.variables}
             # grouped within the tiles' partitions: no second exchange
-            merged = rows.repartition(*tile).groupBy(*tile, *gops.KEYS).agg(*[c.alias(v) for v, c in value.items()])
-            self._write_partitions(merged.select(*self.schema.names))
+            slot = F.pmod("time_chunk", F.lit(self.slots)).cast("int")
+            dealt = rows.repartition("y_chunk", "x_chunk", slot) if self.buckets else rows.repartition(*tile)
+            merged = dealt.groupBy(*tile, *gops.KEYS).agg(*[c.alias(v) for v, c in value.items()])
+            self._write_partitions(merged.withColumn("slot", slot).select(*self.schema.names))
         if staged:
             remove_path(self.spark, staged)
 
@@ -216,6 +275,9 @@ class GridStore:
         return gops.locate_regular(df, self.axis_start, self.n_steps, self.spec.step_seconds)
 
     def _write_partitions(self, df: DataFrame) -> None:
+        if self.buckets:
+            df.write.insertInto(self._table(), overwrite=True)
+            return
         (df.sortWithinPartitions("time_chunk", "y_chunk", "x_chunk", "time", "y", "x")
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("time_chunk").parquet(f"{self.path}/grid"))
