@@ -240,17 +240,17 @@ wt AS MATERIALIZED (SELECT poly_id, y, x, round(area / poly_area, {REPORT_DIGITS
 g AS MATERIALIZED ({F2_SQL})"""
 
 
-# The engines round exact halves of the last digit differently: a shift far below the step
-# and far above rounding errors keeps means off them, on both sides alike.
-MEAN_SHIFT = 1.7e-8
+# The engines round halves of the last digit differently, the more so the larger a value:
+# three digits, and a shift far below the step and far above rounding errors on both sides.
+MEAN_DIGITS, MEAN_SHIFT = 3, 1.7e-5
 
 
 def mean_sql(e: str) -> str:
-    return f"round({e} + {MEAN_SHIFT}::DOUBLE, {REPORT_DIGITS})"
+    return f"round({e} + {MEAN_SHIFT}::DOUBLE, {MEAN_DIGITS})"
 
 
 def mean_out(c: str):
-    return F.round(F.col(c) + F.lit(MEAN_SHIFT), REPORT_DIGITS).alias(c)
+    return F.round(F.col(c) + F.lit(MEAN_SHIFT), MEAN_DIGITS).alias(c)
 
 
 def _lenient_sql(v: str) -> str:
