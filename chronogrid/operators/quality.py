@@ -54,7 +54,18 @@ def yearly_range(grid: DataFrame, axis: DataFrame, n_cells, variables=None) -> D
     aggs = []
     for v in variables:
         aggs += [F.min(v).alias(f"lo__{v}"), F.max(v).alias(f"hi__{v}"), F.count(v).alias(f"n__{v}")]
-    per_year = grid.groupBy(F.year("time").alias("year")).agg(*aggs)
+    return _yearly_range(grid.groupBy(F.year("time").alias("year")).agg(*aggs), axis, n_cells, variables)
+
+
+def yearly_range_of_summaries(summaries: DataFrame, axis: DataFrame, n_cells, variables) -> DataFrame:
+    """``yearly_range`` from a store's chunk summaries."""
+    aggs = []
+    for v in variables:
+        aggs += [F.min(f"lo__{v}").alias(f"lo__{v}"), F.max(f"hi__{v}").alias(f"hi__{v}"), F.sum(f"n__{v}").alias(f"n__{v}")]
+    return _yearly_range(summaries.groupBy("year").agg(*aggs), axis, n_cells, variables)
+
+
+def _yearly_range(per_year: DataFrame, axis: DataFrame, n_cells, variables) -> DataFrame:
     long = _unpivot(per_year, ["year"], variables, ["lo", "hi", "n"])
     steps = steps_per_year(axis)
     n_cells = n_cells if not isinstance(n_cells, int) else F.lit(n_cells)
@@ -90,6 +101,12 @@ def count_present(grid: DataFrame, variables=None) -> DataFrame:
     return _unpivot(per_cell, ["year", "y", "x"], variables, ["n"]).withColumnRenamed("n", "n_present")
 
 
+def count_present_of_summaries(summaries: DataFrame, variables) -> DataFrame:
+    """``count_present`` from a store's chunk summaries."""
+    per_cell = summaries.groupBy("year", "y", "x").agg(*[F.sum(f"n__{v}").alias(f"n__{v}") for v in variables])
+    return _unpivot(per_cell, ["year", "y", "x"], variables, ["n"]).withColumnRenamed("n", "n_present")
+
+
 # --- AG09 max_missing ---------------------------------------------------------
 def max_missing(grid: DataFrame, axis: DataFrame, n_cells, variables=None) -> DataFrame:
     """Per variable and year: the largest number of missing steps of any cell,
@@ -100,7 +117,11 @@ def max_missing(grid: DataFrame, axis: DataFrame, n_cells, variables=None) -> Da
     cell total: if some cell has no row the answer is the year's step count,
     otherwise steps minus the smallest count present."""
     variables = data_variables(grid, variables)
-    per_cell = count_present(grid, variables)
+    return max_missing_of_counts(count_present(grid, variables), axis, n_cells, variables)
+
+
+def max_missing_of_counts(per_cell: DataFrame, axis: DataFrame, n_cells, variables) -> DataFrame:
+    """``max_missing`` from the counts of ``count_present``."""
     per_year = per_cell.groupBy("variable", "year").agg(
         F.min("n_present").alias("min_n"), F.count("*").alias("cells_with_rows"))
     n_cells = n_cells if not isinstance(n_cells, int) else F.lit(n_cells)

@@ -6,8 +6,11 @@ from pyspark.sql import functions as F
 
 from ..functions import timeaxis as ta
 from ..operators import quality as qa
-from ..session import materialise
+from ..session import materialise, scratch_path
 from ..sources import fixtures as fx
+from ..sources.gridstore import GridStore
+from ..sources.summaries import incomplete_steps
+from . import checks
 from .registry import F1_SQL, F2_SQL, f1, register
 
 
@@ -157,3 +160,52 @@ def q_jb09(spark, sf_dir):
     from .checks import check_missing
     g = materialise(f1(spark, sf_dir), "f1")
     return check_missing(g, f1_axis(g), n_cells(g), None)
+
+
+# --- the same checks on a store that keeps summaries ----------------------------
+# What the store holds after its writes: F2; then, up to day 200 and in the western half,
+# twice the quantity; then no price in column 5 of the last 100 days, unsummarised.
+STORE_G_SQL = f"""f2 AS ({F2_SQL}), ends AS (SELECT min(time) AS first, max(time) AS last FROM f2),
+g AS (SELECT time, y, x, CASE WHEN time < first + INTERVAL 200 DAY AND x < 32 THEN 2 * qty ELSE qty END AS qty,
+        CASE WHEN time > last - INTERVAL 100 DAY AND x = 5 THEN NULL ELSE price END AS price FROM f2, ends)"""
+
+
+def summarised_store(spark, sf_dir):
+    g = f2_grid(spark, sf_dir)
+    ends = g.agg(F.min("time").alias("first"), F.max("time").alias("last")).first()   # two scalars
+    store = GridStore.create(spark, scratch_path(spark, "summarised"), fx.F2_TILE_SPEC, ends["first"], ends["last"], ["qty", "price"],
+                             shape=(7, 64), summaries=True)
+    store.write_region(g, stage=False)
+    store.write_region(g.where((F.col("time") < ta.add_interval(ta.ntz(ends["first"]), days=200)) & (F.col("x") < 32))
+                       .select("time", "y", "x", (2 * F.col("qty")).alias("qty")))
+    late = g.where((F.col("time") > ta.add_interval(ta.ntz(ends["last"]), days=-100)) & (F.col("x") == 5))
+    store.write_region(late.select("time", "y", "x", F.lit(None).cast("double").alias("price")), summarise=False)
+    return store
+
+
+@register("AG05_yearly_range_of_summaries", YEARLY_SQL.replace(f"g AS ({F2_SQL})", STORE_G_SQL))
+def q_ag05_store(spark, sf_dir):
+    store = summarised_store(spark, sf_dir)
+    return checks.yearly_range_store(store, n_cells=store.read().select("y", "x").distinct().count())
+
+
+@register("AG07_count_present_of_summaries", f"""WITH {F2_FRAME.replace(f"g AS ({F2_SQL})", STORE_G_SQL)}
+SELECT variable, year, y, x, n_present FROM (
+  SELECT 'qty' AS variable, CAST(year(time) AS INTEGER) AS year, y, x, count(qty) AS n_present FROM g GROUP BY 2, 3, 4
+  UNION ALL SELECT 'price', CAST(year(time) AS INTEGER), y, x, count(price) FROM g GROUP BY 2, 3, 4)""")
+def q_ag07_store(spark, sf_dir):
+    return checks.count_present_store(summarised_store(spark, sf_dir))
+
+
+@register("JB09_check_missing_store", f"""SELECT variable AS "Variable", CAST(year AS VARCHAR) AS "Year",
+  CAST(max_missing AS VARCHAR) AS "Max missing" FROM ({MAXMISS_SQL.replace(f"g AS ({F2_SQL})", STORE_G_SQL).replace("SELECT count(*) AS n_cells FROM (SELECT DISTINCT y, x FROM g)", "SELECT 448 AS n_cells")})""")
+def q_jb09_store(spark, sf_dir):
+    return checks.check_missing_store(summarised_store(spark, sf_dir))
+
+
+@register("AG08_incomplete_steps", f"""WITH {F2_FRAME.replace(f"g AS ({F2_SQL})", STORE_G_SQL)},
+have AS (SELECT time, count(qty) AS n_q, count(price) AS n_p FROM g GROUP BY 1)
+SELECT v.variable, ax.time FROM ax CROSS JOIN (VALUES ('qty'), ('price')) v(variable) LEFT JOIN have USING (time)
+WHERE coalesce(CASE v.variable WHEN 'qty' THEN n_q ELSE n_p END, 0) < 448""")
+def q_ag08_incomplete(spark, sf_dir):
+    return incomplete_steps(summarised_store(spark, sf_dir))

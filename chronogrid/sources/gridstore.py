@@ -4,6 +4,7 @@ Layout of a store directory::
 
     grid/time_chunk=<n>/*.parquet   rows (time, y, x, <variables>, y_chunk, x_chunk)
     axis/                           (time_idx, time, time_chunk): the full time axis
+    summary/time_chunk=<n>/         statistics of the chunk, where the store keeps them (see summaries)
     cells/                          (y, x, <constants>)
     catalog/                        (varname, dims, attrs, encoding)
     _spec                      base date, step, chunk plan
@@ -105,14 +106,16 @@ class GridStore:
     @classmethod
     def create(cls, spark: SparkSession, path: str, spec: GridSpec, start, end,
                variables, catalog: DataFrame | None = None, cells: DataFrame | None = None,
-               shape: tuple[int, int] | None = None, buckets: int | None = None, slots: int = 64) -> "GridStore":
+               shape: tuple[int, int] | None = None, buckets: int | None = None, slots: int = 64,
+               summaries: bool = False) -> "GridStore":
         """Empty store: full axis ``start..end``, no data rows, schema from ``variables``.
 
         Metadata only: the axis is generated in parallel, the grid directory is
         created empty, and every later read uses the explicit schema.  A store that
         is already at ``path`` is replaced, rows and all.  ``shape`` (y and x cells)
         tells the checks how many cells there are where no cell table does.
-        ``buckets`` (about tiles x ``slots``) makes a bucketed store."""
+        ``buckets`` (about tiles x ``slots``) makes a bucketed store; with ``summaries``
+        every region write renews the statistics of its chunks."""
         path = path.rstrip("/")
         axis = gops.make_axis(spark, start, end, spec)
         axis.write.mode("overwrite").parquet(f"{path}/axis")
@@ -124,12 +127,15 @@ class GridStore:
         catalog.write.mode("overwrite").parquet(f"{path}/catalog")
         if cells is not None:
             cells.write.mode("overwrite").parquet(f"{path}/cells")
+        if summaries:
+            (spark.createDataFrame([], "files string, time_chunk int").write.mode("overwrite").option("partitionOverwriteMode", "static")
+             .partitionBy("time_chunk").parquet(f"{path}/summary"))
         s, e = parse_base_date(start), parse_base_date(end)
         n_steps = int((e - s).total_seconds() // spec.step_seconds) + 1
         meta = {"base_date": spec.base_literal, "freq": spec.freq, "plan": spec.plan.as_dict(),
                 "variables": list(variables), "axis_start": s.strftime("%Y-%m-%d %H:%M:%S"), "n_steps": n_steps,
                 "has_cells": cells is not None, "n_cells": None if shape is None else int(shape[0]) * int(shape[1]),
-                "buckets": buckets, "slots": slots if buckets else None}
+                "buckets": buckets, "slots": slots if buckets else None, "summaries": summaries}
         _write_text(spark, f"{path}/_spec", json.dumps(meta))
         return cls(spark, path, meta)
 
@@ -149,6 +155,10 @@ class GridStore:
     def slots(self) -> int:
         return int(self.meta.get("slots") or 1)
 
+    @property
+    def keeps_summaries(self) -> bool:
+        return bool(self.meta.get("summaries"))
+
     @property
     def schema(self) -> T.StructType:
         return self._grid_schema(self.variables, bool(self.buckets))
@@ -225,7 +235,7 @@ class GridStore:
         return out
 
     # ------------------------------------------------------------------ SR17
-    def write_region(self, df: DataFrame, replace_chunks: bool = False, stage: bool = True) -> None:
+    def write_region(self, df: DataFrame, replace_chunks: bool = False, stage: bool = True, summarise: bool = True) -> None:
         """Merge rows into the store by ``(time, y, x)`` and variable, idempotently.
 
         A row of ``df`` sets the variables that ``df`` has, a NULL or NaN included
@@ -238,7 +248,9 @@ class GridStore:
         IO: the input is evaluated once, into a staged table that is deleted
         afterwards (``stage=False`` skips it for inputs that are cheap to read and
         can't change); its time chunks are listed from there (one row each), and only
-        those partitions are read and rewritten, in one exchange by tile."""
+        those partitions are read and rewritten, in one exchange by tile.  A store that
+        keeps summaries then reads the written chunks once more for theirs (unless
+        ``summarise`` is False: they are stale until ``write_summaries`` or a check's scan)."""
         unknown = [c for c in df.columns if c not in gops.KEYS and c not in self.variables]
         if unknown:
             raise ValueError(f"columns not in store schema: {unknown}")
@@ -267,6 +279,9 @@ class GridStore:
             dealt = rows.repartition("y_chunk", "x_chunk", slot) if self.buckets else rows.repartition(*tile)
             merged = dealt.groupBy(*tile, *gops.KEYS).agg(*[c.alias(v) for v, c in value.items()])
             self._write_partitions(merged.withColumn("slot", slot).select(*self.schema.names))
+            if self.keeps_summaries and summarise:
+                from .summaries import write_summaries
+                write_summaries(self, chunks)
         if staged:
             remove_path(self.spark, staged)
 
