@@ -80,7 +80,7 @@ def test_partial_rewrites(spark, store):
 
 def test_stale_chunks_are_scanned_and_no_others(spark, store):
     g = store.read()
-    last = g.where(F.col("time") >= F.lit("2024-01-05 12:00:00").cast("timestamp_ntz"))
+    last = g.where(F.col("time") >= F.lit("2024-01-05 18:00:00").cast("timestamp_ntz"))
     store.write_region(last.select("time", "y", "x", F.lit(-5.0).alias("a")), summarise=False)     # as a job lost in between leaves it
     agrees(store)
     df = checks.yearly_range_store(store)
