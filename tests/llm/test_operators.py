@@ -549,3 +549,28 @@ def test_html_awkward(ready):
                                   "page_id long, html string, text string")
     got = html_text.with_main_text(pages).collect()
     assert sorted((r.page_id, len(r.text)) for r in got) == [(1, 0), (2, 0), (2, 0), (3, 4), (4, 300_000)]
+
+
+# --- BPE: words of any length, what is remembered --------------------------------
+def test_one_huge_word(encoder, tokenizer):
+    rng = random.Random(3)
+    for word in ("ab" * 30_000, "".join(rng.choices("aetoinshr", k=20_000)), "x" * 65, "é" * 33, "9" * 70, "a" * 64, "ß" + "-" * 500):
+        assert encoder(f"to {word}, be") == tokenizer.encode(f"to {word}, be", add_special_tokens=False).ids
+
+
+def test_stretches_are_forgotten_and_found_again(tokenizer, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED_BYTES", 40_000)
+    monkeypatch.setattr(bpe, "REMEMBERED_PAIRS", 50)
+    monkeypatch.setattr(bpe, "BLOCK", 7)
+    with open(bpe.public_tokenizer("word_bpe_49k.json"), encoding="utf-8") as f:
+        definition = f.read()
+    made = bpe.PrefixEncoder(definition)
+    made.prepare()
+    splitter, rng = bpe.Pretokenizer(definition, made.specials), random.Random(11)
+    for _ in range(60):
+        text = " ".join("".join(rng.choices("aeioutnsr.,<|>", k=rng.randint(1, 9))) for _ in range(60)) + " the of and <|endoftext|>"
+        assert made.encode(text, splitter) == tokenizer.encode(text, add_special_tokens=False).ids
+        assert made.remembered.bytes <= 40_000
+        for key, code in list(made.remembered.items())[:50]:
+            ids = made.remembered.ids(np.array([code]))[0].tolist()
+            assert made.remembered.decoded[code] == " ".join(made.words[i] for i in ids)
