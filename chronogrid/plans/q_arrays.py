@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import grid as gops
-from ..session import scratch_path
-from ..sources import arraystore
+from ..session import prepare_workers, scratch_path
+from ..sources import arraystore, blocks, datasource
 from ..sources import fixtures as fx
-from .registry import F1_BASE, F1_SQL, f1, register
+from .registry import F1_BASE, F1_SQL, F2_SQL, f1, register
 
 SPEC = fx.F1_SPEC
 SHAPE = (720, 2, 2)
@@ -35,3 +37,43 @@ def q_sr08(spark, sf_dir):
     path = scratch_path(spark, "arrays")
     _export(spark, sf_dir, path).write.format("noop").mode("overwrite").save()
     return arraystore.import_array_store(spark, path, ["T2D", "RAINRATE"])
+
+
+# --- F2 (rows grow with lineitem) as an array of days x 8 x 64 -------------------
+F2_BASE = "TIMESTAMP '1992-01-01 00:00:00'"
+F2_INDEX_SQL = f"SELECT CAST(date_diff('day', {F2_BASE}, time) AS INTEGER) AS time_idx, y, x, qty, price FROM ({F2_SQL})"
+
+
+def f2_array(spark, sf_dir, name, chunks):
+    """F2 written through the data source; the array reaches to the last day of the data."""
+    g = fx.daily_grid(spark, sf_dir).withColumn("time_idx", F.datediff("time", F.lit("1992-01-01").cast("date"))).drop("time")
+    days = (g.agg(F.max("time_idx")).first()[0] or 0) + 1     # one scalar
+    path = scratch_path(spark, name)
+    datasource.write_array(g.select("time_idx", "y", "x", "qty", "price"), path, (days, *fx.F2_SHAPE), chunks)
+    return path
+
+
+@register("SR08_array_source_read", f"SELECT * FROM ({F2_INDEX_SQL}) WHERE time_idx BETWEEN 1200 AND 1500 AND x >= 40 AND y = 3")
+def q_sr08_source(spark, sf_dir):
+    """Written and read as ``format("chunkarray")``; only the chunks of the filters are opened."""
+    path = f2_array(spark, sf_dir, "source", (400, 4, 16))
+    df = datasource.read_array(spark, path, ["qty", "price"], missing=False)
+    return df.where("time_idx BETWEEN 1200 AND 1500 AND x >= 40 AND y = 3")
+
+
+@register("LY01_rechunk_blocks", F2_INDEX_SQL)
+def q_ly01_blocks(spark, sf_dir):
+    """An array of long thin chunks rechunked to flat wide ones by blocks, then read as rows."""
+    prepare_workers(spark)
+    path, target = f2_array(spark, sf_dir, "thin", (700, 2, 8)), scratch_path(spark, "flat")
+    blocks.rechunk_array_store(spark, path, target, {"time": 90, "y": 5, "x": 100})
+    return datasource.read_array(spark, target, ["qty", "price"], missing=False)
+
+
+@register("LY01_rechunk_manifest", f"""WITH g AS ({F2_INDEX_SQL}),
+k AS (SELECT CAST(time_idx // 90 AS VARCHAR) || '.' || CAST(y // 5 AS VARCHAR) || '.0' AS key, qty, price FROM g)
+SELECT 'qty' AS variable, key, count(qty) AS n_values FROM k GROUP BY key UNION ALL SELECT 'price', key, count(price) FROM k GROUP BY key""")
+def q_ly01_manifest(spark, sf_dir):
+    prepare_workers(spark)
+    path, target = f2_array(spark, sf_dir, "thin", (700, 2, 8)), scratch_path(spark, "flat")
+    return blocks.rechunk_array_store(spark, path, target, {"time": 90, "y": 5, "x": 100}).where("n_values > 0").select("variable", "key", "n_values")

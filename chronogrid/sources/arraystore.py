@@ -151,12 +151,16 @@ def export_array_store(grid: DataFrame, store: str, variables, shape: tuple[int,
 
 
 def _write_metadata(store: str, variables, shape, chunks, dims, attrs) -> None:
-    """Small JSON documents (group, per variable, consolidated)."""
+    write_metadata(store, [(variables, shape, chunks, dims)], attrs)
+
+
+def write_metadata(store: str, arrays, attrs: dict) -> None:
+    """Small JSON documents (group, per variable, consolidated last) of ``(variables, shape, chunks, dims)`` groups."""
     meta = {".zgroup": {"zarr_format": 2}, ".zattrs": {}}
-    for v in variables:
-        za = {"_ARRAY_DIMENSIONS": list(dims), **attrs.get(v, {})}
-        meta[f"{v}/.zarray"] = _zarray(shape, chunks)
-        meta[f"{v}/.zattrs"] = za
+    for variables, shape, chunks, dims in arrays:
+        for v in variables:
+            meta[f"{v}/.zarray"] = _zarray(shape, chunks)
+            meta[f"{v}/.zattrs"] = {"_ARRAY_DIMENSIONS": list(dims), **attrs.get(v, {})}
     for k, doc in meta.items():
         _write_bytes(f"{store}/{k}", json.dumps(doc, indent=2).encode())
     _write_bytes(f"{store}/.zmetadata",
