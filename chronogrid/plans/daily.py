@@ -63,7 +63,7 @@ def daily_from_hourly(hourly: GridStore, daily_spec: GridSpec | None = None,
             end = start - _dt.timedelta(hours=1)
     df = hourly.read([v for v in ("T2D", "RAINRATE") if v in hourly.variables],
                      start=start and start.strftime("%Y-%m-%d %H:%M:%S"), end=end and end.strftime("%Y-%m-%d %H:%M:%S"))
-    return dops.daily_reduce(df, axis["first"], hourly.spec.step_seconds)
+    return dops.daily_reduce(df, axis["first"], hourly.spec.step_seconds, unique=True)
 
 
 def process_daily(hourly: GridStore, daily_store: GridStore, first_chunk: int | None = None,

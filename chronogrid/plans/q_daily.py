@@ -82,3 +82,34 @@ def q_wn01(spark, sf_dir):
     ax = d.select("time_idx", F.when(F.col("time_idx") == last, F.lit(None))
                   .otherwise(daily.block_label(base, "time_idx")).alias("time"))
     return daily.fill_missing_time(ax)
+
+
+# F1 without some hours, and with every ninth hour of the day twice, the second time halved: a
+# repeated hour counts once and never in place of a missing one.
+REPEATED_SQL = f"""SELECT time, y, x, max(T2D) AS T2D, max(RAINRATE) AS RAINRATE FROM (
+  SELECT * FROM ({F1_SQL}) WHERE NOT (hour(time) = 7 AND day(time) % 3 = 0 AND y = 0)
+  UNION ALL SELECT time, y, x, T2D / 2, RAINRATE / 2 FROM ({F1_SQL}) WHERE hour(time) % 9 = 0) GROUP BY time, y, x"""
+
+
+def repeated_hours(spark, sf_dir):
+    g = f1(spark, sf_dir)
+    kept = g.where(~((F.hour("time") == 7) & (F.dayofmonth("time") % 3 == 0) & (F.col("y") == 0)))
+    again = g.where(F.hour("time") % 9 == 0).select("time", "y", "x", (F.col("T2D") / 2).alias("T2D"), (F.col("RAINRATE") / 2).alias("RAINRATE"))
+    return kept.unionByName(again)
+
+
+@register("AG03_daily_repeated_hours", daily_sql(REPEATED_SQL))
+def q_ag03_repeated(spark, sf_dir):
+    return daily.daily_reduce(repeated_hours(spark, sf_dir), fx.F1_SPEC.base_date, with_counts=True)
+
+
+@register("AG03_daily_merged_states", daily_sql(REPEATED_SQL))
+def q_ag03_states(spark, sf_dir):
+    """The same from the states of three batches that share days and hours, in any order."""
+    base = fx.F1_SPEC.base_date
+    h = repeated_hours(spark, sf_dir).groupBy("time", "y", "x").agg(F.max("T2D").alias("T2D"), F.max("RAINRATE").alias("RAINRATE"))
+    parts = [h.where(F.hour("time") < 10), h.where(F.hour("time").between(8, 20)), h.where(F.hour("time") >= 19)]
+    states = daily.day_state(parts[1], base)
+    for p in (parts[0], parts[2]):
+        states = daily.merge_states(states, daily.day_state(p, base))
+    return daily.days_of_states(states, base, with_counts=True)

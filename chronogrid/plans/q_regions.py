@@ -26,7 +26,7 @@ def rect_weights(spark, sf_dir):
 
 
 def daily_f1(spark, sf_dir):
-    return daily.daily_reduce(f1(spark, sf_dir), fx.F1_SPEC.base_date)
+    return daily.daily_reduce(f1(spark, sf_dir), fx.F1_SPEC.base_date, unique=True)
 
 
 RECT_SQL = f"""p AS (SELECT CAST(r_regionkey AS BIGINT) AS poly_id, 0.5::DOUBLE * r_regionkey AS x0, 0.1::DOUBLE * r_regionkey AS y0,

@@ -61,7 +61,7 @@ def f1(spark, sf_dir, plant_nan=False):
 
 
 def f1_daily(spark, sf_dir, plant_nan=False):
-    return daily.daily_reduce(f1(spark, sf_dir, plant_nan), fx.F1_SPEC.base_date, with_counts=True)
+    return daily.daily_reduce(f1(spark, sf_dir, plant_nan), fx.F1_SPEC.base_date, with_counts=True, unique=True)
 
 
 
