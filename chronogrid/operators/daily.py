@@ -106,15 +106,18 @@ def day_state(hourly: DataFrame, axis_start, step_seconds: int = 3600, keys=("y"
 
 
 def merge_states(old: DataFrame, new: DataFrame, keys=("y", "x")) -> DataFrame:
-    """States of ``old`` and ``new`` together: hours seen in ``new`` (missing values included) replace those of ``old``."""
-    have = [c for c in new.columns if c not in ("_block", "seen", *keys)]
+    """States of ``old`` and ``new`` together: hours seen in ``new`` (missing values included) replace those of ``old``.
+
+    Variables that ``new`` lacks stay as they are."""
+    have = [c for c in old.columns if c not in ("_block", "seen", *keys)]
     j = old.alias("o").join(new.alias("n"), ["_block", *keys], "full")
     bits = F.coalesce(F.col("n.seen"), F.lit(0))
 
     def values(v: str) -> Column:
         return F.transform(F.sequence(F.lit(0), F.lit(STEPS_PER_DAY - 1)), lambda h: F.when(
             bits.bitwiseAND(F.call_function("shiftleft", F.lit(1), h)) != 0, F.get(F.col(f"n.{v}"), h)).otherwise(F.get(F.col(f"o.{v}"), h)))
-    return j.select("_block", *keys, F.coalesce(F.col("o.seen"), F.lit(0)).bitwiseOR(bits).alias("seen"), *[values(v).alias(v) for v in have])
+    return j.select("_block", *keys, F.coalesce(F.col("o.seen"), F.lit(0)).bitwiseOR(bits).alias("seen"), *[(values(v) if v in new.columns else F.coalesce(F.col(f"o.{v}"), F.array_repeat(F.lit(None).cast("double"), STEPS_PER_DAY))).alias(v)
+                                                     for v in have])
 
 
 def days_of_states(states: DataFrame, axis_start, keys=("y", "x"), with_counts: bool = False) -> DataFrame:
