@@ -14,16 +14,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..config import GridSpec, parse_base_date
+from .directives import strftime, strptime
 
 # Accepted input formats, in the order they are tried.
-# Hourly: '%Y-%m-%d:%H', '%Y-%m-%d %H:%M:%S', '%Y-%m-%dT%H', '%Y-%m-%dT%H:%M:%S'.
-# Daily:  '%Y-%m-%d'.
-HOURLY_FORMATS = ("yyyy-MM-dd:HH", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH", "yyyy-MM-dd'T'HH:mm:ss")
-DAILY_FORMATS = ("yyyy-MM-dd",)
-
-# strftime directive -> Spark datetime pattern (used by path templates).
-_STRFTIME = {"%Y": "yyyy", "%m": "MM", "%d": "dd", "%H": "HH", "%M": "mm", "%S": "ss",
-             "%j": "DDD", "%y": "yy"}
+HOURLY_FORMATS = ("%Y-%m-%d:%H", "%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H", "%Y-%m-%dT%H:%M:%S")
+DAILY_FORMATS = ("%Y-%m-%d",)
+#: What a base date of a CF units text may look like.
+CF_FORMATS = ("%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%d %H:%M", "%Y-%m-%d")
 
 
 def _c(x) -> Column:
@@ -50,13 +47,10 @@ def floor_hour(t) -> Column:
 
 # --- SC01 parse_datetime ---------------------------------------------------
 def parse_datetime(s, formats=HOURLY_FORMATS) -> Column:
-    """First format that parses, else NULL (``require_parsed`` turns NULLs into an error).
-
-    Parsing goes through ``try_to_timestamp`` in the session zone (UTC in every
-    chronogrid session), then to TIMESTAMP_NTZ.
-    """
-    parsed = [F.try_to_timestamp(_c(s), F.lit(f)) for f in formats]
-    return F.coalesce(*parsed).cast("timestamp_ntz")
+    """First ``strptime`` format that reads the whole text, else NULL (``require_parsed``
+    turns NULLs into an error).  Lenient as ``strptime`` is: fields of one digit are read;
+    no session zone is involved."""
+    return F.coalesce(*[strptime(_c(s), f) for f in formats])
 
 
 def require_parsed(df, text_col: str, ts_col: str):
@@ -155,16 +149,21 @@ def time_chunk_bounds(start, end, spec: GridSpec) -> tuple[int, int]:
 
 
 # --- SC11 cf_time ----------------------------------------------------------
+# Seconds of the CF units read here.
+CF_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+_CF_UNITS = r"(?i)^\s*(second|minute|hour|day)s?\s+since\s+(.+?)\s*$"
+
+
 def cf_base(units) -> Column:
     """Base time of a CF ``hours since <date>`` units string."""
-    txt = F.regexp_extract(_c(units), r"^\s*hours since\s+(.+?)\s*$", 1)
-    return F.coalesce(F.try_to_timestamp(txt, F.lit("yyyy-MM-dd HH:mm:ss")),
-                      F.try_to_timestamp(txt, F.lit("yyyy-MM-dd"))).cast("timestamp_ntz")
+    return parse_datetime(F.regexp_extract(_c(units), _CF_UNITS, 2), CF_FORMATS)
 
 
-def cf_decode(hours, units) -> Column:
-    """Numeric time in ``hours since <base>`` to TIMESTAMP_NTZ."""
-    secs = (_c(hours).cast("double") * 3600).cast("decimal(18,6)")
+def cf_decode(numbers, units) -> Column:
+    """Numeric time in ``hours since <base>`` (or days, minutes, seconds) to TIMESTAMP_NTZ."""
+    step = F.element_at(F.create_map(*[x for k, v in CF_SECONDS.items() for x in (F.lit(k), F.lit(v))]),
+                        F.nullif(F.lower(F.regexp_extract(_c(units), _CF_UNITS, 1)), F.lit("")))
+    secs = (_c(numbers).cast("double") * step).cast("decimal(18,6)")
     return cf_base(units) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)
 
 
@@ -187,10 +186,7 @@ def path_format(template: str, fields: dict[str, Column]) -> Column:
             raise KeyError(f"template field {name!r} not supplied")
         col = fields[name]
         if spec:
-            pat = spec
-            for k, v in _STRFTIME.items():
-                pat = pat.replace(k, v)
-            col = F.date_format(col, pat)
+            col = strftime(col, spec)
         parts.append(col.cast("string"))
         pos = m.end()
     if pos < len(template):

@@ -39,7 +39,7 @@ _FMT_SQL = ["%Y-%m-%d:%H", "%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H", "%Y-%m-%dT%H:%M:%
 SELECT event_id, s, coalesce({", ".join(f"try_strptime(s, '{f}')" for f in _FMT_SQL)}) AS t FROM s""")
 def q_sc01(spark, sf_dir):
     ev = fx.table(spark, sf_dir, "events")
-    fmts = list(ta.HOURLY_FORMATS)
+    fmts = ["yyyy-MM-dd:HH", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH", "yyyy-MM-dd'T'HH:mm:ss"]
     k = F.col("event_id") % 5
     s = (F.when(k == 0, F.date_format("ts", fmts[0])).when(k == 1, F.date_format("ts", fmts[1]))
          .when(k == 2, F.date_format("ts", fmts[2])).when(k == 3, F.date_format("ts", fmts[3]))
@@ -47,6 +47,57 @@ def q_sc01(spark, sf_dir):
     return ev.select("event_id", s.alias("s")).withColumn("t", ta.parse_datetime("s"))
 
 
+# Texts as a command line gives them: fields of one digit, and some that are no dates.
+LOOSE_SQL = """SELECT event_id, CASE event_id % 9
+    WHEN 0 THEN year(ts) || '-' || month(ts) || '-' || day(ts) || ':' || hour(ts)
+    WHEN 1 THEN year(ts) || '-' || month(ts) || '-' || day(ts) || '  ' || hour(ts) || ':' || minute(ts) || ':' || second(ts)
+    WHEN 2 THEN year(ts) || '-' || month(ts) || '-' || day(ts) || 'T' || hour(ts)
+    WHEN 3 THEN year(ts) || '-' || month(ts) || '-' || day(ts) || 't' || hour(ts) || ':' || minute(ts) || ':' || second(ts)
+    WHEN 4 THEN year(ts) || '-' || month(ts) || '-' || (day(ts) + 20) || ':' || hour(ts)
+    WHEN 5 THEN year(ts) || '-' || month(ts) || '-' || day(ts) || 'T' || (hour(ts) + 10)
+    WHEN 6 THEN strftime(ts, '%Y-%m-%d:%H')
+    WHEN 7 THEN ' ' || strftime(ts, '%Y-%m-%dT%H')
+    ELSE year(ts) || '-' || month(ts) || '-' || day(ts) || ' ' || hour(ts) || ':' || minute(ts) || ':' || (second(ts) + 30) END AS s, ts FROM events"""
+
+
+def loose_texts(spark, sf_dir):
+    t = F.col("ts")
+    day = F.concat(F.year(t).cast("string"), F.lit("-"), F.month(t).cast("string"), F.lit("-"))
+    d, h, m, sec = F.dayofmonth(t), F.hour(t), F.minute(t), F.second(t)
+    clock = lambda s: F.concat(h.cast("string"), F.lit(":"), m.cast("string"), F.lit(":"), s.cast("string"))
+    join = lambda *p: F.concat(day, *[x if isinstance(x, str) else x.cast("string") for x in p])
+    k = F.col("event_id") % 9
+    s = (F.when(k == 0, join(d, F.lit(":"), h)).when(k == 1, join(d, F.lit("  "), clock(sec))).when(k == 2, join(d, F.lit("T"), h))
+         .when(k == 3, join(d, F.lit("t"), clock(sec))).when(k == 4, join(d + 20, F.lit(":"), h)).when(k == 5, join(d, F.lit("T"), h + 10))
+         .when(k == 6, F.date_format(t, "yyyy-MM-dd:HH")).when(k == 7, F.concat(F.lit(" "), F.date_format(t, "yyyy-MM-dd'T'HH")))
+         .otherwise(join(d, F.lit(" "), clock(sec + 30))))
+    return fx.table(spark, sf_dir, "events").select("event_id", s.alias("s"))
+
+
+# What the texts mean, from their fields: nothing is parsed.
+LOOSE_TIME_SQL = """CASE event_id % 9 WHEN 0 THEN date_trunc('hour', ts) WHEN 1 THEN date_trunc('second', ts)
+  WHEN 2 THEN date_trunc('hour', ts) WHEN 3 THEN date_trunc('second', ts)
+  WHEN 4 THEN CASE WHEN day(ts) + 20 <= day(last_day(ts)) THEN date_trunc('hour', ts) + INTERVAL 20 DAY END
+  WHEN 5 THEN CASE WHEN hour(ts) + 10 <= 23 THEN date_trunc('hour', ts) + INTERVAL 10 HOUR END
+  WHEN 6 THEN date_trunc('hour', ts) WHEN 7 THEN NULL
+  ELSE CASE WHEN second(ts) + 30 <= 59 THEN date_trunc('second', ts) + INTERVAL 30 SECOND END END"""
+
+
+@register("SC01_parse_loose_texts", f"SELECT event_id, s, {LOOSE_TIME_SQL} AS t FROM ({LOOSE_SQL})")
+def q_sc01_loose(spark, sf_dir):
+    return loose_texts(spark, sf_dir).withColumn("t", ta.parse_datetime("s"))
+
+
+@register("JB06_chunks_of_loose_texts", f"""SELECT event_id, s, CAST(floor(date_diff('second', {BASE79}, t) / (144 * 3600)) AS INTEGER) AS chunk,
+  strftime(t, '%Y-%m-%dT%H') AS label FROM (SELECT event_id, s, {LOOSE_TIME_SQL} AS t FROM ({LOOSE_SQL})) WHERE t IS NOT NULL""")
+def q_jb06_loose(spark, sf_dir):
+    """JB06 on the texts that are dates (the job fails on others)."""
+    from .hourly import chunk_index_of_texts
+    texts = loose_texts(spark, sf_dir)
+    dates = texts.where(ta.parse_datetime("s").isNotNull())
+    return chunk_index_of_texts(dates, "s", HOURLY_SPEC).select("event_id", "s", "chunk", "label")
+
+
 @register("SC02_format_datetime",
           f"SELECT DISTINCT time, strftime(time, '%Y-%m-%d %H:%M:%S') AS label, strftime(time, '%Y-%m-%dT%H') AS label_h FROM ({F1_SQL})")
 def q_sc02(spark, sf_dir):
@@ -206,7 +257,7 @@ SELECT event_id, s, {_chunk_sql('t', BASE79, 144 * 3600)} AS chunk, strftime(t,
 def q_jb06(spark, sf_dir):
     from .hourly import chunk_index_of_texts
     ev = fx.table(spark, sf_dir, "events")
-    fmts = list(ta.HOURLY_FORMATS)
+    fmts = ["yyyy-MM-dd:HH", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH", "yyyy-MM-dd'T'HH:mm:ss"]
     k = F.col("event_id") % 4
     s = (F.when(k == 0, F.date_format("ts", fmts[0])).when(k == 1, F.date_format("ts", fmts[1]))
          .when(k == 2, F.date_format("ts", fmts[2])).otherwise(F.date_format("ts", fmts[3])))
