@@ -7,6 +7,8 @@ is the time order, made explicit by ``time``."""
 from __future__ import annotations
 
 import datetime as _dt
+import re
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,19 +64,50 @@ def year_folders(template: str, wrf_dir: str, first: _dt.datetime, last: _dt.dat
     return folder.replace("{wrf_dir}", wrf_dir)
 
 
+# Directives from the longest period to the shortest.
+_BIG_ENDIAN = "YmdHMS"
+
+
+def path_range(template: str, wrf_dir: str, first: _dt.datetime, last: _dt.datetime) -> F.Column | None:
+    """Predicate on ``_metadata.file_path``: the paths that the template gives times ``first..last``.
+
+    Where the template writes its dates from the year down, paths of one folder ascend with
+    time, so a water year is one range of texts, however many files it has; Spark's file
+    listing applies it before a file is opened.  Other templates give no predicate."""
+    written = re.findall(r"%(.)", "".join(re.findall(r"\{fdate:([^}]*)\}", template)))
+    at = [_BIG_ENDIAN.find(d) for d in written]
+    if not at or -1 in at or at != sorted(at) or at[0] != 0:
+        return None
+
+    def path(wy: int, t: _dt.datetime) -> str:
+        filled = template.replace("{wrf_dir}", wrf_dir).replace("{wy_dir}", f"WY{wy}")
+        return re.sub(r"\{fdate:([^}]*)\}", lambda m: t.strftime(m[1]), filled)
+    place = plain_path(F.col("_metadata.file_path"))
+    ranges = [(place >= plain_text(path(wy, first))) & (place <= plain_text(path(wy, last)) + "\uffff") for wy in range(first.year, last.year + 2)]
+    return reduce(lambda a, b: a | b, ranges)
+
+
+def plain_text(path: str) -> str:
+    return re.sub("^file:/+", "/", path)
+
+
 def scan_manifest(spark: SparkSession, manifest: DataFrame, spec: GridSpec, first_chunk: int, last_chunk: int,
                   wrf_dir: str, template: str, variables, constants=()) -> tuple[DataFrame, DataFrame]:
     """SR03 within the plan: the rows of the files in ``manifest(path)``, and the constants per cell.
 
-    The folders of the chunks' water years are one scan; the chunks' time range is
-    pushed to the files, and rows of files that the manifest lacks are dropped by a
-    join on the path.  No path reaches the driver, however many files there are."""
+    The folders of the chunks' water years are one scan, whose listing keeps only paths
+    within the chunks' time range; the range is also pushed to the files, and rows of
+    files that the manifest lacks are dropped by a join on the path.  No path reaches the
+    driver, however many files there are."""
     first = spec.base + _dt.timedelta(seconds=first_chunk * spec.chunk_seconds)
     end = spec.base + _dt.timedelta(seconds=(last_chunk + 1) * spec.chunk_seconds)
     schema = hourly_schema(variables, constants)
     df = (spark.read.schema(schema).option("mergeSchema", "false").option("recursiveFileLookup", "true")
           .parquet(year_folders(template, wrf_dir, first, end)))
     path = plain_path(F.col("_metadata.file_path"))
+    inside = path_range(template, wrf_dir, first, end - _dt.timedelta(seconds=1))
+    if inside is not None:
+        df = df.where(inside)
     df = df.where((F.col("time") >= ta.ntz(first)) & (F.col("time") < ta.ntz(end))).select(
         *schema.names, (path if template.endswith(".parquet") else folder_of(path)).alias("path"))
     wanted = manifest.select(plain_path(F.col("path")).alias("path"))
