@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronogrid.llm import bpe, decontaminate, line_dedup, minhash, quality, simhash
+from chronogrid.llm import bpe, decontaminate, line_dedup, quality, simhash
 from chronogrid.session import materialise, prepare_workers
 
 
@@ -41,12 +41,10 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates: five-word shingles, Jaccard similarity 0.8 or more.
-
-    The links of operator 6 are its own contract and find few copies below 0.95; here
-    MinHash keys find candidates and whole sets of shingles are compared."""
+    """One document of each class of near duplicates: SimHashes of three-word shingles that differ in at most
+    three bits link (operator 6, by its contract)."""
     prepare_workers(spark)
-    return simhash.drop_near_duplicates(docs, classes_of=minhash.similar_classes)
+    return simhash.drop_near_duplicates(docs, words_per_shingle=3, max_bits=3)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
