@@ -171,43 +171,28 @@ class PrefixEncoder:
     def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Tokens of many words in one array, and where each word's begin.
 
-        The words stand side by side, the longest first, and the dynamic program goes
-        through them symbol by symbol: state and match length of every word, then the
-        last token of every word's prefix."""
-        lengths = np.array(list(map(len, words)), np.int64)
-        order = np.argsort(-lengths, kind="stable")
-        size = lengths[order]
-        m, longest = len(words), int(size[0])
+        The words stand side by side in order, and the dynamic program goes through them
+        symbol by symbol: state and match length, then the last token, of every prefix.
+        A prefix that the word before has too is not computed again."""
+        order = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
+        size = np.array(list(map(len, words)), np.int64)[order]
+        m, longest = len(words), int(size.max())
         symbols = np.zeros((m, longest), np.int16)
         within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
         symbols[np.repeat(np.arange(m), size), within] = np.frombuffer(b"".join(words[k] for k in order.tolist()), np.uint8)
         symbols[np.arange(m), size - 1] += FINAL if self.suffix else 0
+        shared = np.zeros(m, np.int64)                              # symbols that a word begins with like the one before
+        shared[1:] = np.cumprod(symbols[1:] == symbols[:-1], axis=1, dtype=np.int8).sum(axis=1)
+        shared[1:] = np.minimum(shared[1:], np.minimum(size[1:], size[:-1]))
         last = np.zeros((m, longest + 1), np.int32)
         state, matched = np.zeros(m, np.int64), np.zeros(m, np.int32)
         for i in range(1, longest + 1):
-            k = int(np.searchsorted(-size, -i, side="right"))      # words of i symbols at least
-            rows, s, n = np.arange(k), state[:k].copy(), matched[:k].copy()
-            while len(rows):
-                move = s << 9 | symbols[rows, i - 1]
-                at = np.minimum(np.searchsorted(self.moves, move), len(self.moves) - 1)
-                found = self.moves[at] == move
-                state[rows[found]], matched[rows[found]] = self.moved_to[at[found]], n[found] + 1
-                if (s[~found] == 0).any():
-                    raise ValueError("a symbol has no token")
-                rows, s = rows[~found], self.link[s[~found]].astype(np.int64)
-                n = self.length[s]
-            rows, at, end = np.arange(k), self.ending_at[state[:k]], self.ending_at[state[:k] + 1]
-            while len(rows):
-                if (at[rows] >= end[rows]).any():
-                    raise ValueError("a prefix has no encoding")
-                length, token = self.ending[at[rows], 0], self.ending[at[rows], 1]
-                fits = (length == i) & (matched[rows] >= i)
-                inner = np.nonzero((length < i) & (length <= matched[rows]))[0]
-                before = last[rows[inner], i - length[inner]].astype(np.int64)
-                fits[inner] = self._compatible(before << 20 | token[inner])
-                last[rows[fits], i] = token[fits]
-                rows = rows[~fits]
-                at[rows] += 1
+            words_here = np.nonzero(size >= i)[0]
+            new = shared[words_here] < i
+            first = words_here[new]
+            s, n, token = self._step(first, i, symbols[first, i - 1], state, matched, last)
+            of = np.cumsum(new) - 1
+            state[words_here], matched[words_here], last[words_here, i] = s[of], n[of], token[of]
         # back from the last token of each word
         rows, at, rounds = np.arange(m), size.copy(), []
         while len(rows):
@@ -224,6 +209,35 @@ class PrefixEncoder:
             ids[begin[order[rows] + 1] - 1 - r] = token
         return ids, begin
 
+    def _step(self, words: np.ndarray, i: int, symbol: np.ndarray, state: np.ndarray, matched: np.ndarray,
+              last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """State, match length and last token of the words' prefixes of ``i`` symbols, the last one ``symbol``."""
+        k = len(words)
+        to, length = np.zeros(k, np.int64), np.zeros(k, np.int32)
+        rows, s, n = np.arange(k), state[words], matched[words]
+        while len(rows):
+            move = s << 9 | symbol[rows]
+            at = np.minimum(np.searchsorted(self.moves, move), len(self.moves) - 1)
+            found = self.moves[at] == move
+            to[rows[found]], length[rows[found]] = self.moved_to[at[found]], n[found] + 1
+            if (s[~found] == 0).any():
+                raise ValueError("a symbol has no token")
+            rows, s = rows[~found], self.link[s[~found]].astype(np.int64)
+            n = self.length[s]
+        tokens, rows, at, end = np.zeros(k, np.int32), np.arange(k), self.ending_at[to], self.ending_at[to + 1]
+        while len(rows):
+            if (at[rows] >= end[rows]).any():
+                raise ValueError("a prefix has no encoding")
+            size, token = self.ending[at[rows], 0], self.ending[at[rows], 1]
+            fits = (size == i) & (length[rows] >= i)
+            inner = np.nonzero((size < i) & (size <= length[rows]))[0]
+            before = last[words[rows[inner]], i - size[inner]].astype(np.int64)
+            fits[inner] = self._compatible(before << 20 | token[inner])
+            tokens[rows[fits]] = token[fits]
+            rows = rows[~fits]
+            at[rows] += 1
+        return to, length, tokens
+
     def encode_long_word(self, word: bytes) -> np.ndarray:
         """The same for a word of any length: four bytes a symbol for the last tokens, and only the current state."""
         if self.steps is None:
