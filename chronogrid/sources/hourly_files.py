@@ -56,6 +56,13 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     return files.select(folder_of(plain_path(F.col("path"))).alias("path")).distinct()
 
 
+def file_stamps(spark: SparkSession, root: str) -> DataFrame:
+    """``path, stamp``: the hourly datasets under ``root``, each data file with its name, size and time of change."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    stamp = F.concat_ws(":", F.regexp_extract("path", "[^/]*$", 0), F.col("length").cast("string"), F.unix_micros("modificationTime").cast("string"))
+    return files.select(folder_of(plain_path(F.col("path"))).alias("path"), stamp.alias("stamp"))
+
+
 def year_folders(template: str, wrf_dir: str, first: _dt.datetime, last: _dt.datetime) -> str:
     """Glob of the water-year folders that files of ``first..last`` may lie in (October 1 also a year early)."""
     years = range(first.year, last.year + 2)
