@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import html
+import math
 import random
 import re
 import zlib
@@ -574,3 +575,109 @@ def test_stretches_are_forgotten_and_found_again(tokenizer, monkeypatch):
         for key, code in list(made.remembered.items())[:50]:
             ids = made.remembered.ids(np.array([code]))[0].tolist()
             assert made.remembered.decoded[code] == " ".join(made.words[i] for i in ids)
+
+
+# --- HTML: names that name no part, wrappers, teasers, page shapes ----------------
+PARAGRAPH = "<p>" + "word " * 60 + "</p>"
+
+
+@pytest.mark.parametrize("page", [
+    f'<body><div class="content has-sidebar">{PARAGRAPH * 5}</div></body>',
+    f'<body><div class="content has-sidebar"><h1>T</h1>{PARAGRAPH * 4}</div><div class="sidebar">{PARAGRAPH}</div></body>',
+    f'<article><div class="post no-comments">{PARAGRAPH * 5}</div></article>',
+    f'<body><div class="post share-enabled">{PARAGRAPH * 5}</div></body>',
+    f'<article>{PARAGRAPH * 2}<h2 id="related-work">word</h2>{PARAGRAPH * 2}</article>',
+    f'<body><div class="sidebar-layout"><main>{PARAGRAPH * 5}</main><div class="sidebar">{PARAGRAPH}</div></div></body>',
+    f'<body><div class="story">{PARAGRAPH * 5}</div><article class="card"><p>{"teaser " * 12}</p></article></body>'])
+def test_article_is_kept_whatever_the_names(page):
+    lines = html_text.main_text(page).split("\n")
+    assert len(lines) == 5 and all(set(line.split()) <= {"word", "T"} for line in lines)
+
+
+@pytest.mark.parametrize("name", ["sidebar", "comments", "topNav", "related-posts", "ad", "cookie_notice", "site-footer", "share", "Comments2"])
+def test_parts_by_name_go(name):
+    page = f'<body><div class="x {name}">{PARAGRAPH * 9}</div><div>{PARAGRAPH * 2}</div></body>'
+    assert len(html_text.main_text(page).split("\n")) == 2
+
+
+def test_one_huge_block_does_not_outweigh_the_others():
+    some = "".join(f"<p>{'abcd ' * 60}</p>" for _ in range(20))
+    page = f"<body>{some}<p>{'abcd ' * 9200}</p>{some}</body>"
+    assert len(html_text.main_text(page).split("\n")) == 41
+
+
+def test_unmatched_and_deep_tags_are_linear():
+    import time
+    began = time.time()
+    html_text.main_text("<b>" * 30_000 + "</i>" * 30_000 + "<p>x" * 5000)
+    html_text.main_text('<div class="menu">' * 30_000 + "x" + "</div>" * 30_000)
+    assert time.time() - began < 10          # quadratic: minutes
+
+
+def slow_smoothed(values):
+    """The Gaussian mean written out."""
+    out = []
+    for i in range(len(values)):
+        pairs = [(math.exp(-(i - j) ** 2 / 2), v) for j, v in enumerate(values) if abs(i - j) <= 2]
+        out.append(sum(w * v for w, v in pairs) / sum(w for w, _ in pairs))
+    return out
+
+
+def slow_text(page):
+    """Pages without tables, hidden parts or broken tags, by a tree: lines with their ratios, then the rules in plain words."""
+    tags, root = re.findall(r"<(/?)(\w+)([^>]*)>|([^<]+)", page), {"tag": "", "kids": [], "names": ""}
+    stack = [root]
+    for end, tag, attrs, text in tags:
+        if text:
+            stack[-1]["kids"].append(text)
+        elif end:
+            stack.pop()
+        else:
+            node = {"tag": tag, "kids": [], "names": " ".join(re.findall(r'(?:class|id)="([^"]*)"', attrs))}
+            stack[-1]["kids"].append(node)
+            stack.append(node)
+    lines, now = [], {"text": "", "tags": 0}
+
+    def flush():
+        text = " ".join(now["text"].split())
+        if text:
+            lines.append((text, len(text) / max(1, now["tags"])))
+        now.update(text="", tags=0)
+
+    def walk(node, out):
+        block = node["tag"] in html_text.BLOCKS
+        if block:
+            flush()
+        now["tags"] += bool(node["tag"])
+        out = out or node["tag"] in html_text.OUTSIDE or (node["tag"] != "body" and html_text.names_part(node["names"]))
+        for kid in node["kids"]:
+            if isinstance(kid, str):
+                now["text"] += "" if out else kid
+            else:
+                walk(kid, out)
+        now["tags"] += bool(node["tag"])
+        if block:
+            flush()
+    walk(root, False)
+    if not lines:
+        return ""
+    ratios = slow_smoothed([r for _, r in lines])
+    mean = sum(ratios) / len(ratios)
+    least = min(40, 0.5 * math.sqrt(sum((r - mean) ** 2 for r in ratios) / len(ratios)))
+    found = [i for i, r in enumerate(ratios) if r >= least]
+    return "\n".join(t for t, _ in lines[found[0]:found[-1] + 1]) if found else ""
+
+
+@pytest.mark.parametrize("seed", range(25))
+def test_pages_against_brute_force(seed):
+    rng = random.Random(seed)
+
+    def block(depth):
+        if depth == 0 or rng.random() < 0.5:
+            words = " ".join(rng.choice(["alpha", "be", "gamma", "d"]) for _ in range(rng.choice([1, 3, 8, 40, 120])))
+            return f"<p>{words}</p>" if rng.random() < 0.7 else f"<div>{words} <b>x</b> <i>y</i></div>"
+        name = rng.choice(["", ' class="story"', ' class="sidebar"', ' class="has-menu"', ' id="comments"'])
+        tag = rng.choice(["div", "section", "ul", "nav"])
+        return f"<{tag}{name}>" + "".join(block(depth - 1) for _ in range(rng.randint(1, 5))) + f"</{tag}>"
+    page = "<body>" + "".join(block(3) for _ in range(6)) + "</body>"
+    assert html_text.main_text(page) == slow_text(page)
