@@ -8,6 +8,11 @@ in each table, and all vectors it meets are reranked by their exact cosine.
 Equal vectors are one class, indexed and searched once.  Buckets are cut into blocks
 of bounded size, for candidates and queries alike, so a frequent bucket spreads over
 tasks; a block returns the best of its candidates for each query, never all pairs.
+
+How well buckets find neighbours depends on the vectors: near-random ones of many
+dimensions meet too seldom.  So the recall of some queries is measured against all rows;
+where it is below ``LEAST_RECALL``, and for queries that met fewer rows than asked for,
+the same blocks hold all vectors of a length instead of those of a bucket.
 """
 
 from __future__ import annotations
@@ -21,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
+from ..operators.joins import size_checked_broadcast
 from ..session import materialise
 from .arrow import with_arrow_columns
 from .registry import register
@@ -30,6 +36,8 @@ TABLES, PROBES = 4, 32
 #: Most candidates and queries of a block, as dealt by a hash.
 BLOCK_CANDIDATES, BLOCK_QUERIES = 8192, 2048
 ROTATIONS = 3
+#: Queries of each length whose recall is measured against all rows (those of the lowest hashes), and what it must reach.
+MEASURED, LEAST_RECALL = 64, 0.9
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -122,7 +130,7 @@ def nearest_neighbours(rows: DataFrame, is_query, k: int = 5, id_col: str = "vec
     own id.  Vectors that are null, empty, zero or hold null or non-finite components
     and rows without an id take no part.  Vectors of another length than the query's
     are no candidates.  Equal scores rank by id; a repeated id counts once, by its
-    best score.  Fewer candidates met than ``k`` give fewer rows, none give none."""
+    best score.  Fewer candidates than ``k`` are all returned, nearest first."""
     finite = F.forall(vec_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     valid = rows.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("v")).where(
         F.col("vec_id").isNotNull()).select("vec_id", F.col("v").alias(vec_col)).where(
@@ -140,20 +148,51 @@ def nearest_neighbours(rows: DataFrame, is_query, k: int = 5, id_col: str = "vec
     query_classes = classes.join(asked.select("cls").distinct(), "cls", "left_semi").select("cls", "vec")
     probing = with_buckets(query_classes, "keys", tables, probes, seed).select("cls", "vec", F.explode("keys").alias("key"))
     size = (F.octet_length("vec") / 8).cast("int").alias("dim")
-    index, probing = index.select("*", size), probing.select("*", size)
+    index, probing, asked = index.select("*", size), probing.select("*", size), materialise(
+        asked.join(query_classes.select("cls", size), "cls"), "queries")
+    answer = materialise(_answers(asked, _best(index, probing, found, seed), found, k), "nearest")
+
+    # what the buckets miss: of whole lengths, by measure; of single queries, by count
+    whole = classes.select("cls", "ids", "vec", F.lit(0).cast("long").alias("key"), size)
+
+    def exact(some: DataFrame) -> DataFrame:
+        these = query_classes.join(some.select("cls").distinct(), "cls", "left_semi").select("cls", "vec", F.lit(0).cast("long").alias("key"), size)
+        return _answers(some, _best(whole, materialise(these, "asked"), found, seed), found, k)
+
+    some = (asked.withColumn("n", F.row_number().over(Window.partitionBy("dim").orderBy(F.xxhash64(F.lit(seed), "query_id"), "query_id")))
+            .where(F.col("n") <= MEASURED).drop("n"))
+    wanted = materialise(exact(some), "measured").join(some.select("query_id", "dim"), "query_id")
+    recall = (wanted.join(answer.select("query_id", "vec_id", F.lit(1).alias("met")), ["query_id", "vec_id"], "left")
+              .groupBy("dim").agg(F.count("*").alias("n"), F.count("met").alias("met")))
+    poor = [r["dim"] for r in recall.where(F.col("met") < LEAST_RECALL * F.col("n")).collect()]     # one row a length
+    met = answer.groupBy("query_id").agg(F.count("*").alias("n"))
+    again = asked.join(met, "query_id", "left").where(F.col("dim").isin(poor) | F.coalesce(F.col("n") < k, F.lit(True))).drop("n")
+    again = materialise(again, "again")
+    if not again.limit(1).count():
+        return answer
+    return answer.join(again.select("query_id"), "query_id", "left_anti").unionByName(exact(again))
+
+
+def _best(index: DataFrame, probing: DataFrame, found: int, seed: int) -> DataFrame:
+    """``cls, vec_id, score``: the ``found`` best candidates of each query in every block of ``key, dim``."""
     counts = (index.groupBy("key", "dim").agg(F.count("*").alias("n"))
               .join(probing.groupBy("key", "dim").agg(F.count("*").alias("m")), ["key", "dim"])
               .select("key", "dim", F.ceil(F.col("n") / BLOCK_CANDIDATES).cast("int").alias("cuts"),
                       F.ceil(F.col("m") / BLOCK_QUERIES).cast("int").alias("parts")))
-    # at most one row a bucket: tables x axes x 2 for each length of vectors
+    # one row a bucket at most (tables x axes x 2 for each length): a frequent one is cut where its rows are read
+    counts = size_checked_broadcast(materialise(counts, "buckets"), 48)
     cut = F.pmod(F.xxhash64(F.lit(seed), "cls"), F.col("cuts")).cast("int")
     part = F.pmod(F.xxhash64(F.lit(seed), "cls"), F.col("parts")).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     place = ["key", "dim", "cut", "part"]
     dealt = index.join(counts, ["key", "dim"]).select("key", "dim", cut.alias("cut"), every("parts").alias("part"), "ids", "vec")
     asking = probing.join(counts, ["key", "dim"]).select("key", "dim", every("cuts").alias("cut"), part.alias("part"), "cls", "vec")
-    best = (asking.groupBy(*place).cogroup(dealt.groupBy(*place))
+    return (asking.groupBy(*place).cogroup(dealt.groupBy(*place))
             .applyInArrow(best_of_block(found), "cls long, vec_id long, score double"))
+
+
+def _answers(asked: DataFrame, best: DataFrame, found: int, k: int) -> DataFrame:
+    """The ``k`` nearest rows of each query from the best of all blocks."""
     ranked = (best.groupBy("cls", "vec_id").agg(F.max("score").alias("score"))
               .withColumn("n", F.row_number().over(Window.partitionBy("cls").orderBy(F.desc("score"), "vec_id")))
               .where(F.col("n") <= found).drop("n"))

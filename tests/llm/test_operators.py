@@ -255,6 +255,21 @@ def test_equal_vectors_and_blocks(ready, monkeypatch):
             assert found[q] == [i for i in range(40) if i % 6 == q % 6 and i != q][:5]
 
 
+@pytest.mark.parametrize("dim", [64, 128, 384, 768])
+def test_recall_at_any_length(ready, dim):
+    """Near-random vectors, which hashing hardly tells apart, and few vectors: all candidates if there are fewer than k."""
+    rng = np.random.default_rng(dim)
+    many = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(1500, dim)).astype("float32").astype(float))]
+    got = {}
+    for r in nearest.nearest_neighbours(ready.createDataFrame(many, "vec_id long, embedding array<float>").repartition(4), lambda i: i % 50 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    want = brute_nearest([(i, np.array(v)) for i, v in many], [i for i, _ in many if i % 50 == 0], 5)
+    assert sum(len(got[q] & {i for _, i in near}) for q, near in want.items()) >= 0.9 * 5 * len(want)
+    few = ready.createDataFrame(many[:4], "vec_id long, embedding array<float>")
+    found = nearest.nearest_neighbours(few, lambda i: i % 2 == 0).collect()
+    assert sorted((r.query_id, r.vec_id) for r in found) == [(0, 1), (0, 2), (0, 3), (2, 0), (2, 1), (2, 3)]
+
+
 def test_hadamard_is_orthonormal():
     h = nearest.hadamard(np.eye(16))
     assert np.allclose(h @ h.T, np.eye(16))
