@@ -1,7 +1,8 @@
 """Language identification by compression.
 
-Each language has a raw-content zstandard dictionary cut from a bounded sample of
-labelled texts.  A text is encoded with every dictionary; the language whose
+Each language has a raw-content zstandard dictionary of the words and word pairs that
+are most frequent in a bounded sample of its labelled texts, all of them read whole; the
+commonest come last, where the encoder reaches them best.  A text is encoded with every dictionary; the language whose
 encoding is smallest is predicted, and the prediction is rejected when the margin
 to the next one is narrow.  Texts are reduced to lower-case letters and single
 blanks first, so layout, digits and punctuation say nothing.
@@ -10,6 +11,8 @@ blanks first, so layout, digits and punctuation say nothing.
 from __future__ import annotations
 
 import re
+from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import zstandard
@@ -30,7 +33,7 @@ BLOCK_BYTES = 4096
 LEVEL = 12
 #: Smallest relative margin between the best and the second encoding.
 MIN_MARGIN = 0.01
-#: Most bytes of all dictionaries together (they are broadcast).
+#: Most bytes of all dictionaries together (they are broadcast): very many labels get smaller ones.
 MAX_DICTIONARIES = 256 * 1024 * 1024
 
 NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -42,38 +45,54 @@ def letters_only(raw: bytes | None) -> bytes:
     return f" {text} ".encode() if any(map(str.isalpha, text)) else b""
 
 
+def _phrases(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``lang, phrase, n``: words and pairs of neighbouring words of each whole text."""
+    for batch in batches:
+        counts: Counter[tuple[str, bytes]] = Counter()
+        for lang, raw in zip(batch.column("lang").to_pylist(), texts_as_bytes(batch, "text")):
+            words = letters_only(raw).split()
+            counts.update((lang, w) for w in words)
+            counts.update((lang, a + b" " + b) for a, b in zip(words, words[1:]))
+        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.binary()),
+                                          pa.array(counts.values(), pa.int64())], names=["lang", "phrase", "n"])
+
+
 def learn_dictionaries(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
                        sample_texts: int = SAMPLE_TEXTS, size: int = DICTIONARY_BYTES) -> list[tuple[str, bytes]]:
     """A dictionary for each label of ``docs``, the commonest label first.
 
-    Of each label ``sample_texts`` distinct texts, those of the smallest hashes, give
-    an excerpt each.  Only label and hash pass through the ranking; at most
-    ``sample_texts`` excerpts a label reach the driver.  Rows without text, label or
-    letters teach nothing."""
+    Of each label ``sample_texts`` distinct texts, those of the smallest hashes, are read
+    whole; their words and pairs of words are counted in Spark, and the most frequent ones,
+    ``size`` bytes a label, reach the driver.  Only label and hash pass through the ranking
+    of texts.  So many labels that all dictionaries would exceed ``MAX_DICTIONARIES`` share
+    it evenly.  Rows without text, label or letters teach nothing."""
     known = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     known = known.withColumn("h", F.xxhash64("text"))
     by_hash = known.select("lang", "h").distinct()
-    sizes = {r["lang"]: r["n"] for r in by_hash.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if len(sizes) * size > MAX_DICTIONARIES:
-        raise ValueError(f"{len(sizes)} labels would need more than {MAX_DICTIONARIES} bytes of dictionaries")
-    if not sizes:
+    sizes = by_hash.groupBy("lang").agg(F.count("*").alias("n"))
+    labels = sizes.count()
+    if not labels:
         return []
+    size = min(size, MAX_DICTIONARIES // labels)
     # hashes are uniform: the lowest 2 x sample_texts of n lie below this share, so few rows of a label are ranked
-    lowest = {lang: int(min(1.0, 2 * sample_texts / n) * (2 ** 64 - 2 ** 12)) - 2 ** 63 for lang, n in sizes.items()}
-    bound = F.element_at(F.create_map(*[F.lit(x) for pair in lowest.items() for x in pair]), F.col("lang"))
-    ranked = by_hash.where(F.col("h") <= bound).withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
+    share = F.least(F.lit(1.0), F.lit(2.0 * sample_texts) / F.col("n"))
+    bound = (share * (2.0 ** 64 - 2.0 ** 13) - 2.0 ** 63).cast("long")
+    ranked = (by_hash.join(sizes.select("lang", bound.alias("bound")), "lang").where(F.col("h") <= F.col("bound"))
+              .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("h"))))
     limits = ranked.where(F.col("rank") <= sample_texts).groupBy("lang").agg(F.max("h").alias("limit"))
-    excerpt = -(-4 * size // sample_texts)  # texts may be short: take up to four times an even share
-    # one row a label, and no more labels than checked above
-    rows = (known.join(F.broadcast(limits), "lang").where(F.col("h") <= F.col("limit"))
-            .select("lang", "h", F.substring("text", 1, excerpt).alias("excerpt"))
-            .dropDuplicates(["lang", "h"]).collect())
-    made = []
-    for lang in sorted(sizes, key=lambda x: (-sizes[x], x)):
-        parts = [letters_only(r["excerpt"].encode()) for r in sorted(rows, key=lambda r: r["h"]) if r["lang"] == lang]
-        made.append((lang, b"".join(parts)[-size:]))
-    return made
+    sample = known.join(limits, "lang").where(F.col("h") <= F.col("limit")).select("lang", "h", "text").dropDuplicates(["lang", "h"])
+    counted = (sample.select("lang", "text").mapInArrow(_phrases, "lang string, phrase binary, n long")
+               .groupBy("lang", "phrase").agg(F.sum("n").alias("n")))
+    order = Window.partitionBy("lang").orderBy(F.desc(F.col("n") * F.octet_length("phrase")), "phrase")
+    upto = F.sum(F.octet_length("phrase") + 1).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    best = counted.withColumn("upto", upto).where(F.col("upto") < size).withColumn("rank", F.row_number().over(order))
+    rows = best.select("lang", "rank", "phrase").collect()       # size bytes a label
+    common = [r["lang"] for r in sizes.orderBy(F.desc("n"), "lang").collect()]
+    phrases: dict[str, list[tuple[int, bytes]]] = {lang: [] for lang in common}
+    for r in rows:
+        phrases[r["lang"]].append((r["rank"], bytes(r["phrase"])))
+    return [(lang, b" " + b" ".join(p for _, p in sorted(phrases[lang], reverse=True)) + b" ") for lang in common]
 
 
 def with_language(docs: DataFrame, dictionaries: list[tuple[str, bytes]], text_col: str = "text",

@@ -696,3 +696,34 @@ def test_pages_against_brute_force(seed):
         return f"<{tag}{name}>" + "".join(block(depth - 1) for _ in range(rng.randint(1, 5))) + f"</{tag}>"
     page = "<body>" + "".join(block(3) for _ in range(6)) + "</body>"
     assert html_text.main_text(page) == slow_text(page)
+
+
+# --- language: whole texts, many labels, predictions recomputed --------------------
+def test_dictionaries_come_from_whole_texts(ready):
+    filler = "common words at the start " * 400
+    rows = [("a", f"{filler} zebrafish quagga {k}") for k in range(20)] + [("b", None), (None, "x"), ("c", "1234"), ("d", "only once")]
+    learned = dict(language.learn_dictionaries(ready.createDataFrame(rows, "lang string, text string")))
+    assert set(learned) == {"a", "d"} and b"zebrafish quagga" in learned["a"] and learned["d"] == b" only once only once "
+
+
+def test_very_many_labels_share_the_memory(ready, monkeypatch):
+    monkeypatch.setattr(language, "MAX_DICTIONARIES", 30_000)
+    rows = [(f"l{k}", f"word{k} " * 3 + "some other words that stand in every text " * 5) for k in range(300)]
+    learned = language.learn_dictionaries(ready.createDataFrame(rows, "lang string, text string"))
+    assert len(learned) == 300 and sum(len(d) for _, d in learned) <= 30_000 + 300 and all(d.strip() for _, d in learned)
+
+
+def test_predictions_against_plain_compression(ready):
+    import zstandard
+    docs = ready.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    learned = language.learn_dictionaries(docs)
+    got = {r.doc_id: r for r in language.with_language(docs.select("doc_id", "text"), learned).collect()}
+    params = zstandard.ZstdCompressionParameters.from_level(language.LEVEL, write_content_size=False, write_checksum=False, write_dict_id=False)
+    coders = [(lang, zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT),
+                                              compression_params=params)) for lang, d in learned]
+    for r in docs.collect():
+        words = re.findall(r"[^\W\d_]+", (r.text or "").lower())
+        text = f" {' '.join(words)} ".encode()
+        size = {lang: sum(len(c.compress(text[i:i + language.BLOCK_BYTES])) for i in range(0, len(text), language.BLOCK_BYTES)) for lang, c in coders}
+        first, second = sorted(size.values())[:2]
+        assert size[got[r.doc_id].lang_pred] == first and got[r.doc_id].score == pytest.approx(1 - first / second)
