@@ -12,6 +12,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import io
+import re
 import struct
 import uuid
 from collections.abc import Iterable, Iterator
@@ -73,18 +74,61 @@ def encode_record(kind: str, page_id: int | None, url: str | None, payload: byte
     return "WARC/1.1\r\n".encode() + "".join(f"{k}: {v}\r\n" for k, v in head).encode() + b"\r\n" + block + b"\r\n\r\n"
 
 
-def headers(lines: bytes) -> dict[str, str]:
-    found = {}
+def headers(lines: bytes, encoding: str = "utf-8") -> dict[str, str]:
+    """Header fields by lower-case name; the values of a repeated one stand in order, one a line.
+
+    A line that begins with a blank goes on with the one before."""
+    found: dict[str, str] = {}
+    name = ""
     for line in lines.split(b"\r\n"):
-        name, colon, value = line.decode().partition(":")
-        if not colon or name.lower() in found:
+        text = line.decode(encoding)
+        if text[:1] in (" ", "\t") and name:
+            found[name] += " " + text.strip()
+            continue
+        name, colon, value = text.partition(":")
+        name = name.strip().lower()
+        if not colon or not name:
             raise WarcError(f"bad header line: {line[:80]!r}")
-        found[name.lower()] = value.strip()
+        found[name] = f"{found[name]}\n{value.strip()}" if name in found else value.strip()
     return found
 
 
+def whole_number(value: str, what: str) -> int:
+    """A length; repeated equal values are one."""
+    values = set(value.split("\n"))
+    if len(values) != 1 or not (only := values.pop()).isdecimal():
+        raise WarcError(f"{what} is no number: {value[:40]!r}")
+    return int(only)
+
+
+def unchunked(body: bytes) -> bytes:
+    """A body without its chunked transfer coding (as it is, if it isn't coded)."""
+    out, at = [], 0
+    while (end := body.find(b"\r\n", at)) >= 0:
+        try:
+            size = int(body[at:end].split(b";")[0], 16)
+        except ValueError:
+            return body
+        if not size:
+            return b"".join(out)
+        out.append(body[end + 2:end + 2 + size])
+        at = end + 4 + size
+    return body
+
+
+def page_number(urn: str | None) -> int | None:
+    """The page's id in a record id that ``record_id`` made; other archives' ids have none."""
+    m = re.fullmatch(r"<urn:page:(-?\d+)>", urn or "")
+    return int(m[1]) if m else None
+
+
 def decode_record(raw: bytes) -> dict:
-    """The fields of one record; its headers, lengths and digests are validated."""
+    """The fields of one record; its headers, lengths and digests are validated.
+
+    Responses and revisits carry an HTTP message, whose body is the payload (its length is
+    held against Content-Length where there is one, and its SHA-1 against the announced
+    digest, with or without a chunked transfer coding).  Records of other types (warcinfo,
+    request, metadata, resource ...) come back as such, their block as the payload."""
     head, gap, rest = raw.partition(b"\r\n\r\n")
     version, _, lines = head.partition(b"\r\n")
     if not gap or version not in (b"WARC/1.0", b"WARC/1.1"):
@@ -93,25 +137,36 @@ def decode_record(raw: bytes) -> dict:
     for name in ("warc-type", "warc-record-id", "warc-date", "content-length"):
         if name not in h:
             raise WarcError(f"a record lacks {name}")
-    length = int(h["content-length"])
+    me, kind, length = h["warc-record-id"], h["warc-type"], whole_number(h["content-length"], "Content-Length")
     if len(rest) != length + 4 or rest[length:] != b"\r\n\r\n":
-        raise WarcError(f"{h['warc-record-id']}: {len(rest) - 4} bytes of block, {length} announced")
+        raise WarcError(f"{me}: {len(rest) - 4} bytes of block, {length} announced")
     block = rest[:length]
-    if h.get("warc-block-digest", f"sha1:{digest(block)}") != f"sha1:{digest(block)}":
-        raise WarcError(f"{h['warc-record-id']}: the block's digest differs")
-    http, gap, payload = block.partition(b"\r\n\r\n")
-    if not gap or not http.startswith(b"HTTP/"):
-        raise WarcError(f"{h['warc-record-id']}: no HTTP header in the block")
-    size, announced = int(headers(http.partition(b"\r\n")[2])["content-length"]), h.get("warc-payload-digest", "")
-    kind = h["warc-type"]
-    if kind == "response" and (size != len(payload) or announced != f"sha1:{digest(payload)}"):
-        raise WarcError(f"{h['warc-record-id']}: the payload's length or digest differs")
-    if kind == "revisit" and (payload or "warc-refers-to" not in h):
-        raise WarcError(f"{h['warc-record-id']}: a revisit has a payload or refers to nothing")
-    number = lambda urn: None if urn is None or urn == record_id(None) else int(urn.strip("<>").rsplit(":", 1)[1])
-    return {"record_id": h["warc-record-id"], "record_type": kind, "page_id": number(h["warc-record-id"]),
-            "url": h.get("warc-target-uri"), "payload_bytes": size, "payload_digest": announced.removeprefix("sha1:"),
-            "refers_to": number(h.get("warc-refers-to")), "payload": payload if kind == "response" else None}
+
+    def differs(announced: str, *bodies: bytes) -> bool:
+        """Whether an announced SHA-1 (base32) is that of none of the bodies; other algorithms aren't looked at."""
+        return announced.startswith("sha1:") and announced.removeprefix("sha1:").upper() not in map(digest, bodies)
+    if differs(h.get("warc-block-digest", ""), block):
+        raise WarcError(f"{me}: the block's digest differs")
+    announced, payload, size = h.get("warc-payload-digest", ""), block, length
+    http_kind = h.get("content-type", "application/http").lower().startswith("application/http")
+    if kind in ("response", "revisit") and http_kind:
+        http, gap, payload = block.partition(b"\r\n\r\n")
+        if not gap or not http.startswith(b"HTTP/"):
+            raise WarcError(f"{me}: no HTTP header in the block")
+        fields = http.partition(b"\r\n")[2]
+        message = headers(fields, "latin-1") if fields else {}
+        size = whole_number(message["content-length"], "HTTP Content-Length") if "content-length" in message else len(payload)
+        if kind == "response":
+            bodies = (payload, unchunked(payload)) if "chunked" in message.get("transfer-encoding", "").lower() else (payload,)
+            if "warc-truncated" not in h and (size not in map(len, bodies) or differs(announced, *bodies)):
+                raise WarcError(f"{me}: the payload's length or digest differs")
+        elif payload and "warc-truncated" not in h:
+            raise WarcError(f"{me}: a revisit has a payload")
+    if kind == "revisit" and not ({"warc-refers-to", "warc-refers-to-target-uri"} & h.keys()):
+        raise WarcError(f"{me}: a revisit refers to nothing")
+    return {"record_id": me, "record_type": kind, "page_id": page_number(me), "url": h.get("warc-target-uri"), "payload_bytes": size,
+            "payload_digest": announced.removeprefix("sha1:"), "refers_to": page_number(h.get("warc-refers-to")),
+            "payload": None if kind == "revisit" else payload}
 
 
 def dictionary_frame(content: bytes) -> bytes:

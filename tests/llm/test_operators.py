@@ -727,3 +727,45 @@ def test_predictions_against_plain_compression(ready):
         size = {lang: sum(len(c.compress(text[i:i + language.BLOCK_BYTES])) for i in range(0, len(text), language.BLOCK_BYTES)) for lang, c in coders}
         first, second = sorted(size.values())[:2]
         assert size[got[r.doc_id].lang_pred] == first and got[r.doc_id].score == pytest.approx(1 - first / second)
+
+
+# --- WARC: records of other writers -----------------------------------------------
+def standard_record(kind, fields, block):
+    head = "".join(f"{k}: {v}\r\n" for k, v in [("WARC-Type", kind), ("WARC-Record-ID", "<urn:uuid:b92e8444-34cf-472f-a86e-07b7845ecc05>"),
+                                                ("WARC-Date", "2024-05-01T10:00:00Z"), *fields, ("Content-Length", len(block))])
+    return f"WARC/1.0\r\n{head}\r\n".encode() + block + b"\r\n\r\n"
+
+
+def test_a_standard_archive():
+    body = "<p>é</p>".encode()
+    http = b"HTTP/1.1 200 OK\r\nSet-Cookie: a=1\r\nSet-Cookie: b=2\r\nX-Long: one\r\n two\r\nContent-Type: text/html\r\n\r\n" + body
+    chunked = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n4\r\n" + body[:4] + b"\r\n" + b"%x\r\n" % len(body[4:]) + body[4:] + b"\r\n0\r\n\r\n"
+    uri = ("WARC-Target-URI", "http://example.org/")
+    records = [
+        standard_record("warcinfo", [("Content-Type", "application/warc-fields")], b"software: x\r\n"),
+        standard_record("request", [uri, ("Content-Type", "application/http; msgtype=request"), ("WARC-Concurrent-To", "<urn:uuid:1>"),
+                                    ("WARC-Concurrent-To", "<urn:uuid:2>")], b"GET / HTTP/1.1\r\nHost: example.org\r\n\r\n"),
+        standard_record("response", [uri, ("Content-Type", "application/http; msgtype=response"), ("WARC-Payload-Digest", f"sha1:{warc.digest(body)}")], http),
+        standard_record("response", [uri, ("Content-Type", "application/http; msgtype=response"), ("WARC-Payload-Digest", f"sha1:{warc.digest(body)}")], chunked),
+        standard_record("response", [uri, ("WARC-Payload-Digest", "sha256:abc")], b"HTTP/1.0 204 No Content\r\n\r\n"),
+        standard_record("revisit", [uri, ("WARC-Refers-To-Target-URI", "http://example.org/"), ("Content-Type", "application/http")], b"HTTP/1.1 304 Not Modified\r\nETag: 1\r\n\r\n"),
+        standard_record("metadata", [("Content-Type", "application/warc-fields")], b"fetchTimeMs: 3\r\n"),
+        standard_record("resource", [uri, ("Content-Type", "image/png")], b"\x89PNG")]
+    found = list(warc.read_archive(_archive(records)))
+    assert [r["record_type"] for r in found] == ["warcinfo", "request", "response", "response", "response", "revisit", "metadata", "resource"]
+    assert all(r["page_id"] is None and r["refers_to"] is None and r["record_id"].startswith("<urn:uuid:") for r in found)
+    assert found[2]["payload"] == body and found[2]["payload_bytes"] == len(body) and found[4]["payload"] == b""
+    assert found[3]["payload"].startswith(b"4\r\n") and found[5]["payload"] is None and found[7]["payload"] == b"\x89PNG"
+
+
+@pytest.mark.parametrize("bad", [
+    standard_record("response", [("WARC-Payload-Digest", "sha1:AAAA")], b"HTTP/1.1 200 OK\r\n\r\nx"),
+    standard_record("response", [], b"HTTP/1.1 200 OK\r\nContent-Length: 5\r\n\r\nx"),
+    standard_record("response", [], b"HTTP/1.1 200 OK\r\nContent-Length: five\r\n\r\nx"),
+    standard_record("response", [], b"not http"),
+    standard_record("revisit", [("Content-Type", "application/http")], b"HTTP/1.1 304 Not Modified\r\n\r\n"),
+    standard_record("metadata", [("WARC-Block-Digest", "sha1:AAAA")], b"x"),
+    standard_record("metadata", [("no colon", "")], b"x").replace(b"no colon: ", b"no colon ")])
+def test_broken_standard_records(bad):
+    with pytest.raises(warc.WarcError):
+        list(warc.read_archive(_archive([bad])))
