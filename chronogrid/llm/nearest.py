@@ -35,6 +35,8 @@ from .registry import register
 TABLES, PROBES = 4, 32
 #: Most candidates and queries of a block, as dealt by a hash.
 BLOCK_CANDIDATES, BLOCK_QUERIES = 8192, 2048
+#: Queries of a block that are compared at a time: 16 MB of products.
+SLICE = 256
 ROTATIONS = 3
 #: Queries of each length whose recall is measured against all rows (those of the lowest hashes), and what it must reach.
 MEASURED, LEAST_RECALL = 64, 0.9
@@ -107,14 +109,16 @@ def best_of_block(found: int):
         c, c_len = unit(np.stack(vectors(candidates.column("vec"))))
         ids = candidates.column("ids").to_pylist()
         least = np.array([i[0] for i in ids])
-        near = (q @ c.T) / np.outer(q_len, c_len)
         out = []
         keep = min(4 * found, len(c))
         for k, cls in enumerate(queries.column("cls").to_pylist()):
+            if k % SLICE == 0:
+                near = (q[k:k + SLICE] @ c.T) / c_len
             # the matrix product picks, one fixed order of summing scores
-            top = np.argpartition(-near[k], keep - 1)[:keep]
-            tied = np.flatnonzero(near[k] >= near[k][top].min() - 1e-12)
-            top = tied[np.lexsort((least[tied], -near[k][tied]))][:keep]
+            row = near[k % SLICE] / q_len[k]
+            top = np.argpartition(-row, keep - 1)[:keep]
+            tied = np.flatnonzero(row >= row[top].min() - 1e-12)
+            top = tied[np.lexsort((least[tied], -row[tied]))][:keep]
             scores = (c[top] * q[k]).sum(axis=1) / (c_len[top] * q_len[k])
             rows = sorted((-s, i) for s, t in zip(scores.tolist(), top) for i in ids[t])[:found]
             out += [(cls, i, -s) for s, i in rows]
