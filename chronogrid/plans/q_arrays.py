@@ -11,13 +11,15 @@ from ..sources import fixtures as fx
 from .registry import F1_BASE, F1_SQL, F2_SQL, f1, register
 
 SPEC = fx.F1_SPEC
-SHAPE = (720, 2, 2)
 CHUNKS = (144, 2, 1)
+# Steps of the array: whole days up to that of the last event.
+STEPS_SQL = f"(SELECT (max(date_diff('hour', {F1_BASE}, date_trunc('hour', ts))) // 24 + 1) * 24 FROM events)"
 
 
 def _export(spark, sf_dir, path):
     g = gops.with_time_index(f1(spark, sf_dir), SPEC.base_date, 3600)
-    return arraystore.export_array_store(g, path, ["T2D", "RAINRATE"], SHAPE, CHUNKS)
+    last = g.agg(F.max("time_idx")).first()[0]                # one scalar
+    return arraystore.export_array_store(g, path, ["T2D", "RAINRATE"], ((last // 24 + 1) * 24, *fx.F1_SHAPE), CHUNKS)
 
 
 @register("SR09_array_store_export", f"""WITH g AS (SELECT CAST(date_diff('hour', {F1_BASE}, time) AS INTEGER) AS t, * FROM ({F1_SQL})),
@@ -29,7 +31,7 @@ def q_sr09(spark, sf_dir):
     return m.select("variable", "key", "n_values")
 
 
-@register("SR08_array_store_import", f"""WITH ax AS (SELECT CAST(t AS INTEGER) AS time_idx, {F1_BASE} + to_hours(t) AS time FROM range(720) r(t)),
+@register("SR08_array_store_import", f"""WITH ax AS (SELECT CAST(t AS INTEGER) AS time_idx, {F1_BASE} + to_hours(t) AS time FROM (SELECT unnest(range({STEPS_SQL})) AS t)),
 c AS (SELECT * FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) v(y, x))
 SELECT ax.time_idx, CAST(c.y AS INTEGER) AS y, CAST(c.x AS INTEGER) AS x, g.T2D, g.RAINRATE
 FROM ax CROSS JOIN c LEFT JOIN ({F1_SQL}) g ON g.time = ax.time AND g.y = c.y AND g.x = c.x""")

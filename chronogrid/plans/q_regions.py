@@ -102,7 +102,8 @@ def q_jb11(spark, sf_dir):
     w_path = scratch_path(spark, "weights")
     region_jobs.build_weights(fx.region_rectangles(spark, sf_dir), cells(spark, sf_dir), CG, w_path, rectangles=True)
     out = scratch_path(spark, "region-daily")
-    region_jobs.region_daily(spark, daily_f1(spark, sf_dir), w_path, out, first_year=2024, last_year=2024)
+    years = f1(spark, sf_dir).agg(F.min(F.year("time")).alias("first"), F.max(F.year("time")).alias("last")).first()   # two scalars
+    region_jobs.region_daily(spark, daily_f1(spark, sf_dir), w_path, out, first_year=years["first"], last_year=years["last"])
     return reported(region_jobs.read_yearly(spark, out), ("prcp", "tmax", "tmin"))
 
 
