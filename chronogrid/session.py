@@ -104,6 +104,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """File system and path object of a location (Spark has no public call to rename or list folders)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a scratch table that is no longer needed."""
     if "://" not in path:

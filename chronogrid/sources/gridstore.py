@@ -24,6 +24,7 @@ import contextlib
 import datetime as _dt
 import hashlib
 import json
+import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,7 +35,7 @@ from ..config import ChunkPlan, GridSpec, parse_base_date
 from ..functions import timeaxis as ta
 from ..functions.values import mask_missing
 from ..operators import grid as gops
-from ..session import remove_path, scratch_path
+from ..session import hadoop_path, remove_path, scratch_path
 
 CATALOG_SCHEMA = T.StructType([
     T.StructField("varname", T.StringType(), False),
@@ -98,6 +99,7 @@ class GridStore:
         self.variables: list[str] = meta["variables"]
         self.axis_start: str = meta["axis_start"]
         self.n_steps: int = int(meta["n_steps"])
+        self.recover()
 
     def _save_meta(self) -> None:
         _write_text(self.spark, f"{self.path}/_spec", json.dumps(self.meta))
@@ -248,12 +250,15 @@ class GridStore:
         IO: the input is evaluated once, into a staged table that is deleted
         afterwards (``stage=False`` skips it for inputs that are cheap to read and
         can't change); its time chunks are listed from there (one row each), and only
-        those partitions are read and rewritten, in one exchange by tile.  A store that
+        those partitions are read and rewritten, in one exchange by tile.  New chunks are
+        written beside the grid and swapped in when all are there (``recover`` ends a swap
+        that was lost).  A store that
         keeps summaries then reads the written chunks once more for theirs (unless
         ``summarise`` is False: they are stale until ``write_summaries`` or a check's scan)."""
         unknown = [c for c in df.columns if c not in gops.KEYS and c not in self.variables]
         if unknown:
             raise ValueError(f"columns not in store schema: {unknown}")
+        self.recover()
         given = [v for v in self.variables if v in df.columns]
         tile = ["time_chunk", "y_chunk", "x_chunk"]
         incoming = mask_missing(gops.with_chunk_columns(self.locate(df), self.spec), given).select(
@@ -290,12 +295,51 @@ class GridStore:
         return gops.locate_regular(df, self.axis_start, self.n_steps, self.spec.step_seconds)
 
     def _write_partitions(self, df: DataFrame) -> None:
+        """Writes whole time chunks beside the grid, then swaps them in; see ``recover``."""
+        swap = f"{self.path}/swap-{uuid.uuid4().hex}"
         if self.buckets:
-            df.write.insertInto(self._table(), overwrite=True)
-            return
-        (df.sortWithinPartitions("time_chunk", "y_chunk", "x_chunk", "time", "y", "x")
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("time_chunk").parquet(f"{self.path}/grid"))
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema.fields)
+            fs, at = hadoop_path(self.spark, swap)
+            fs.mkdirs(at)
+            table = bucketed_table(self.spark, swap, columns, self.buckets, "PARTITIONED BY (time_chunk)")
+            df.write.insertInto(table)
+            self.spark.sql(f"DROP TABLE {table}")        # of the catalog: the files stay
+        else:
+            (df.sortWithinPartitions("time_chunk", "y_chunk", "x_chunk", "time", "y", "x")
+             .write.partitionBy("time_chunk").parquet(swap))
+        self._publish(swap)
+
+    def _publish(self, swap: str) -> None:
+        """Moves the chunks of a finished write into the grid, the old ones out of it: two renames a chunk.
+
+        Done again after a loss at any point, it ends in the same state."""
+        fs, at = hadoop_path(self.spark, swap)
+        for status in fs.listStatus(at):
+            name = status.getPath().getName()
+            if not name.startswith("time_chunk="):
+                continue
+            _, target = hadoop_path(self.spark, f"{self.path}/grid/{name}")
+            _, old = hadoop_path(self.spark, f"{swap}/_old/{name}")
+            if fs.exists(target):
+                fs.mkdirs(old.getParent())
+                if not fs.rename(target, old):
+                    raise OSError(f"can't move {target} out of the grid")
+            if not fs.rename(status.getPath(), target):
+                raise OSError(f"can't move {status.getPath()} into the grid")
+        fs.delete(at, True)
+
+    def recover(self) -> None:
+        """Ends region writes that were lost: those whose chunks were all written are swapped in, others dropped.
+
+        Called when a store is opened and before it is written; a store has one writer at a time."""
+        fs, at = hadoop_path(self.spark, self.path)
+        for status in fs.listStatus(at):
+            if status.getPath().getName().startswith("swap-"):
+                swap = f"{self.path}/{status.getPath().getName()}"
+                if fs.exists(hadoop_path(self.spark, f"{swap}/_SUCCESS")[1]):
+                    self._publish(swap)
+                else:
+                    fs.delete(status.getPath(), True)
 
     # ------------------------------------------------------------------ SR18
     def write_constants(self, cells: DataFrame, catalog_rows: DataFrame | None = None) -> None:
