@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
+from ..operators.joins import size_checked_broadcast
 from .arrow import texts_as_bytes, with_arrow_columns
 from .registry import register
 
@@ -78,9 +79,12 @@ def learn_dictionaries(docs: DataFrame, text_col: str = "text", lang_col: str =
     # hashes are uniform: the lowest 2 x sample_texts of n lie below this share, so few rows of a label are ranked
     share = F.least(F.lit(1.0), F.lit(2.0 * sample_texts) / F.col("n"))
     bound = (share * (2.0 ** 64 - 2.0 ** 13) - 2.0 ** 63).cast("long")
-    ranked = (by_hash.join(sizes.select("lang", bound.alias("bound")), "lang").where(F.col("h") <= F.col("bound"))
+    # one row a label: broadcast if they are few enough
+    bounds = size_checked_broadcast(sizes.select("lang", bound.alias("bound")), 64, n_rows=labels)
+    ranked = (by_hash.join(bounds, "lang").where(F.col("h") <= F.col("bound"))
               .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("h"))))
     limits = ranked.where(F.col("rank") <= sample_texts).groupBy("lang").agg(F.max("h").alias("limit"))
+    limits = size_checked_broadcast(limits, 64, n_rows=labels)
     sample = known.join(limits, "lang").where(F.col("h") <= F.col("limit")).select("lang", "h", "text").dropDuplicates(["lang", "h"])
     counted = (sample.select("lang", "text").mapInArrow(_phrases, "lang string, phrase binary, n long")
                .groupBy("lang", "phrase").agg(F.sum("n").alias("n")))
