@@ -324,18 +324,18 @@ def prefix_trie(convs: DataFrame) -> DataFrame:
         forests = forests.repartition("_group").sortWithinPartitions("_group", "at").select("at", "keys", "sizes", "spines")
         made.append(materialise(forests.mapInArrow(
             lambda batches, bits=bits, whole=not end >> bits: _merge(batches, bits, whole), MADE), "trie"))
-    merged = made[0].limit(0) if len(made) == 1 else made[1]
-    for more in made[2:]:
+    merged = made[0]  # a partition of several blocks merges their forests already
+    for more in made[1:]:
         merged = merged.unionByName(more)
 
     # nodes that were open: their ends come in pieces, and closed children know them by name only
     pieces = made[0].where("kind = 'ends'").select("node_id", "conv_id", "ends")
     ends = pieces.repartition("node_id").sortWithinPartitions("node_id", "conv_id").mapInArrow(_digests, "node_id binary, _ends string")
-    opened = materialise(merged.where("kind = 'node'").drop("ends").join(ends, "node_id", "left")
+    opened = materialise(merged.where("kind = 'node' AND node_id IS NOT NULL").drop("ends").join(ends, "node_id", "left")
                          .withColumn("ends", F.coalesce("_ends", F.lit(NO_ENDS))).drop("_ends"), "opened")
     names = opened.select(F.col("node_id").alias("parent_id"), F.col("conv_id").alias("_parent"))
     columns = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved", "ends"]
-    closed = made[0].where("kind = 'node'")
+    closed = made[0].where("kind = 'node' AND node_id IS NULL")
     orphans = closed.where("parent_id IS NOT NULL").unionByName(opened.where("depth > 0").select(closed.columns))
     side = size_checked_broadcast(names, 64)
     found = (orphans.join(side, "parent_id") if side is not names else

@@ -106,3 +106,16 @@ def test_contracted_forests_merge(seed):
 def test_no_conversations(ready):
     empty = ready.createDataFrame([(None, 1, "a", "b", "x", 1)], SCHEMA)
     assert trie.prefix_trie(trie.with_shared_heads(trie.sequences(empty))).count() == 0
+
+
+def test_partition_of_several_blocks(ready):
+    """More conversations in one partition than a block holds: what its blocks' merges close is complete, too."""
+    rng = random.Random(3)
+    rows = [(c, turn, "user", f"{c % 3} {rng.randrange(1 + 40 * turn)}", "x", 1) for c in range(2 * trie.BLOCK_ROWS + 500) for turn in range(2 + c % 3)]
+    before = ready.conf.get("spark.sql.shuffle.partitions")
+    ready.conf.set("spark.sql.shuffle.partitions", 1)
+    try:
+        got = trie.prefix_trie(trie.with_shared_heads(trie.sequences(ready.createDataFrame(rows, SCHEMA)))).collect()
+    finally:
+        ready.conf.set("spark.sql.shuffle.partitions", before)
+    assert sorted((tuple(r) for r in got), key=repr) == brute(rebuilt(rows))
