@@ -1,14 +1,18 @@
 """The product of a bucketed store and weights bucketed alike: equal results, no exchange of the grid."""
 
+from decimal import ROUND_HALF_UP, Decimal, getcontext
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from chronogrid.config import ChunkPlan, GridSpec
-from chronogrid.operators import regions
+from chronogrid.operators import exact, regions
 from chronogrid.plans import regions as jobs
 from chronogrid.session import scratch_path
 from chronogrid.sources.gridstore import GridStore, joins_within_buckets
 
+getcontext().prec = 60
 SPEC = GridSpec("2024-01-01 00:00:00", "day", ChunkPlan(5, 3, 4))
 
 
@@ -76,3 +80,43 @@ def test_plain_store_is_refused(spark, grid):
     plain = GridStore.create(spark, scratch_path(spark, "plain"), SPEC, "2024-01-01", "2024-01-20", ["a", "b"])
     with pytest.raises(ValueError, match="not bucketed"):
         plain.read(by_tile=True)
+
+
+def test_product_needs_no_setting(spark, store, w):
+    """The product can be given back unwritten: planned later, under any settings, the grid still isn't exchanged."""
+    path = scratch_path(spark, "tile-weights")
+    jobs.write_tile_weights(store, w, path)
+    plan = jobs.tile_product(store, path, ["a"]).where("w > 0")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Bucketed: true") == 2 and "Exchange" not in plan
+
+
+@pytest.mark.parametrize("strict", [True, False])
+def test_small_blocks_and_pieces(spark, store, w, strict, monkeypatch):
+    """Polygons over many tiles, blocks and pieces; neither products nor partial sums become rows."""
+    monkeypatch.setattr(jobs, "PACKED", 40)
+    monkeypatch.setattr(jobs, "PIECE_STEPS", 3)
+    means = jobs.store_means(store, w, ["a", "b"], strict=strict, limit=0)
+    plan = means._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "sum(" not in plan
+    broadcast = regions.weighted_mean(regions.join_weights(store.read(), w), ["a", "b"], strict=strict)
+    assert rows(means) == rows(broadcast.select("poly_id", "time", "a", "b"))
+    product = store.read().join(w, ["y", "x"])
+    monkeypatch.setattr(jobs, "PACKED", 7)                     # blocks of the table bucketed by tile
+    path = scratch_path(spark, "tile-weights")
+    jobs.write_tile_weights(store, w, path)
+    keys = ["time", "y", "x", "a", "b", "poly_id", "w"]
+    assert rows(jobs.tile_product(store, path).select(keys)) == rows(product.select(keys))
+
+
+def test_sums_are_those_of_decimals(spark):
+    rng = np.random.default_rng(1)
+    v = np.concatenate([np.round(rng.random(3000), 6) * np.round(rng.random(3000) * 1e5, 2), rng.random(3000) * 10.0 ** rng.integers(-9, 15, 3000),
+                        2.0 ** rng.integers(-30, 49, 500), 10.0 ** rng.integers(-12, 15, 500), [0.0, 74863264440298.38, 5e-19, 1.5e-18]])
+    v[::3] *= -1
+    limbs = exact.limbs(v)
+    whole = [int(a) * 10 ** 18 + int(b) * 10 ** 9 + int(c) for a, b, c in zip(*limbs, strict=True)]
+    assert whole == [int((Decimal(repr(x)) * 10 ** 18).quantize(Decimal(1), ROUND_HALF_UP)) for x in v.tolist()]
+    sums = exact.to_double(*(x.reshape(-1, 4).sum(axis=1) for x in limbs))
+    assert sums.tolist() == [float(Decimal(sum(whole[k:k + 4])).scaleb(-18)) for k in range(0, len(whole), 4)]
+    with pytest.raises(ArithmeticError):
+        exact.limbs(np.array([1e15]))
