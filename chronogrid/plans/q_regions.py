@@ -6,9 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import values as fv
 from ..operators import daily, grid as gops, regions
-from ..session import materialise, scratch_path
+from ..session import scratch_path
 from ..sources import fixtures as fx
-from ..sources.gridstore import joins_within_buckets
 from . import regions as region_jobs
 from .registry import F1_SQL, F2_SQL, daily_sql, f1, register
 
@@ -273,8 +272,7 @@ def q_jn06_tiles(spark, sf_dir):
     store = fx.daily_store(spark, sf_dir)
     path = scratch_path(spark, "tile-weights")
     region_jobs.write_tile_weights(store, supplier_weights(spark, sf_dir), path)
-    with joins_within_buckets(spark):
-        j = materialise(region_jobs.tile_product(store, path, ["qty"]), "product")
+    j = region_jobs.tile_product(store, path, ["qty"])
     return j.select("time", "y", "x", "poly_id", "w", "n_cells", "qty")
 
 
