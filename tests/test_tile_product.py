@@ -120,3 +120,17 @@ def test_sums_are_those_of_decimals(spark):
     assert sums.tolist() == [float(Decimal(sum(whole[k:k + 4])).scaleb(-18)) for k in range(0, len(whole), 4)]
     with pytest.raises(ArithmeticError):
         exact.limbs(np.array([1e15]))
+
+
+def test_yearly_averages_by_blocks(spark, grid, w, monkeypatch):
+    """JB11 with large weights in many small blocks gives what broadcast weights give."""
+    monkeypatch.setattr(jobs, "PACKED", 40)
+    s = GridStore.create(spark, scratch_path(spark, "bucketed"), SPEC, "2024-01-01", "2024-01-20", ["RAIN", "T2MAX"], shape=(7, 10), buckets=4, slots=2)
+    s.write_region(grid.withColumnsRenamed({"a": "RAIN", "b": "T2MAX"}))
+    w_path, found = scratch_path(spark, "weights"), []
+    jobs.write_weights(w, w_path)
+    for limit in (0, 1 << 20):
+        out = scratch_path(spark, "yearly")
+        jobs.region_daily_store(s, w_path, out, 2024, 2024, ("RAIN", "T2MAX"), strict=False, limit=limit)
+        found.append(rows(jobs.read_yearly(spark, out)))
+    assert found[0] == found[1] and len(found[0]) == 120
