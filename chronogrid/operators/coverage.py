@@ -25,6 +25,11 @@ UNIT = float(1 << 48)
 SLIVER = 1e-9
 
 
+def spread(polys: DataFrame) -> DataFrame:
+    """``polys`` dealt over all tasks: a table of rings is small as a file, the work on a ring isn't."""
+    return polys.repartition(int(polys.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _fixed(c: Column) -> Column:
     return F.round(c * UNIT).cast("long")
 
@@ -59,7 +64,7 @@ def crossed_cells(polys: DataFrame, cg) -> DataFrame:
 
     Parts of an edge left of the grid count as its left side; those right, above and
     below of it don't reach any cell."""
-    e = ring_edges(polys, cg)
+    e = ring_edges(spread(polys), cg)
     low, high = F.least("v0", "v1"), F.greatest("v0", "v1")
     first, last = F.floor(low).cast("int"), (F.ceil(high) - 1).cast("int")
     first = F.greatest(first, F.lit(0))

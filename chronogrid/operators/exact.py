@@ -91,6 +91,29 @@ def limbs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return units, first, second
 
 
+def places(values: np.ndarray, most: int = 9) -> int | None:
+    """Decimal places, up to ``most``, that write all of ``values``, if any."""
+    return next((k for k in range(most + 1) if (np.rint(values * _UP[k]) / _UP[k] == values).all()), None)
+
+
+def short(values: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Whole numbers ``q`` and where ``q / 10 ** k`` is the decimal of a double (elsewhere ``q`` is 0), for ``k`` up to 18.
+
+    A decimal of up to 15 digits that reads back as the double is its shortest: no two share
+    one.  Sums of some ten thousands of ``q`` fit 64 bits."""
+    q = np.rint(values * _UP[k])
+    done = (q / _UP[k] == values) & (np.abs(q) < 1e14)
+    return np.where(done, q, 0.0).astype(np.int64), done
+
+
+def split(sums: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The limbs of ``sums / 10 ** k``."""
+    units = sums // _INT[k]
+    part = (sums - units * _INT[k]) * _INT[18 - k]
+    first = part // BILLION
+    return units, first, part - first * BILLION
+
+
 def to_double(units: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
     """The doubles nearest to sums of limbs."""
     first = first + second // BILLION

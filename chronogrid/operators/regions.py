@@ -103,7 +103,7 @@ def weights(polys: DataFrame, overlap: DataFrame, area_ring=None) -> DataFrame:
     """Weight = overlap area / polygon area, both summed over the polygon's parts;
     areas in the plane given by ``area_ring`` if any."""
     ring = area_ring(F.col("ring")) if area_ring is not None else F.col("ring")
-    pa = (polys.select("poly_id", (_sign(polys) * geo.ring_area(ring)).alias("a"))
+    pa = (coverage.spread(polys).select("poly_id", (_sign(polys) * geo.ring_area(ring)).alias("a"))
           .groupBy("poly_id").agg(F.sum("a").alias("poly_area")))
     return (overlap.join(pa, "poly_id", "inner")
             .select("poly_id", "y", "x", (F.col("area") / F.col("poly_area")).alias("w")))

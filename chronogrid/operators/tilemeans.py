@@ -33,35 +33,62 @@ def _grid(tiles: pa.StructArray, tile_cells: int, steps: int, variables: list[st
     return begins, here, values
 
 
+def _products(p: np.ndarray, k: int | None, starts: np.ndarray, owner: np.ndarray) -> list[np.ndarray]:
+    """Limbs of the sums of products by polygon and step: short decimals of ``k`` places are added as such, others by limbs."""
+    if k is None:
+        return [np.add.reduceat(x, starts, axis=0) for x in exact.limbs(p)]
+    q, done = exact.short(p, k)
+    sums = list(exact.split(np.add.reduceat(q, starts, axis=0), k))
+    rest = np.flatnonzero(~done)
+    if len(rest):
+        row, step = np.divmod(rest, p.shape[1])
+        at = owner[row] * p.shape[1] + step
+        for x, part in zip(sums, exact.limbs(p.reshape(-1)[rest]), strict=True):
+            np.add.at(x.reshape(-1), at, part)
+    return sums
+
+
 def _means(cells: np.ndarray, w: np.ndarray, owner: np.ndarray, n: int, n_cells: np.ndarray, here: np.ndarray,
            values: list[np.ndarray], strict: bool) -> tuple[np.ndarray, list[np.ndarray]]:
     """For ``n`` polygons: at which steps one of their cells has a row, and the averages (NaN: none)."""
     steps = here.shape[1]
-    found = np.zeros((n, steps), bool)
-    sums = [[np.zeros((n, steps), np.int64) for _ in range(7)] for _ in values]
+    seen = [here]                                                      # which cells count: one sum of weights for each mask
+    mask = []
+    for v in values:
+        there = ~np.isnan(v)
+        mask.append(next((i for i, x in enumerate(seen) if np.array_equal(x, there)), len(seen)))
+        if mask[-1] == len(seen):
+            seen.append(there)
+    values = [np.where(seen[i], v, 0.0) for v, i in zip(values, mask, strict=True)]
+    of_v = [exact.places(v) for v in values]
+    places = [None if of is None or k is None else of + k for of in [exact.places(w)] for k in of_v]
+    sums = [[np.zeros((n, steps), np.int64) for _ in range(3)] for _ in values]
+    weights = [[np.zeros((n, steps), np.int64) for _ in range(4)] for _ in seen]
     of_w = exact.limbs(w)
-    seen = [~np.isnan(v) for v in values]
-    values = [np.where(there, v, 0.0) for v, there in zip(values, seen, strict=True)]
     size = max(1, PRODUCTS // steps)
     for k in range(0, len(cells), size):
         c, o = cells[k:k + size], owner[k:k + size]
         starts = np.flatnonzero(np.r_[True, o[1:] != o[:-1]])
-        at = o[starts]
-        found[at] |= np.logical_or.reduceat(here[c], starts, axis=0)
-        for v, has, total in zip(values, seen, sums, strict=True):
+        at = slice(o[0], o[-1] + 1)                                    # polygons are numbered without gaps
+        for has, total in zip(seen, weights, strict=True):
             there = has[c].astype(np.int64)
-            parts = [*exact.limbs(v[c] * w[k:k + size, None]), *(there * x[k:k + size, None] if x.any() else None for x in of_w), there]
-            for x, part in zip(total, parts, strict=True):
-                if part is not None:
-                    x[at] += np.add.reduceat(part, starts, axis=0)
+            for x, limb in zip(total, (*of_w, None), strict=True):
+                if limb is None:
+                    x[at] += np.add.reduceat(there, starts, axis=0)
+                elif limb.any():
+                    x[at] += np.add.reduceat(there * limb[k:k + size, None], starts, axis=0)
+        for v, places_v, total in zip(values, places, sums, strict=True):
+            for x, part in zip(total, _products(v[c] * w[k:k + size, None], places_v, starts, o - o[0]), strict=True):
+                x[at] += part
+    below = [exact.to_double(*x[:3]) for x in weights]
     means = []
-    for total in sums:
-        count = total[6]
+    for total, i in zip(sums, mask, strict=True):
+        count = weights[i][3]
         there = count == n_cells[:, None] if strict else count > 0
-        mean = np.full(found.shape, np.nan)
-        np.divide(exact.to_double(*total[:3]), exact.to_double(*total[3:6]), out=mean, where=there & (count > 0))
+        mean = np.full((n, steps), np.nan)
+        np.divide(exact.to_double(*total), below[i], out=mean, where=there & (count > 0))
         means.append(mean)
-    return found, means
+    return weights[0][3] > 0, means
 
 
 def block_means(variables: list[str], tile_cells: int, steps: int, strict: bool):

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chronogrid.config import ChunkPlan, GridSpec
-from chronogrid.operators import exact, regions
+from chronogrid.operators import coverage, exact, regions, tilemeans
 from chronogrid.plans import regions as jobs
 from chronogrid.session import scratch_path
 from chronogrid.sources.gridstore import GridStore, joins_within_buckets
@@ -134,3 +134,33 @@ def test_yearly_averages_by_blocks(spark, grid, w, monkeypatch):
         jobs.region_daily_store(s, w_path, out, 2024, 2024, ("RAIN", "T2MAX"), strict=False, limit=limit)
         found.append(rows(jobs.read_yearly(spark, out)))
     assert found[0] == found[1] and len(found[0]) == 120
+
+
+def test_short_products_are_added_as_such(monkeypatch):
+    """Products of short decimals need no limbs of their own, and all sums are those of single decimals."""
+    rng, made, limbs = np.random.default_rng(2), [], exact.limbs
+    monkeypatch.setattr(exact, "limbs", lambda x: made.append(x.size) or limbs(x))
+    cells, here = rng.integers(0, 8, 600), rng.random((8, 5)) < 0.7
+    owner, n_cells = np.repeat(np.arange(60), 10), np.full(60, 10)
+    for w, scale, short in ((np.round(rng.random(600), 6), 1.0, True), (rng.random(600), -1.0, False), (np.round(rng.random(600), 6), 1e9, True)):
+        made.clear()
+        values = [np.where(rng.random(here.shape) < 0.9, np.where(here, np.round(rng.random(here.shape) * 1e5, 2) * scale, np.nan), np.nan) for _ in range(2)]
+        found, means = tilemeans._means(cells, w, owner, 60, n_cells, here, values, False)
+        assert sum(made) < 600 * (1 + 2 * 5) / (2 if short and scale == 1 else 1) + 1
+        whole = lambda x: int((Decimal(repr(x)) * 10 ** 18).quantize(Decimal(1), ROUND_HALF_UP))
+        for v, mean in zip(values, means, strict=True):
+            for p in range(60):
+                for t in range(5):
+                    at = [k for k in range(p * 10, p * 10 + 10) if not np.isnan(v[cells[k], t])]
+                    top, below = (sum(whole(float(x)) for x in of) for of in ([w[k] * v[cells[k], t] for k in at], [w[k] for k in at]))
+                    assert (mean[p, t] == float(Decimal(top).scaleb(-18)) / float(Decimal(below).scaleb(-18))) if at else np.isnan(mean[p, t])
+                    assert found[p, t] == any(here[cells[k], t] for k in range(p * 10, p * 10 + 10))
+
+
+def test_rings_of_one_file_are_spread(spark):
+    """A ring's cuts aren't made in the one task that reads its file."""
+    ring = [(0.0, 0.0), (3.0, 0.0), (3.0, 3.0), (0.0, 3.0)]
+    polys = spark.createDataFrame([(k, ring) for k in range(64)], "poly_id long, ring array<struct<x: double, y: double>>").coalesce(1)
+    edges = coverage.crossed_cells(polys, regions.CellGrid(nx=8, ny=8))
+    plan = edges._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("Generate") < plan.rindex("RoundRobinPartitioning")
