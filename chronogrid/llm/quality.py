@@ -1,12 +1,8 @@
 """Quality classification by an interpolated modified Kneser-Ney n-gram model.
 
-The model is trained on all trusted text.  Its units are symbols: the letters a-z,
-and classes of the other characters, ``SYMBOLS`` in all; so a table of order
-``ORDER`` has a proven bound whatever the corpus.  Tasks count n-grams of their
-partition; counts, continuation counts, discounts and context sums are joined in
-Spark, sharded by language and context.  The joined table, at most ``SYMBOLS`` to
-the power ``ORDER`` rows a language, is looked up where the documents are, so no
-text and no n-gram of a document is shuffled to be scored.
+The model is trained on all trusted text, and its units are the code units of the
+texts themselves (``kneser_ney.py``): counts are sharded tables, and documents get
+their perplexity by joins of their n-grams with them.
 
 A document is rejected when its perplexity lies above a quantile of the trusted
 documents of its language, each scored by a model that hasn't seen it.
@@ -14,23 +10,15 @@ documents of its language, each scored by a model that hasn't seen it.
 
 from __future__ import annotations
 
-import uuid
-from collections import OrderedDict
-from collections.abc import Iterable, Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators.joins import size_checked_broadcast
 from ..session import materialise
-from .arrow import texts_as_bytes, with_arrow_columns
+from .kneser_ney import ORDER, Counter, count_units, estimate, numbered, with_perplexity  # noqa: F401
 from .registry import register
-from .worker import kept
+from .symbols import SYMBOLS, TABLE, count_symbols, dense_bits, dense_models, grams  # noqa: F401
 
-SYMBOLS, ORDER = 40, 4
 #: Documents above this quantile of the trusted documents' perplexity are rejected.
 QUANTILE = 0.995
 #: Distinct trusted texts from which a language has a model and threshold of its own: the
@@ -40,177 +28,30 @@ LEAST_TEXTS = 100
 POOLED = ""
 #: Between the language and the fold in a model's name.
 HALF = "\x1f"
-#: Most models whose dense table (10 MB) a worker holds at once.
-HELD = 10
-CHUNK = 1 << 20
-
-
-def _symbol_table() -> np.ndarray:
-    """The symbol of each character up to U+FFFF; 0 stands before the text.
-
-    1-26 letters a-z, 27 upper case, 28 digits, 29 blanks, 30 line ends, 31 full
-    stop, 32 comma, 33-35 other ASCII in three classes, 36-39 all else in four."""
-    c = np.arange(1 << 16)
-    table = 36 + c % 4
-    table[:128] = 33 + c[:128] % 3
-    table[97:123] = c[97:123] - 96
-    table[65:91], table[48:58] = 27, 28
-    table[[9, 11, 12, 13, 32]], table[10], table[46], table[44] = 29, 30, 31, 32
-    return table.astype(np.int64)
-
-
-TABLE = _symbol_table()
-
-
-def grams(raw: bytes) -> Iterator[np.ndarray]:
-    """The n-grams of order ``ORDER`` of a UTF-8 text as numbers, one for each character."""
-    before = np.zeros(ORDER - 1, np.int64)
-    text = raw.decode()
-    for at in range(0, len(text), CHUNK):
-        c = np.frombuffer(text[at:at + CHUNK].encode("utf-32-le"), "<u4")
-        s = np.concatenate([before, TABLE[np.where(c < 1 << 16, c, (c & 3) + 0x3000)]])
-        n = len(c)
-        g = s[:n].copy()
-        for k in range(1, ORDER):
-            g *= SYMBOLS
-            g += s[k:k + n]
-        before = s[n:]
-        yield g
-
-
-def count_grams(texts: DataFrame) -> DataFrame:
-    """``lang, gram, c`` over all rows of ``lang, text``; each task adds up its own first."""
-    schema = pa.schema([("lang", pa.string()), ("gram", pa.int64()), ("c", pa.int64())])
-    owner = uuid.uuid4().hex
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept(owner)
-        sums: dict[str, np.ndarray] = {}  # a task's counts fit 32 bits: they are of one split of the input
-
-        def out(lang: str) -> pa.RecordBatch:
-            found = np.flatnonzero(sums[lang])
-            return pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(found), pa.array(sums[lang][found].astype(np.int64))], schema=schema)
-
-        for batch in batches:
-            for lang, raw in zip(batch.column("lang").to_pylist(), texts_as_bytes(batch, "text")):
-                if lang not in sums:
-                    if len(sums) == HELD:  # bounded memory for any number of languages
-                        yield from (out(x) for x in sums)
-                        sums.clear()
-                    sums[lang] = np.zeros(SYMBOLS ** ORDER, np.uint32)
-                for g in grams(raw or b""):
-                    np.add.at(sums[lang], g, 1)
-        yield from (out(x) for x in sums)
-
-    return texts.mapInArrow(run, "lang string, gram long, c long").groupBy("lang", "gram").agg(F.sum("c").alias("c"))
-
-
-def kneser_ney(counts: DataFrame) -> DataFrame:
-    """``lang, n, gram, own, rest`` of every n-gram seen, n from 1 to ``ORDER``.
-
-    The probability is ``own + rest * (that of the n-gram less its first symbol)``.
-    Orders below the highest count the distinct symbols seen before an n-gram.
-    Discounts for counts of one, two and more follow from the counts of counts of
-    each language and order."""
-    level, levels = counts, [counts.withColumn("n", F.lit(ORDER))]
-    for n in range(ORDER - 1, 0, -1):
-        level = level.groupBy("lang", (F.col("gram") % SYMBOLS ** n).alias("gram")).agg(F.count("*").alias("c"))
-        levels.append(level.withColumn("n", F.lit(n)))
-    seen = levels[0]
-    for x in levels[1:]:
-        seen = seen.unionByName(x)
-    seen = materialise(seen, "grams")
-    of = [F.sum(F.when(F.col("c") == k, 1).otherwise(0)).alias(f"n{k}") for k in range(1, 5)]
-    y = F.when(F.col("n1") > 0, F.col("n1") / (F.col("n1") + 2 * F.col("n2"))).otherwise(F.lit(0.5))
 
-    def discount(k: int) -> Column:
-        value = F.when(F.col(f"n{k}") > 0, k - (k + 1) * F.col("y") * F.col(f"n{k + 1}") / F.col(f"n{k}")).otherwise(k * F.lit(0.5))
-        return F.least(F.greatest(value, F.lit(0.05)), F.lit(k - 0.05)).alias(f"d{k}")
 
-    discounts = seen.groupBy("lang", "n").agg(*of).withColumn("y", y).select("lang", "n", *[discount(k) for k in (1, 2, 3)])
-    cut = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
-    # one row a language and order
-    seen = seen.join(F.broadcast(discounts), ["lang", "n"]).withColumn("cut", cut).withColumn("context", F.floor(F.col("gram") / SYMBOLS))
-    contexts = seen.groupBy("lang", "n", "context").agg(F.sum("c").alias("total"), F.sum(F.col("cut").cast("decimal(30,15)")).cast("double").alias("mass"))
-    return seen.join(contexts, ["lang", "n", "context"]).select(
-        "lang", "n", "gram", ((F.col("c") - F.col("cut")) / F.col("total")).alias("own"), (F.col("mass") / F.col("total")).alias("rest"))
+def _fold(text: str) -> Column:
+    """Equal texts are in one fold."""
+    return F.pmod(F.xxhash64(text), F.lit(2))
 
 
-def train(trusted: DataFrame) -> dict[str, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
-    """Models of ``lang, text``: for each order n-grams, own and rest.
+def count_models(trusted: DataFrame, count: Counter = count_units) -> DataFrame:
+    """``lang, gram, c`` of the models of ``lang, text``.
 
     There is one of each language and one of all text, and beside each two halves:
-    that named ``HALF`` and a fold is trained without the texts of the fold.  What
-    reaches the driver is bounded by the symbols and the order, not by the text."""
-    counts = count_grams(trusted.select(F.concat("lang", F.lit(HALF), _fold("text").cast("string")).alias("lang"), "text"))
+    that named ``HALF`` and a fold is trained without the texts of the fold."""
+    counts = count(trusted.select(F.concat("lang", F.lit(HALF), _fold("text").cast("string")).alias("lang"), "text"))
     counts = materialise(counts.select(F.split_part("lang", F.lit(HALF), F.lit(1)).alias("lang"),
                                        F.split_part("lang", F.lit(HALF), F.lit(2)).alias("fold"), "gram", "c"), "counts")
     pooled = counts.where(F.col("lang") != POOLED).select(F.lit(POOLED).alias("lang"), "fold", "gram", "c")
     counts = counts.unionByName(pooled)
     others = counts.select(F.concat("lang", F.lit(HALF), F.when(F.col("fold") == "0", "1").otherwise("0")).alias("lang"), "gram", "c")
-    summed = counts.select("lang", "gram", "c").unionByName(others).groupBy("lang", "gram").agg(F.sum("c").alias("c"))
-    table = kneser_ney(summed).toArrow()
-    names = table.column("lang").combine_chunks().dictionary_encode()
-    lang = names.indices.to_numpy(zero_copy_only=False)
-    n, gram, own, rest = (table.column(k).to_numpy() for k in ("n", "gram", "own", "rest"))
-    models = {}
-    for i, name in enumerate(names.dictionary.to_pylist()):
-        rows = lang == i
-        models[name] = [tuple(x[rows & (n == k)] for x in (gram, own, rest)) for k in range(1, ORDER + 1)]
-    return models
-
-
-def _fold(text: str) -> Column:
-    """Equal texts are in one fold."""
-    return F.pmod(F.xxhash64(text), F.lit(2))
-
-
-def dense_bits(model: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> np.ndarray:
-    """-log2 of the probability of every n-gram of the highest order."""
-    p = np.full(1, 1.0 / SYMBOLS)
-    for n, (gram, own, rest) in enumerate(model, 1):
-        weight = np.ones(SYMBOLS ** (n - 1))
-        weight[gram // SYMBOLS] = rest
-        p = np.tile(p, SYMBOLS ** n // len(p))
-        p *= np.repeat(weight, SYMBOLS)
-        p[gram] += own
-    return -np.log2(p).astype(np.float32)
-
-
-def with_perplexity(docs: DataFrame, models: dict, text_col: str = "text", lang_col: str = "lang",
-                    without: tuple[str, ...] = (), pooled: bool = True) -> DataFrame:
-    """``docs`` less ``without``, plus ``n_symbols, perplexity`` (per symbol; null without text or model).
-
-    ``pooled``: languages without a model take that of all text."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)
-
-    def start():
-        known = shared.value
-        dense: OrderedDict[str, np.ndarray] = OrderedDict()
-
-        def bits_of(name: str) -> np.ndarray:
-            if name not in dense:
-                while len(dense) >= HELD:
-                    dense.popitem(last=False)
-                dense[name] = dense_bits(known[name])
-            dense.move_to_end(name)
-            return dense[name]
-
-        def score(raw: bytes | None, lang: str | None) -> tuple[int, float | None]:
-            name = lang if lang in known or not pooled else POOLED
-            if not raw or name not in known:
-                return 0 if not raw else len(raw.decode()), None
-            bits, n, total = bits_of(name), 0, 0.0
-            for g in grams(raw):
-                n, total = n + len(g), total + float(bits[g].sum(dtype=np.float64))
-            return n, 2.0 ** (total / n)
+    return counts.select("lang", "gram", "c").unionByName(others).groupBy("lang", "gram").agg(F.sum("c").alias("c"))
 
-        def compute(batch: pa.RecordBatch) -> list[pa.Array]:
-            found = [score(raw, lang) for raw, lang in zip(texts_as_bytes(batch, text_col), batch.column(lang_col).to_pylist())]
-            return [pa.array([n for n, _ in found], pa.int64()), pa.array([p for _, p in found], pa.float64())]
-        return compute
 
-    return with_arrow_columns(docs, start, [("n_symbols", T.LongType()), ("perplexity", T.DoubleType())], without)
+def train(trusted: DataFrame) -> dict:
+    """The same models over the bounded alphabet of ``symbols.py``, as arrays."""
+    return dense_models(*estimate(count_models(trusted, count_symbols), SYMBOLS))
 
 
 def trusted_texts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -239,24 +80,23 @@ def classify(docs: DataFrame, trusted: DataFrame, text_col: str = "text", lang_c
     distinct = trusted.where("text <> ''").groupBy("lang").agg(*[F.count_distinct(F.when(fold == k, text)).alias(f"n{k}") for k in (0, 1)])
     own = [r["lang"] for r in distinct.collect() if r["lang"] != POOLED and r["n0"] + r["n1"] >= LEAST_TEXTS and min(r["n0"], r["n1"]) > 0]
     is_own = F.col("lang").isin(own)
-    models = train(trusted.select(F.when(is_own, F.col("lang")).otherwise(POOLED).alias("lang"), "text"))
+    model = numbered(*estimate(count_models(trusted.select(F.when(is_own, F.col("lang")).otherwise(POOLED).alias("lang"), "text"))))
     # held out: every trusted text is scored by the models of the other half, its language's and that of all
-    held = lambda lang: F.concat(lang, F.lit(HALF), fold.cast("string")).alias("model")
-    halves = trusted.select("lang", "text", F.lit(True).alias("all"), held(F.lit(POOLED))).unionByName(
-        trusted.where(is_own).select("lang", "text", F.lit(False).alias("all"), held(F.col("lang"))))
-    scored = with_perplexity(halves, models, "text", "model", ("text", "model"), pooled=False).where("perplexity IS NOT NULL")
-    models = {k: v for k, v in models.items() if HALF not in k}
-    limit = F.percentile_approx("perplexity", F.lit(quantile), F.lit(100_000)).alias("limit")
+    held = lambda lang: F.concat(lang, F.lit(HALF), fold.cast("string"))
+    halves = trusted.select("lang", "text", held(F.lit(POOLED)).alias("half"), F.when(is_own, held(F.col("lang"))).alias("own_half"))
+    scored = with_perplexity(halves, model, "text", {"by_all": "half", "by_own": "own_half"}, ("text", "half", "own_half"))
+    limit = lambda c: F.percentile_approx(c, F.lit(quantile), F.lit(100_000)).alias("limit")
     scored = materialise(scored, "scored")
-    every = scored.where("all").agg(limit).first()["limit"]
-    limits = {r["lang"]: r["limit"] for r in scored.where("NOT all").groupBy("lang").agg(limit).collect()}
-    rare = scored.where(F.col("all") & ~is_own & (F.col("lang") != POOLED)).groupBy("lang").agg(F.max("perplexity").alias("limit"))
+    every = scored.agg(limit("by_all")).first()["limit"]
+    limits = {r["lang"]: r["limit"] for r in scored.where("by_own IS NOT NULL").groupBy("lang").agg(limit("by_own")).collect()}
+    rare = scored.where(F.col("by_all").isNotNull() & ~is_own & (F.col("lang") != POOLED)).groupBy("lang").agg(F.max("by_all").alias("limit"))
     limits |= {r["lang"]: max(r["limit"], every) for r in rare.collect()}
     limits[POOLED] = every
     # one number a language
     table = F.create_map(*[F.lit(x) for lang in sorted(limits) for x in (lang, limits[lang])]).cast("map<string,double>")
     threshold = F.coalesce(F.try_element_at(table, F.coalesce(F.col(lang_col), F.lit(POOLED))), F.lit(limits[POOLED]).cast("double"))
-    return (with_perplexity(docs, models, text_col, lang_col, without).withColumn("threshold", threshold)
+    whole = model._replace(names={x: k for x, k in model.names.items() if HALF not in x})
+    return (with_perplexity(docs, whole, text_col, {"perplexity": lang_col}, without, POOLED).withColumn("threshold", threshold)
             .withColumn("rejected", F.coalesce(F.col("perplexity") > F.col("threshold"), F.lit(False))))
 
 

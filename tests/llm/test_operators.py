@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from chronogrid.llm import bpe, components, decontaminate, html_text, language, line_dedup, nearest, quality, registered, sharding, simhash, warc
+from chronogrid.llm import bpe, components, decontaminate, html_text, kneser_ney, language, line_dedup, nearest, quality, registered, sharding, simhash, warc
 
 SF = "/root/testdata/sf0.01"
 
@@ -174,6 +174,58 @@ def test_model_against_its_definition(ready):
     assert np.allclose((2.0 ** -bits.astype(float)).reshape(-1, quality.SYMBOLS).sum(axis=1), 1, atol=1e-4)
 
 
+def code_units(text):
+    """A text whose characters are the UTF-16 code units of another."""
+    return "".join(chr(u) for u in np.frombuffer(text.encode("utf-16-le"), "<u2"))
+
+
+@pytest.mark.parametrize("block", [1, 1 << 24])
+def test_perplexity_of_real_units_against_the_definition(ready, monkeypatch, block):
+    texts = ["The cat sat. on the mat", "кот сидел на коврике", "猫坐在垫子上 🙂🙃", "ABC 123 abc", "кот", "A\ud7ff\ue000\uffff"]
+    docs = [*texts, None, "", "Кот, кошка", "狗 🙂", "xyz 123", "the dog"]
+    monkeypatch.setattr(kneser_ney, "BLOCK", block)  # a row each, or all of a partition in one
+    rows = [(k, t, "xx") for k, t in enumerate(docs)]
+    got = {r.doc_id: r for r in quality.classify(ready.createDataFrame(rows, "doc_id long, text string, lang string").repartition(2),
+                                                 ready.createDataFrame([("en", t) for t in texts], "lang string, text string")).collect()}
+    monkeypatch.setattr(quality, "TABLE", np.arange(1 << 16))
+    monkeypatch.setattr(quality, "SYMBOLS", 1 << 16)
+    p = brute_kneser_ney([code_units(t) for t in texts], quality.ORDER)
+    assert len(got) == len(docs)
+    for k, t in enumerate(docs):
+        s = [0] * (quality.ORDER - 1) + [ord(c) for c in code_units(t or "")]
+        bits = -sum(math.log2(p(tuple(s[i:i + quality.ORDER]))) for i in range(len(s) - quality.ORDER + 1))
+        assert got[k].n_symbols == len(t or "")
+        assert got[k].perplexity == (pytest.approx(2 ** (bits / len(t)), rel=1e-6) if t else None)
+
+
+def test_letters_beyond_ascii_capitals_and_digits_are_told_apart(ready):
+    rng = random.Random(5)
+    lexicon = {"ru": ["река", "дом", "идёт", "зелёный", "часто", "под", "камень", "хлеб"], "en": ["RIVER", "HOUSE", "1984", "2001", "STONE", "GREEN"]}
+    prose = lambda lang: " ".join(rng.choice(lexicon[lang]) for _ in range(80))
+    # every character has the class of the one it stands for, in a table of classes
+    swapped = {"ru": lambda t: "".join(c if c == " " else chr(ord(c) ^ 4) for c in t), "en": lambda t: "".join(c if c == " " else rng.choice("0123456789" if c.isdigit() else "QXZJVK") for c in t)}
+    trusted = [(lang, prose(lang)) for lang in lexicon for _ in range(150)]
+    docs = [(k, prose(lang), lang) for k, lang in enumerate(["ru", "en"] * 40)] + [(100 + k, swapped[lang](prose(lang)), lang) for k, lang in enumerate(["ru", "en"] * 5)]
+    got = quality.classify(ready.createDataFrame(docs, "doc_id long, text string, lang string"), ready.createDataFrame(trusted, "lang string, text string")).collect()
+    gone = {r.doc_id for r in got if r.rejected}
+    assert set(range(100, 110)) <= gone and sum(i < 100 for i in gone) <= 3
+
+
+def test_no_model_is_broadcast_or_collected(ready):
+    counts = quality.count_models(ready.createDataFrame([("en", "some words of a text"), ("en", "others")], "lang string, text string"))
+    model = kneser_ney.numbered(*kneser_ney.estimate(counts))
+    with_threshold = ready.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    ready.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables of real size
+    try:
+        scored = kneser_ney.with_perplexity(ready.createDataFrame([("some text", "en")], "text string, lang string"), model, "text", {"perplexity": "lang"})
+        plan = scored._jdf.queryExecution().executedPlan().toString()
+        assert scored.first()["perplexity"] > 1
+    finally:
+        ready.conf.set("spark.sql.autoBroadcastJoinThreshold", with_threshold)
+    # but for the discounts, one row a model and order
+    assert plan.count("SortMergeJoin") >= 3 * kneser_ney.ORDER and plan.count("BroadcastExchange") <= kneser_ney.ORDER
+
+
 def test_quality_separates_labels(ready):
     got = {r.doc_id: r.rejected for r in registered.QUERIES["op4_quality"](ready, SF).collect()}
     labels = ready.read.parquet(f"{SF}/labels.parquet").collect()
