@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import materialise
+from ..session import materialise, remove_path, scratch_path
 from .arrow import texts_as_bytes
 from .worker import kept
 
@@ -202,10 +202,11 @@ def _packed_answers(answers: DataFrame) -> DataFrame:
 
 
 def with_perplexity(docs: DataFrame, model: Model, text_col: str, model_cols: dict[str, str],
-                    without: tuple[str, ...] = (), other: str | None = None) -> DataFrame:
+                    without: tuple[str, ...] = (), other: str | None = None, keep_as: str | None = None) -> DataFrame:
     """``docs`` less ``without``, plus ``n_symbols`` (characters) and the perplexities (per character; null without text or model).
 
-    ``model_cols``: for each perplexity the column that names its model; ``other`` stands for a name that no model has."""
+    ``model_cols``: for each perplexity the column that names its model; ``other`` stands for a name that no model has.
+    ``keep_as``: the result is written under that name, and the packed rows are deleted."""
     numbers, owner, asker = model.names, uuid.uuid4().hex, uuid.uuid4().hex
     made = [("n_symbols", T.LongType()), *[(name, T.DoubleType()) for name in model_cols]]
     keep = [f for f in docs.schema.fields if f.name not in without and f.name.lower() not in {n.lower() for n, _ in made}]
@@ -309,14 +310,22 @@ def with_perplexity(docs: DataFrame, model: Model, text_col: str, model_cols: di
                     yield scored(part, answers)
 
     # numbered once, when written: every later pass sees the same blocks, each named by its first row
-    blocks = materialise(docs.mapInArrow(ask, "nth long, model int, gram long, packed binary").select(
-        (F.monotonically_increasing_id() - F.col("nth")).alias("block"), "model", "gram", "packed"), "blocks")
+    spark = docs.sparkSession
+    path = scratch_path(spark, "blocks")
+    docs.mapInArrow(ask, "nth long, model int, gram long, packed binary").select(
+        (F.monotonically_increasing_id() - F.col("nth")).alias("block"), "model", "gram", "packed").write.parquet(path)
+    blocks = spark.read.schema("block long, model int, gram long, packed binary").parquet(path)
     asked = blocks.where("model IS NOT NULL").select("block", "model", "gram")
     distinct = materialise(asked.select("model", "gram").distinct(), "asked")  # every order reads it
     answered = asked.join(probabilities(distinct, model), ["model", "gram"])
     rows = _packed_answers(answered).unionByName(
         blocks.where("model IS NULL").select("block", "model", F.lit(None).cast("int").alias("n"), "packed"))
-    return rows.repartition("block").sortWithinPartitions("block", F.col("model").isNull()).mapInArrow(score, schema)
+    scored_rows = rows.repartition("block").sortWithinPartitions("block", F.col("model").isNull()).mapInArrow(score, schema)
+    if keep_as is None:
+        return scored_rows
+    scored_rows = materialise(scored_rows, keep_as)
+    remove_path(spark, path)
+    return scored_rows
 
 
 #: ``lang, text`` to ``lang, gram, c``.

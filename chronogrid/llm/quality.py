@@ -84,9 +84,8 @@ def classify(docs: DataFrame, trusted: DataFrame, text_col: str = "text", lang_c
     # held out: every trusted text is scored by the models of the other half, its language's and that of all
     held = lambda lang: F.concat(lang, F.lit(HALF), fold.cast("string"))
     halves = trusted.select("lang", "text", held(F.lit(POOLED)).alias("half"), F.when(is_own, held(F.col("lang"))).alias("own_half"))
-    scored = with_perplexity(halves, model, "text", {"by_all": "half", "by_own": "own_half"}, ("text", "half", "own_half"))
+    scored = with_perplexity(halves, model, "text", {"by_all": "half", "by_own": "own_half"}, ("text", "half", "own_half"), keep_as="scored")
     limit = lambda c: F.percentile_approx(c, F.lit(quantile), F.lit(100_000)).alias("limit")
-    scored = materialise(scored, "scored")
     every = scored.agg(limit("by_all")).first()["limit"]
     limits = {r["lang"]: r["limit"] for r in scored.where("by_own IS NOT NULL").groupBy("lang").agg(limit("by_own")).collect()}
     rare = scored.where(F.col("by_all").isNotNull() & ~is_own & (F.col("lang") != POOLED)).groupBy("lang").agg(F.max("by_all").alias("limit"))
