@@ -8,7 +8,8 @@ and n-gram, that grow with the text.
 Documents are scored by joins with these tables.  Their rows are packed into blocks; a
 block asks each of its n-grams once, distinct n-grams of all blocks are joined with the
 counts order by order, and the answers go back to the blocks that asked.  So no model is
-broadcast or collected, and an n-gram is a row once a block, not once a document.
+broadcast or collected, and an n-gram is a row once a block, not once a document.  The
+packed rows are written in buckets of their blocks and never shuffled: answers come to them.
 Bits of an answer are single precision, as sums are double.
 """
 
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import materialise, remove_path, scratch_path
+from ..session import materialise, remove_path, scratch_path, shuffles_dropped
 from .arrow import texts_as_bytes
 from .worker import kept
 
@@ -111,14 +112,12 @@ def estimate(counts: DataFrame, units: int = UNITS) -> tuple[DataFrame, DataFram
     total``.  Orders below the highest count the distinct units seen before an n-gram.
     Discounts for counts of one, two and more follow from the counts of counts of
     each language and order."""
-    level, levels = counts, [counts.withColumn("n", F.lit(ORDER))]
+    # each order is written: plans stay small, as the driver keeps and replans them
+    level = materialise(counts, "grams")
+    seen = level.withColumn("n", F.lit(ORDER))
     for n in range(ORDER - 1, 0, -1):
-        level = level.groupBy("lang", _ends("gram", n, units).alias("gram")).agg(F.count("*").alias("c"))
-        levels.append(level.withColumn("n", F.lit(n)))
-    seen = levels[0]
-    for x in levels[1:]:
-        seen = seen.unionByName(x)
-    seen = materialise(seen, "grams")
+        level = materialise(level.groupBy("lang", _ends("gram", n, units).alias("gram")).agg(F.count("*").alias("c")), "grams")
+        seen = seen.unionByName(level.withColumn("n", F.lit(n)))
     of = [F.sum(F.when(F.col("c") == k, 1).otherwise(0)).alias(f"n{k}") for k in range(1, 5)]
     y = F.when(F.col("n1") > 0, F.col("n1") / (F.col("n1") + 2 * F.col("n2"))).otherwise(F.lit(0.5))
 
@@ -138,12 +137,18 @@ def numbered(grams: DataFrame, contexts: DataFrame) -> Model:
     """The model of both tables of ``estimate``, its names numbered; they are as many as languages."""
     names = sorted(r["lang"] for r in contexts.where("n = 1").select("lang").distinct().collect())
     number = (F.array_position(F.array(*[F.lit(x) for x in names]).cast("array<string>"), F.col("lang")) - 1).cast("int").alias("model")
-    return Model(grams.select(number, "n", "gram", "cut"), contexts.select(number, "n", "context", "total", "mass"), {x: k for k, x in enumerate(names)})
+    return Model(materialise(grams.select(number, "n", "gram", "cut"), "model"), contexts.select(number, "n", "context", "total", "mass"), {x: k for k, x in enumerate(names)})
 
 
-def probabilities(asked: DataFrame, model: Model) -> DataFrame:
+def _lazy(df: DataFrame, name: str) -> DataFrame:
+    return df
+
+
+def probabilities(asked: DataFrame, model: Model, step: Callable[[DataFrame, str], DataFrame] = _lazy) -> DataFrame:
     """``model, gram, p`` of the distinct ``model, gram`` asked, of order ``ORDER``: at each order joined
-    with its counts and contexts, and with the probability of the n-gram less its first unit."""
+    with its counts and contexts, and with the probability of the n-gram less its first unit.
+
+    Each order goes through ``step``, as ``materialise``."""
     lower = None
     for n in range(1, ORDER + 1):
         level = asked.select("model", _ends("gram", n, UNITS).alias("gram"))
@@ -156,10 +161,23 @@ def probabilities(asked: DataFrame, model: Model) -> DataFrame:
         level = (level.join(model.contexts.where(F.col("n") == n).drop("n"), ["model", "context"], "left")
                  .join(model.grams.where(F.col("n") == n).drop("n"), ["model", "gram"], "left"))
         p = F.coalesce((F.coalesce("cut", F.lit(0.0)) + F.col("mass") * F.col("below")) / F.col("total"), F.col("below"))
-        lower = level.select("model", "gram", p.alias("p"))
+        lower = step(level.select("model", "gram", p.alias("p")), "probabilities")
     return lower
 
 
+def _bucketed(rows: DataFrame, key: str, path: str) -> DataFrame:
+    """``rows`` written to ``path`` in buckets of ``key`` and read back: what meets them by ``key`` comes to them.
+
+    Only a table can name its buckets; it leaves the catalog at once, its files stay."""
+    spark, name = rows.sparkSession, f"blocks_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with shuffles_dropped(spark):
+        rows.write.bucketBy(n, key).option("path", path).saveAsTable(name, format="parquet")
+    written = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return written
+
+
 def _distinct(parts: list[np.ndarray]) -> np.ndarray:
     return np.sort(pc.unique(pa.array(np.concatenate(parts))).to_numpy())
 
@@ -202,11 +220,14 @@ def _packed_answers(answers: DataFrame) -> DataFrame:
 
 
 def with_perplexity(docs: DataFrame, model: Model, text_col: str, model_cols: dict[str, str],
-                    without: tuple[str, ...] = (), other: str | None = None, keep_as: str | None = None) -> DataFrame:
+                    without: tuple[str, ...] = (), other: str | None = None, keep_as: str | None = None,
+                    step: Callable[[DataFrame, str], DataFrame] = _lazy) -> DataFrame:
     """``docs`` less ``without``, plus ``n_symbols`` (characters) and the perplexities (per character; null without text or model).
 
     ``model_cols``: for each perplexity the column that names its model; ``other`` stands for a name that no model has.
-    ``keep_as``: the result is written under that name, and the packed rows are deleted."""
+    ``keep_as``: the result is written under that name, and the packed rows are deleted.
+    ``step``: what every join of an order and the answers go through; ``materialise`` keeps the driver's plans
+    small and drops the shuffle files of the joins before the next."""
     numbers, owner, asker = model.names, uuid.uuid4().hex, uuid.uuid4().hex
     made = [("n_symbols", T.LongType()), *[(name, T.DoubleType()) for name in model_cols]]
     keep = [f for f in docs.schema.fields if f.name not in without and f.name.lower() not in {n.lower() for n, _ in made}]
@@ -290,37 +311,27 @@ def with_perplexity(docs: DataFrame, model: Model, text_col: str, model_cols: di
         return pa.RecordBatch.from_arrays([part.column(f.name) for f in keep] + [pa.array(n, pa.int64()), *perplexities],
                                           names=[f.name for f in keep] + [name for name, _ in made])
 
-    def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The answers of a block come before its rows."""
+    def score(found: pa.Table, rows: pa.Table) -> pa.Table:
+        """The rows of a block by its answers."""
         kept(owner)
-        now, parts, answers = None, {}, {}
-        codec = pa.Codec("zstd")
-        for batch in batches:
-            for block, number, n, packed in zip(*(batch.column(k).to_pylist() for k in ("block", "model", "n")), batch.column("packed")):
-                if block != now:
-                    now, parts, answers = block, {}, {}
-                if number is not None:
-                    raw = codec.decompress(packed.as_buffer(), 12 * n)
-                    parts.setdefault(number, []).append((np.cumsum(np.frombuffer(raw, np.int64, n)), np.frombuffer(raw, np.float32, n, 8 * n)))
-                    continue
-                for x, found in parts.items():
-                    answers[x] = pa.array(np.concatenate([g for g, _ in found])), np.concatenate([b for _, b in found])
-                parts = {}
-                for part in pa.ipc.open_stream(packed.as_buffer()):
-                    yield scored(part, answers)
+        codec, parts = pa.Codec("zstd"), {}
+        for number, n, packed in zip(*(found.column(k).to_pylist() for k in ("model", "n")), found.column("packed")):
+            raw = codec.decompress(packed.as_buffer(), 12 * n)
+            parts.setdefault(number, []).append((np.cumsum(np.frombuffer(raw, np.int64, n)), np.frombuffer(raw, np.float32, n, 8 * n)))
+        answers = {x: (pa.array(np.concatenate([g for g, _ in of])), np.concatenate([b for _, b in of])) for x, of in parts.items()}
+        return pa.Table.from_batches([scored(part, answers) for packed in rows.column("packed") for part in pa.ipc.open_stream(packed.as_buffer())])
 
     # numbered once, when written: every later pass sees the same blocks, each named by its first row
     spark = docs.sparkSession
     path = scratch_path(spark, "blocks")
-    docs.mapInArrow(ask, "nth long, model int, gram long, packed binary").select(
-        (F.monotonically_increasing_id() - F.col("nth")).alias("block"), "model", "gram", "packed").write.parquet(path)
-    blocks = spark.read.schema("block long, model int, gram long, packed binary").parquet(path)
+    blocks = _bucketed(docs.mapInArrow(ask, "nth long, model int, gram long, packed binary").select(
+        (F.monotonically_increasing_id() - F.col("nth")).alias("block"), "model", "gram", "packed"), "block", path)
     asked = blocks.where("model IS NOT NULL").select("block", "model", "gram")
     distinct = materialise(asked.select("model", "gram").distinct(), "asked")  # every order reads it
-    answered = asked.join(probabilities(distinct, model), ["model", "gram"])
-    rows = _packed_answers(answered).unionByName(
-        blocks.where("model IS NULL").select("block", "model", F.lit(None).cast("int").alias("n"), "packed"))
-    scored_rows = rows.repartition("block").sortWithinPartitions("block", F.col("model").isNull()).mapInArrow(score, schema)
+    answers = step(_packed_answers(asked.join(probabilities(distinct, model, step), ["model", "gram"])), "answers")
+    # the rows lie by block where they were written: only answers are shuffled
+    rows = blocks.where("model IS NULL").select("block", "packed")
+    scored_rows = answers.groupBy("block").cogroup(rows.groupBy("block")).applyInArrow(score, schema)
     if keep_as is None:
         return scored_rows
     scored_rows = materialise(scored_rows, keep_as)

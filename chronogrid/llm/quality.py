@@ -84,7 +84,8 @@ def classify(docs: DataFrame, trusted: DataFrame, text_col: str = "text", lang_c
     # held out: every trusted text is scored by the models of the other half, its language's and that of all
     held = lambda lang: F.concat(lang, F.lit(HALF), fold.cast("string"))
     halves = trusted.select("lang", "text", held(F.lit(POOLED)).alias("half"), F.when(is_own, held(F.col("lang"))).alias("own_half"))
-    scored = with_perplexity(halves, model, "text", {"by_all": "half", "by_own": "own_half"}, ("text", "half", "own_half"), keep_as="scored")
+    scored = with_perplexity(halves, model, "text", {"by_all": "half", "by_own": "own_half"}, ("text", "half", "own_half"),
+                             keep_as="scored", step=materialise)
     limit = lambda c: F.percentile_approx(c, F.lit(quantile), F.lit(100_000)).alias("limit")
     every = scored.agg(limit("by_all")).first()["limit"]
     limits = {r["lang"]: r["limit"] for r in scored.where("by_own IS NOT NULL").groupBy("lang").agg(limit("by_own")).collect()}
@@ -95,7 +96,7 @@ def classify(docs: DataFrame, trusted: DataFrame, text_col: str = "text", lang_c
     table = F.create_map(*[F.lit(x) for lang in sorted(limits) for x in (lang, limits[lang])]).cast("map<string,double>")
     threshold = F.coalesce(F.try_element_at(table, F.coalesce(F.col(lang_col), F.lit(POOLED))), F.lit(limits[POOLED]).cast("double"))
     whole = model._replace(names={x: k for x, k in model.names.items() if HALF not in x})
-    return (with_perplexity(docs, whole, text_col, {"perplexity": lang_col}, without, POOLED).withColumn("threshold", threshold)
+    return (with_perplexity(docs, whole, text_col, {"perplexity": lang_col}, without, POOLED, step=materialise).withColumn("threshold", threshold)
             .withColumn("rejected", F.coalesce(F.col("perplexity") > F.col("threshold"), F.lit(False))))
 
 

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -94,13 +96,29 @@ def clear_scratch(spark: SparkSession) -> None:
     remove_path(spark, scratch_root(spark))
 
 
+#: Spark drops the shuffle files of an execution when it ends, not when the driver next collects its garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Writes inside leave no shuffle files behind; other executions of the session keep theirs."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write ``df`` to the shared scratch folder and read it back.
 
     The table is written once by committed tasks, so later passes over it see the
     same rows whatever executors are lost in between."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -12,6 +12,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from chronogrid.llm import bpe, components, decontaminate, html_text, kneser_ney, language, line_dedup, nearest, quality, registered, sharding, simhash, warc
 
@@ -226,6 +227,51 @@ def test_no_model_is_broadcast_or_collected(ready):
     assert plan.count("SortMergeJoin") >= 3 * kneser_ney.ORDER and plan.count("BroadcastExchange") <= kneser_ney.ORDER
 
 
+def test_texts_are_not_shuffled_and_every_order_is_joined(ready, monkeypatch):
+    counts = quality.count_models(ready.createDataFrame([("en", "some words of a text"), ("en", "others")], "lang string, text string"))
+    model = kneser_ney.numbered(*kneser_ney.estimate(counts))
+    plan_of = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    docs = ready.createDataFrame([("some text", "en"), ("other", "en"), (None, "en")], "text string, lang string")
+    written = []
+    with_threshold = ready.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    ready.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        def step(df, name):
+            written.append(plan_of(df))
+            return kneser_ney.materialise(df, name)
+
+        scored = kneser_ney.with_perplexity(docs, model, "text", {"perplexity": "lang"}, step=step)
+        plan = plan_of(scored)
+        got = scored.collect()
+    finally:
+        ready.conf.set("spark.sql.autoBroadcastJoinThreshold", with_threshold)
+    assert plan.count("Exchange") == 1 and "Bucketed: true" in plan  # that of the answers
+    assert sum(p.count("SortMergeJoin") for p in written) >= 3 * kneser_ney.ORDER and not any("BroadcastExchange" in p for p in written)
+    assert sorted(r.perplexity is None for r in got) == [False, False, True]
+    assert not [t for t in ready.catalog.listTables() if t.name.startswith("blocks_")]
+
+
+def test_rows_of_any_type_come_back_as_they_are(ready):
+    docs = ready.sql("""SELECT id AS doc_id, concat('some words ', id) AS text, 'en' AS lang, array(id, null) AS a, map('k', id) AS m,
+        named_struct('d', cast(id AS decimal(20,3)), 't', timestamp'2024-01-01 00:00:00', 'n', timestamp_ntz'2024-01-01 00:00:00',
+        'x', cast(null AS date), 'b', cast('b' AS binary)) AS s, cast(id AS smallint) AS i, cast(id AS float) AS f, 0 AS perplexity FROM range(40)""")
+    trusted = ready.createDataFrame([("en", f"some words of a text {k}") for k in range(20)], "lang string, text string")
+    whole = docs.select(F.struct("*").alias("_row"), "text", "lang")
+    got = quality.classify(whole, trusted).select("_row.*")
+    assert got.schema.simpleString() == docs.schema.simpleString()
+    assert sorted(got.collect(), key=lambda r: r.doc_id) == docs.orderBy("doc_id").collect()
+
+
+def test_writes_leave_no_shuffle_files(ready):
+    from chronogrid.session import SHUFFLE_CLEANUP, materialise
+    tracker = ready._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    before, was = set(str(tracker.shuffleStatuses().keys()).split("Set(")[-1].rstrip(")").split(", ")), ready.conf.get(SHUFFLE_CLEANUP, "false")
+    kept = materialise(ready.range(1000).groupBy(F.col("id") % 7).count(), "t")
+    after = set(str(tracker.shuffleStatuses().keys()).split("Set(")[-1].rstrip(")").split(", "))
+    assert kept.count() == 7 and ready.conf.get(SHUFFLE_CLEANUP, "false") == was
+    assert after <= before
+
+
 def test_quality_separates_labels(ready):
     got = {r.doc_id: r.rejected for r in registered.QUERIES["op4_quality"](ready, SF).collect()}
     labels = ready.read.parquet(f"{SF}/labels.parquet").collect()
