@@ -54,6 +54,12 @@ def test_each_stage_against_brute_force(ready):
     assert {r.doc_id for r in P.run(ready, SF).collect()} == set(last)
 
 
+def test_quality_stage_leaves_the_driver_a_small_plan(ready):
+    docs = ready.read.parquet(f"{SF}/documents.parquet")
+    plan = P.quality_stage(ready, docs, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroups" in plan and "Join" not in plan and plan.count("Exchange") == 1
+
+
 def test_awkward_rows(ready, tables):
     schema = "doc_id long, text string, lang string, source string, n_chars long, rejected string, perplexity string, _row int, n_hit int, id int, m1 int"
     rows = [(i, t, lang, None, None if t is None else len(t), "mine", "x", 1, 2, 3, 4) for i, t, lang in AWKWARD]
