@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import timeaxis as ta
 from ..functions import values as fv
 from ..operators import regions, tilemeans
+from ..operators.grid import CELL_KEYS
 from ..operators.joins import BROADCAST_LIMIT_BYTES, size_checked_broadcast
 from ..session import materialise, prepare_workers
 from ..sources.gridstore import BUCKET_KEYS, GridStore, bucketed_table
@@ -104,13 +105,19 @@ def tile_product(store: GridStore, weights_path: str, variables=None, start=None
 
     Every task reads the files of its tiles and slots on both sides and holds their
     weights (one tile's, bounded by the chunk plan and the polygons that meet it) in a
-    hash table: no row of the grid is exchanged.  A row of the grid meets a block of
-    polygons once, and its cell's weights there are streamed out."""
-    grid = store.read(variables, start=start, end=end, by_tile=True)
+    hash table: no row of the grid is exchanged.  A cell's steps of a time chunk are
+    gathered before the join and streamed out in order for one weight after another: along
+    them only time and values change, and the next weight of the cell repeats these, so a
+    product that is written takes little of the disk that its rows would take by step."""
+    grid = store.read(variables, start=start, end=end, by_tile=True, with_chunks=True)
+    names = [c for c in grid.columns if c not in ("time_chunk", *BUCKET_KEYS)]
+    along = [c for c in names if c not in CELL_KEYS]
+    series = grid.groupBy(*BUCKET_KEYS, "time_chunk", *CELL_KEYS).agg(F.sort_array(F.collect_list(F.struct(*along))).alias("_steps"))
     w = store.spark.table(bucketed_table(store.spark, weights_path, TILE_WEIGHTS, store.buckets))
-    met = grid.join(w.hint("shuffle_hash"), list(BUCKET_KEYS))
-    rows = met.select(*[c for c in grid.columns if c not in BUCKET_KEYS], F.explode(F.try_element_at("cells", _cell_number(store))).alias("_item"))
-    return rows.select(*[c for c in rows.columns if c != "_item"], "_item.poly_id", "_item.w", "_item.n_cells")
+    met = series.join(w.hint("shuffle_hash"), list(BUCKET_KEYS))
+    rows = met.select(*CELL_KEYS, "_steps", F.explode(F.try_element_at("cells", _cell_number(store))).alias("_item"))
+    rows = rows.select(*CELL_KEYS, "_item.poly_id", "_item.w", "_item.n_cells", F.explode("_steps").alias("_step"))
+    return rows.select(*[F.col("_step")[c].alias(c) if c in along else c for c in names], "poly_id", "w", "n_cells")
 
 
 def store_means(store: GridStore, w: DataFrame, variables, start=None, end=None, strict: bool = True,

@@ -229,7 +229,7 @@ class GridStore:
             e = end or "9999-12-30"
             df = gops.slice_by_label(df, s, e, self.spec)
         cols = list(variables) if variables is not None else self.variables
-        keep = list(gops.KEYS) + cols + (["time_chunk", "y_chunk", "x_chunk"] if with_chunks else list(BUCKET_KEYS) if by_tile else [])
+        keep = list(gops.KEYS) + cols + ["time_chunk"] * with_chunks + (list(BUCKET_KEYS) if by_tile else ["y_chunk", "x_chunk"] * with_chunks)
         out = df.select(*keep)
         if with_attrs:
             from ..operators.catalog import attrs_of, with_attrs as attach

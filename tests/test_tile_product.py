@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from chronogrid.config import ChunkPlan, GridSpec
 from chronogrid.operators import coverage, exact, regions, tilemeans
 from chronogrid.plans import regions as jobs
-from chronogrid.session import scratch_path
+from chronogrid.session import input_size, materialise, scratch_path
 from chronogrid.sources.gridstore import GridStore, joins_within_buckets
 
 getcontext().prec = 60
@@ -90,6 +90,37 @@ def test_product_needs_no_setting(spark, store, w):
     assert plan.count("Bucketed: true") == 2 and "Exchange" not in plan
 
 
+def test_product_comes_in_runs(spark, store, w):
+    """A polygon's steps in a cell and time chunk follow each other, in order."""
+    path = scratch_path(spark, "tile-weights")
+    jobs.write_tile_weights(store, w, path)
+    product = jobs.tile_product(store, path)
+    assert product.columns == ["time", "y", "x", "a", "b", "poly_id", "w", "n_cells"]
+    at = product.select(F.spark_partition_id(), "poly_id", "y", "x", F.floor(F.datediff("time", F.lit("2024-01-01")) / 5).alias("chunk"), "time",
+                        F.monotonically_increasing_id().alias("at")).collect()
+    at = [tuple(r)[:-1] for r in sorted(at, key=lambda r: r["at"])]
+    starts = sum(a[:-1] != b[:-1] for a, b in zip([(None,) * 6, *at], at))
+    assert starts == len({a[:-1] for a in at}) < len(at) / 3
+    assert all(a[-1] < b[-1] for a, b in zip(at, at[1:]) if a[:-1] == b[:-1])
+
+
+def test_written_product_is_small(spark, grid):
+    """20,000 polygons over three cells: a row takes less than a byte of disk, and none is lost or changed."""
+    s = GridStore.create(spark, scratch_path(spark, "bucketed"), GridSpec("2024-01-01 00:00:00", "day", ChunkPlan(20, 3, 4)),
+                         "2024-01-01", "2024-01-20", ["a", "b"], shape=(7, 10), buckets=4, slots=1)
+    s.write_region(grid)
+    cells = spark.range(60_000).select((F.col("id") / 3).cast("long").alias("poly_id"), F.lit(0).alias("y"),
+                                       (F.col("id") % 3).cast("int").alias("x"), F.round(F.rand(1), 6).alias("w"))
+    w, path, out = materialise(cells, "cells"), scratch_path(spark, "tile-weights"), scratch_path(spark, "product")
+    jobs.write_tile_weights(s, w, path)
+    jobs.tile_product(s, path).write.parquet(out)
+    found = spark.read.parquet(out)
+    expected = regions.join_weights(s.read(), w, checked=False).select(found.columns)
+    of = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first()
+    assert tuple(of(found)) == tuple(of(expected))
+    assert input_size(spark, out) < found.count(), input_size(spark, out) / found.count()
+
+
 @pytest.mark.parametrize("strict", [True, False])
 def test_small_blocks_and_pieces(spark, store, w, strict, monkeypatch):
     """Polygons over many tiles, blocks and pieces; neither products nor partial sums become rows."""
