@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,6 +71,8 @@ TILE_WEIGHTS = ("block int, cells map<int, array<struct<poly_id: bigint, w: doub
 PACKED = 1 << 15
 #: Most steps, and cells times steps, of the grid that a block of polygons is averaged over at a time.
 PIECE_STEPS, PIECE_VALUES = 128, 1 << 20
+#: Most tasks that a bucket's blocks of polygons are dealt over in the product.
+BUCKET_TASKS = 8
 
 
 def _located(store: GridStore, w: DataFrame) -> DataFrame:
@@ -108,16 +112,22 @@ def tile_product(store: GridStore, weights_path: str, variables=None, start=None
     hash table: no row of the grid is exchanged.  A cell's steps of a time chunk are
     gathered before the join and streamed out in order for one weight after another: along
     them only time and values change, and the next weight of the cell repeats these, so a
-    product that is written takes little of the disk that its rows would take by step."""
+    product that is written takes little of the disk that its rows would take by step.
+    Weights of many blocks are dealt over up to ``BUCKET_TASKS`` tasks a bucket, each of
+    which reads the bucket's grid."""
     grid = store.read(variables, start=start, end=end, by_tile=True, with_chunks=True)
     names = [c for c in grid.columns if c not in ("time_chunk", *BUCKET_KEYS)]
     along = [c for c in names if c not in CELL_KEYS]
     series = grid.groupBy(*BUCKET_KEYS, "time_chunk", *CELL_KEYS).agg(F.sort_array(F.collect_list(F.struct(*along))).alias("_steps"))
     w = store.spark.table(bucketed_table(store.spark, weights_path, TILE_WEIGHTS, store.buckets))
-    met = series.join(w.hint("shuffle_hash"), list(BUCKET_KEYS))
-    rows = met.select(*CELL_KEYS, "_steps", F.explode(F.try_element_at("cells", _cell_number(store))).alias("_item"))
-    rows = rows.select(*CELL_KEYS, "_item.poly_id", "_item.w", "_item.n_cells", F.explode("_steps").alias("_step"))
-    return rows.select(*[F.col("_step")[c].alias(c) if c in along else c for c in names], "poly_id", "w", "n_cells")
+    parts = min(BUCKET_TASKS, (w.agg(F.max("block")).first()[0] or 0) + 1)   # one scalar
+
+    def product(part: int) -> DataFrame:
+        met = series.join(w.where(F.pmod("block", F.lit(parts)) == part).hint("shuffle_hash"), list(BUCKET_KEYS))
+        rows = met.select(*CELL_KEYS, "_steps", F.explode(F.try_element_at("cells", _cell_number(store))).alias("_item"))
+        rows = rows.select(*CELL_KEYS, "_item.poly_id", "_item.w", "_item.n_cells", F.explode("_steps").alias("_step"))
+        return rows.select(*[F.col("_step")[c].alias(c) if c in along else c for c in names], "poly_id", "w", "n_cells")
+    return reduce(DataFrame.unionAll, map(product, range(parts)))
 
 
 def store_means(store: GridStore, w: DataFrame, variables, start=None, end=None, strict: bool = True,

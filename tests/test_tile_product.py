@@ -119,6 +119,7 @@ def test_written_product_is_small(spark, grid):
     of = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first()
     assert tuple(of(found)) == tuple(of(expected))
     assert input_size(spark, out) < found.count(), input_size(spark, out) / found.count()
+    assert jobs.tile_product(s, path).rdd.getNumPartitions() == 2 * s.buckets      # two blocks: two tasks a bucket
 
 
 @pytest.mark.parametrize("strict", [True, False])
